@@ -1,0 +1,203 @@
+import json
+import math
+
+import pytest
+from conftest import rows
+
+from tidemark.operators.aggregates import deviation_band, distinct_values, first_row, profile
+from tidemark.plans import analysis as A
+from tidemark.sources.delimited import read_text_table
+from tidemark.sources.documents import read_documents, records
+
+PADDED = """series_id   \tyear\tperiod\t       value\tfootnote_codes
+A           \t1995\tQ01\t         1.0\t
+A           \t1995\tQ02\t         2.0\t
+A           \t1996\tQ01\t         3.0\tR
+A           \t1996\tQ02\t         4.0\t
+
+B           \t2001\tQ01\t         5.0\t
+B           \t2000\tQ01\t         5.0\t
+C           \t1999\tQ01\t\t
+C           \t2000\tQ01\t         NaN\t
+D           \t1990\tQ01\t        -3.0\t
+D           \t1991\tQ01\t        -2.5\t
+NA\t1995\tQ01\t         9.0\t
+"""
+
+
+@pytest.fixture
+def series_file(tmp_path):
+    def write(text):
+        path = tmp_path / "series.tsv"
+        path.write_text(text, encoding="utf-8")
+        return str(path)
+
+    return write
+
+
+def series(spark, data):
+    return spark.createDataFrame(data, "series_id string, year int, period string, value double")
+
+
+def population(spark, data):
+    return spark.createDataFrame(data, "`ID Year` bigint, Population bigint")
+
+
+def test_clean_series(spark, series_file):
+    got = A.prepare_series(spark, series_file(PADDED))
+    assert [(f.name, f.dataType.simpleString()) for f in got.schema] == [
+        ("series_id", "string"),
+        ("year", "int"),
+        ("period", "string"),
+        ("value", "double"),
+        ("footnote_codes", "string"),
+    ]
+    table = rows(got)
+    assert len(table) == 11
+    assert ("A", 1996, "Q01", 3.0, "R") in table
+    assert ("C", 1999, "Q01", None, None) in table and ("C", 2000, "Q01", None, None) in table
+    assert (None, 1995, "Q01", 9.0, None) in table
+
+
+def test_best_years(spark, series_file):
+    got = A.best_years(A.prepare_series(spark, series_file(PADDED)))
+    assert [tuple(r) for r in got.collect()] == [
+        ("A", 1996, 7.0),
+        ("B", 2000, 5.0),
+        ("C", 1999, 0.0),
+        ("D", 1991, -2.5),
+    ]
+
+
+@pytest.mark.parametrize(
+    "line", ["A\t1995\tQ01\t     \t", "A\t\tQ01\t1.0\t", "A\t19x5\tQ01\t1.0\t", "A\t1995\tQ01\tx\t", "A\t1995\tQ01\t1\t\t\t"]
+)
+def test_bad_lines_fail(spark, series_file, failing, line):
+    failing(A.prepare_series(spark, series_file("series_id\tyear\tperiod\tvalue\tfootnote_codes\n" + line + "\n")))
+
+
+def test_short_and_quoted_lines(spark, series_file):
+    path = series_file('a \tb\tc\n1\t2\n"x\ty"\t6\t7\n8\t"9""\t1"\n')
+    assert rows(read_text_table(spark, path)) == [("1", "2", None), ("8", '9"\t1', None), ("x\ty", "6", "7")]
+
+
+def test_best_years_equals_a_naive_loop(spark):
+    import random
+
+    rng = random.Random(3)
+    data = [
+        (f"S{rng.randrange(8)}", rng.randrange(1990, 1996), "Q01", rng.choice([None, round(rng.uniform(-5, 5), 3)]))
+        for _ in range(400)
+    ]
+    sums = {}
+    for s, y, _, v in data:
+        sums.setdefault(s, {}).setdefault(y, 0)
+        sums[s][y] += round((v or 0) * 1000)
+    expected = sorted((s, min(y for y in years if years[y] == max(years.values())), max(years.values()) / 1000) for s, years in sums.items())
+    assert rows(A.best_years(series(spark, data))) == expected
+
+
+def test_sums_do_not_depend_on_float_order(spark):
+    data = [("A", 2000, "Q01", 0.1)] * 10 + [("A", 1999, "Q01", 1.0)]
+    assert rows(A.best_years(series(spark, data))) == [("A", 1999, 1.0)]
+
+
+def test_population_metrics(spark):
+    years = dict(zip(range(2012, 2020), [1, 100, 110, 120, 130, 140, 150, 999], strict=True))
+    pop = population(spark, list(years.items()))
+    chosen, stats = A.population_metrics(pop)
+    assert chosen.count() == 6
+    mean, std = stats.first()
+    assert mean == 125.0 and math.isclose(std, math.sqrt(350))
+    band = deviation_band(chosen, "Population").orderBy("ID Year").collect()
+    assert [(r["ID Year"], r["mean"], round(r.lower, 6), round(r.upper, 6)) for r in band] == [
+        (y, 125.0, 106.291713, 143.708287) for y in range(2013, 2019)
+    ]
+
+
+def test_population_metrics_of_little_data(spark):
+    pop = population(spark, [(2013, 5), (2019, 7)])
+    assert tuple(A.population_metrics(pop)[1].first()) == (5.0, None)
+    assert tuple(A.population_metrics(pop, 1900, 1901)[1].first()) == (None, None)
+    assert deviation_band(A.population_metrics(pop, 1900, 1901)[0], "Population").count() == 0
+
+
+SERIES_F = [
+    ("PRS30006032", 2014, "Q01", -0.1),
+    ("PRS30006032", 2012, "Q01", 1.9),
+    ("PRS30006032", 2013, "Q01", 0.5),
+    ("PRS30006032", 2013, "Q02", 7.0),
+    ("OTHER", 2013, "Q01", 8.0),
+]
+
+
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_series_with_population(spark, limit):
+    s = series(spark, SERIES_F)
+    got = A.series_with_population(s, population(spark, [(2013, 100), (2014, None), (2015, 120)]), max_broadcast_rows=limit)
+    assert rows(got) == [("PRS30006032", 2013, "Q01", 0.5, 100)]
+    assert got.schema["Population"].dataType.simpleString() == "bigint"
+    twice = population(spark, [(2013, 100), (2013, 101), (2014, 7)])
+    got = A.series_with_population(s, twice, max_broadcast_rows=limit)
+    assert [(r.year, r.Population) for r in got.collect()] in ([(2013, 100), (2013, 101), (2014, 7)], [(2013, 101), (2013, 100), (2014, 7)])
+
+
+DOCUMENT = {
+    "data": [
+        {"ID Nation": "01000US", "ID Year": 2013, "Population": 100, "n": {"x": 1}},
+        {"ID Nation": "01000US", "ID Year": 2014, "Population": 110},
+    ],
+    "source": [{"name": "acs", "annotations": {"source_name": "census"}}],
+}
+
+
+@pytest.mark.parametrize("indent", [None, 4])
+def test_documents(spark, tmp_path, indent):
+    path = tmp_path / "population.json"
+    path.write_text(json.dumps(DOCUMENT, indent=indent))
+    pop = A.prepare_population(spark, str(path))
+    assert sorted(pop.columns) == ["ID Nation", "ID Year", "Population", "n.x"]
+    assert rows(pop.select("ID Year", "Population", "`n.x`")) == [(2013, 100, 1), (2014, 110, None)]
+    source = records(read_documents(spark, str(path)), "source")
+    assert rows(source.select("`annotations.source_name`", "name")) == [("census", "acs")]
+
+
+def test_flattening(spark, tmp_path):
+    path = tmp_path / "d.json"
+    path.write_text('{"data":[{"a":1,"n":{"x":1,"y":{"z":2}},"l":[1,2]},{"a":2,"q":5}]}')
+    got = A.prepare_population(spark, str(path)).select("a", "l", "`n.x`", "`n.y.z`", "q")
+    assert rows(got) == [(1, [1, 2], 1, 2, None), (2, None, None, None, 5)]
+
+
+@pytest.mark.parametrize("text", ['{"source":[]}', '{"data":', "nonsense"])
+def test_bad_documents_fail(spark, tmp_path, text):
+    from tidemark.schemas import POPULATION_DOCUMENT
+
+    path = tmp_path / "d.json"
+    path.write_text(text)
+    with pytest.raises(Exception):
+        A.prepare_population(spark, str(path), POPULATION_DOCUMENT).collect()
+
+
+def test_analyze_from_files(spark, tmp_path, series_file):
+    lines = ["series_id   \tyear\tperiod\tvalue"] + ["\t".join(map(str, r)) for r in SERIES_F]
+    pop = tmp_path / "population.json"
+    pop.write_text(json.dumps(DOCUMENT))
+    path = series_file("\n".join(lines) + "\n")
+    for clean in (None, str(tmp_path / "clean")):
+        got = A.analyze(spark, path, str(pop), clean_path=clean)
+        assert rows(got["population_stats"]) == [(105.0, math.sqrt(50))]
+        assert rows(got["best_years"]) == [("OTHER", 2013, 8.0), ("PRS30006032", 2013, 7.5)]
+        assert [(r.year, r.Population) for r in got["series_with_population"].collect()] == [(2013, 100), (2014, 110)]
+
+
+def test_profile_distinct_first(spark):
+    s = series(spark, [*SERIES_F, ("X", None, "Q09", None)])
+    assert [tuple(r) for r in profile(s).orderBy("position").collect()] == [
+        (0, "series_id", "string", 6, 6),
+        (1, "year", "int", 5, 6),
+        (2, "period", "string", 6, 6),
+        (3, "value", "double", 5, 6),
+    ]
+    assert rows(distinct_values(s, "period")) == [("Q01",), ("Q02",), ("Q09",)]
+    assert rows(first_row(s, ["period", "year", "series_id"], ["series_id", "period"])) == [("PRS30006032", "Q01")]
