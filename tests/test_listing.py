@@ -3,7 +3,7 @@ import datetime
 import pytest
 from conftest import rows
 
-from tidemark.sources.pages import LINK_ENTRY, entries, extract_listing
+from tidemark.sources.pages import LINK_END, LINK_ENTRY, entries, extract_listing
 
 PAGE = """<html><body><pre><A HREF="/pub/">[To Parent Directory]</A><br><br>
  3/6/2025  8:30 AM         1234 <A HREF="/pub/x/pr.class">pr.class</A><br>
@@ -76,6 +76,8 @@ def test_impossible_times_fail(spark, failing, time):
 
 
 def test_other_patterns_without_a_block(spark):
-    page = '<p><a href="/a">A</a> <a href="/b">B</a><br>none<br/><a href="/c">C</a></p>'
-    got = entries(pages(spark, page), LINK_ENTRY, ["href", "label"], block=None)
-    assert rows(got) == [("R1", "u", "/a", "A"), ("R1", "u", "/c", "C")]
+    page = '<p><a href="/a">A</a> <a href="/b">B</a><br>none<br/><a href="/c">C\n</a></p>'
+    first = entries(pages(spark, page), r'<a href="(.*?)">', ["href"], block=None)
+    assert rows(first) == [("R1", "u", "/a"), ("R1", "u", "/c")]
+    every = entries(pages(spark, page), LINK_ENTRY, ["href", "label"], block=None, cut=LINK_END)
+    assert rows(every) == [("R1", "u", "/a", "A"), ("R1", "u", "/b", "B"), ("R1", "u", "/c", "C\n")]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import or_fail
-from tidemark.schemas import CHANGES, LISTING_COLUMNS, TRACKER, TRACKER_COLUMNS
+from tidemark.schemas import CHANGES, TRACKER, TRACKER_COLUMNS
 
 ACTIVE, CLOSED = "Y", "N"
 
@@ -158,6 +158,15 @@ def opened_versions(feed: DataFrame) -> DataFrame:
 def apply_listing(tracker: DataFrame, listing: DataFrame, run_ts: str) -> DataFrame:
     """The tracker after one full listing: versions closed, opened and kept."""
     require_listing(listing, tracker)
+    return _after(tracker, listing, run_ts)
+
+
+def bootstrap(listing: DataFrame, run_ts: str) -> DataFrame:
+    """The first tracker: every listed file active since `run_ts`."""
+    return _after(empty_tracker(listing.sparkSession), listing, run_ts)
+
+
+def _after(tracker: DataFrame, listing: DataFrame, run_ts: str) -> DataFrame:
     versions = (
         F.when(F.col("status") == "changed", F.array(_closed(), _opened()))
         .when(F.col("status") == "new", F.array(_opened()))
@@ -169,11 +178,6 @@ def apply_listing(tracker: DataFrame, listing: DataFrame, run_ts: str) -> DataFr
     return history.select(TRACKER_COLUMNS).unionByName(moved)
 
 
-def bootstrap(listing: DataFrame, run_ts: str) -> DataFrame:
-    """The first tracker: every listed file active since `run_ts`."""
-    return apply_listing(empty_tracker(listing.sparkSession), listing.select(LISTING_COLUMNS), run_ts)
-
-
 def sync_plan(feed: DataFrame) -> DataFrame:
     """What a change feed asks for: fetch new and changed files, delete removed ones."""
     action = F.when(F.col("status") == "removed", "delete").otherwise("fetch")

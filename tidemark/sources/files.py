@@ -14,7 +14,7 @@ _GLOB_CHARACTERS = set("*?[]{}\\")
 
 
 def read_files(spark: SparkSession, directory: str, wanted: DataFrame | None = None) -> DataFrame:
-    """`(file_name, content)` of the files in a directory, or of those whose name is in `wanted`.
+    """`(file_name, path, content)` of the files in a directory, or of those whose name is in `wanted`.
 
     File names are matched against a listing of the directory, which opens no file. When few enough
     are wanted, only those are opened. A wanted file that is absent gives no row.
@@ -33,4 +33,4 @@ def read_files(spark: SparkSession, directory: str, wanted: DataFrame | None = N
 
 
 def _named(files: DataFrame, *columns: str) -> DataFrame:
-    return files.select(file_name_of(F.col("path")).alias("file_name"), *(columns or ("content",)))
+    return files.select(file_name_of(F.col("path")).alias("file_name"), *(columns or ("path", "content")))

@@ -15,8 +15,9 @@ FILE_ENTRY = (
     r"""(?i:<a\s+href)\s*=\s*["'](.*?)["']\s*>(.*?)(?i:</a\s*>)"""
 )
 
-# Any link: target and text.
-LINK_ENTRY = r"""<a href="(.*?)">(.*?)</a>"""
+# Any link, on pages cut at the end of links: target and text.
+LINK_ENTRY = r"""(?s)<a href="(.*?)">(.*)$"""
+LINK_END = r"(?i)</a\s*>"
 
 PRE_BLOCK = r"(?is)<pre\b[^>]*>(.*?)(?:</pre\s*>|\z)"
 LINE_BREAK = r"(?i)<br\s*/?>"
@@ -27,16 +28,17 @@ def entries(
     pattern: str,
     groups: list[str],
     block: str | None = PRE_BLOCK,
+    cut: str = LINE_BREAK,
     text: str = "html",
 ) -> DataFrame:
-    """Cut each page at its line breaks and keep the first match of `pattern` in each piece.
+    """Cut each page, by default at its line breaks, and keep the first match of `pattern` in each piece.
 
     `groups` names the capture groups; all columns but the page text are kept. The whole
     pattern runs once per piece; the groups are then read from the short matched text.
     """
     keep = [F.col(f"`{c}`") for c in pages.columns if c != text]
     body = F.regexp_extract(text, block, 1) if block else F.col(text)
-    matches = F.transform(F.split(body, LINE_BREAK), lambda piece: F.regexp_extract(piece, pattern, 0))
+    matches = F.transform(F.split(body, cut), lambda piece: F.regexp_extract(piece, pattern, 0))
     found = pages.select(*keep, F.explode(matches).alias("_entry")).where(F.col("_entry") != "")
     return found.select(
         *keep, *[F.regexp_extract("_entry", pattern, i).alias(g) for i, g in enumerate(groups, start=1)]
