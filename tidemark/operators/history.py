@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import MAX_BROADCAST_ROWS
+from tidemark.operators.joins import MAX_BROADCAST_ROWS, settle
 from tidemark.operators.scd2 import ACTIVE, CLOSED
 from tidemark.schemas import TRACKER_COLUMNS
 
@@ -19,7 +19,7 @@ def run_calendar(runs: DataFrame) -> DataFrame:
     Numbered per month (the first seven characters of the run time) and shifted by the size of the
     earlier months, so the only window over everything has one row per month.
     """
-    listed = runs.select("run_ts").where(F.col("run_ts").isNotNull()).distinct()
+    listed = settle(runs.select("run_ts").where(F.col("run_ts").isNotNull()).distinct(), "runs")
     listed = listed.withColumn("month", F.substring("run_ts", 1, 7))
     earlier = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
     shift = (
@@ -48,16 +48,16 @@ def replay(
     same time and url. No window holds more than `chunk_runs` runs of a file: longer
     stretches are cut, solved in pieces, and the few pieces that touch a cut are joined up.
     """
-    calendar = run_calendar(history if runs is None else runs)
+    calendar = settle(run_calendar(history if runs is None else runs), "calendar")
     n_runs = calendar.count()
-    if n_runs <= max_broadcast_rows:
-        calendar = F.broadcast(calendar)
-    rows = history.join(calendar, "run_ts").select("file_name", "file_timestamp", "full_url", "ord")
+
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if n_runs <= max_broadcast_rows else df
+
+    rows = history.join(small(calendar), "run_ts").select("file_name", "file_timestamp", "full_url", "ord")
     spells = _spells(rows, chunk_runs if n_runs > chunk_runs else None)
-    started = calendar.select(F.col("ord").alias("start_ord"), F.col("run_ts").alias("start_timestamp"))
-    ended = calendar.select((F.col("ord") - 1).alias("end_ord"), F.col("run_ts").alias("end_timestamp"))
-    if n_runs <= max_broadcast_rows:
-        started, ended = F.broadcast(started), F.broadcast(ended)
+    started = small(calendar.select(F.col("ord").alias("start_ord"), F.col("run_ts").alias("start_timestamp")))
+    ended = small(calendar.select((F.col("ord") - 1).alias("end_ord"), F.col("run_ts").alias("end_timestamp")))
     return (
         spells.join(started, "start_ord")
         .join(ended, "end_ord", "left")
@@ -97,8 +97,9 @@ def _spells(rows: DataFrame, chunk_runs: int | None) -> DataFrame:
         F.coalesce(F.col("twice"), F.lit(False)),
         F.raise_error(F.concat(F.lit("file listed more than once in a run: "), F.col("file_name"))),
     ).otherwise(F.when(F.col("from_before") & ~cut_before, 0).otherwise(1))
+    up_to_here = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     pieces = (
-        joined.withColumn("nth", F.sum(starts.cast("int")).over(in_order))
+        joined.withColumn("nth", F.sum(starts.cast("int")).over(up_to_here))
         .where("own")
         .groupBy(*by_file, "nth", "file_timestamp", "full_url")
         .agg(
@@ -113,7 +114,11 @@ def _spells(rows: DataFrame, chunk_runs: int | None) -> DataFrame:
         return pieces.select(columns)
 
     at_cut = F.col("goes_back") | F.col("goes_on")
-    by_start = Window.partitionBy("file_name").orderBy("start_ord")
+    by_start = (
+        Window.partitionBy("file_name")
+        .orderBy("start_ord")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     mended = (
         pieces.where(at_cut)
         .withColumn("nth", F.sum(F.when(F.col("goes_back"), 0).otherwise(1)).over(by_start))

@@ -1,17 +1,30 @@
-"""Equi-joins whose broadcast side is checked first."""
+"""Small sides of joins: evaluated once, measured, then broadcast."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of fixed-width columns only, so the row count bounds the bytes: 1M x 2 longs is 16 MB.
+from tidemark.session import scratch_path
+
+# For rows of a few numbers or short texts: at most some tens of megabytes.
 MAX_BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark `df` for broadcast when it is counted and found small; otherwise leave it alone.
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    What reads it no longer depends on how it was made: it is computed once, its size is known, and
+    a lost executor costs nothing.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(settled: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mark a settled table for broadcast when its row count, read from the file footers, is small.
 
     Unmarked, the join shuffles on its keys and adaptive execution splits skewed partitions.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(settled) if settled.count() <= max_rows else settled

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import or_fail
-from tidemark.schemas import CHANGES, TRACKER, TRACKER_COLUMNS
+from tidemark.schemas import CHANGES, TRACKER, TRACKER_COLUMNS, empty_table
 
 ACTIVE, CLOSED = "Y", "N"
 
@@ -19,8 +19,8 @@ class StaleListingError(ValueError):
     """A listing older than the last one applied."""
 
 
-def empty_tracker(spark) -> DataFrame:
-    return spark.createDataFrame([], TRACKER)
+def empty_tracker(spark: SparkSession) -> DataFrame:
+    return empty_table(spark, TRACKER)
 
 
 def active_versions(tracker: DataFrame) -> DataFrame:
@@ -47,16 +47,18 @@ def require_listing(listing: DataFrame, tracker: DataFrame) -> None:
         raise EmptyListingError("the listing is empty but the tracker has active files")
 
 
-def classify(tracker: DataFrame, listing: DataFrame, run_ts: str) -> DataFrame:
+def classify(tracker: DataFrame, listing: DataFrame, run_ts: str, one_active: bool = False) -> DataFrame:
     """Every listed or active file with its status: new, changed, unchanged or removed.
 
     Both sides are reduced to one row per name, which also finds duplicates; the full outer
-    join then reuses that partitioning and order, so each side is shuffled once.
+    join then reuses that partitioning and order, so each side is shuffled once. `one_active` says
+    that the tracker is known to have one active version per file, and saves reducing it.
     """
     listed = listing.groupBy("file_name").agg(
         F.min(F.struct("file_timestamp", "full_url")).alias("new"), F.count(F.lit(1)).alias("n_listed")
     )
-    held = first_active(tracker).select(
+    held = active_versions(tracker).withColumn("n_active", F.lit(1)) if one_active else first_active(tracker)
+    held = held.select(
         "file_name",
         F.struct("file_timestamp", "full_url", "start_timestamp").alias("old"),
         "n_active",
@@ -94,9 +96,9 @@ def _about(text: str) -> Column:
     return F.concat(F.lit(text), F.col("file_name"))
 
 
-def changes(tracker: DataFrame, listing: DataFrame, run_ts: str) -> DataFrame:
+def changes(tracker: DataFrame, listing: DataFrame, run_ts: str, one_active: bool = False) -> DataFrame:
     """The change feed: new, changed and removed files."""
-    return classify(tracker, listing, run_ts).where(F.col("status") != "unchanged").select(CHANGES.names)
+    return classify(tracker, listing, run_ts, one_active).where(F.col("status") != "unchanged").select(CHANGES.names)
 
 
 def label_reactivated(feed: DataFrame, tracker: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.text import na_to_null, round_half_even, strip, to_double, to_int
 from tidemark.operators.aggregates import arg_max, mean_and_deviation, sum_by
-from tidemark.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
+from tidemark.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small, settle
 from tidemark.sources.delimited import read_text_table
 from tidemark.sources.documents import read_documents, records
 
@@ -76,12 +76,12 @@ def series_with_population(
 ) -> DataFrame:
     """One series and period with the population of its years; years without one drop out.
 
-    Population is cut to two numbers and counted before it is broadcast. A larger one is
+    Population is cut to two numbers and counted before it is broadcast. One with more rows is
     joined by a shuffle on the year, where adaptive execution splits a hot year.
     """
     chosen = series.where((F.col("series_id") == series_id) & (F.col("period") == period))
     known = population.select("ID Year", "Population").where(F.col("Population").isNotNull())
-    known = broadcast_if_small(known, max_broadcast_rows)
+    known = broadcast_if_small(settle(known, "population"), max_broadcast_rows)
     joined = (
         chosen.join(known, F.col("year") == F.col("ID Year"), "left")
         .where(F.col("Population").isNotNull())

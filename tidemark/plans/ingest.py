@@ -32,6 +32,18 @@ def ingest_listing(
     `mirror` is the directory in which the files named on the pages can be read.
     """
     listing = extract_listing(pages, base_url).select(LISTING_COLUMNS)
+    return apply_and_land(store, listing, run_ts, raw, mirror, failed)
+
+
+def apply_and_land(
+    store: TrackerStore,
+    listing: DataFrame,
+    run_ts: str,
+    raw: RawStore | None = None,
+    mirror: str | None = None,
+    failed: DataFrame | None = None,
+) -> DataFrame:
+    """Apply a listing to the tracker; files are landed before the run counts as finished."""
     land = None
     if raw is not None and mirror is not None:
 

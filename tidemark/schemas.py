@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -9,6 +11,12 @@ def _strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, in a form that the optimizer recognises as empty."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).select(*columns).where(F.lit(False))
+
+
 LISTING_COLUMNS = ["file_name", "file_timestamp", "full_url"]
 TRACKER_COLUMNS = [*LISTING_COLUMNS, "start_timestamp", "end_timestamp", "is_active"]
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import or_fail
-from tidemark.schemas import TRACKER_COLUMNS
+from tidemark.schemas import TRACKER_COLUMNS, empty_table
 
 
 def run_id(run_ts: str) -> str:
@@ -25,7 +25,7 @@ def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> Data
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return empty_table(spark, schema)
 
 
 def write_tracker_csv(tracker: DataFrame, path: str) -> None:

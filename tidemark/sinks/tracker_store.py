@@ -69,9 +69,6 @@ class TrackerStore:
     def _feed_path(self, run_ts: str) -> str:
         return f"{self.path}/changes/run={run_id(run_ts)}"
 
-    def is_finished(self, run_ts: str) -> bool:
-        return not self.log().where(F.col("run_ts") == run_ts).isEmpty()
-
     def apply(
         self,
         listing: DataFrame,
@@ -85,14 +82,18 @@ class TrackerStore:
         evaluated once. `land` stores the files of the feed before the run counts as finished. A run
         that is already finished is not applied again; without changes no new active version is written.
         """
-        if self.is_finished(run_ts):
+        before = self.log().agg(
+            F.max(F.struct("run_ts", "active_run")).alias("last"),
+            F.count_if(F.col("run_ts") == run_ts).alias("finished"),
+        )
+        last, finished = before.first()
+        if finished:
             return self.feed(run_ts)
-        last = self.last_run()
         if last is not None and run_ts < last.run_ts:
             raise StaleListingError(f"listing of {run_ts} is older than the last run, {last.run_ts}")
 
         active = empty_tracker(self.spark) if last is None else self._active(last.active_run)
-        found = changes(active, listing, run_ts)
+        found = changes(active, listing, run_ts, one_active=True)
         if failed is not None:
             found = without_failed(found, failed)
         found.write.mode("overwrite").parquet(self._feed_path(run_ts))
@@ -118,5 +119,6 @@ class TrackerStore:
         return feed
 
     def _finish(self, run_ts: str, active_run: str) -> None:
-        row = self.spark.createDataFrame([(run_ts, run_id(run_ts), active_run)], LOG)
-        row.coalesce(1).write.mode("append").parquet(f"{self.path}/log")
+        values = zip(LOG.names, (run_ts, run_id(run_ts), active_run), strict=True)
+        row = self.spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(name) for name, v in values])
+        row.write.mode("append").parquet(f"{self.path}/log")

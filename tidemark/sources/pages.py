@@ -16,7 +16,7 @@ FILE_ENTRY = (
 )
 
 # Any link, on pages cut at the end of links: target and text.
-LINK_ENTRY = r"""(?s)<a href="(.*?)">(.*)$"""
+LINK_ENTRY = r"""(?s)<a href="([^"\n]*)">(.*)$"""
 LINK_END = r"(?i)</a\s*>"
 
 PRE_BLOCK = r"(?is)<pre\b[^>]*>(.*?)(?:</pre\s*>|\z)"
@@ -30,46 +30,64 @@ def entries(
     block: str | None = PRE_BLOCK,
     cut: str = LINE_BREAK,
     text: str = "html",
+    keep_pages: bool = False,
 ) -> DataFrame:
     """Cut each page, by default at its line breaks, and keep the first match of `pattern` in each piece.
 
-    `groups` names the capture groups; all columns but the page text are kept. The whole
-    pattern runs once per piece; the groups are then read from the short matched text.
+    `groups` names the capture groups, of which only the last may match a line feed. All columns but
+    the page text are kept. With `keep_pages` each page also gives a row whose groups are NULL, so that
+    pages without a match can be seen. The pattern runs once per piece and once per match.
     """
     keep = [F.col(f"`{c}`") for c in pages.columns if c != text]
     body = F.regexp_extract(text, block, 1) if block else F.col(text)
-    matches = F.transform(F.split(body, cut), lambda piece: F.regexp_extract(piece, pattern, 0))
-    found = pages.select(*keep, F.explode(matches).alias("_entry")).where(F.col("_entry") != "")
-    return found.select(
-        *keep, *[F.regexp_extract("_entry", pattern, i).alias(g) for i, g in enumerate(groups, start=1)]
+    found = F.transform(F.split(body, cut), lambda piece: F.regexp_extract(piece, pattern, 0))
+    found = F.filter(found, lambda match: match != "")
+    if keep_pages:
+        found = F.concat(F.array(F.lit(None).cast("string")), found)
+    matches = pages.select(*keep, F.explode(found).alias("_match"))
+    one_per_line = "\n".join(f"${i}" for i in range(1, len(groups) + 1))
+    cells = F.split(F.regexp_replace("_match", pattern, one_per_line), "\n", len(groups))
+    return matches.withColumn("_cells", cells).select(
+        *keep, *[F.col("_cells")[i].alias(name) for i, name in enumerate(groups)]
     )
 
 
-def extract_listing(pages: DataFrame, base_url: str, pattern: str = FILE_ENTRY) -> DataFrame:
+def extract_listing(
+    pages: DataFrame, base_url: str, pattern: str = FILE_ENTRY, keep_pages: bool = False
+) -> DataFrame:
     """The files named on listing pages.
 
     Sub-directories and the parent link carry no size, do not match and drop out; so does
     a page without a `<pre>` block. An impossible date or time fails the job. The timestamp text is
     padded piece by piece, so no time zone can shift it; columns of `pages` such as `run_ts` are kept.
+    With `keep_pages` each page gives one more row without a file name.
     """
     keep = [F.col(f"`{c}`") for c in pages.columns if c not in ("html", "url")]
     raw = entries(
-        pages.drop("url"), pattern, ["_date", "_time", "_half", "_size", "_href", "file_name"]
+        pages.drop("url"),
+        pattern,
+        ["_date", "_time", "_half", "_size", "_href", "file_name"],
+        keep_pages=keep_pages,
     )
-    written = F.concat_ws(" ", "_date", "_time", "_half")
+    written = F.concat(F.col("_date"), F.lit(" "), F.col("_time"), F.lit(" "), F.col("_half"))
     parsed = F.to_timestamp_ntz(written, F.lit("M/d/yyyy h:mm a"))
     day = F.split("_date", "/")
-    padded = F.concat_ws(
-        " ",
-        F.concat_ws("/", F.lpad(day[0], 2, "0"), F.lpad(day[1], 2, "0"), day[2]),
+    padded = F.concat(
+        F.lpad(day[0], 2, "0"),
+        F.lit("/"),
+        F.lpad(day[1], 2, "0"),
+        F.lit("/"),
+        day[2],
+        F.lit(" "),
         F.lpad("_time", 5, "0"),
-        "_half",
+        F.lit(" "),
+        F.col("_half"),
     )
-    valid = F.when(parsed.isNotNull(), padded)
+    valid = or_fail(F.when(parsed.isNotNull(), padded), F.concat(F.lit("no such time: "), written))
     return raw.select(
         *keep,
         "file_name",
-        or_fail(valid, F.concat(F.lit("no such time: "), written)).alias("file_timestamp"),
+        F.when(written.isNotNull(), valid).alias("file_timestamp"),
         F.concat(F.lit(base_url), "_href").alias("full_url"),
         parsed.alias("file_ts"),
         F.col("_size").cast("bigint").alias("file_size"),

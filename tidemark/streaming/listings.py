@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.plans.ingest import ingest_listing
-from tidemark.schemas import PAGE
+from tidemark.operators.joins import settle
+from tidemark.plans.ingest import apply_and_land
+from tidemark.schemas import LISTING_COLUMNS, PAGE
 from tidemark.sinks.raw_store import RawStore
 from tidemark.sinks.tracker_store import TrackerStore
+from tidemark.sources.pages import extract_listing
 
 
 def listing_stream(spark: SparkSession, landing: str, fmt: str = "json") -> DataFrame:
@@ -33,11 +35,14 @@ def track_listings(
     """
 
     def apply_batch(batch: DataFrame, _: int) -> None:
-        # One row per waiting listing, not per file entry.
-        waiting = [r.run_ts for r in batch.select("run_ts").distinct().orderBy("run_ts").toLocalIterator()]
-        for run_ts in waiting:
-            one_run = batch.where(F.col("run_ts") == run_ts)
-            ingest_listing(store, one_run, base_url, run_ts, raw, mirror)
+        # Pages are parsed once for all waiting listings. A page row without a file keeps a listing
+        # that named no file visible.
+        found = extract_listing(batch, base_url, keep_pages=True).select("run_ts", *LISTING_COLUMNS)
+        staged = settle(found, "listings")
+        waiting = staged.select("run_ts").distinct().orderBy("run_ts")
+        for run in waiting.toLocalIterator():
+            listing = staged.where((F.col("run_ts") == run.run_ts) & F.col("file_name").isNotNull())
+            apply_and_land(store, listing.drop("run_ts"), run.run_ts, raw, mirror)
 
     return (
         pages.writeStream.foreachBatch(apply_batch)
