@@ -86,6 +86,29 @@ def test_failed_fetches_come_again(spark, store):
     assert statuses(store.apply(listing(spark, RUNS["R2"]), "R3")) == [("b", "changed")]
 
 
+def test_seeding_from_an_existing_tracker(spark, store, tmp_path):
+    after_r3 = [r for r in EXPECTED]
+    path = str(tmp_path / "csv")
+    write_tracker_csv(spark.createDataFrame(after_r3, TRACKER), path)
+    store.seed(read_tracker_csv(spark, path))
+    assert rows(store.tracker()) == EXPECTED
+    assert store.apply(listing(spark, RUNS["R4"]), "R4").isEmpty()
+    assert statuses(store.apply(listing(spark, RUNS["R2"]), "R5")) == [("d", "removed")]
+    with pytest.raises(ValueError):
+        store.seed(spark.createDataFrame(after_r3, TRACKER))
+    twice = [("a", "t1", "u", "R1", None, "Y"), ("a", "t2", "u", "R1", None, "Y")]
+    with pytest.raises(ValueError):
+        TrackerStore(spark, str(tmp_path / "other")).seed(spark.createDataFrame(twice, TRACKER))
+
+
+def test_pruning_keeps_the_tracker(spark, store):
+    for run, entries in RUNS.items():
+        store.apply(listing(spark, entries), run)
+    store.prune()
+    assert rows(store.tracker()) == EXPECTED
+    assert spark.read.parquet(f"{store.path}/active/rR1").isEmpty()
+
+
 def test_tracker_csv_round_trip(spark, tmp_path):
     data = [
         ("007", "03/06/2025 08:30 AM", 'https://e/x?a="1",2', "R1", None, "Y"),
@@ -152,7 +175,15 @@ def test_landing_and_deleting(spark, store, tmp_path, mirror):
     assert current() == {"a": b"a\x00\xff", "b": b"second", "c": b"c\x00\xff"}
     (mirror / "d").write_bytes(b"back")
     store.apply(listing(spark, RUNS["R3"]), "R3", land)
-    assert current()["d"] == b"back"
+    expected = {"a": b"a\x00\xff", "b": b"second", "c": b"c\x00\xff", "d": b"back"}
+    assert current() == expected
+    assert raw.landed().count() > 4
+    raw.compact(store.active(), "R3")
+    assert current() == expected
+    assert raw.landed().count() == 4
+    assert spark.read.parquet(f"{raw.path}/copies").count() == 4
+    store.apply(listing(spark, {"a": ("t9", "u"), "d": ("t1", "u")}), "R5", land)
+    assert current() == {"a": b"a\x00\xff", "d": b"back"}
 
 
 def test_sync_of_a_file_table(spark):

@@ -4,12 +4,30 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+def cluster_settings(total_cores: int) -> dict[str, str]:
+    """SQL settings for a large cluster; none of them changes a result.
+
+    Shuffles start with several partitions per core and adaptive execution merges small ones
+    and splits skewed ones.
+    """
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(total_cores * 8),
+        "spark.sql.shuffle.partitions": str(total_cores * 3),
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def local_session(cores: int | str = 8, memory: str = "8g", app: str = "tidemark") -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     return (
@@ -35,9 +53,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    fallback = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(CHECKPOINT_DIR, fallback)
-    return fallback
+    return _local_dir(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"{application}-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

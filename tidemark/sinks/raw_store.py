@@ -2,7 +2,7 @@
 
 A run appends the bytes of the files it fetched under `run=<id>`. What is current follows from
 the tracker: the copy landed by the run that opened the active version. So replacing or
-deleting a copy rewrites nothing.
+deleting a copy rewrites nothing; `compact` frees the space when it is worth it.
 """
 
 from __future__ import annotations
@@ -12,17 +12,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.scd2 import sync_plan
-from tidemark.sinks.tables import read_if_exists, run_id
+from tidemark.sinks.tables import empty_folder, read_if_exists, run_id
 from tidemark.sources.files import read_files
 
-RAW = T.StructType(
+COPIES = T.StructType(
     [
         T.StructField("file_name", T.StringType()),
         T.StructField("content", T.BinaryType()),
         T.StructField("run_ts", T.StringType()),
-        T.StructField("run", T.StringType()),
     ]
 )
+COPIES_BY_RUN = T.StructType([*COPIES.fields, T.StructField("run", T.StringType())])
+BASE = T.StructType([T.StructField("base", T.StringType())])
 
 
 def wanted(feed: DataFrame) -> DataFrame:
@@ -50,6 +51,15 @@ class RawStore:
         self.spark = spark
         self.path = path.rstrip("/")
 
+    def _folder(self, run: str) -> str:
+        return f"{self.path}/copies/run={run}"
+
+    def _landed(self) -> DataFrame:
+        """Copies since the last compaction, which holds the older ones."""
+        copies = read_if_exists(self.spark, f"{self.path}/copies", COPIES_BY_RUN)
+        base = read_if_exists(self.spark, f"{self.path}/bases", BASE).agg(F.max("base").alias("base")).first().base
+        return copies if base is None else copies.where(F.col("run") >= base)
+
     def land(self, files: DataFrame, feed: DataFrame, run_ts: str) -> None:
         """Store fetched `(file_name, content)` rows under a run; running again replaces them.
 
@@ -62,20 +72,33 @@ class RawStore:
         before = self._landed().where(F.col("run") != run_id(run_ts))
         carried = before.join(previous, ["file_name", "run_ts"], "left_semi").select("file_name", "content")
         rows = fetched.unionByName(carried).withColumn("run_ts", F.lit(run_ts))
-        rows.write.mode("overwrite").parquet(f"{self.path}/run={run_id(run_ts)}")
+        rows.write.mode("overwrite").parquet(self._folder(run_id(run_ts)))
 
     def land_from_directory(self, directory: str, feed: DataFrame, run_ts: str) -> None:
         """Store the files a change feed asks for, out of a directory that mirrors the source."""
         self.land(read_files(self.spark, directory, wanted(feed)), feed, run_ts)
 
-    def _landed(self) -> DataFrame:
-        return read_if_exists(self.spark, self.path, RAW)
-
     def landed(self) -> DataFrame:
-        """Every copy ever landed."""
+        """Every copy held: `(file_name, content, run_ts)`."""
         return self._landed().drop("run")
 
     def current(self, active: DataFrame) -> DataFrame:
         """The copies that belong to active versions."""
         versions = active.select("file_name", F.col("start_timestamp").alias("run_ts"))
         return self.landed().join(versions, ["file_name", "run_ts"], "left_semi")
+
+    def compact(self, active: DataFrame, run_ts: str) -> None:
+        """Drop the bytes of replaced and deleted copies, after the run `run_ts` has finished.
+
+        Current copies are written together, then counted as the base; only then are the
+        folders before it emptied, so stopping at any point loses nothing.
+        """
+        base = run_id(run_ts) + "c"
+        older = self._landed().where(F.col("run") < base).select("run").distinct()
+        self.current(active).write.mode("overwrite").parquet(self._folder(base))
+        row = self.spark.range(0, 1, 1, 1).select(F.lit(base).alias("base"))
+        # One row per run that landed something.
+        superseded = [r.run for r in older.collect()]
+        row.write.mode("append").parquet(f"{self.path}/bases")
+        for run in superseded:
+            empty_folder(self.spark, self._folder(run), COPIES)

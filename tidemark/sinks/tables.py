@@ -28,6 +28,11 @@ def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> Data
         return empty_table(spark, schema)
 
 
+def empty_folder(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Replace the files of a folder by one without rows."""
+    empty_table(spark, schema).coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def write_tracker_csv(tracker: DataFrame, path: str) -> None:
     """The tracker as comma-separated text with a header, in a new folder."""
     tracker.select(TRACKER_COLUMNS).write.option("header", True).option("escape", '"').csv(path)

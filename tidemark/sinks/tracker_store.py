@@ -18,16 +18,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.scd2 import (
+    CLOSED,
     EmptyListingError,
     StaleListingError,
+    active_versions,
     changes,
     closed_versions,
     empty_tracker,
+    first_active,
     opened_versions,
     without_failed,
 )
 from tidemark.schemas import CHANGES, TRACKER
-from tidemark.sinks.tables import read_if_exists, run_id
+from tidemark.sinks.tables import empty_folder, read_if_exists, run_id
 
 LOG = T.StructType([T.StructField(n, T.StringType()) for n in ("run_ts", "run", "active_run")])
 CHANGES_BY_RUN = T.StructType([*CHANGES.fields, T.StructField("run", T.StringType())])
@@ -113,11 +116,47 @@ class TrackerStore:
         if land is not None:
             land(feed, run_ts)
         stayed = active.join(feed.select("file_name"), "file_name", "left_anti")
-        now_active = stayed.unionByName(opened_versions(feed))
-        now_active.write.mode("overwrite").parquet(f"{self.path}/active/{run_id(run_ts)}")
+        self._write_active(stayed.unionByName(opened_versions(feed)), run_ts)
         self._finish(run_ts, run_id(run_ts))
         return feed
 
+    def seed(self, tracker: DataFrame) -> None:
+        """Start an empty store from an existing tracker, such as one read from CSV."""
+        if self.last_run() is not None:
+            raise ValueError("the store already has runs")
+        several = first_active(tracker).where(F.col("n_active") > 1)
+        if not several.isEmpty():
+            raise ValueError("the tracker has several active versions of one file")
+        latest = tracker.agg(F.max(F.greatest("start_timestamp", "end_timestamp")).alias("t")).first().t
+        if latest is None:
+            return
+        closed = tracker.where(F.col("is_active") == CLOSED).select(
+            "file_name",
+            F.lit("removed").alias("status"),
+            F.lit(None).cast("string").alias("file_timestamp"),
+            F.lit(None).cast("string").alias("full_url"),
+            F.col("file_timestamp").alias("old_file_timestamp"),
+            F.col("full_url").alias("old_full_url"),
+            F.col("start_timestamp").alias("old_start_timestamp"),
+            F.col("end_timestamp").alias("run_ts"),
+        )
+        closed.write.mode("overwrite").parquet(self._feed_path(latest))
+        self._write_active(active_versions(tracker), latest)
+        self._finish(latest, run_id(latest))
+
+    def prune(self) -> None:
+        """Empty the active versions of earlier runs; history stays in the change feeds."""
+        last = self.last_run()
+        if last is None:
+            return
+        # One row per finished run.
+        earlier = self.log().select("active_run").where(F.col("active_run") != last.active_run).distinct()
+        for row in earlier.collect():
+            empty_folder(self.spark, f"{self.path}/active/{row.active_run}", TRACKER)
+
+    def _write_active(self, versions: DataFrame, run_ts: str) -> None:
+        versions.select(TRACKER.names).write.mode("overwrite").parquet(f"{self.path}/active/{run_id(run_ts)}")
+
     def _finish(self, run_ts: str, active_run: str) -> None:
         values = zip(LOG.names, (run_ts, run_id(run_ts), active_run), strict=True)
         row = self.spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(name) for name, v in values])

@@ -179,7 +179,7 @@ ORACLES: dict[str, str] = {
     "clean_series": f"WITH {SERIES} SELECT *, CAST(NULL AS VARCHAR) AS footnote_codes FROM series",
     "population_prepared": f"WITH {POPULATION} SELECT * FROM population",
     "population_source": f"""WITH {POPULATION}
-        SELECT 'lines' AS name, ['Population'] AS measures, 'lineitem' AS "annotations.source_name"
+        SELECT 'lines' AS name, 'Population' AS measures, 'lineitem' AS source_name
         FROM population""",
     "population_stats": f"""WITH {POPULATION},{CHOSEN},{STATS}
         SELECT round(mean, 6) AS mean, round(std, 6) AS std FROM stats""",

@@ -51,7 +51,9 @@ def population_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def population_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records(_population_from_files(spark, sf_dir), "source")
+    source = records(_population_from_files(spark, sf_dir), "source")
+    name = F.col("`annotations.source_name`").alias("source_name")
+    return source.select("name", F.array_join("measures", ",").alias("measures"), name)
 
 
 # Questions
