@@ -6,8 +6,9 @@ from conftest import rows
 
 from tidemark.operators.aggregates import deviation_band, distinct_values, first_row, profile
 from tidemark.plans import analysis as A
-from tidemark.sources.delimited import read_text_table
+from tidemark.sources.delimited import read_text_table, text_table_of_files
 from tidemark.sources.documents import read_documents, records
+from tidemark.sources.files import read_files
 
 PADDED = """series_id   \tyear\tperiod\t       value\tfootnote_codes
 A           \t1995\tQ01\t         1.0\t
@@ -73,12 +74,26 @@ def test_best_years(spark, series_file):
     "line", ["A\t1995\tQ01\t     \t", "A\t\tQ01\t1.0\t", "A\t19x5\tQ01\t1.0\t", "A\t1995\tQ01\tx\t", "A\t1995\tQ01\t1\t\t\t"]
 )
 def test_bad_lines_fail(spark, series_file, failing, line):
-    failing(A.prepare_series(spark, series_file("series_id\tyear\tperiod\tvalue\tfootnote_codes\n" + line + "\n")))
+    path = series_file("series_id\tyear\tperiod\tvalue\tfootnote_codes\n" + line + "\n")
+    failing(A.prepare_series(spark, path))
+    failing(A.prepare_landed_series(read_files(spark, path)))
 
 
 def test_short_and_quoted_lines(spark, series_file):
     path = series_file('a \tb\tc\n1\t2\n"x\ty"\t6\t7\n8\t"9""\t1"\n')
-    assert rows(read_text_table(spark, path)) == [("1", "2", None), ("8", '9"\t1', None), ("x\ty", "6", "7")]
+    expected = [("1", "2", None), ("8", '9"\t1', None), ("x\ty", "6", "7")]
+    assert rows(read_text_table(spark, path)) == expected
+    assert rows(text_table_of_files(read_files(spark, path))) == expected
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_landed_series(spark, series_file, end):
+    path = series_file(PADDED.replace("\n", end))
+    landed = A.prepare_landed_series(read_files(spark, path))
+    direct = A.prepare_series(spark, path)
+    assert landed.schema == direct.schema and rows(landed) == rows(direct)
+    with pytest.raises(ValueError):
+        A.prepare_landed_series(read_files(spark, path).where("false"))
 
 
 def test_best_years_equals_a_naive_loop(spark):

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidemark.functions.text import na_to_null, round_half_even, strip, to_double, to_int
 from tidemark.operators.aggregates import arg_max, mean_and_deviation, sum_by
 from tidemark.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small, settle
-from tidemark.sources.delimited import read_text_table
+from tidemark.sources.delimited import read_text_table, text_table_of_files
 from tidemark.sources.documents import read_documents, records
 
 FIRST_YEAR, LAST_YEAR = 2013, 2018
@@ -40,6 +40,11 @@ def prepare_series(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return clean_series(read_text_table(spark, path))
 
 
+def prepare_landed_series(files: DataFrame) -> DataFrame:
+    """The same from landed files `(file_name, content)`, such as the current copies of a raw store."""
+    return clean_series(text_table_of_files(files))
+
+
 def prepare_population(
     spark: SparkSession,
     path: str | list[str],

@@ -1,4 +1,4 @@
-"""Delimited text files with a header row."""
+"""Delimited text with a header row."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tidemark.schemas import TRACKER
 
 _BAD_LINE = "_bad_line"
+_ESCAPE = '"'
 
 
 def read_text_table(spark: SparkSession, path: str | list[str], sep: str = "\t") -> DataFrame:
@@ -19,14 +20,33 @@ def read_text_table(spark: SparkSession, path: str | list[str], sep: str = "\t")
     A line with too few cells is filled with NULL; one with too many fails the job
     rather than lose its tail. Files split, so many tasks read one large file.
     """
-    reader = spark.read.option("sep", sep).option("header", True).option("escape", '"')
+    reader = spark.read.option("sep", sep).option("header", True).option("escape", _ESCAPE)
     header = reader.option("inferSchema", False).csv(path).columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*header, _BAD_LINE]])
     rows = reader.schema(schema).option("columnNameOfCorruptRecord", _BAD_LINE).csv(path)
-
+    return _refuse_long_lines(rows, sep)
+
+
+def text_table_of_files(files: DataFrame, sep: str = "\t") -> DataFrame:
+    """The same from landed files: `content` holds the bytes of text files with one common header."""
+    text = files.select(F.decode("content", "UTF-8").alias("text"))
+    first = text.select(F.split("text", r"\r?\n", 2)[0].alias("header")).first()
+    if first is None:
+        raise ValueError("no file to read")
+    header = first.header.split(sep)
+    lines = text.select(F.posexplode(F.split("text", r"\r?\n")).alias("at", "line"))
+    lines = lines.where((F.col("at") > 0) & (F.trim("line", F.lit(" \t")) != ""))
+    columns = [f"c{i}" for i in range(len(header))]
+    schema = ", ".join(f"{c} STRING" for c in [*columns, _BAD_LINE])
+    options = {"sep": sep, "escape": _ESCAPE, "columnNameOfCorruptRecord": _BAD_LINE}
+    rows = lines.select(F.from_csv("line", schema, options).alias("r")).select("r.*")
+    return _refuse_long_lines(rows, sep).toDF(*header)
+
+
+def _refuse_long_lines(rows: DataFrame, sep: str) -> DataFrame:
     # Only a line with the wrong number of cells carries its text in the extra column.
     unquoted = F.regexp_replace(F.col(_BAD_LINE), '"[^"]*"', "")
-    too_long = F.size(F.split(unquoted, re.escape(sep))) > len(header)
+    too_long = F.size(F.split(unquoted, re.escape(sep))) > len(rows.columns) - 1
     fits = F.when(
         F.col(_BAD_LINE).isNotNull() & too_long,
         F.raise_error(F.concat(F.lit("too many cells in line: "), F.col(_BAD_LINE))),
@@ -36,4 +56,4 @@ def read_text_table(spark: SparkSession, path: str | list[str], sep: str = "\t")
 
 def read_tracker_csv(spark: SparkSession, path: str) -> DataFrame:
     """The tracker as text columns; a numeric-looking file name stays a text."""
-    return spark.read.schema(TRACKER).option("header", True).option("escape", '"').csv(path)
+    return spark.read.schema(TRACKER).option("header", True).option("escape", _ESCAPE).csv(path)

@@ -189,6 +189,7 @@ ORACLES: dict[str, str] = {
         FROM chosen, stats""",
     "best_year_per_series": f"WITH {SERIES},{YEARLY},{BEST} SELECT * FROM best",
     "best_year_from_text": f"WITH {SERIES},{YEARLY},{BEST} SELECT * FROM best",
+    "best_year_from_landed": f"WITH {SERIES},{YEARLY},{BEST} SELECT * FROM best",
     "yearly_sums": f"WITH {SERIES},{YEARLY} SELECT series_id, year, CAST(total AS DOUBLE) AS value FROM yearly",
     "series_with_population": f"WITH {SERIES},{POPULATION},{JOINED} SELECT * FROM joined",
     "analysis_all": ANSWERS,
