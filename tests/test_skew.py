@@ -72,6 +72,9 @@ def test_hot_file_in_a_history(spark):
     history = spark.createDataFrame(data, "file_name string, file_timestamp string, full_url string, run_ts string")
     got = rows(replay(history, spark.createDataFrame([(r,) for r in runs], "run_ts string"), chunk_runs=8))
     spells = [(n, min(n + 7, 300)) for n in range(0, 300, 7)]
-    expected = [("hot", f"t{a // 7 % 2}", "u", runs[a], runs[b] if b < 300 else None, "Y" if b == 300 else "N") for a, b in spells]
+    expected = []
+    for a, b in spells:
+        end, state = (None, "Y") if b == 300 else (runs[b], "N")
+        expected.append(("hot", f"t{a // 7 % 2}", "u", runs[a], end, state))
     expected += [(f"f{n}", "t", "u", runs[n], runs[n + 1], "N") for n in range(0, 300, 2)]
     assert got == sorted(expected, key=repr)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import or_fail
 from tidemark.schemas import CHANGES, TRACKER, TRACKER_COLUMNS, empty_table
 
 ACTIVE, CLOSED = "Y", "N"

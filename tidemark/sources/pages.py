@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import or_fail
 
-# One entry of a listing: date, time, AM/PM, size, link target, link text. Tag names may have
-# either case and the target either quote; `(?U)` lets `\s` match no-break spaces, `(?d)` keeps
-# `.` off line feeds only.
+# One entry of a listing: month, day, year, hour, minute, AM/PM, size, link target, link text. Tag names may
+# have either case and the target either quote; `(?U)` lets `\s` match no-break spaces, `(?d)` keeps `.` off
+# line feeds only.
 FILE_ENTRY = (
-    r"(?Ud)(\d{1,2}/\d{1,2}/\d{4})\s+(\d{1,2}:\d{2})\s([APM]{2})\s+(\d+)\s+"
+    r"(?Ud)(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{2})\s([APM]{2})\s+(\d+)\s+"
     r"""(?i:<a\s+href)\s*=\s*["'](.*?)["']\s*>(.*?)(?i:</a\s*>)"""
 )
+FILE_ENTRY_GROUPS = ["_month", "_day", "_year", "_hour", "_minute", "_half", "_size", "_href", "file_name"]
 
 # Any link, on pages cut at the end of links: target and text.
 LINK_ENTRY = r"""(?s)<a href="([^"\n]*)">(.*)$"""
@@ -63,31 +64,28 @@ def extract_listing(
     With `keep_pages` each page gives one more row without a file name.
     """
     keep = [F.col(f"`{c}`") for c in pages.columns if c not in ("html", "url")]
-    raw = entries(
-        pages.drop("url"),
-        pattern,
-        ["_date", "_time", "_half", "_size", "_href", "file_name"],
-        keep_pages=keep_pages,
-    )
-    written = F.concat(F.col("_date"), F.lit(" "), F.col("_time"), F.lit(" "), F.col("_half"))
-    parsed = F.to_timestamp_ntz(written, F.lit("M/d/yyyy h:mm a"))
-    day = F.split("_date", "/")
+    raw = entries(pages.drop("url"), pattern, FILE_ENTRY_GROUPS, keep_pages=keep_pages)
+    month, day, year, hour, minute, half = (F.col(g) for g in FILE_ENTRY_GROUPS[:6])
+    written = F.format_string("%s/%s/%s %s:%s %s", month, day, year, hour, minute, half)
+    two = [F.lpad(part, 2, "0") for part in (month, day, hour)]
     padded = F.concat(
-        F.lpad(day[0], 2, "0"),
-        F.lit("/"),
-        F.lpad(day[1], 2, "0"),
-        F.lit("/"),
-        day[2],
-        F.lit(" "),
-        F.lpad("_time", 5, "0"),
-        F.lit(" "),
-        F.col("_half"),
+        two[0], F.lit("/"), two[1], F.lit("/"), year, F.lit(" "), two[2], F.lit(":"), minute, F.lit(" "), half
+    )
+    on_clock = hour.cast("int").between(1, 12) & half.isin("AM", "PM")
+    past_noon = F.when(half == "PM", 12).otherwise(0)
+    parsed = F.try_make_timestamp_ntz(
+        year.cast("int"),
+        month.cast("int"),
+        day.cast("int"),
+        F.when(on_clock, hour.cast("int") % 12 + past_noon),
+        minute.cast("int"),
+        F.lit(0),
     )
     valid = or_fail(F.when(parsed.isNotNull(), padded), F.concat(F.lit("no such time: "), written))
     return raw.select(
         *keep,
         "file_name",
-        F.when(written.isNotNull(), valid).alias("file_timestamp"),
+        F.when(half.isNotNull(), valid).alias("file_timestamp"),
         F.concat(F.lit(base_url), "_href").alias("full_url"),
         parsed.alias("file_ts"),
         F.col("_size").cast("bigint").alias("file_size"),
