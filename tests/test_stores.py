@@ -8,7 +8,7 @@ from test_listing import BASE
 from test_scd2 import EXPECTED, RUNS, listing, statuses
 
 from tidemark.operators import scd2
-from tidemark.plans.ingest import ingest, ingest_population
+from tidemark.plans.ingest import apply_and_land, ingest, ingest_population
 from tidemark.schemas import LISTING, POPULATION_DOCUMENT, TRACKER
 from tidemark.sinks.raw_store import RawStore, after_sync, fetch, wanted
 from tidemark.sinks.tables import run_id, write_json_documents, write_json_table, write_tracker_csv
@@ -186,6 +186,15 @@ def test_landing_and_deleting(spark, store, tmp_path, mirror):
     assert current() == {"a": b"a\x00\xff", "d": b"back"}
 
 
+def test_absent_files_can_be_left_for_the_next_run(spark, store, tmp_path, mirror):
+    raw = RawStore(spark, str(tmp_path / "raw"))
+    first = listing(spark, {"a": ("t1", "u"), "z": ("t1", "u")})
+    assert statuses(apply_and_land(store, first, "R1", raw, str(mirror), retry_missing=True)) == [("a", "new")]
+    (mirror / "z").write_bytes(b"late")
+    assert statuses(apply_and_land(store, first, "R2", raw, str(mirror), retry_missing=True)) == [("z", "new")]
+    assert sorted(r.file_name for r in raw.current(store.active()).collect()) == ["a", "z"]
+
+
 def test_sync_of_a_file_table(spark):
     state = scd2.bootstrap(listing(spark, RUNS["R1"]), "R1")
     feed = scd2.changes(state, listing(spark, RUNS["R2"]), "R2")

@@ -86,28 +86,28 @@ def _spells(rows: DataFrame, chunk_runs: int | None) -> DataFrame:
 
     by_file = ["file_name"] if chunk_runs is None else ["file_name", "chunk"]
     in_order = Window.partitionBy(*by_file).orderBy("ord")
-    joined = rows.withColumns(
+    twice = F.coalesce(F.lag("ord").over(in_order) == F.col("ord"), F.lit(False))
+    message = F.concat(F.lit("file listed more than once in a run: "), F.col("file_name"))
+    marked = rows.withColumns(
         {
-            "twice": F.lag("ord").over(in_order) == F.col("ord"),
-            "from_before": _same_version(F.lag, in_order, -1),
+            "from_before": F.when(twice, F.raise_error(message)).otherwise(_same_version(F.lag, in_order, -1)),
             "to_after": _same_version(F.lead, in_order, 1),
         }
     )
-    starts = F.when(
-        F.coalesce(F.col("twice"), F.lit(False)),
-        F.raise_error(F.concat(F.lit("file listed more than once in a run: "), F.col("file_name"))),
-    ).otherwise(F.when(F.col("from_before") & ~cut_before, 0).otherwise(1))
-    up_to_here = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Only the first and last row of each piece are kept; a first row is followed by its last one.
+    edges = marked.withColumns(
+        {"begins": ~F.col("from_before") | cut_before, "ends": ~F.col("to_after") | cut_after}
+    ).where(F.col("own") & (F.col("begins") | F.col("ends")))
     pieces = (
-        joined.withColumn("nth", F.sum(starts.cast("int")).over(up_to_here))
-        .where("own")
-        .groupBy(*by_file, "nth", "file_timestamp", "full_url")
-        .agg(
-            F.min("ord").alias("start_ord"),
-            F.max("ord").alias("end_ord"),
-            F.bool_or(cut_before & F.col("from_before")).alias("goes_back"),
-            F.bool_or(cut_after & F.col("to_after")).alias("goes_on"),
+        edges.withColumns(
+            {
+                "goes_back": F.col("from_before"),
+                "end_ord": F.when(F.col("ends"), F.col("ord")).otherwise(F.lead("ord").over(in_order)),
+                "goes_on": F.when(F.col("ends"), F.col("to_after")).otherwise(F.lead("to_after").over(in_order)),
+            }
         )
+        .where("begins")
+        .withColumnRenamed("ord", "start_ord")
     )
     columns = ["file_name", "file_timestamp", "full_url", "start_ord", "end_ord"]
     if chunk_runs is None:

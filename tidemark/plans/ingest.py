@@ -10,6 +10,7 @@ from tidemark.schemas import LISTING_COLUMNS
 from tidemark.sinks.raw_store import RawStore
 from tidemark.sinks.tables import run_id, write_json_documents
 from tidemark.sinks.tracker_store import TrackerStore
+from tidemark.sources.files import missing_files
 from tidemark.sources.pages import extract_listing
 
 
@@ -25,14 +26,15 @@ def ingest_listing(
     run_ts: str,
     raw: RawStore | None = None,
     mirror: str | None = None,
-    failed: DataFrame | None = None,
+    retry_missing: bool = False,
 ) -> DataFrame:
     """Pages of one listing to tracker and landed files; returns the change feed.
 
-    `mirror` is the directory in which the files named on the pages can be read.
+    `mirror` is the directory in which the files named on the pages can be read. A file that is
+    listed but absent there counts as done, unless `retry_missing` leaves it for the next run.
     """
     listing = extract_listing(pages, base_url).select(LISTING_COLUMNS)
-    return apply_and_land(store, listing, run_ts, raw, mirror, failed)
+    return apply_and_land(store, listing, run_ts, raw, mirror, retry_missing)
 
 
 def apply_and_land(
@@ -41,11 +43,13 @@ def apply_and_land(
     run_ts: str,
     raw: RawStore | None = None,
     mirror: str | None = None,
-    failed: DataFrame | None = None,
+    retry_missing: bool = False,
 ) -> DataFrame:
     """Apply a listing to the tracker; files are landed before the run counts as finished."""
-    land = None
-    if raw is not None and mirror is not None:
+    land = failed = None
+    if mirror is not None and retry_missing:
+        failed = missing_files(store.spark, mirror, listing)
+    if mirror is not None and raw is not None:
 
         def land(feed: DataFrame, run: str) -> None:
             raw.land_from_directory(mirror, feed, run)

@@ -32,5 +32,11 @@ def read_files(spark: SparkSession, directory: str, wanted: DataFrame | None = N
     return _named(spark.read.format("binaryFile").load(few))
 
 
+def missing_files(spark: SparkSession, directory: str, listed: DataFrame) -> DataFrame:
+    """Listed names without a file in the directory; opens no file."""
+    present = _named(spark.read.format("binaryFile").load(directory), "path")
+    return listed.select("file_name").join(present, "file_name", "left_anti")
+
+
 def _named(files: DataFrame, *columns: str) -> DataFrame:
     return files.select(file_name_of(F.col("path")).alias("file_name"), *(columns or ("path", "content")))
