@@ -68,7 +68,7 @@ def test_bootstrap(spark):
     assert rows(got) == [(n, "t1", U, "R1", None, "Y") for n in "abcd"]
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(3))
 @pytest.mark.parametrize("missing", [False, True])
 def test_random_runs_equal_a_naive_loop(spark, seed, missing):
     state, model = scd2.empty_tracker(spark), []
@@ -125,11 +125,11 @@ def test_replay_of_four_runs(spark):
     assert rows(replay(history(spark, RUNS))) == EXPECTED
 
 
-@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("seed", range(4))
 def test_replay_equals_a_naive_loop_for_any_chunk(spark, seed):
     runs = naive.random_history(seed, runs=11, missing=seed % 2 == 1)
     expected = naive.replay(runs)
-    for chunk in (1, 2, 3, 4, 4096):
+    for chunk in (1, 2, 3, 4096):
         assert rows(replay(history(spark, runs), chunk_runs=chunk)) == expected, chunk
 
 

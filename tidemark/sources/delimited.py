@@ -28,7 +28,10 @@ def read_text_table(spark: SparkSession, path: str | list[str], sep: str = "\t")
 
 
 def text_table_of_files(files: DataFrame, sep: str = "\t") -> DataFrame:
-    """The same from landed files: `content` holds the bytes of text files with one common header."""
+    """The same from landed files: `content` holds the bytes of text files with one common header.
+
+    One task cuts one file into lines; a file too large for that is read from its folder instead.
+    """
     text = files.select(F.decode("content", "UTF-8").alias("text"))
     first = text.select(F.split("text", r"\r?\n", 2)[0].alias("header")).first()
     if first is None:
