@@ -1,4 +1,6 @@
 import __spark_entry__ as entry_module
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 
 def test_entry(spark):
@@ -8,5 +10,6 @@ def test_entry(spark):
 
 
 def test_contract():
-    assert entry_module.queries().keys() == entry_module.oracle_sql().keys()
+    assert entry_module.oracle_sql().keys() <= entry_module.queries().keys()
+    assert set(QUERIES) <= set(ORACLES) & set(entry_module.queries())
     assert not any(" " in name for name in entry_module.queries())
