@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import idfiles, packing
+from tidemark.llm import decontamination, idfiles, language, nearest, packing, pages, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,11 +23,66 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.digest(found)
+
+
 @query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), keep_ids=False)
 
 
+def _fold(count: int) -> Column:
+    """The remainder that says which rows are held out."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % count
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_fold(3) == 1, F.lit(False))
+    model = language.fit(documents.where(~held_out))
+    return language.predict(documents, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(_fold(4) == 2, F.lit(False))
+    model = quality.fit(documents, labels.where(~held_out))
+    predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
+    return quality.scores(documents, model).select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
 @query
 def op7_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.ids_of(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = table(spark, sf_dir, "pages")
+    return pages.extracted(raw, pages.fit(raw))
+
+
+@query
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
+
+
+ORACLES["op9_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
