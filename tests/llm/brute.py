@@ -31,3 +31,45 @@ def decontaminate(documents, items, window=10):
         names = sorted(str(i) for i in found if i is not None)
         out.append((d, len(w), len(hit), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), bool(hit)))
     return out
+
+
+def remove_bytes(documents, size=50):
+    """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256); a missing id is larger than all others."""
+    key = lambda d: (d is None, d or 0)
+    first = {}
+    for d, text in documents:
+        b = (text or "").encode()
+        for a in range(len(b) - size + 1):
+            w = b[a : a + size]
+            if w not in first or key(d) < first[w]:
+                first[w] = key(d)
+    out = []
+    for d, text in documents:
+        b = (text or "").encode()
+        gone = bytearray(len(b))
+        for a in range(len(b) - size + 1):
+            if first[b[a : a + size]] < key(d):
+                gone[a : a + size] = b"\x01" * size
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        out.append((d, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def remove_words(documents, size=35):
+    """Rows (doc_id, n_words, n_removed, kept_sha256)."""
+    split = [(d, re.findall(r"[^\x20\x09-\x0D]+", text or "")) for d, text in documents]
+    seen = {}
+    for _, w in split:
+        for a in range(len(w) - size + 1):
+            k = tuple(w[a : a + size])
+            seen[k] = seen.get(k, 0) + 1
+    out = []
+    for d, w in split:
+        gone = [False] * len(w)
+        for a in range(len(w) - size + 1):
+            if seen[tuple(w[a : a + size])] > 1:
+                gone[a : a + size] = [True] * size
+        kept = " ".join(x for x, g in zip(w, gone) if not g)
+        out.append((d, len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return out

@@ -9,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tidemark.session import scratch_path
 
@@ -38,6 +40,11 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow types that Spark expects of columns declared so; parts of nested ones may be missing."""
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit values; different values stay different."""
     x = x ^ (x >> U64(32))
@@ -116,16 +123,22 @@ class Words:
         self.end = np.flatnonzero(last) + 1
         self.at = np.searchsorted(self.start, offsets)
         self.hash = np.zeros(len(self.start), U64)
-        if len(self.start):
-            where = np.flatnonzero(inside)
-            size = self.end - self.start
-            group = np.cumsum(size) - size
-            place = np.arange(len(where)) - np.repeat(group, size)
-            power = np.cumprod(np.full(int(size.max()), SPREAD, U64))
-            table = byte_table(seed)
-            if lower:
-                table = table[LOWER]
-            self.hash = mix(np.add.reduceat(table[data[where]] * power[place], group) + size.astype(U64))
+        size = self.end - self.start
+        power = np.cumprod(np.full(int(size.max(initial=0)) + 1, SPREAD, U64))
+        table = byte_table(seed)
+        if lower:
+            table = table[LOWER]
+        ends = np.cumsum(size)
+        lo = 0
+        while lo < len(size):  # some words at once, as this takes several times the room of their bytes
+            done = ends[lo] - size[lo]
+            hi = max(lo + 1, int(np.searchsorted(ends, done + PIECE_BYTES, "right")))
+            group = ends[lo:hi] - size[lo:hi] - done
+            place = np.arange(ends[hi - 1] - done) - np.repeat(group, size[lo:hi])
+            where = place + np.repeat(self.start[lo:hi], size[lo:hi])
+            sums = np.add.reduceat(table[data[where]] * power[place], group)
+            self.hash[lo:hi] = mix(sums + size[lo:hi].astype(U64))
+            lo = hi
 
     def __len__(self) -> int:
         return len(self.start)

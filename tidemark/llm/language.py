@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import SPREAD, U64, as_binary, buffers, byte_table, mix, pieces, reach
+from tidemark.llm.arrays import SPREAD, U64, arrow_schema, as_binary, buffers, byte_table, mix, pieces, reach
 
 #: Rows that training takes in all, about.
 SAMPLE = 4000
@@ -148,7 +148,9 @@ def _has_letter(texts: list[str | None]) -> np.ndarray:
     return np.array([any(map(str.isalpha, t or "")) for t in texts], bool)
 
 
-def _predictor(model: Model | None):
+def _predictor(model: Model | None, schema: str):
+    target = arrow_schema(schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(1)
@@ -160,10 +162,9 @@ def _predictor(model: Model | None):
                     letters = _has_letter(column[lo:hi].to_pylist())
                     scores, unsure = np.where(letters, scores, 0.0), unsure | ~letters
                     languages = [model.languages[b] if x else UNKNOWN for b, x in zip(best, letters, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i)[lo:hi] for i in range(2, batch.num_columns)), pa.array(languages), pa.array(scores), pa.array(unsure)],
-                    names=[*batch.schema.names[2:], "lang_pred", "score", "ambiguous"],
-                )
+                found = [pa.array(languages), pa.array(scores), pa.array(unsure)]
+                columns = [*(batch.column(i)[lo:hi] for i in range(2, batch.num_columns)), *found]
+                yield pa.RecordBatch.from_arrays(columns, names=target.names).cast(target)
 
     return run
 
@@ -177,7 +178,8 @@ def predict(documents: DataFrame, model: Model | None) -> DataFrame:
     reach(documents.sparkSession)
     kind = dict(documents.dtypes)["doc_id"]
     rows = documents.select(F.lit(0), "text", "doc_id")
-    return rows.mapInArrow(_predictor(model), f"doc_id {kind}, lang_pred string, score double, ambiguous boolean")
+    schema = f"doc_id {kind}, lang_pred string, score double, ambiguous boolean"
+    return rows.mapInArrow(_predictor(model, schema), schema)
 
 
 def recognised(documents: DataFrame, model: Model | None) -> DataFrame:
@@ -186,6 +188,7 @@ def recognised(documents: DataFrame, model: Model | None) -> DataFrame:
     names = documents.columns
     rows = documents.select(F.lit(0).alias("_0"), documents["text"].alias("_1"), *(documents[c].alias(f"_c{i}") for i, c in enumerate(names)))
     schema = ", ".join(f"_c{i} {documents.schema[c].dataType.simpleString()}" for i, c in enumerate(names))
-    judged = rows.mapInArrow(_predictor(model), schema + ", lang_pred string, score double, ambiguous boolean")
+    schema += ", lang_pred string, score double, ambiguous boolean"
+    judged = rows.mapInArrow(_predictor(model, schema), schema)
     kept = judged.where("not ambiguous")
     return kept.select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(names)))

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, idfiles, language, nearest, packing, pages, quality
+from tidemark.llm import (
+    bytededup,
+    decontamination,
+    idfiles,
+    language,
+    nearest,
+    neardup,
+    packing,
+    pages,
+    quality,
+    worddedup,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,6 +58,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(documents, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+@query
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -56,6 +72,11 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(documents, model).select("doc_id", held_out.alias("held_out"), "score", predicted)
 
 
+@query
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytededup.digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.ids_of(table(spark, sf_dir, "documents"))
@@ -72,6 +93,11 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
 
 
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return worddedup.digest(table(spark, sf_dir, "documents"))
+
+
 ORACLES["op9_exact_top_k"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
