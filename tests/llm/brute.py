@@ -73,3 +73,26 @@ def remove_words(documents, size=35):
         kept = " ".join(x for x, g in zip(w, gone) if not g)
         out.append((d, len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
     return out
+
+
+def near_duplicates(documents, size=5, least=0.8):
+    """Smallest id of each document's class, by all pairs (ids are given and different)."""
+    sets = {}
+    for d, text in documents:
+        w = words(text)
+        sets[d] = {tuple(w[a : a + size]) for a in range(max(1, len(w) - size + 1))} if w else set()
+    up = {d: d for d in sets}
+
+    def top(d):
+        while up[d] != d:
+            d = up[d]
+        return d
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[:i]:
+            both = len(sets[a] & sets[b])
+            if both and both / (len(sets[a]) + len(sets[b]) - both) >= least:
+                x, y = top(a), top(b)
+                up[max(x, y)] = min(x, y)
+    return {d: top(d) for d in ids}

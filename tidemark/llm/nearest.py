@@ -62,7 +62,7 @@ class CoverTree:
         """Groups within `radius` of centres of their own; none if the vectors lie too far apart to gain by it."""
         left, groups = np.arange(len(own)), []
         while len(left):
-            if len(groups) > len(own) // 16:
+            if len(groups) > len(own) // 6:
                 return []
             near = ((own[left] - own[left[0]]) ** 2).sum(axis=1) <= radius**2
             groups.append(left[near])

@@ -27,7 +27,7 @@ from tidemark.llm.tokens import WORD_BPE, encoder, vocabulary_path
 CAPACITY = 2048
 #: Id that ends each document.
 END = 0
-ROUNDS = 160
+ROUNDS = 300
 RATE = 0.7
 #: Bytes of text tokenised at once.
 TEXT_BYTES = 2 << 20
@@ -136,60 +136,56 @@ def _best_pattern(lengths: np.ndarray, values: np.ndarray, capacity: int) -> np.
     return pattern
 
 
-def fractional_patterns(
-    lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS
-) -> list[tuple[np.ndarray, float]]:
-    """Patterns and how often each is used, by multiplicative weights; as many sequences in all as the tokens fill."""
-    weights, uses = np.ones(len(lengths)), {}
+def fractional_patterns(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Solutions of the configuration program, as (patterns, uses of each): the average of all rounds, and of their second half.
+
+    Uses are scaled so that the least covered length is covered once.
+    """
+    weights, patterns, uses = np.ones(len(lengths)), [], []
     for _ in range(rounds):
         pattern = _best_pattern(lengths, weights / counts, capacity)
         inside = pattern > 0
         share = (pattern[inside] / counts[inside]).max()
-        key = pattern.tobytes()
-        uses[key] = uses.get(key, 0.0) + 1 / share
+        patterns.append(pattern)
+        uses.append(1 / share)
         weights *= np.exp(-RATE * pattern / counts / share)
         weights /= weights.sum()
-    bound = float(lengths @ counts) / capacity
-    scale = bound / sum(uses.values())
-    return [(np.frombuffer(k, np.int64), x * scale) for k, x in uses.items()]
+    out = []
+    for first in (0, rounds // 2):
+        different, back = np.unique(np.array(patterns[first:]), axis=0, return_inverse=True)
+        many = np.bincount(back.ravel(), uses[first:], len(different))
+        coverage = (many @ different / counts).min()
+        out.append((different, many / max(coverage, 1e-9)))
+    return out
 
 
-def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> Plan:
-    """Place a histogram of lengths below `capacity`."""
-    lengths = np.array(sorted(n for n, c in histogram.items() if c > 0), np.int64)
-    left = np.array([histogram[int(n)] for n in lengths], np.int64)
-    used, entries, sequences = np.zeros(len(lengths), np.int64), [], 0
+def _place_all(lengths: np.ndarray, counts: np.ndarray, capacity: int, patterns: np.ndarray, uses: np.ndarray) -> tuple[list, int]:
+    """Use each pattern as often as said and as pieces last, then place the rest by best fit, largest first, for whole
+    runs of equal sequences."""
+    left, used, entries, sequences = counts.copy(), np.zeros(len(lengths), np.int64), [], 0
 
-    def put(i: int, each: int, many: int, sequence: int, offset: int, pieces_: int) -> None:
+    def put(i: int, each: int, many: int, sequence: int, offset: int) -> None:
         entries.append((int(lengths[i]), int(used[i]), each, sequence, offset))
-        used[i] += pieces_
-        left[i] -= pieces_
+        used[i] += each * many
+        left[i] -= each * many
 
     free: dict[int, list[tuple[int, int]]] = {}  # room: runs of (first sequence, sequences)
-    if len(lengths):
-        found = fractional_patterns(lengths, left.astype(float), capacity, rounds)
-        for pattern, uses in sorted(found, key=lambda x: -x[1]):
-            inside = np.flatnonzero(pattern)
-            many = min(int(uses), int((left[inside] // pattern[inside]).min()))
-            if many == 0:
-                continue
+    for p in np.argsort(-uses, kind="stable"):
+        inside = np.flatnonzero(patterns[p])
+        many = min(int(uses[p] + 1e-9), int((left[inside] // patterns[p][inside]).min()))
+        if many > 0:
             offset = 0
             for i in inside:
-                put(i, int(pattern[i]), many, sequences, offset, int(pattern[i]) * many)
-                offset += int(pattern[i] * lengths[i])
+                put(i, int(patterns[p][i]), many, sequences, offset)
+                offset += int(patterns[p][i] * lengths[i])
             if offset < capacity:
                 free.setdefault(capacity - offset, []).append((sequences, many))
             sequences += many
-    for i in range(len(lengths) - 1, -1, -1):  # best fit, largest first, for whole runs of equal sequences
+    for i in range(len(lengths) - 1, -1, -1):
         n = int(lengths[i])
         while left[i]:
             room = min((r for r in free if r >= n), default=0)
-            if not room:
-                each = capacity // n
-                many = max(1, int(left[i]) // each)
-                first, each, room = sequences, min(each, int(left[i])), capacity
-                sequences += many
-            else:
+            if room:
                 first, many = free[room].pop()
                 if not free[room]:
                     del free[room]
@@ -197,11 +193,31 @@ def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY, rounds: in
                 if (take := max(1, min(many, int(left[i]) // each))) < many:
                     free.setdefault(room, []).append((first + take, many - take))
                     many = take
-            put(i, each, many, first, capacity - room, each * many)
+            else:
+                each = min(capacity // n, int(left[i]))
+                first, many, room = sequences, max(1, int(left[i]) // each), capacity
+                sequences += many
+            put(i, each, many, first, capacity - room)
             if room > each * n:
                 free.setdefault(room - each * n, []).append((first, many))
-    table = np.array(sorted(entries), np.int64).reshape(-1, 5)
-    return Plan(*table.T, sequences)
+    return entries, sequences
+
+
+def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> Plan:
+    """Place a histogram of lengths below `capacity`: the rounded solution that needs the fewest sequences.
+
+    The program's solutions are rounded whole and shrunk to what the tokens fill, and best fit alone is tried as well.
+    """
+    lengths = np.array(sorted(n for n, c in histogram.items() if c > 0), np.int64)
+    counts = np.array([histogram[int(n)] for n in lengths], np.int64)
+    if not len(lengths):
+        return Plan(*np.zeros((5, 0), np.int64), 0)
+    bound = float(lengths @ counts) / capacity
+    tried = [(np.zeros((0, len(lengths)), np.int64), np.zeros(0))]
+    for patterns, uses in fractional_patterns(lengths, counts.astype(float), capacity, rounds):
+        tried += [(patterns, uses), (patterns, uses * min(1.0, bound / uses.sum())), (patterns, uses * 0.97)]
+    entries, sequences = min((_place_all(lengths, counts, capacity, *t) for t in tried), key=lambda found: found[1])
+    return Plan(*np.array(sorted(entries), np.int64).T, sequences)
 
 
 def _placer(plan: Plan, capacity: int):
