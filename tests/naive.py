@@ -31,12 +31,14 @@ def apply_listing(tracker, listing, run):
     return [tuple(r) for r in tracker + opened], sorted(feed)
 
 
-def random_history(seed, names=12, runs=9, missing=False):
+def random_history(seed, names=12, runs=9, missing=False, empty=0.0):
     rng = random.Random(seed)
     times = ["t1", "t2"] + ([None] if missing else [])
     history = {}
     for r in range(runs):
         listed = [n for n in range(names) if rng.random() < 0.75] or [0]
+        if empty and rng.random() < empty:
+            listed = []
         history[f"2024-{1 + r // 3:02d}-{1 + r:02d} 12:00:00"] = {
             f"f{n}": (rng.choice(times) if rng.random() < 0.4 else "t1", "u" if rng.random() < 0.8 else "v")
             for n in listed

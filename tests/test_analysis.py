@@ -4,8 +4,10 @@ import math
 import pytest
 from conftest import rows
 
-from tidemark.operators.aggregates import deviation_band, distinct_values, first_row, profile
+from tidemark.operators.aggregates import deviation_band, distinct_values, first_row, profile, sum_by
 from tidemark.plans import analysis as A
+from tidemark.plans.ingest import run_time
+from tidemark.sinks.tables import run_id
 from tidemark.sources.delimited import read_text_table, text_table_of_files
 from tidemark.sources.documents import read_documents, records
 from tidemark.sources.files import read_files
@@ -149,14 +151,21 @@ SERIES_F = [
 ]
 
 
-@pytest.mark.parametrize("limit", [0, 1000])
-def test_series_with_population(spark, limit):
+@pytest.fixture
+def broadcast_limit(spark, request):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("broadcast_limit", ["-1", "10m"], indirect=True)
+def test_series_with_population(spark, broadcast_limit):
     s = series(spark, SERIES_F)
-    got = A.series_with_population(s, population(spark, [(2013, 100), (2014, None), (2015, 120)]), max_broadcast_rows=limit)
+    got = A.series_with_population(s, population(spark, [(2013, 100), (2014, None), (2015, 120)]))
     assert rows(got) == [("PRS30006032", 2013, "Q01", 0.5, 100)]
     assert got.schema["Population"].dataType.simpleString() == "bigint"
     twice = population(spark, [(2013, 100), (2013, 101), (2014, 7)])
-    got = A.series_with_population(s, twice, max_broadcast_rows=limit)
+    got = A.series_with_population(s, twice)
     pairs = [(r.year, r.Population) for r in got.collect()]
     assert [year for year, _ in pairs] == [2013, 2013, 2014]
     assert sorted(pairs) == [(2013, 100), (2013, 101), (2014, 7)]
@@ -184,7 +193,7 @@ def test_documents(spark, tmp_path, indent):
 
 def test_flattening(spark, tmp_path):
     path = tmp_path / "d.json"
-    path.write_text('{"data":[{"a":1,"n":{"x":1,"y":{"z":2}},"l":[1,2]},{"a":2,"q":5}]}')
+    path.write_text('{"data":[{"a":1,"n":{"x":1,"y":{"z":2}},"l":[1,2]},{"a":2,"q":5}],"source":[]}')
     got = A.prepare_population(spark, str(path)).select("a", "l", "`n.x`", "`n.y.z`", "q")
     assert rows(got) == [(1, [1, 2], 1, 2, None), (2, None, None, None, 5)]
 
@@ -221,3 +230,39 @@ def test_profile_distinct_first(spark):
     ]
     assert rows(distinct_values(s, "period")) == [("Q01",), ("Q02",), ("Q09",)]
     assert rows(first_row(s, ["period", "year", "series_id"], ["series_id", "period"])) == [("PRS30006032", "Q01")]
+
+
+def test_files_must_share_their_header(spark, tmp_path, failing):
+    """In another order, under other names or without one: never values in the wrong columns."""
+    head = "series_id\tyear\tperiod\tvalue\n"
+    good = head + "A\t2001\tQ01\t7\n"
+    for i, other in enumerate(["series_id\tvalue\tperiod\tyear\nB\t7\tQ01\t2001\n", "B\t2001\tQ01\t7\n", head.replace("value", "v") + "B\t1\tQ01\t2\n"]):
+        folder = tmp_path / str(i)
+        folder.mkdir()
+        (folder / "a.tsv").write_text(good)
+        (folder / "b.tsv").write_text(other)
+        failing(read_text_table(spark, str(folder)))
+        files = spark.read.format("binaryFile").load(str(folder)).select("content")
+        assert "another header" in failing(text_table_of_files(files))
+    (tmp_path / "0" / "b.tsv").write_text(head + "B\t2002\tQ01\t8\n")
+    assert len(rows(read_text_table(spark, str(tmp_path / "0")))) == 2
+
+
+def test_values_off_the_grid_fail(spark, failing):
+    small = spark.createDataFrame([("A", 2000, 0.0004)] * 10, "series_id string, year int, value double")
+    assert "cannot read '4.0E-4'" in failing(sum_by(small, ["series_id"], "value"))
+    assert [float(r.total) for r in sum_by(small, ["series_id"], "value", places=4).collect()] == [0.004]
+
+
+def test_a_document_without_a_source_fails(spark, tmp_path):
+    path = tmp_path / "d.json"
+    path.write_text('{"data": [{"ID Year": 2013, "Population": 1}]}')
+    with pytest.raises(ValueError, match="no 'source'"):
+        A.prepare_population(spark, str(path))
+    path.write_text('[{"data": [{"ID Year": 2013, "Population": 1}]}, {"data": [], "source": [{"name": "x"}]}]')
+    with pytest.raises(Exception, match="no 'source'"):
+        A.prepare_population(spark, str(path)).collect()
+
+
+def test_run_time_is_a_run_time():
+    assert run_id(run_time()).startswith("r20")

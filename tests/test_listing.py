@@ -3,7 +3,7 @@ import datetime
 import pytest
 from conftest import rows
 
-from tidemark.sources.pages import LINK_END, LINK_ENTRY, entries, extract_listing
+from tidemark.sources.pages import DATED_GROUPS, LINK_END, LINK_ENTRY, entries, extract_listing
 
 PAGE = """<html><body><pre><A HREF="/pub/">[To Parent Directory]</A><br><br>
  3/6/2025  8:30 AM         1234 <A HREF="/pub/x/pr.class">pr.class</A><br>
@@ -47,7 +47,6 @@ def test_no_time_zone_shifts_the_text(spark, zone):
         "",
         '1/1/2024 1:00 AM 5 <a href="/f">f</a>',
         "<pre></pre>",
-        '<pre>1/1/2024 1:00 am 5 <a href="/f">f</a></pre>',
         '<pre>x</pre><pre>1/1/2024 1:00 AM 5 <a href="/f">f</a></pre>',
     ],
 )
@@ -81,3 +80,37 @@ def test_other_patterns_without_a_block(spark):
     assert rows(first) == [("R1", "u", "/a"), ("R1", "u", "/c")]
     every = entries(pages(spark, page), LINK_ENTRY, ["href", "label"], block=None, cut=LINK_END)
     assert rows(every) == [("R1", "u", "/a", "A"), ("R1", "u", "/b", "B"), ("R1", "u", "/c", "C\n")]
+
+
+@pytest.mark.parametrize(
+    ("line", "name", "url"),
+    [
+        ("1/1/2024&nbsp;1:00&#160;AM &#xa0;5&nbsp;<A HREF=/f>f</A>", "f", "/f"),
+        ("1/1/2024 1:00 AM 5 <a class='x y' href='/a>b' title=t>f</a>", "f", "/a>b"),
+        ('1/1/2024 1:00 AM 5 <a href="/a&amp;b?c=1&d=2">caf&eacute; &lt;1&gt; &#x1F600;&#233;</a>', "caf\u00e9 <1> \U0001F600\u00e9", "/a&b?c=1&d=2"),
+        ('1/1/2024 1:00 AM 5 <a href="/f">&unknown; &#0; &#xD800; & &amp;lt;</a>', "&unknown; &#0; &#xD800; & &lt;", "/f"),
+    ],
+)
+def test_other_spellings(spark, line, name, url):
+    got = extract_listing(pages(spark, f"<pre>{line}<br></pre>"), BASE).collect()
+    assert [(r.file_name, r.full_url) for r in got] == [(name, BASE + url)]
+
+
+@pytest.mark.parametrize("line", ['1/1/2024 1:00 am 5 <a href="/f">f</a>', "1/1/2024 1:00 5 <a href=/f>f</a>", "x 1/1/2024&nbsp;25:00x AM 7<A HREF=/f>f</A>"])
+def test_a_line_like_an_entry_must_be_one(spark, failing, line):
+    assert "not read as an entry" in failing(extract_listing(pages(spark, f"<pre>{line}</pre>"), BASE))
+
+
+def test_lines_without_a_size_drop_out(spark):
+    page = "<pre>1/1/2024 1:00 AM &lt;dir&gt; <a href=/d/>d</a><br>1/1/2024 1:00 AM <a href=/e/>e</a> 5</pre>"
+    assert extract_listing(pages(spark, page), BASE).isEmpty()
+
+
+def test_a_pattern_of_five_groups(spark):
+    pattern = r'(\d+/\d+/\d+)\s+(\d+:\d+\s[AP]M)\s+(\d+)\s<A HREF="(.*?)">(.*?)</A>'
+    page = '<pre>3/6/2025  8:30 PM 1234 <A HREF="/x">x</A><br>13/45/2025 8:30 AM <A HREF="/d">d</A></pre>'
+    got = extract_listing(pages(spark, page), BASE, pattern, groups=DATED_GROUPS).collect()
+    assert [(r.file_name, r.file_timestamp, r.full_url, r.file_size) for r in got] == [("x", "03/06/2025 08:30 PM", BASE + "/x", 1234)]
+    bad = page.replace("3/6/2025", "2/30/2025")
+    with pytest.raises(Exception, match="no such time"):
+        extract_listing(pages(spark, bad), BASE, pattern, groups=DATED_GROUPS).collect()

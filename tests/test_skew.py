@@ -57,7 +57,7 @@ def test_hot_year_beyond_the_broadcast_limit(spark, tiny_partitions):
         i.cast("double").alias("value"),
     )
     population = spark.range(1900, 2001).select(i.alias("ID Year"), (i * 10).alias("Population"))
-    joined = A.series_with_population(series, population, "S", ordered=False, max_broadcast_rows=0)
+    joined = A.series_with_population(series, population, "S", ordered=False)
     assert (joined.count(), joined.agg(F.sum("value")).first()[0]) == (60_000, float(sum(range(60_000))))
     assert joined.where("Population <> year * 10").isEmpty()
     joined.collect()

@@ -15,7 +15,7 @@ from tidemark.sinks.tables import run_id, write_json_documents, write_json_table
 from tidemark.sinks.tracker_store import TrackerStore
 from tidemark.sources.delimited import read_tracker_csv
 from tidemark.sources.documents import read_documents, records
-from tidemark.sources.files import read_files
+from tidemark.sources.files import file_sizes, missing_files, read_files, read_wanted
 
 
 @pytest.fixture
@@ -29,61 +29,61 @@ def test_runs_over_a_store(spark, store, tmp_path):
     assert rows(store.tracker()) == EXPECTED
     assert rows(store.active()) == [r for r in EXPECTED if r[5] == "Y"]
     # The last run changed nothing: it is on record, but wrote no version.
-    assert store.last_run().asDict() == {"run_ts": "R4", "run": "rR4", "active_run": "rR3"}
-    assert not (tmp_path / "tracker" / "active" / "rR4").exists()
-    assert store.feed("R4").isEmpty()
+    assert store.last_run().asDict() == {"run_ts": "2024-01-04 12:00:00", "run": "r20240104120000", "active_run": "r20240103120000"}
+    assert not (tmp_path / "tracker" / "active" / "r20240104120000").exists()
+    assert store.feed("2024-01-04 12:00:00").isEmpty()
 
 
 def test_a_run_is_applied_once(spark, store):
-    first = rows(store.apply(listing(spark, RUNS["R1"]), "R1"))
-    assert rows(store.apply(listing(spark, RUNS["R2"]), "R1")) == first
+    first = rows(store.apply(listing(spark, RUNS["2024-01-01 12:00:00"]), "2024-01-01 12:00:00"))
+    assert rows(store.apply(listing(spark, RUNS["2024-01-02 12:00:00"]), "2024-01-01 12:00:00")) == first
     assert store.log().count() == 1
 
 
 def test_older_listings_are_refused(spark, store):
-    store.apply(listing(spark, RUNS["R1"]), "R1")
-    store.apply(listing(spark, RUNS["R3"]), "R3")
+    store.apply(listing(spark, RUNS["2024-01-01 12:00:00"]), "2024-01-01 12:00:00")
+    store.apply(listing(spark, RUNS["2024-01-03 12:00:00"]), "2024-01-03 12:00:00")
     with pytest.raises(scd2.StaleListingError):
-        store.apply(listing(spark, RUNS["R2"]), "R2")
-    assert store.apply(listing(spark, RUNS["R1"]), "R1").count() == 4
+        store.apply(listing(spark, RUNS["2024-01-02 12:00:00"]), "2024-01-02 12:00:00")
+    assert store.apply(listing(spark, RUNS["2024-01-01 12:00:00"]), "2024-01-01 12:00:00").count() == 4
 
 
 def test_empty_listings(spark, store):
     nothing = spark.createDataFrame([], LISTING)
-    assert store.apply(nothing, "R0").isEmpty() and store.last_run() is None
-    store.apply(listing(spark, RUNS["R1"]), "R1")
+    assert store.apply(nothing, "2023-12-31 12:00:00").isEmpty() and store.last_run() is None
+    store.apply(listing(spark, RUNS["2024-01-01 12:00:00"]), "2024-01-01 12:00:00")
     before = rows(store.tracker())
     with pytest.raises(scd2.EmptyListingError):
-        store.apply(nothing, "R2")
+        store.apply(nothing, "2024-01-02 12:00:00")
     assert rows(store.tracker()) == before
     # Replacing every file at once is not an empty listing, and the failed run may be repeated.
-    store.apply(listing(spark, {"z": ("t1", "u")}), "R2")
+    store.apply(listing(spark, {"z": ("t1", "u")}), "2024-01-02 12:00:00")
     assert [r.file_name for r in store.active().collect()] == ["z"]
 
 
 def test_what_a_failed_run_left_is_not_read(spark, store):
-    store.apply(listing(spark, RUNS["R1"]), "R1")
+    store.apply(listing(spark, RUNS["2024-01-01 12:00:00"]), "2024-01-01 12:00:00")
 
     def broken(feed, run_ts):
         raise OSError("disk full")
 
     with pytest.raises(OSError):
-        store.apply(listing(spark, RUNS["R2"]), "R2", land=broken)
-    assert rows(store.tracker()) == [(n, "t1", "u", "R1", None, "Y") for n in "abcd"]
-    store.apply(listing(spark, RUNS["R3"]), "R3")
-    expected, _ = naive.apply_listing(rows(scd2.bootstrap(listing(spark, RUNS["R1"]), "R1")), RUNS["R3"], "R3")
+        store.apply(listing(spark, RUNS["2024-01-02 12:00:00"]), "2024-01-02 12:00:00", land=broken)
+    assert rows(store.tracker()) == [(n, "t1", "u", "2024-01-01 12:00:00", None, "Y") for n in "abcd"]
+    store.apply(listing(spark, RUNS["2024-01-03 12:00:00"]), "2024-01-03 12:00:00")
+    expected, _ = naive.apply_listing(rows(scd2.bootstrap(listing(spark, RUNS["2024-01-01 12:00:00"]), "2024-01-01 12:00:00")), RUNS["2024-01-03 12:00:00"], "2024-01-03 12:00:00")
     assert rows(store.tracker()) == sorted(expected, key=repr)
 
 
 def test_failed_fetches_come_again(spark, store):
-    store.apply(listing(spark, RUNS["R1"]), "R1")
+    store.apply(listing(spark, RUNS["2024-01-01 12:00:00"]), "2024-01-01 12:00:00")
     failed = spark.createDataFrame([("b",)], "file_name string")
-    assert statuses(store.apply(listing(spark, RUNS["R2"]), "R2", failed=failed)) == [
+    assert statuses(store.apply(listing(spark, RUNS["2024-01-02 12:00:00"]), "2024-01-02 12:00:00", failed=failed)) == [
         ("c", "changed"),
         ("d", "removed"),
         ("e", "new"),
     ]
-    assert statuses(store.apply(listing(spark, RUNS["R2"]), "R3")) == [("b", "changed")]
+    assert statuses(store.apply(listing(spark, RUNS["2024-01-02 12:00:00"]), "2024-01-03 12:00:00")) == [("b", "changed")]
 
 
 def test_seeding_from_an_existing_tracker(spark, store, tmp_path):
@@ -92,11 +92,11 @@ def test_seeding_from_an_existing_tracker(spark, store, tmp_path):
     write_tracker_csv(spark.createDataFrame(after_r3, TRACKER), path)
     store.seed(read_tracker_csv(spark, path))
     assert rows(store.tracker()) == EXPECTED
-    assert store.apply(listing(spark, RUNS["R4"]), "R4").isEmpty()
-    assert statuses(store.apply(listing(spark, RUNS["R2"]), "R5")) == [("d", "removed")]
+    assert store.apply(listing(spark, RUNS["2024-01-04 12:00:00"]), "2024-01-04 12:00:00").isEmpty()
+    assert statuses(store.apply(listing(spark, RUNS["2024-01-02 12:00:00"]), "2024-01-05 12:00:00")) == [("d", "removed")]
     with pytest.raises(ValueError):
         store.seed(spark.createDataFrame(after_r3, TRACKER))
-    twice = [("a", "t1", "u", "R1", None, "Y"), ("a", "t2", "u", "R1", None, "Y")]
+    twice = [("a", "t1", "u", "2024-01-01 12:00:00", None, "Y"), ("a", "t2", "u", "2024-01-01 12:00:00", None, "Y")]
     with pytest.raises(ValueError):
         TrackerStore(spark, str(tmp_path / "other")).seed(spark.createDataFrame(twice, TRACKER))
 
@@ -106,18 +106,77 @@ def test_pruning_keeps_the_tracker(spark, store):
         store.apply(listing(spark, entries), run)
     store.prune()
     assert rows(store.tracker()) == EXPECTED
-    assert spark.read.parquet(f"{store.path}/active/rR1").isEmpty()
+    assert spark.read.parquet(f"{store.path}/active/r20240101120000").isEmpty()
+
+
+def test_long_json_documents(spark, tmp_path):
+    """More than a variant could hold."""
+    path = str(tmp_path / "json")
+    record = F.concat(F.lit('{"k":"'), F.repeat(F.lit("x"), 1000), F.lit('"},'))
+    long = spark.range(1).select(F.concat(F.lit("["), F.repeat(record, 140_000), F.lit("0]")).alias("payload"))
+    write_json_documents(long, path)
+    assert spark.read.text(path).select(F.length("value").alias("n")).first().n > 140_000_000
+
+
+@pytest.mark.parametrize("run", ["R1", "2024-1-11", "2024-01-01", "2024-01-01T12:00:00", "2024-13-01 12:00:00", "", None])
+def test_other_run_times_are_refused(spark, store, run):
+    with pytest.raises(ValueError, match="not a run time"):
+        store.apply(listing(spark, {"a": ("t1", "u")}), run)
+    assert store.last_run() is None and not spark.sparkContext._jvm.java.io.File(store.path).exists()
+
+
+def test_an_empty_listing_is_one_without_rows(spark, store):
+    """A listing of which nothing could be fetched is not empty."""
+    nothing, failed = spark.createDataFrame([], LISTING), spark.createDataFrame([("z",)], "file_name string")
+    store.apply(listing(spark, {"a": ("t1", "u")}), "2024-01-01 12:00:00")
+    feed = store.apply(listing(spark, {"z": ("t1", "u")}), "2024-01-02 12:00:00", failed=failed)
+    assert statuses(feed) == [("a", "removed")] and store.active().isEmpty()
+    store.apply(listing(spark, {"z": ("t1", "u")}), "2024-01-03 12:00:00")
+    with pytest.raises(scd2.EmptyListingError):
+        store.apply(nothing, "2024-01-04 12:00:00", failed=failed)
+
+
+def test_compaction_around_month_and_year_ends(spark, store, tmp_path, mirror):
+    raw = RawStore(spark, str(tmp_path / "raw"))
+    times = ["2023-12-31 23:59:59", "2024-01-01 00:00:00", "2024-01-10 00:00:00", "2024-01-31 12:00:00", "2024-02-01 00:00:00"]
+    for i, run in enumerate(times):
+        (mirror / "a").write_bytes(run.encode())
+        entries = {"a": (f"t{i}", "u"), "b": ("t1", "u"), "c": (f"t{i // 2}", "u")}
+        (mirror / "c").unlink(missing_ok=True) if i else None
+        store.apply(listing(spark, entries), run, lambda f, r: raw.land_from_directory(str(mirror), f, r))
+        if i % 2:
+            raw.compact(store.active(), run)
+        current = {r.file_name: bytes(r.content) for r in raw.current(store.active()).collect()}
+        assert current == {"a": run.encode(), "b": b"b\x00\xff", "c": b"c\x00\xff"}
+
+
+def test_bytes_are_not_shuffled_and_other_runs_not_read(spark, store, tmp_path, mirror, monkeypatch):
+    raw = RawStore(spark, str(tmp_path / "raw"))
+    for i in (1, 2, 3):
+        entries = {"a": ("t1", "u"), "b": (f"t{i}", "u"), "c": (f"t{i // 2}", "u")}
+        store.apply(listing(spark, entries), f"2024-01-0{i} 12:00:00", lambda f, r: raw.land_from_directory(str(mirror), f, r))
+    for limit in (64 << 20, 100):
+        monkeypatch.setattr("tidemark.sinks.raw_store.KEY_BYTES", limit)
+        current = raw.current(store.active())
+        assert sorted(r.file_name for r in current.collect()) == ["a", "b", "c"]
+        plan = current._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "PartitionFilters: [run" in plan and "Shuffle" not in plan
+        assert not [x for x in plan.splitlines() if "Exchange" in x and "Broadcast" not in x]
 
 
 def test_tracker_csv_round_trip(spark, tmp_path):
     data = [
-        ("007", "03/06/2025 08:30 AM", 'https://e/x?a="1",2', "R1", None, "Y"),
-        ("a,b", "t1", "back\\slash", "R1", "R2", "N"),
+        (" lead", "trail ", "  ", "R1", None, "Y"),
+        ("007", "03/06/2025 08:30 AM", 'https://e/x?a="1",2', "2024-01-01 12:00:00", None, "Y"),
+        ("a,b", "t1", "back\\slash", "2024-01-01 12:00:00", "2024-01-02 12:00:00", "N"),
     ]
     path = str(tmp_path / "csv")
     write_tracker_csv(spark.createDataFrame(data, TRACKER), path)
     got = read_tracker_csv(spark, path)
-    assert got.schema == TRACKER and rows(got) == data
+    assert got.schema == TRACKER and rows(got) == sorted(data, key=repr)
+    for i, name in enumerate(("a\nb", "a\rb")):
+        with pytest.raises(Exception, match="line break"):
+            write_tracker_csv(spark.createDataFrame([(name, *data[0][1:])], TRACKER), str(tmp_path / f"bad{i}"))
 
 
 def test_json_snapshots(spark, tmp_path):
@@ -131,7 +190,10 @@ def test_json_snapshots(spark, tmp_path):
     payloads = spark.createDataFrame([(t,) for t in texts], "payload string")
     write_json_documents(payloads, path)
     assert rows(records(read_documents(spark, path, POPULATION_DOCUMENT, one_per_file=False))) == [(2013, 5)]
-    for bad in ('{"data":', "", None):
+    for good in ('{"a":1,"a":2}', "[1, 2]", '"x"', "5", "null", '{\n "a":\r\n [ ] }\n'):
+        write_json_documents(spark.createDataFrame([(good,)], "payload string"), path)
+        assert [json.loads(r.value) for r in spark.read.text(path).collect()] == [json.loads(good)]
+    for bad in ('{"data":', "", None, '{"a":1} x', '{"a":1}] [', '{"a":1}, {"b":2}', "{'a':1}", '{"a":"\n"}', "[1,]", "01"):
         with pytest.raises(Exception):
             write_json_documents(spark.createDataFrame([(bad,)], "payload string"), str(tmp_path / "bad"))
 
@@ -145,14 +207,29 @@ def mirror(tmp_path):
     return folder
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_reading_wanted_files(spark, mirror, monkeypatch, limit):
-    monkeypatch.setattr("tidemark.sources.files.MAX_NAMED_PATHS", limit)
-    for names in (["a", "c", "absent"], ["odd name [1]"], ["absent"]):
+ODD_NAMES = ["odd name [1]", "a*", "b?{c,d}", "back\\slash", "x,y", "caf\u00e9 %41"]
+
+
+@pytest.mark.parametrize("batch", [1, 2, 1000])
+def test_reading_wanted_files(spark, mirror, monkeypatch, batch):
+    """Exactly the wanted files are opened, whatever their names; the others couldn't be read."""
+    monkeypatch.setattr("tidemark.sources.files.BATCH", batch)
+    for name in ODD_NAMES:
+        (mirror / name).write_bytes(name.encode() + b"\x00\xff")
+    assert read_files(spark, str(mirror)).count() == 4 + len(ODD_NAMES)
+    for name in ("b", "d"):
+        (mirror / name).chmod(0)
+    for names in (["a", "c", "absent", None], ODD_NAMES, ["absent"], []):
         wish = spark.createDataFrame([(n,) for n in names], "file_name string")
-        got = sorted((r.file_name, bytes(r.content)) for r in read_files(spark, str(mirror), wish).collect())
-        assert got == [(n, n.encode() + b"\x00\xff") for n in names if n != "absent"]
-    assert read_files(spark, str(mirror)).count() == 5
+        found = [r for df in read_wanted(spark, str(mirror), wish) for r in df.collect()]
+        got = sorted((r.file_name, bytes(r.content)) for r in found)
+        assert got == sorted((n, n.encode() + b"\x00\xff") for n in names if n not in ("absent", None))
+        missing = [r.file_name for r in missing_files(spark, str(mirror), wish).collect()]
+        assert missing == [n for n in names if n == "absent"]
+
+
+def test_sizes_of_files(spark, mirror):
+    assert {r.file_name: r.n_bytes for r in file_sizes(spark, str(mirror)).collect()}["a"] == 3
 
 
 def test_landing_and_deleting(spark, store, tmp_path, mirror):
@@ -164,40 +241,40 @@ def test_landing_and_deleting(spark, store, tmp_path, mirror):
     def current():
         return {r.file_name: bytes(r.content) for r in raw.current(store.active()).collect()}
 
-    store.apply(listing(spark, RUNS["R1"]), "R1", land)
+    store.apply(listing(spark, RUNS["2024-01-01 12:00:00"]), "2024-01-01 12:00:00", land)
     assert current() == {n: n.encode() + b"\x00\xff" for n in "abcd"}
     # b changes, c's fetch gives nothing, d leaves, e is listed but absent.
     (mirror / "b").write_bytes(b"second")
     (mirror / "c").unlink()
-    store.apply(listing(spark, RUNS["R2"]), "R2", land)
+    store.apply(listing(spark, RUNS["2024-01-02 12:00:00"]), "2024-01-02 12:00:00", land)
     assert current() == {"a": b"a\x00\xff", "b": b"second", "c": b"c\x00\xff"}
-    raw.land_from_directory(str(mirror), store.feed("R2"), "R2")
+    raw.land_from_directory(str(mirror), store.feed("2024-01-02 12:00:00"), "2024-01-02 12:00:00")
     assert current() == {"a": b"a\x00\xff", "b": b"second", "c": b"c\x00\xff"}
     (mirror / "d").write_bytes(b"back")
-    store.apply(listing(spark, RUNS["R3"]), "R3", land)
+    store.apply(listing(spark, RUNS["2024-01-03 12:00:00"]), "2024-01-03 12:00:00", land)
     expected = {"a": b"a\x00\xff", "b": b"second", "c": b"c\x00\xff", "d": b"back"}
     assert current() == expected
     assert raw.landed().count() > 4
-    raw.compact(store.active(), "R3")
+    raw.compact(store.active(), "2024-01-03 12:00:00")
     assert current() == expected
     assert raw.landed().count() == 4
     assert spark.read.parquet(f"{raw.path}/copies").count() == 4
-    store.apply(listing(spark, {"a": ("t9", "u"), "d": ("t1", "u")}), "R5", land)
+    store.apply(listing(spark, {"a": ("t9", "u"), "d": ("t1", "u")}), "2024-01-05 12:00:00", land)
     assert current() == {"a": b"a\x00\xff", "d": b"back"}
 
 
 def test_absent_files_can_be_left_for_the_next_run(spark, store, tmp_path, mirror):
     raw = RawStore(spark, str(tmp_path / "raw"))
     first = listing(spark, {"a": ("t1", "u"), "z": ("t1", "u")})
-    assert statuses(apply_and_land(store, first, "R1", raw, str(mirror), retry_missing=True)) == [("a", "new")]
+    assert statuses(apply_and_land(store, first, "2024-01-01 12:00:00", raw, str(mirror), retry_missing=True)) == [("a", "new")]
     (mirror / "z").write_bytes(b"late")
-    assert statuses(apply_and_land(store, first, "R2", raw, str(mirror), retry_missing=True)) == [("z", "new")]
+    assert statuses(apply_and_land(store, first, "2024-01-02 12:00:00", raw, str(mirror), retry_missing=True)) == [("z", "new")]
     assert sorted(r.file_name for r in raw.current(store.active()).collect()) == ["a", "z"]
 
 
 def test_sync_of_a_file_table(spark):
-    state = scd2.bootstrap(listing(spark, RUNS["R1"]), "R1")
-    feed = scd2.changes(state, listing(spark, RUNS["R2"]), "R2")
+    state = scd2.bootstrap(listing(spark, RUNS["2024-01-01 12:00:00"]), "2024-01-01 12:00:00")
+    feed = scd2.changes(state, listing(spark, RUNS["2024-01-02 12:00:00"]), "2024-01-02 12:00:00")
     assert rows(wanted(feed)) == [("u", "b"), ("u", "e"), ("v", "c")]
     source = spark.createDataFrame([(n, bytearray(f"{n}2", "ascii")) for n in "abe"], "file_name string, content binary")
     held = spark.createDataFrame([(n, bytearray(f"{n}1", "ascii")) for n in "abc"], "file_name string, content binary")
@@ -223,4 +300,4 @@ def test_scheduled_run(spark, store, tmp_path, mirror):
     with pytest.raises(scd2.EmptyListingError):
         ingest(store, pages.withColumn("html", F.lit("")), BASE, payloads, str(target), "2025-03-07 09:00:00")
     assert not (target / f"population-{run_id('2025-03-07 09:00:00')}").exists()
-    assert ingest_population(payloads, str(target), "R9").endswith("population-rR9")
+    assert ingest_population(payloads, str(target), "2024-01-09 12:00:00").endswith("population-r20240109120000")

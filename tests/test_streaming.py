@@ -22,10 +22,13 @@ RUNS = {
 FIRST, SECOND, THIRD = RUNS
 
 
-def land(folder, run_ts, entries):
+def page(run_ts, entries, number=1, pages=1):
     lines = "<br>\n".join(f'{t} 5 <A HREF="{u}">{n}</A>' for n, (t, u) in entries.items())
-    page = {"run_ts": run_ts, "url": BASE, "html": f"<pre>{lines}</pre>"}
-    (folder / f"listing-{run_ts[:10]}.json").write_text(json.dumps(page))
+    return json.dumps({"run_ts": run_ts, "page": number, "pages": pages, "url": BASE, "html": f"<pre>{lines}</pre>"})
+
+
+def land(folder, run_ts, entries):
+    (folder / f"listing-{run_ts[:10]}.json").write_text(page(run_ts, entries))
 
 
 def expected(*runs):
@@ -75,16 +78,74 @@ def test_files_delivered_again_change_nothing(job):
     assert store.log().count() == 3
 
 
-def test_a_late_listing_stops_the_stream(job):
+FOURTH = "2024-01-04 12:00:00"
+
+
+def test_a_late_listing_is_refused_and_the_stream_goes_on(job):
     landing, store, run = job
     land(landing, FIRST, RUNS[FIRST])
     land(landing, THIRD, RUNS[THIRD])
     run()
     before = rows(store.tracker())
     land(landing, SECOND, RUNS[SECOND])
-    with pytest.raises(Exception, match="older than the last run"):
+    assert run() == before
+    assert [(r.run_ts, "older than the last run" in r.reason) for r in store.refused().collect()] == [(SECOND, True)]
+    land(landing, FOURTH, RUNS[SECOND])
+    assert run() == naive.replay({r: {n: (t, BASE + u) for n, (t, u) in e.items()} for r, e in ((FIRST, RUNS[FIRST]), (THIRD, RUNS[THIRD]), (FOURTH, RUNS[SECOND]))})
+
+
+def test_a_refused_listing_can_stop_the_stream(job):
+    landing, store, run = job
+    land(landing, FIRST, RUNS[FIRST])
+    run()
+    land(landing, SECOND, {})
+    with pytest.raises(Exception, match="the listing is empty"):
+        run(fail_on_refusal=True)
+    assert run() == expected(FIRST)
+
+
+@pytest.mark.parametrize("order", [(1, 2, 3), (3, 1, 2), (2, 3, 1)])
+def test_a_listing_in_three_files_over_three_starts(job, order):
+    """It is applied when it is whole, and a page that lands again changes nothing."""
+    landing, store, run = job
+    land(landing, FIRST, RUNS[FIRST])
+    run()
+    entries = RUNS[SECOND] | {"d": ("01/02/2024 08:30 AM", "/x/d")}
+    parts = [dict([e]) for e in entries.items()]
+    for i, number in enumerate(order):
+        assert run() == expected(FIRST)
+        (landing / f"part-{i}.json").write_text(page(SECOND, parts[number - 1], number, 3))
+        (landing / f"again-{i}.json").write_text(page(SECOND, parts[order[0] - 1], order[0], 3))
+    runs = {FIRST: RUNS[FIRST], SECOND: entries}
+    whole = naive.replay({r: {n: (t, BASE + u) for n, (t, u) in e.items()} for r, e in runs.items()})
+    assert run() == run() == whole and store.refused().isEmpty()
+
+
+def test_bad_listings_between_good_ones(job):
+    """An empty one, one that names a file twice, one whose pages disagree, and one that grows after it was applied."""
+    landing, store, run = job
+    land(landing, FIRST, RUNS[FIRST])
+    (landing / "none.json").write_text(page("2024-01-01 18:00:00", {}))
+    twice = page("2024-01-01 19:00:00", RUNS[FIRST]).replace("</pre>", "<br>1/1/2024 08:30 AM 5 <a href=/x/a>a</a></pre>")
+    (landing / "twice.json").write_text(twice)
+    (landing / "p1.json").write_text(page("2024-01-01 20:00:00", RUNS[FIRST], 1, 2))
+    (landing / "p2.json").write_text(page("2024-01-01 20:00:00", RUNS[SECOND], 2, 3))
+    land(landing, SECOND, RUNS[SECOND])
+    assert run() == expected(FIRST, SECOND)
+    (landing / "more.json").write_text(page(SECOND, {"z": ("01/02/2024 08:30 AM", "/z")}, 2, 2))
+    land(landing, THIRD, RUNS[THIRD])
+    assert run() == expected(*RUNS)
+    reasons = {r.run_ts: r.reason for r in store.refused().collect()}
+    assert sorted(reasons) == ["2024-01-01 18:00:00", "2024-01-01 19:00:00", "2024-01-01 20:00:00", SECOND]
+    assert "empty" in reasons["2024-01-01 18:00:00"] and "more than once" in reasons["2024-01-01 19:00:00"]
+    assert "disagree" in reasons["2024-01-01 20:00:00"] and "more pages" in reasons[SECOND]
+
+
+def test_pages_must_say_what_they_are_part_of(job):
+    landing, _, run = job
+    (landing / "x.json").write_text(json.dumps({"run_ts": FIRST, "url": BASE, "html": "<pre></pre>"}))
+    with pytest.raises(Exception, match="does not say 'page"):
         run()
-    assert rows(store.tracker()) == before
 
 
 def test_files_are_landed(spark, job, tmp_path):
@@ -130,5 +191,5 @@ def test_a_new_snapshot_triggers_the_analysis(spark, tmp_path):
     assert run() == [2013, 2014]
     # So does a snapshot written by the ingest job.
     payloads = spark.createDataFrame([(json.dumps(document(2014)),)], "payload string")
-    ingest_population(payloads, str(inbox), "4")
+    ingest_population(payloads, str(inbox), "4000-01-01 00:00:00")
     assert run() == [2014]

@@ -9,9 +9,9 @@ from tidemark.schemas import NA_TOKENS
 
 # The characters a Unicode-aware strip removes.
 WHITE_SPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
 
@@ -43,8 +43,8 @@ def to_int(c: Column, label: str) -> Column:
 
 def to_double(c: Column, label: str) -> Column:
     """Double; bad text fails, a missing cell or a written NaN is NULL."""
-    # The JVM also reads Java literals such as `1.5d`; they are bad text here.
-    java_literal = F.right(c, F.lit(1)).isin("d", "D", "f", "F") & ~F.lower(c).rlike("^[+-]?inf$")
+    # The JVM also reads Java literals such as `1.5d` or `0x1p3`; they are bad text here.
+    java_literal = F.lower(c).rlike("x|[df]$") & ~F.lower(c).rlike("^[+-]?inf$")
     number = F.when(~java_literal, c.try_cast("double"))
     return F.when(c.isNotNull(), F.nullif(or_fail(number, _unreadable(c, label)), F.lit(float("nan"))))
 
@@ -56,7 +56,7 @@ def round_half_even(c: Column, places: int = 3) -> Column:
 
 
 def exact_decimal(c: Column, label: str, places: int = 3) -> Column:
-    """A value of at most `places` decimals as a decimal, so that sums do not depend on order."""
-    return F.when(
-        c.isNotNull(), or_fail(c.try_cast(f"decimal(28,{places})"), _unreadable(c.cast("string"), label))
-    )
+    """A value as a decimal of `places` decimals, so that sums do not depend on order; one with more decimals fails."""
+    exact = c.try_cast(f"decimal({25 + places},{places})")
+    kept = F.when(exact.cast("double") == c.cast("double"), exact)
+    return F.when(c.isNotNull(), or_fail(kept, _unreadable(c.cast("string"), label)))

@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import exact_decimal
 
 
-def sum_by(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+def sum_by(df: DataFrame, keys: list[str], value: str, places: int = 3) -> DataFrame:
     """Exact sum of `value` per key as column `total`.
 
     Missing values are skipped, a group of only missing values sums to 0, and rows with a
-    missing key are dropped. Decimal addition is exact, so the order of rows cannot decide a tie.
+    missing key are dropped. Decimal addition is exact, so the order of rows cannot decide a tie; a value with more than
+    `places` decimals fails, and so does a sum of more than 25 digits before them.
     """
     for k in keys:
         df = df.where(F.col(k).isNotNull())
-    total = F.coalesce(F.sum(exact_decimal(F.col(value), value)), F.lit(0))
+    total = F.coalesce(F.sum(exact_decimal(F.col(value), value, places)), F.lit(0))
     return df.groupBy(*keys).agg(total.alias("total"))
 
 

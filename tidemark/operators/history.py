@@ -5,21 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import MAX_BROADCAST_ROWS, settle
-from tidemark.operators.scd2 import ACTIVE, CLOSED
+from tidemark.functions.text import or_fail
+from tidemark.operators.joins import settle
+from tidemark.operators.scd2 import ACTIVE, CLOSED, EmptyListingError
 from tidemark.schemas import TRACKER_COLUMNS
+from tidemark.sinks.tables import checked_run_time
 
-# Runs per window: a file with more listed runs is handled in pieces of this length.
+# Runs per window. A file's listed runs are cut into chunks of this length.
 CHUNK_RUNS = 4096
 
 
 def run_calendar(runs: DataFrame) -> DataFrame:
-    """Runs numbered from 0 without gaps: `(ord, run_ts)`.
+    """Runs numbered from 0 without gaps: `(ord, run_ts)`. Another form than a run time fails.
 
-    Numbered per month (the first seven characters of the run time) and shifted by the size of the
-    earlier months, so the only window over everything has one row per month.
+    Numbered per month and shifted by the size of the earlier months, so the only window over everything has
+    one row per month.
     """
-    listed = settle(runs.select("run_ts").where(F.col("run_ts").isNotNull()).distinct(), "runs")
+    listed = settle(runs.select(checked_run_time(F.col("run_ts")).alias("run_ts")).distinct(), "runs")
     listed = listed.withColumn("month", F.substring("run_ts", 1, 7))
     earlier = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
     shift = (
@@ -39,25 +41,30 @@ def replay(
     history: DataFrame,
     runs: DataFrame | None = None,
     chunk_runs: int = CHUNK_RUNS,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    allow_empty: bool = False,
 ) -> DataFrame:
     """The tracker that applying every listing of `history` in turn would give.
 
     `history` has the listing columns and `run_ts`; `runs` names the runs that took place and
     defaults to those seen in `history`. A version lasts while consecutive runs list the file with the
-    same time and url. No window holds more than `chunk_runs` runs of a file: longer
-    stretches are cut, solved in pieces, and the few pieces that touch a cut are joined up.
+    same time and url. No window holds more than `chunk_runs` runs of a file: the rows are cut
+    there, solved in pieces, and the few pieces that touch a cut are joined up.
+
+    A row of a run that is not among `runs`, and a row without a file name, fail the job. So does a run without rows after one with
+    rows, as applying it would, unless `allow_empty` says that such a run closes every file. Runs jobs: the calendar of
+    runs is written first.
     """
     calendar = settle(run_calendar(history if runs is None else runs), "calendar")
-    n_runs = calendar.count()
-
-    def small(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if n_runs <= max_broadcast_rows else df
-
-    rows = history.join(small(calendar), "run_ts").select("file_name", "file_timestamp", "full_url", "ord")
-    spells = _spells(rows, chunk_runs if n_runs > chunk_runs else None)
-    started = small(calendar.select(F.col("ord").alias("start_ord"), F.col("run_ts").alias("start_timestamp")))
-    ended = small(calendar.select((F.col("ord") - 1).alias("end_ord"), F.col("run_ts").alias("end_timestamp")))
+    if runs is not None and not allow_empty:
+        _refuse_empty_runs(history, calendar)
+    named = F.when(F.col("file_name").isNull(), F.raise_error(F.lit("a file has no name"))).otherwise(F.col("file_name"))
+    unknown = F.concat(F.lit("a file is listed in a run that is not known: "), F.coalesce("run_ts", F.lit("(missing)")))
+    rows = history.join(calendar, "run_ts", "left").select(
+        named.alias("file_name"), "file_timestamp", "full_url", or_fail(F.col("ord"), unknown).alias("ord")
+    )
+    spells = _spells(rows, chunk_runs)
+    started = calendar.select(F.col("ord").alias("start_ord"), F.col("run_ts").alias("start_timestamp"))
+    ended = calendar.select((F.col("ord") - 1).alias("end_ord"), F.col("run_ts").alias("end_timestamp"))
     return (
         spells.join(started, "start_ord")
         .join(ended, "end_ord", "left")
@@ -66,26 +73,30 @@ def replay(
     )
 
 
-def _spells(rows: DataFrame, chunk_runs: int | None) -> DataFrame:
+def _refuse_empty_runs(history: DataFrame, calendar: DataFrame) -> None:
+    listed = history.select("run_ts").distinct().withColumn("_listed", F.lit(True))
+    seen = calendar.join(listed, "run_ts", "left")
+    first = seen.where("_listed").agg(F.min("ord")).scalar()
+    empty = seen.where(F.col("_listed").isNull() & (F.col("ord") > first)).orderBy("ord").first()
+    if empty is not None:
+        raise EmptyListingError(f"the listing of {empty.run_ts} is empty but files were listed before")
+
+
+def _spells(rows: DataFrame, chunk_runs: int) -> DataFrame:
     """Maximal stretches of consecutive runs with one version: `start_ord` to `end_ord`."""
-    if chunk_runs is None:
-        cut_before = cut_after = F.lit(False)
-        rows = rows.withColumns({"chunk": F.lit(0), "own": F.lit(True)})
-    else:
-        # A row next to a cut is also shown to the neighbouring chunk, as context only.
-        chunk = F.floor(F.col("ord") / chunk_runs)
-        cut_before = F.col("ord") == F.col("chunk") * chunk_runs
-        cut_after = F.col("ord") == (F.col("chunk") + 1) * chunk_runs - 1
-        seen_in = F.array(
-            chunk,
-            F.when(F.col("ord") == chunk * chunk_runs, chunk - 1),
-            F.when(F.col("ord") == (chunk + 1) * chunk_runs - 1, chunk + 1),
-        )
-        rows = rows.withColumn("chunk", F.explode(F.array_compact(seen_in)))
-        rows = rows.withColumn("own", F.col("chunk") == chunk)
+    # A row next to a cut is also shown to the neighbouring chunk, as context only.
+    chunk = F.floor(F.col("ord") / chunk_runs)
+    cut_before = F.col("ord") == F.col("chunk") * chunk_runs
+    cut_after = F.col("ord") == (F.col("chunk") + 1) * chunk_runs - 1
+    seen_in = F.array(
+        chunk,
+        F.when(F.col("ord") == chunk * chunk_runs, chunk - 1),
+        F.when(F.col("ord") == (chunk + 1) * chunk_runs - 1, chunk + 1),
+    )
+    rows = rows.withColumn("chunk", F.explode(F.array_compact(seen_in)))
+    rows = rows.withColumn("own", F.col("chunk") == chunk)
 
-    by_file = ["file_name"] if chunk_runs is None else ["file_name", "chunk"]
-    in_order = Window.partitionBy(*by_file).orderBy("ord")
+    in_order = Window.partitionBy("file_name", "chunk").orderBy("ord")
     twice = F.coalesce(F.lag("ord").over(in_order) == F.col("ord"), F.lit(False))
     message = F.concat(F.lit("file listed more than once in a run: "), F.col("file_name"))
     marked = rows.withColumns(
@@ -110,9 +121,6 @@ def _spells(rows: DataFrame, chunk_runs: int | None) -> DataFrame:
         .withColumnRenamed("ord", "start_ord")
     )
     columns = ["file_name", "file_timestamp", "full_url", "start_ord", "end_ord"]
-    if chunk_runs is None:
-        return pieces.select(columns)
-
     at_cut = F.col("goes_back") | F.col("goes_on")
     by_start = (
         Window.partitionBy("file_name")

@@ -1,30 +1,19 @@
-"""Small sides of joins: evaluated once, measured, then broadcast."""
+"""Tables written once, so that their size is known to the joins that read them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
 
-# For rows of a few numbers or short texts: at most some tens of megabytes.
-MAX_BROADCAST_ROWS = 1_000_000
-
 
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
-    What reads it no longer depends on how it was made: it is computed once, its size is known, and
-    a lost executor costs nothing.
+    What reads it no longer depends on how it was made: it is computed once and a lost executor costs nothing. Its bytes are
+    known, so a join broadcasts it below `spark.sql.autoBroadcastJoinThreshold` and shuffles it otherwise.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def broadcast_if_small(settled: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark a settled table for broadcast when its row count, read from the file footers, is small.
-
-    Unmarked, the join shuffles on its keys and adaptive execution splits skewed partitions.
-    """
-    return F.broadcast(settled) if settled.count() <= max_rows else settled

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.schemas import CHANGES, TRACKER, TRACKER_COLUMNS, empty_table
@@ -49,19 +49,14 @@ def require_listing(listing: DataFrame, tracker: DataFrame) -> None:
 def classify(tracker: DataFrame, listing: DataFrame, run_ts: str, one_active: bool = False) -> DataFrame:
     """Every listed or active file with its status: new, changed, unchanged or removed.
 
-    Both sides are reduced to one row per name, which also finds duplicates; the full outer
-    join then reuses that partitioning and order, so each side is shuffled once. `one_active` says
-    that the tracker is known to have one active version per file, and saves reducing it.
+    Each side is shuffled once by name. Duplicates are found on the order that the join needs anyway, so
+    no side is sorted before its shuffle. `one_active` says that the tracker is known to have one active version per file.
     """
-    listed = listing.groupBy("file_name").agg(
-        F.min(F.struct("file_timestamp", "full_url")).alias("new"), F.count(F.lit(1)).alias("n_listed")
-    )
-    held = active_versions(tracker).withColumn("n_active", F.lit(1)) if one_active else first_active(tracker)
-    held = held.select(
-        "file_name",
-        F.struct("file_timestamp", "full_url", "start_timestamp").alias("old"),
-        "n_active",
+    listed = _numbered(listing.select("file_name", F.struct("file_timestamp", "full_url").alias("new")), "n_listed")
+    held = active_versions(tracker).select(
+        "file_name", F.struct("file_timestamp", "full_url", "start_timestamp").alias("old")
     )
+    held = held.withColumn("n_active", F.lit(1)) if one_active else _numbered(held, "n_active")
     same = (F.col("old.file_timestamp") == F.col("new.file_timestamp")) & (
         F.col("old.full_url") == F.col("new.full_url")
     )
@@ -91,6 +86,11 @@ def classify(tracker: DataFrame, listing: DataFrame, run_ts: str, one_active: bo
     )
 
 
+def _numbered(rows: DataFrame, number: str) -> DataFrame:
+    """Rows with their place among the rows of their name, from 1."""
+    return rows.withColumn(number, F.row_number().over(Window.partitionBy("file_name").orderBy("file_name")))
+
+
 def _about(text: str) -> Column:
     return F.concat(F.lit(text), F.col("file_name"))
 

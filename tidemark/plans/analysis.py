@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.text import na_to_null, round_half_even, strip, to_double, to_int
+from tidemark.functions.text import na_to_null, or_fail, round_half_even, strip, to_double, to_int
 from tidemark.operators.aggregates import arg_max, mean_and_deviation, sum_by
-from tidemark.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small, settle
+from tidemark.operators.joins import settle
 from tidemark.sources.delimited import read_text_table, text_table_of_files
 from tidemark.sources.documents import read_documents, records
 
@@ -51,7 +51,10 @@ def prepare_population(
     schema: T.StructType | None = None,
     one_per_file: bool = True,
 ) -> DataFrame:
-    return records(read_documents(spark, path, schema, one_per_file), "data")
+    documents = read_documents(spark, path, schema, one_per_file)
+    if "source" not in documents.columns:
+        raise ValueError("a document has no 'source'")
+    return records(documents.where(or_fail(F.nullif(F.col("source").isNotNull(), F.lit(False)), "a document has no 'source'")), "data")
 
 
 def population_metrics(
@@ -77,16 +80,15 @@ def series_with_population(
     series_id: str = SERIES_ID,
     period: str = PERIOD,
     ordered: bool = True,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """One series and period with the population of its years; years without one drop out.
 
-    Population is cut to two numbers and counted before it is broadcast. One with more rows is
-    joined by a shuffle on the year, where adaptive execution splits a hot year.
+    Population is cut to two numbers and written once (which runs a job), so that the join knows its bytes: a small one
+    is broadcast, a large one shuffled on the year, where adaptive execution splits a hot year.
     """
     chosen = series.where((F.col("series_id") == series_id) & (F.col("period") == period))
     known = population.select("ID Year", "Population").where(F.col("Population").isNotNull())
-    known = broadcast_if_small(settle(known, "population"), max_broadcast_rows)
+    known = settle(known, "population")
     joined = (
         chosen.join(known, F.col("year") == F.col("ID Year"), "left")
         .where(F.col("Population").isNotNull())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 
@@ -15,8 +15,8 @@ from tidemark.sources.pages import extract_listing
 
 
 def run_time() -> str:
-    """The clock as a run time. Read it once per run, at the edge."""
-    return datetime.now().strftime("%Y-%m-%d %H:%M:%S")
+    """The clock, in UTC, as a run time. Read it once per run, at the edge."""
+    return datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S")
 
 
 def ingest_listing(

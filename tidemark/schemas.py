@@ -23,8 +23,15 @@ TRACKER_COLUMNS = [*LISTING_COLUMNS, "start_timestamp", "end_timestamp", "is_act
 LISTING = _strings(*LISTING_COLUMNS)
 TRACKER = _strings(*TRACKER_COLUMNS)
 
-# One landed directory-listing page.
-PAGE = _strings("run_ts", "url", "html")
+# One landed directory-listing page: which of how many pages of its listing it is, from 1.
+PAGE = T.StructType(
+    [
+        T.StructField("run_ts", T.StringType()),
+        T.StructField("page", T.LongType()),
+        T.StructField("pages", T.LongType()),
+        *_strings("url", "html").fields,
+    ]
+)
 
 # One row per file whose state changed in a run; `old_*` is the version that was closed.
 CHANGES = _strings(

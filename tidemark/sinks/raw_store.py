@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.joins import settle
 from tidemark.operators.scd2 import sync_plan
 from tidemark.sinks.tables import empty_folder, read_if_exists, run_id
-from tidemark.sources.files import read_files
+from tidemark.sources.files import read_wanted
 
 COPIES = T.StructType(
     [
@@ -23,6 +24,8 @@ COPIES = T.StructType(
     ]
 )
 COPIES_BY_RUN = T.StructType([*COPIES.fields, T.StructField("run", T.StringType())])
+# Bytes of names that are broadcast at once.
+KEY_BYTES = 64 << 20
 BASE = T.StructType([T.StructField("base", T.StringType())])
 
 
@@ -57,35 +60,75 @@ class RawStore:
     def _landed(self) -> DataFrame:
         """Copies since the last compaction, which holds the older ones."""
         copies = read_if_exists(self.spark, f"{self.path}/copies", COPIES_BY_RUN)
-        base = read_if_exists(self.spark, f"{self.path}/bases", BASE).agg(F.max("base").alias("base")).first().base
+        base = self._base()
         return copies if base is None else copies.where(F.col("run") >= base)
 
+    def _base(self) -> str | None:
+        """The folder of the last compaction."""
+        return read_if_exists(self.spark, f"{self.path}/bases", BASE).agg(F.max("base").alias("base")).first().base
+
     def land(self, files: DataFrame, feed: DataFrame, run_ts: str) -> None:
         """Store fetched `(file_name, content)` rows under a run; running again replaces them.
 
         A changed file whose fetch gave nothing keeps its previous copy, carried into this run.
         """
-        fetched = files.select("file_name", "content")
-        lost = feed.where(F.col("status") == "changed").join(fetched.select("file_name"), "file_name", "left_anti")
-        previous = lost.select("file_name", F.col("old_start_timestamp").alias("run_ts"))
-        # The folder about to be replaced must not be read.
-        before = self._landed().where(F.col("run") != run_id(run_ts))
-        carried = before.join(previous, ["file_name", "run_ts"], "left_semi").select("file_name", "content")
-        rows = fetched.unionByName(carried).withColumn("run_ts", F.lit(run_ts))
-        rows.write.mode("overwrite").parquet(self._folder(run_id(run_ts)))
+        self._write(files, run_ts, "overwrite")
+        self._carry(feed, run_ts)
 
     def land_from_directory(self, directory: str, feed: DataFrame, run_ts: str) -> None:
-        """Store the files a change feed asks for, out of a directory that mirrors the source."""
-        self.land(read_files(self.spark, directory, wanted(feed)), feed, run_ts)
+        """Store the files a change feed asks for, out of a directory that mirrors the source.
+
+        Only the wanted files are opened, some at a time; the directory is not listed.
+        """
+        empty_folder(self.spark, self._folder(run_id(run_ts)), COPIES)
+        for some in read_wanted(self.spark, directory, wanted(feed)):
+            self._write(some, run_ts, "append")
+        self._carry(feed, run_ts)
+
+    def _write(self, files: DataFrame, run_ts: str, mode: str) -> None:
+        rows = files.select("file_name", "content", F.lit(run_ts).alias("run_ts"))
+        rows.write.mode(mode).parquet(self._folder(run_id(run_ts)))
+
+    def _carry(self, feed: DataFrame, run_ts: str) -> None:
+        """Copy what the run lost out of the folders of the runs that landed it; no other folder is read."""
+        run = run_id(run_ts)
+        fetched = read_if_exists(self.spark, self._folder(run), COPIES).select("file_name")
+        lost = feed.where(F.col("status") == "changed").join(fetched, "file_name", "left_anti")
+        previous = settle(lost.select("file_name", F.col("old_start_timestamp").alias("run_ts")), "lost")
+        if not previous.isEmpty():
+            before = self._of_runs(previous).where(F.col("run") != run)
+            carried = before.join(previous, ["file_name", "run_ts"], "left_semi").select("file_name", "content")
+            self._write(carried, run_ts, "append")
 
     def landed(self) -> DataFrame:
         """Every copy held: `(file_name, content, run_ts)`."""
         return self._landed().drop("run")
 
     def current(self, active: DataFrame) -> DataFrame:
-        """The copies that belong to active versions."""
-        versions = active.select("file_name", F.col("start_timestamp").alias("run_ts"))
-        return self.landed().join(versions, ["file_name", "run_ts"], "left_semi")
+        """The copies that belong to active versions.
+
+        Folders of runs without an active version are not read. The names are dealt into parts of at most about `KEY_BYTES`, each of which is
+        broadcast, so the bytes of files are never shuffled; the folders are scanned once for each part. Runs jobs.
+        """
+        versions = settle(active.select("file_name", F.col("start_timestamp").alias("run_ts")), "versions")
+        size = versions.agg(F.sum(F.octet_length("file_name") + 64).alias("n")).first().n
+        if size is None:
+            return self.landed().where(F.lit(False))
+        held, parts, found = self._of_runs(versions), -(-size // KEY_BYTES), None
+        for part in range(parts):
+            own = versions.where(F.pmod(F.xxhash64("file_name"), F.lit(parts)) == part) if parts > 1 else versions
+            copies = held.join(F.broadcast(own), ["file_name", "run_ts"], "left_semi").drop("run")
+            found = copies if found is None else found.unionByName(copies)
+        return found
+
+    def _of_runs(self, versions: DataFrame) -> DataFrame:
+        """The copies in the folders of the runs that `versions` names, as partitions to prune by."""
+        # One row per run.
+        runs = [run_id(r.run_ts) for r in versions.select("run_ts").distinct().collect()]
+        base = self._base()
+        # After a compaction the copies of earlier runs lie in its folder.
+        folders = {r if base is None or r >= base else base for r in runs}
+        return self._landed().where(F.col("run").isin(sorted(folders)))
 
     def compact(self, active: DataFrame, run_ts: str) -> None:
         """Drop the bytes of replaced and deleted copies, after the run `run_ts` has finished.

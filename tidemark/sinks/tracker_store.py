@@ -5,6 +5,7 @@ Layout under one folder, all parquet:
 - `changes/run=<id>`: the change feed of a run. Closed versions are a projection of it, so
   history is only ever appended.
 - `active/<id>`: the active versions after a run that changed something.
+- `refused`: one row per listing that was not applied, with the reason.
 - `log`: one row per finished run. A run counts once its row is there; what a failed run
   left behind is not read, and running it again overwrites it.
 """
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.joins import settle
 from tidemark.operators.scd2 import (
     CLOSED,
     EmptyListingError,
@@ -30,12 +32,17 @@ from tidemark.operators.scd2 import (
     without_failed,
 )
 from tidemark.schemas import CHANGES, TRACKER
-from tidemark.sinks.tables import empty_folder, read_if_exists, run_id
+from tidemark.sinks.tables import checked_run_time, empty_folder, read_if_exists, run_id
 
+REFUSED = T.StructType([T.StructField(n, T.StringType()) for n in ("run_ts", "reason")])
 LOG = T.StructType([T.StructField(n, T.StringType()) for n in ("run_ts", "run", "active_run")])
 CHANGES_BY_RUN = T.StructType([*CHANGES.fields, T.StructField("run", T.StringType())])
 
 
+def _count_statuses(feed: DataFrame) -> dict[str, int]:
+    return {row["status"]: row["count"] for row in feed.groupBy("status").count().collect()}
+
+
 class TrackerStore:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -44,6 +51,15 @@ class TrackerStore:
     def log(self) -> DataFrame:
         return read_if_exists(self.spark, f"{self.path}/log", LOG)
 
+    def refused(self) -> DataFrame:
+        """Listings that were not applied: run time and reason."""
+        return read_if_exists(self.spark, f"{self.path}/refused", REFUSED).distinct()
+
+    def refuse(self, run_ts: str, reason: str) -> None:
+        """Put on record that a listing was not applied."""
+        row = self.spark.range(0, 1, 1, 1).select(F.lit(run_ts).alias("run_ts"), F.lit(reason).alias("reason"))
+        row.write.mode("append").parquet(f"{self.path}/refused")
+
     def last_run(self) -> Row | None:
         return self.log().orderBy(F.desc("run_ts")).first()
 
@@ -83,8 +99,10 @@ class TrackerStore:
 
         The feed is written first and read back for everything else, so the listing is
         evaluated once. `land` stores the files of the feed before the run counts as finished. A run
-        that is already finished is not applied again; without changes no new active version is written.
+        that is already finished is not applied again; without changes no new active version is written. Another
+        form than a run time is refused before anything is read.
         """
+        run = run_id(run_ts)
         before = self.log().agg(
             F.max(F.struct("run_ts", "active_run")).alias("last"),
             F.count_if(F.col("run_ts") == run_ts).alias("finished"),
@@ -98,16 +116,20 @@ class TrackerStore:
         active = empty_tracker(self.spark) if last is None else self._active(last.active_run)
         found = changes(active, listing, run_ts, one_active=True)
         if failed is not None:
-            found = without_failed(found, failed)
-        found.write.mode("overwrite").parquet(self._feed_path(run_ts))
-        feed = self.feed(run_ts)
-
-        per_status = {row["status"]: row["count"] for row in feed.groupBy("status").count().collect()}
+            found = settle(found, "found")
+        else:
+            found.write.mode("overwrite").parquet(self._feed_path(run_ts))
+            found = self.feed(run_ts)
+        per_status = _count_statuses(found)
         removed = per_status.get("removed", 0)
         # Every listed file is new, changed or still active: when all that happened is that every
-        # active file left, the listing had no row.
+        # active file left, the listing had no row. Files that couldn't be fetched were listed all the same.
         if removed and len(per_status) == 1 and removed == active.count():
             raise EmptyListingError("the listing is empty but the tracker has active files")
+        if failed is not None:
+            without_failed(found, failed).write.mode("overwrite").parquet(self._feed_path(run_ts))
+            per_status = _count_statuses(self.feed(run_ts))
+        feed = self.feed(run_ts)
         if not per_status:
             if last is not None:
                 self._finish(run_ts, last.active_run)
@@ -117,7 +139,7 @@ class TrackerStore:
             land(feed, run_ts)
         stayed = active.join(feed.select("file_name"), "file_name", "left_anti")
         self._write_active(stayed.unionByName(opened_versions(feed)), run_ts)
-        self._finish(run_ts, run_id(run_ts))
+        self._finish(run_ts, run)
         return feed
 
     def seed(self, tracker: DataFrame) -> None:
@@ -127,7 +149,8 @@ class TrackerStore:
         several = first_active(tracker).where(F.col("n_active") > 1)
         if not several.isEmpty():
             raise ValueError("the tracker has several active versions of one file")
-        latest = tracker.agg(F.max(F.greatest("start_timestamp", "end_timestamp")).alias("t")).first().t
+        times = F.greatest(checked_run_time(F.col("start_timestamp")), "end_timestamp")
+        latest = tracker.agg(F.max(times).alias("t")).first().t
         if latest is None:
             return
         closed = tracker.where(F.col("is_active") == CLOSED).select(

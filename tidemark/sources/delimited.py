@@ -18,9 +18,11 @@ def read_text_table(spark: SparkSession, path: str | list[str], sep: str = "\t")
     """Every column as a string, named as in the header.
 
     A line with too few cells is filled with NULL; one with too many fails the job
-    rather than lose its tail. Files split, so many tasks read one large file.
+    rather than lose its tail. Every file must have the same header, else the job fails. Files split, so
+    many tasks read one large file.
     """
     reader = spark.read.option("sep", sep).option("header", True).option("escape", _ESCAPE)
+    reader = reader.option("enforceSchema", False)
     header = reader.option("inferSchema", False).csv(path).columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*header, _BAD_LINE]])
     rows = reader.schema(schema).option("columnNameOfCorruptRecord", _BAD_LINE).csv(path)
@@ -30,7 +32,8 @@ def read_text_table(spark: SparkSession, path: str | list[str], sep: str = "\t")
 def text_table_of_files(files: DataFrame, sep: str = "\t") -> DataFrame:
     """The same from landed files: `content` holds the bytes of text files with one common header.
 
-    One task cuts one file into lines; a file too large for that is read from its folder instead.
+    One task cuts one file into lines, so a file must fit in a row, as it does to be landed; large files are
+    better read from their folder.
     """
     text = files.select(F.decode("content", "UTF-8").alias("text"))
     first = text.select(F.split("text", r"\r?\n", 2)[0].alias("header")).first()
@@ -38,7 +41,9 @@ def text_table_of_files(files: DataFrame, sep: str = "\t") -> DataFrame:
         raise ValueError("no file to read")
     header = first.header.split(sep)
     lines = text.select(F.posexplode(F.split("text", r"\r?\n")).alias("at", "line"))
-    lines = lines.where((F.col("at") > 0) & (F.trim("line", F.lit(" \t")) != ""))
+    other = F.raise_error(F.concat(F.lit("another header than the first file's: "), F.col("line")))
+    below = F.when(F.col("at") > 0, F.lit(True)).when(F.col("line") == first.header, F.lit(False)).otherwise(other)
+    lines = lines.where(below & (F.trim("line", F.lit(" \t")) != ""))
     columns = [f"c{i}" for i in range(len(header))]
     schema = ", ".join(f"{c} STRING" for c in [*columns, _BAD_LINE])
     options = {"sep": sep, "escape": _ESCAPE, "columnNameOfCorruptRecord": _BAD_LINE}

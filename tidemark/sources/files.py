@@ -2,41 +2,65 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from itertools import batched
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.paths import file_name_of
+from tidemark.schemas import empty_table
+
+# Paths that the driver holds at once.
+BATCH = 1000
+
+_GLOB_CHARACTER = re.compile(r"([*?\[\]{}\\])")
+FILES = "file_name string, path string, content binary"
+
 
-# Paths are named to the reader one by one only up to this many; beyond it the directory is scanned.
-MAX_NAMED_PATHS = 10_000
+def read_files(spark: SparkSession, directory: str) -> DataFrame:
+    """`(file_name, path, content)` of all files in a directory."""
+    return _named(spark.read.format("binaryFile").load(directory))
 
-_GLOB_CHARACTERS = set("*?[]{}\\")
 
+def file_sizes(spark: SparkSession, directory: str) -> DataFrame:
+    """`(file_name, path, n_bytes)` of all files in a directory; opens none of them."""
+    files = spark.read.format("binaryFile").load(directory)
+    return files.select(file_name_of(F.col("path")).alias("file_name"), "path", F.col("length").alias("n_bytes"))
 
-def read_files(spark: SparkSession, directory: str, wanted: DataFrame | None = None) -> DataFrame:
-    """`(file_name, path, content)` of the files in a directory, or of those whose name is in `wanted`.
 
-    File names are matched against a listing of the directory, which opens no file. When few enough
-    are wanted, only those are opened. A wanted file that is absent gives no row.
+def read_wanted(spark: SparkSession, directory: str, wanted: DataFrame) -> Iterator[DataFrame]:
+    """`(file_name, path, content)` of the files named in `wanted`, some at a time.
+
+    The names give the paths, so the directory is never listed and no other file is opened, however many there are.
+    A wanted file that is absent gives no row.
     """
-    everything = spark.read.format("binaryFile").load(directory)
-    if wanted is None:
-        return _named(everything)
-    names = wanted.select("file_name").distinct()
-    paths = _named(everything, "path").join(names, "file_name", "left_semi").select("path")
-    few = [row.path for row in paths.limit(MAX_NAMED_PATHS + 1).collect()]
-    if len(few) > MAX_NAMED_PATHS or any(_GLOB_CHARACTERS & set(path) for path in few):
-        return _named(everything).join(names, "file_name", "left_semi")
-    if not few:
-        return _named(everything.where(F.lit(False)))
-    return _named(spark.read.format("binaryFile").load(few))
+    names = wanted.select("file_name").where(F.col("file_name").isNotNull()).distinct()
+    for some in batched((r.file_name for r in names.toLocalIterator()), BATCH):
+        paths = [_GLOB_CHARACTER.sub(r"\\\1", f"{directory.rstrip('/')}/{n}") for n in _present(spark, directory, some)]
+        if paths:
+            yield _named(spark.read.format("binaryFile").load(paths))
 
 
 def missing_files(spark: SparkSession, directory: str, listed: DataFrame) -> DataFrame:
-    """Listed names without a file in the directory; opens no file."""
-    present = _named(spark.read.format("binaryFile").load(directory), "path")
-    return listed.select("file_name").join(present, "file_name", "left_anti")
+    """Listed names without a file in the directory; lists and opens nothing but these."""
+    names = listed.select("file_name").where(F.col("file_name").isNotNull()).distinct()
+    missing = empty_table(spark, names.schema)
+    for some in batched((r.file_name for r in names.toLocalIterator()), BATCH):
+        absent = set(some) - set(_present(spark, directory, some))
+        if absent:
+            missing = missing.unionByName(spark.createDataFrame([(n,) for n in sorted(absent)], names.schema))
+    return missing
+
+
+def _present(spark: SparkSession, directory: str, names: tuple[str, ...]) -> list[str]:
+    """Those names that are files of the directory."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(directory)
+    store = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return [n for n in names if store.isFile(jvm.org.apache.hadoop.fs.Path(folder, n))]
 
 
-def _named(files: DataFrame, *columns: str) -> DataFrame:
-    return files.select(file_name_of(F.col("path")).alias("file_name"), *(columns or ("path", "content")))
+def _named(files: DataFrame) -> DataFrame:
+    return files.select(file_name_of(F.col("path")).alias("file_name"), "path", "content")

@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from html.entities import name2codepoint
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import or_fail
 
-# One entry of a listing: month, day, year, hour, minute, AM/PM, size, link target, link text. Tag names may
-# have either case and the target either quote; `(?U)` lets `\s` match no-break spaces, `(?d)` keeps `.` off
-# line feeds only.
-FILE_ENTRY = (
-    r"(?Ud)(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{2})\s([APM]{2})\s+(\d+)\s+"
-    r"""(?i:<a\s+href)\s*=\s*["'](.*?)["']\s*>(.*?)(?i:</a\s*>)"""
+# The form of one entry of a listing, as the published pages have it: month, day, year, hour, minute, AM/PM, size, link
+# target, link text. Tag names may have either case, the target either quote or none; `(?U)` lets `\s` match
+# no-break spaces, `(?d)` keeps `.` off line feeds only.
+_GAP = r"(?:\s|&nbsp;|&#160;|&#[xX][aA]0;)"
+_LINK = (
+    r"""(?i:<a\s(?:[^>]*\s)?href)\s*=\s*["']?((?<=")[^"]*|(?<=')[^']*|(?<!["'])[^\s"'>]+)["']?[^>]*>(.*?)(?i:</a\s*>)"""
 )
+FILE_ENTRY = rf"(?Ud)(\d{{1,2}})/(\d{{1,2}})/(\d{{4}}){_GAP}+(\d{{1,2}}):(\d{{2}}){_GAP}([APM]{{2}}){_GAP}+(\d+){_GAP}+{_LINK}"
 FILE_ENTRY_GROUPS = ["_month", "_day", "_year", "_hour", "_minute", "_half", "_size", "_href", "file_name"]
+# The groups of a pattern that leaves date and time whole.
+DATED_GROUPS = ["_date", "_time", "_size", "_href", "file_name"]
+# A piece with a date, a size and a link must be an entry: what does not match would be taken for a removed file.
+LIKE_AN_ENTRY = rf"(?iUs)\d{{1,2}}/\d{{1,2}}/\d{{4}}.*\d{_GAP}*<a{_GAP}[^>]*href"
 
 # Any link, on pages cut at the end of links: target and text.
 LINK_ENTRY = r"""(?s)<a href="([^"\n]*)">(.*)$"""
@@ -32,17 +39,26 @@ def entries(
     cut: str = LINE_BREAK,
     text: str = "html",
     keep_pages: bool = False,
+    like: str | None = None,
 ) -> DataFrame:
     """Cut each page, by default at its line breaks, and keep the first match of `pattern` in each piece.
 
     `groups` names the capture groups, of which only the last may match a line feed. All columns but
     the page text are kept. With `keep_pages` each page also gives a row whose groups are NULL, so that
-    pages without a match can be seen. The pattern runs once per piece and once per match.
+    pages without a match can be seen. A piece that is `like` an entry but is none fails the job. The pattern runs
+    once per piece and once per match.
     """
     keep = [F.col(f"`{c}`") for c in pages.columns if c != text]
     body = F.regexp_extract(text, block, 1) if block else F.col(text)
-    found = F.transform(F.split(body, cut), lambda piece: F.regexp_extract(piece, pattern, 0))
-    found = F.filter(found, lambda match: match != "")
+
+    def match(piece: Column) -> Column:
+        found = F.regexp_extract(piece, pattern, 0)
+        if like is None:
+            return found
+        lost = F.raise_error(F.concat(F.lit("not read as an entry: "), F.substring(piece, 1, 200)))
+        return F.when((found == "") & piece.rlike(like), lost).otherwise(found)
+
+    found = F.filter(F.transform(F.split(body, cut), match), lambda m: m != "")
     if keep_pages:
         found = F.concat(F.array(F.lit(None).cast("string")), found)
     matches = pages.select(*keep, F.explode(found).alias("_match"))
@@ -53,40 +69,77 @@ def entries(
     )
 
 
+def decode_references(c: Column) -> Column:
+    """Text with its character references as characters; an unknown one stays as it is."""
+    known = F.create_map(*[F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))])
+
+    def decode(part: Column) -> Column:
+        name = F.regexp_extract(part, r"^&#?[xX]?(\w+);$", 1)
+        code = F.when(part.rlike(r"^&#[0-9]{1,7};$"), name.try_cast("int"))
+        code = F.when(part.rlike(r"^&#[xX][0-9a-fA-F]{1,6};$"), F.conv(name, 16, 10).try_cast("int")).otherwise(code)
+        legal = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(legal, character).when(part.rlike(r"^&\w+;$"), F.coalesce(known[name], part)).otherwise(part)
+
+    parts = F.regexp_extract_all(c, F.lit(r"&#?\w+;|[^&]+|&"), F.lit(0))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(parts, decode), "")).otherwise(c)
+
+
+def _clock(raw: DataFrame) -> DataFrame:
+    """Date and time cells of `DATED_GROUPS` as the pieces of `FILE_ENTRY_GROUPS`."""
+    date = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s*$"
+    time = r"(?U)^\s*(\d{1,2}):(\d{2})\s*([APM]{2})\s*$"
+    pieces = {n: F.regexp_extract("_date", date, i + 1) for i, n in enumerate(FILE_ENTRY_GROUPS[:3])}
+    pieces |= {n: F.regexp_extract("_time", time, i + 1) for i, n in enumerate(FILE_ENTRY_GROUPS[3:6])}
+    return raw.withColumns(pieces).drop("_date", "_time")
+
+
 def extract_listing(
-    pages: DataFrame, base_url: str, pattern: str = FILE_ENTRY, keep_pages: bool = False
+    pages: DataFrame,
+    base_url: str,
+    pattern: str = FILE_ENTRY,
+    keep_pages: bool = False,
+    groups: list[str] | None = None,
 ) -> DataFrame:
     """The files named on listing pages.
 
     Sub-directories and the parent link carry no size, do not match and drop out; so does
-    a page without a `<pre>` block. An impossible date or time fails the job. The timestamp text is
-    padded piece by piece, so no time zone can shift it; columns of `pages` such as `run_ts` are kept.
-    With `keep_pages` each page gives one more row without a file name.
+    a page without a `<pre>` block. Any other piece with a date, a size and a link must match; one that does not
+    fails the job, and so does an impossible date or time. Character references in names and targets are decoded. The timestamp
+    text is padded piece by piece, so no time zone can shift it; columns of `pages` such as `run_ts` are kept. With
+    `keep_pages` each page gives one more row without a file name.
+
+    A pattern of one's own has the groups of `FILE_ENTRY_GROUPS`, or those named in `groups`, such as `DATED_GROUPS`. A page is
+    one row, so it is read by one task.
     """
     keep = [F.col(f"`{c}`") for c in pages.columns if c not in ("html", "url")]
-    raw = entries(pages.drop("url"), pattern, FILE_ENTRY_GROUPS, keep_pages=keep_pages)
+    own = pattern != FILE_ENTRY
+    groups = groups or FILE_ENTRY_GROUPS
+    raw = entries(pages.drop("url"), pattern, groups, keep_pages=keep_pages, like=None if own else LIKE_AN_ENTRY)
+    if "_date" in groups:
+        raw = _clock(raw)
     month, day, year, hour, minute, half = (F.col(g) for g in FILE_ENTRY_GROUPS[:6])
     written = F.format_string("%s/%s/%s %s:%s %s", month, day, year, hour, minute, half)
     two = [F.lpad(part, 2, "0") for part in (month, day, hour)]
     padded = F.concat(
         two[0], F.lit("/"), two[1], F.lit("/"), year, F.lit(" "), two[2], F.lit(":"), minute, F.lit(" "), half
     )
-    on_clock = hour.cast("int").between(1, 12) & half.isin("AM", "PM")
+    on_clock = hour.try_cast("int").between(1, 12) & half.isin("AM", "PM")
     past_noon = F.when(half == "PM", 12).otherwise(0)
     parsed = F.try_make_timestamp_ntz(
-        year.cast("int"),
-        month.cast("int"),
-        day.cast("int"),
-        F.when(on_clock, hour.cast("int") % 12 + past_noon),
-        minute.cast("int"),
+        year.try_cast("int"),
+        month.try_cast("int"),
+        day.try_cast("int"),
+        F.when(on_clock, hour.try_cast("int") % 12 + past_noon),
+        minute.try_cast("int"),
         F.lit(0),
     )
     valid = or_fail(F.when(parsed.isNotNull(), padded), F.concat(F.lit("no such time: "), written))
     return raw.select(
         *keep,
-        "file_name",
-        F.when(half.isNotNull(), valid).alias("file_timestamp"),
-        F.concat(F.lit(base_url), "_href").alias("full_url"),
+        decode_references(F.col("file_name")).alias("file_name"),
+        F.when(F.col("file_name").isNotNull(), valid).alias("file_timestamp"),
+        F.concat(F.lit(base_url), decode_references(F.col("_href"))).alias("full_url"),
         parsed.alias("file_ts"),
         F.col("_size").cast("bigint").alias("file_size"),
     )

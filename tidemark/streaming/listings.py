@@ -1,21 +1,40 @@
-"""Listing pages as they land: each listing is applied to the tracker once, in order."""
+"""Listing pages as they land: each complete listing is applied to the tracker once, in order."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import SparkRuntimeException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.joins import settle
+from tidemark.operators.scd2 import EmptyListingError, StaleListingError
 from tidemark.plans.ingest import apply_and_land
 from tidemark.schemas import LISTING_COLUMNS, PAGE
 from tidemark.sinks.raw_store import RawStore
+from tidemark.sinks.tables import checked_run_time, read_if_exists
 from tidemark.sinks.tracker_store import TrackerStore
 from tidemark.sources.pages import extract_listing
 
+ENTRIES = T.StructType(
+    [
+        T.StructField("run_ts", T.StringType()),
+        T.StructField("page", T.LongType()),
+        T.StructField("pages", T.LongType()),
+        *[T.StructField(n, T.StringType()) for n in LISTING_COLUMNS],
+    ]
+)
+# What became of a listing, in which batch.
+DECISIONS = T.StructType(
+    [T.StructField("run_ts", T.StringType()), T.StructField("batch", T.LongType()), T.StructField("waiting", T.LongType())]
+)
+
 
 def listing_stream(spark: SparkSession, landing: str, fmt: str = "json") -> DataFrame:
-    """Pages `(run_ts, url, html)` landed as files in a folder."""
+    """Pages `(run_ts, page, pages, url, html)` landed as files in a folder.
+
+    `pages` says how many pages the listing has and `page` which one this is, from 1.
+    """
     return spark.readStream.format(fmt).schema(PAGE).load(landing)
 
 
@@ -26,23 +45,54 @@ def track_listings(
     checkpoint: str,
     raw: RawStore | None = None,
     mirror: str | None = None,
+    fail_on_refusal: bool = False,
 ) -> StreamingQuery:
     """Process everything that has landed, then stop; start it again on a schedule.
 
-    The file source does not promise arrival order, so all waiting listings come as one batch
-    and are applied in order of their run time. A batch delivered twice changes nothing: a run
-    that is finished is not applied again. All pages of one listing must be in one file.
+    Pages wait, over any number of files and starts, until all pages of their listing are there; complete
+    listings are applied in order of their run time. A listing that is empty, older than the last run applied, names a
+    file twice, or brings more pages after it was decided is refused: it goes on record in `store.refused()`, and later
+    listings are applied all the same, unless `fail_on_refusal` asks to stop. A batch delivered twice changes nothing.
+
+    One listing is applied after another, a few jobs each; a long backlog is better given to `replay`.
     """
 
-    def apply_batch(batch: DataFrame, _: int) -> None:
-        # Pages are parsed once for all waiting listings. A page row without a file keeps a listing
-        # that named no file visible.
-        found = extract_listing(batch, base_url, keep_pages=True).select("run_ts", *LISTING_COLUMNS)
-        staged = settle(found, "listings")
-        waiting = staged.select("run_ts").distinct().orderBy("run_ts")
-        for run in waiting.toLocalIterator():
-            listing = staged.where((F.col("run_ts") == run.run_ts) & F.col("file_name").isNotNull())
-            apply_and_land(store, listing.drop("run_ts"), run.run_ts, raw, mirror)
+    def apply_batch(batch: DataFrame, number: int) -> None:
+        inbox = _Inbox(store)
+        decided = inbox.decided()
+        told = {"run_ts": checked_run_time(F.col("run_ts")), "page": _known("page"), "pages": _known("pages")}
+        once = batch.withColumns(told).dropDuplicates(["run_ts", "page", "pages", "html"])
+        # Pages are parsed once. A page row without a file keeps a page that names no file visible.
+        found = extract_listing(once, base_url, keep_pages=True).select(ENTRIES.names)
+        staged = inbox.stage(found, number)
+        late = staged.join(decided.where(F.col("batch") != number), "run_ts", "left_semi").select("run_ts").distinct()
+        for run in late.toLocalIterator():
+            _refuse(run.run_ts, "more pages after the listing was decided")
+        waiting = staged.join(decided.where(F.col("batch") != number), "run_ts", "left_anti")
+        arrived = waiting.groupBy("run_ts").agg(
+            F.count_distinct("page").alias("here"), F.min("pages").alias("least"), F.max("pages").alias("most")
+        )
+        complete = arrived.where("here >= least or least <> most").orderBy("run_ts")
+        for run in complete.collect():  # one row per listing that waits
+            if run.least != run.most or run.here != run.most:
+                _refuse(run.run_ts, "its pages disagree on how many there are")
+            else:
+                rows = waiting.where((F.col("run_ts") == run.run_ts) & F.col("file_name").isNotNull())
+                try:
+                    apply_and_land(store, rows.select(LISTING_COLUMNS), run.run_ts, raw, mirror)
+                except (EmptyListingError, StaleListingError) as reason:
+                    _refuse(run.run_ts, str(reason))
+                except SparkRuntimeException as error:
+                    if error.getCondition() != "USER_RAISED_EXCEPTION":
+                        raise
+                    _refuse(run.run_ts, str(error).splitlines()[0])
+            inbox.decide(run.run_ts, number)
+        inbox.keep(waiting.join(inbox.decided(), "run_ts", "left_anti"), number)
+
+    def _refuse(run_ts: str, reason: str) -> None:
+        store.refuse(run_ts, reason)
+        if fail_on_refusal:
+            raise ValueError(f"listing of {run_ts} refused: {reason}")
 
     return (
         pages.writeStream.foreachBatch(apply_batch)
@@ -50,3 +100,39 @@ def track_listings(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _known(name: str) -> Column:
+    return F.coalesce(F.col(name), F.raise_error(F.lit(f"a page does not say '{name}'")))
+
+
+class _Inbox:
+    """Entries of listings that are not complete, kept beside the tracker from one batch to the next."""
+
+    def __init__(self, store: TrackerStore):
+        self.spark, self.path = store.spark, f"{store.path}/inbox"
+
+    def decided(self) -> DataFrame:
+        return read_if_exists(self.spark, f"{self.path}/decided", DECISIONS).where("run_ts is not null")
+
+    def decide(self, run_ts: str, number: int) -> None:
+        self._note(run_ts, number, None)
+
+    def stage(self, found: DataFrame, number: int) -> DataFrame:
+        """What waited before this batch and what it brings, written together."""
+        notes = read_if_exists(self.spark, f"{self.path}/decided", DECISIONS)
+        last = notes.where(F.col("waiting") < number).agg(F.max("waiting").alias("n")).first().n
+        if last is not None:
+            kept = self.spark.read.schema(ENTRIES).parquet(f"{self.path}/kept/batch={last}")
+            found = kept.unionByName(found.join(kept.select("run_ts", "page"), ["run_ts", "page"], "left_anti"))
+        found.write.mode("overwrite").parquet(f"{self.path}/staged/batch={number}")
+        return self.spark.read.schema(ENTRIES).parquet(f"{self.path}/staged/batch={number}")
+
+    def keep(self, waiting: DataFrame, number: int) -> None:
+        waiting.write.mode("overwrite").parquet(f"{self.path}/kept/batch={number}")
+        self._note(None, number, number)
+
+    def _note(self, run_ts: str | None, number: int, waiting: int | None) -> None:
+        values = zip(DECISIONS.fields, (run_ts, number, waiting), strict=True)
+        row = self.spark.range(0, 1, 1, 1).select(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in values])
+        row.write.mode("append").parquet(f"{self.path}/decided")

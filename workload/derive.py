@@ -5,7 +5,7 @@ Everything here works on whole tables, so the work grows with them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import round_half_even
@@ -21,11 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _at_least(c: Column, size: int, fill: str) -> Column:
+    """Filled on the left; a longer text stays whole."""
+    return F.lpad(c, F.greatest(F.lit(size), F.length(c)), F.lit(fill))
+
+
 def series_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order values as quarterly series, one series per nation, with more decimals than are kept."""
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     return orders.join(customer, orders.o_custkey == customer.c_custkey).select(
-        F.concat(F.lit("PRS"), F.lpad(F.col("c_nationkey").cast("string"), 8, "0")).alias("series_id"),
+        F.concat(F.lit("PRS"), _at_least(F.col("c_nationkey").cast("string"), 8, "0")).alias("series_id"),
         F.year("o_orderdate").alias("year"),
         F.concat(F.lit("Q0"), F.quarter("o_orderdate")).alias("period"),
         (F.col("o_totalprice") / 16).alias("value"),
@@ -41,12 +46,37 @@ def padded_series(spark: SparkSession, sf_dir: str) -> str:
     """The series as a published file: padded cells and header, tab-separated. Returns its path."""
     path = scratch_path(spark, "series-tsv")
     text = series_values(spark, sf_dir).select(
-        F.rpad("series_id", 17, " ").alias("series_id        "),
+        F.rpad("series_id", F.greatest(F.lit(17), F.length("series_id")), F.lit(" ")).alias("series_id        "),
         F.concat(F.col("year").cast("string"), F.lit(" ")).alias(" year"),
         F.concat(F.lit(" "), F.col("period")).alias("period"),
-        F.lpad(F.col("value").cast("string"), 24, " ").alias("       value"),
+        _at_least(F.col("value").cast("string"), 24, " ").alias("       value"),
         F.lit("").alias("footnote_codes"),
     )
+    _write_tsv(text, path)
+    return path
+
+
+def odd_series(spark: SparkSession, sf_dir: str) -> str:
+    """A published file with missing cells, missing keys, a series without any value, other white space, and values half
+    way between two roundings. Returns its path."""
+    path, n = scratch_path(spark, "odd-tsv"), F.col("o_orderkey")
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    gap = F.element_at(F.array(F.lit("\u00a0"), F.lit(" \u2003"), F.lit("\x0b ")), (n % 3 + 1).cast("int"))
+    number = ((n % 32) / 16 - 1).cast("string")
+    text = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
+        F.when(n % 11 == 0, "NA").otherwise(F.concat(F.lit("S"), F.col("c_nationkey").cast("string"), gap)).alias(" series_id "),
+        F.concat(gap, F.year("o_orderdate").cast("string")).alias("year\u00a0"),
+        F.concat(F.lit("Q0"), F.quarter("o_orderdate")).alias("period"),
+        F.when((F.col("c_nationkey") == 3) | (n % 7 == 0), "")
+        .when(n % 7 == 1, "NaN")
+        .otherwise(F.concat(gap, number, F.lit("  ")))
+        .alias("       value"),
+    )
+    _write_tsv(text, path)
+    return path
+
+
+def _write_tsv(text: DataFrame, path: str) -> None:
     (
         text.write.option("sep", "\t")
         .option("header", True)
@@ -55,7 +85,6 @@ def padded_series(spark: SparkSession, sf_dir: str) -> str:
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
-    return path
 
 
 def population(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +108,17 @@ def population_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return population(spark, sf_dir).select(F.to_json(document).alias("payload"))
 
 
+def population_document(spark: SparkSession, sf_dir: str) -> str:
+    """All years in one indented document, with nested and further keys. Returns its path."""
+    path = scratch_path(spark, "population-document")
+    record = F.struct("ID Year", "Population", F.struct(F.lit(1).alias("rank")).alias("more"), F.lit("x").alias("ID Nation"))
+    source = F.struct(F.lit("lines").alias("name"), F.struct(F.lit("lineitem").alias("source_name")).alias("annotations"))
+    document = population(spark, sf_dir).agg(F.collect_list(record).alias("data")).withColumn("source", F.array(source))
+    text = document.select(F.to_json(F.struct("data", "source"), {"pretty": "true", "ignoreNullFields": "false"}))
+    text.coalesce(1).write.text(path)
+    return path
+
+
 def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One directory page per part: parent link, a sub-directory and two files."""
     minute = F.col("p_partkey") % 1440
@@ -107,6 +147,21 @@ def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(F.concat(F.lit(BASE_URL), folder).alias("url"), html.alias("html"))
 
 
+def odd_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page per part as other programs write it: bare and single-quoted targets, more attributes, character references."""
+    stem = F.concat(F.lit("p"), F.col("p_partkey"))
+    size = F.col("p_size")
+    lines = [
+        F.concat(F.lit("1/2/2024&nbsp;&nbsp;8:30&#160;AM &#xA0; "), size, F.lit("&nbsp;<A HREF=/pub/"), stem, F.lit(">"), stem, F.lit("</A>")),
+        F.concat(F.lit("11/12/2024 12:05 PM "), size, F.lit(" <a class=x href='/a&amp;b/"), stem, F.lit("' title=\"t\">caf&eacute; "), stem, F.lit("</a >")),
+        F.concat(F.lit("11/12/2024 12:05 AM "), size, F.lit(' <a href="/q?x=1&#38;y=&unknown;/'), stem, F.lit('">&#26085; '), stem, F.lit("</a>")),
+    ]
+    line = F.element_at(F.array(*lines), (F.col("p_partkey") % 3 + 1).cast("int"))
+    rest = F.lit("<br>1/2/2024 8:30 AM &lt;dir&gt; <a href=/pub/old/>old</a><br></pre></body></html>")
+    html = F.concat(F.lit("<html><body><pre><a href=/pub/>[To Parent Directory]</a><br>"), line, rest)
+    return table(spark, sf_dir, "part").select(F.lit(BASE_URL).alias("url"), html.alias("html"))
+
+
 def shipping_listing(spark: SparkSession, sf_dir: str, line_status: str) -> DataFrame:
     """Part-supplier pairs as files: those on lines of one status.
 
@@ -125,12 +180,24 @@ def shipping_listing(spark: SparkSession, sf_dir: str, line_status: str) -> Data
     )
 
 
+# Pages of a derived listing.
+PAGES = 24
+
+
 def listing_pages(listing: DataFrame, run_ts: str) -> DataFrame:
-    """A listing back as pages, one entry each."""
-    time, path = F.col("file_timestamp"), F.substring("full_url", len(BASE_URL) + 1, 1000)
-    line = F.concat(F.lit("<pre>"), time, F.lit("  1 <A HREF=\""), path, F.lit('">'), F.col("file_name"))
-    return listing.select(
-        F.lit(run_ts).alias("run_ts"), F.lit(BASE_URL).alias("url"), F.concat(line, F.lit("</A><br></pre>")).alias("html")
+    """A listing back as `PAGES` pages."""
+    time, path = F.col("file_timestamp"), F.expr(f"substring(full_url, {len(BASE_URL) + 1})")
+    line = F.concat(time, F.lit("  1 <A HREF=\""), path, F.lit('">'), F.col("file_name"), F.lit("</A><br>"))
+    body = F.concat(F.lit("<pre>"), F.array_join(F.collect_list("line"), ""), F.lit("</pre>"))
+    page = (F.pmod(F.xxhash64("file_name"), F.lit(PAGES)) + 1).alias("page")
+    filled = listing.select(page, line.alias("line")).groupBy("page").agg(body.alias("html"))
+    every = listing.sparkSession.range(1, PAGES + 1).select(F.col("id").alias("page"))
+    return every.join(filled, "page", "left").select(
+        F.lit(run_ts).alias("run_ts"),
+        "page",
+        F.lit(PAGES).cast("long").alias("pages"),
+        F.lit(BASE_URL).alias("url"),
+        F.coalesce("html", F.lit("<pre></pre>")).alias("html"),
     )
 
 
@@ -179,6 +246,39 @@ def document_listings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     return first.select(name, time, url.alias("full_url")), second.select(name, time, newer.alias("full_url"))
 
 
+def _group() -> Column:
+    return F.concat(F.lit("g["), F.col("l_suppkey") % 40, F.lit("]"))
+
+
+def supplier_files(spark: SparkSession, sf_dir: str) -> str:
+    """Lines by group of suppliers as text files in one directory, under names with brackets. Returns its path."""
+    path = scratch_path(spark, "mirror")
+    lines = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_suppkey") % 40).alias("g"), F.concat_ws(",", "l_orderkey", "l_linenumber").alias("value")
+    )
+    lines.repartition("g").write.partitionBy("g").text(path)
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    written = spark.read.format("binaryFile").load(f"{path}/*/*.txt").select("path")
+    for row in written.collect():  # one row per group of suppliers
+        group = row.path.split("/g=")[1].split("/")[0]
+        store.rename(jvm.org.apache.hadoop.fs.Path(row.path), jvm.org.apache.hadoop.fs.Path(folder, f"g[{group}]"))
+    return path
+
+
+def supplier_listings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two listings of the files of `supplier_files`; the second also names files that aren't there."""
+    groups = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 40).alias("g"), _group().alias("file_name")).distinct()
+    time = F.lit("01/01/2024 08:30 AM").alias("file_timestamp")
+    url = F.concat(F.lit(f"{BASE_URL}/"), F.col("file_name"))
+    first = groups.where("g % 4 <> 3").select("file_name", time, url.alias("full_url"))
+    newer = F.when(F.col("g") % 5 == 0, F.concat(url, F.lit("?v=2"))).otherwise(url)
+    second = groups.where("g % 4 <> 1").select("file_name", time, newer.alias("full_url"))
+    absent = groups.where("g % 10 = 0").select(F.concat("file_name", F.lit("?")).alias("file_name"), time, url.alias("full_url"))
+    return first, second.unionByName(absent)
+
+
 def document_files(spark: SparkSession, sf_dir: str, suffix: str = "") -> DataFrame:
     """The documents as a table of files."""
     content = F.encode(F.concat("text", F.lit(suffix)), "UTF-8")

@@ -7,13 +7,30 @@ R1, R2 = "2024-01-01 12:00:00", "2024-01-02 12:00:00"
 
 SERIES = """
 series AS (
-  SELECT concat('PRS', lpad(CAST(c_nationkey AS VARCHAR), 8, '0')) AS series_id,
+  SELECT concat('PRS', lpad(CAST(c_nationkey AS VARCHAR), CAST(greatest(8, length(CAST(c_nationkey AS VARCHAR))) AS INTEGER), '0')) AS series_id,
          CAST(year(o_orderdate) AS INTEGER) AS year,
          concat('Q0', quarter(o_orderdate)) AS period,
          round_even(o_totalprice / 16 * 1000, 0) / 1000 AS value
   FROM orders JOIN customer ON o_custkey = c_custkey
 )"""
 
+ODD_SERIES = """
+series AS (
+  SELECT CASE WHEN o_orderkey % 11 <> 0 THEN concat('S', c_nationkey) END AS series_id,
+         CAST(year(o_orderdate) AS INTEGER) AS year,
+         concat('Q0', quarter(o_orderdate)) AS period,
+         CASE WHEN c_nationkey <> 3 AND o_orderkey % 7 > 1
+              THEN round_even((CAST(o_orderkey % 32 AS DOUBLE) / 16 - 1) * 1000, 0) / 1000 END AS value
+  FROM orders JOIN customer ON o_custkey = c_custkey
+)"""
+
+# A series without any value sums to 0; rows without a key drop out.
+ODD_YEARLY = """
+yearly AS (
+  SELECT series_id, year, coalesce(sum(CAST(value AS DECIMAL(28, 3))), 0) AS total
+  FROM series WHERE series_id IS NOT NULL GROUP BY series_id, year
+)"""
+
 POPULATION = """
 population AS (
   SELECT year(l_shipdate) + 2 AS "ID Year",
@@ -189,6 +206,8 @@ ORACLES: dict[str, str] = {
         FROM chosen, stats""",
     "best_year_per_series": f"WITH {SERIES},{YEARLY},{BEST} SELECT * FROM best",
     "best_year_from_text": f"WITH {SERIES},{YEARLY},{BEST} SELECT * FROM best",
+    "best_year_odd": f"WITH {ODD_SERIES},{ODD_YEARLY},{BEST} SELECT * FROM best",
+    "clean_series_odd": f"WITH {ODD_SERIES} SELECT * FROM series",
     "best_year_from_landed": f"WITH {SERIES},{YEARLY},{BEST} SELECT * FROM best",
     "yearly_sums": f"WITH {SERIES},{YEARLY} SELECT series_id, year, CAST(total AS DOUBLE) AS value FROM yearly",
     "series_with_population": f"WITH {SERIES},{POPULATION},{JOINED} SELECT * FROM joined",
@@ -210,6 +229,15 @@ ORACLES: dict[str, str] = {
                concat('{BASE}/pub/', lower(p_type), '/p', p_partkey, '.', kind) AS full_url,
                CASE kind WHEN 'data' THEN p_size ELSE p_partkey END AS file_size
         FROM timed, (VALUES ('data'), ('series')) kinds(kind)""",
+    "listing_extract_odd": f"""
+        SELECT CASE p_partkey % 3 WHEN 0 THEN concat('p', p_partkey) WHEN 1 THEN concat('caf\u00e9 p', p_partkey)
+                    ELSE concat('\u65e5 p', p_partkey) END AS file_name,
+               CASE p_partkey % 3 WHEN 0 THEN '01/02/2024 08:30 AM' WHEN 1 THEN '11/12/2024 12:05 PM'
+                    ELSE '11/12/2024 12:05 AM' END AS file_timestamp,
+               concat('{BASE}', CASE p_partkey % 3 WHEN 0 THEN '/pub/p' WHEN 1 THEN '/a&b/p' ELSE '/q?x=1&y=&unknown;/p' END,
+                      p_partkey) AS full_url,
+               CAST(p_size AS BIGINT) AS file_size
+        FROM part""",
     "page_links": f"""
         WITH links AS (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<a href=".*?">.*?</a>')) AS link FROM pages)
         SELECT page_id, concat('{BASE}', regexp_extract(link, '(?s)<a href="(.*?)">(.*?)</a>', 1)) AS full_url,
@@ -257,9 +285,23 @@ ORACLES: dict[str, str] = {
     ),
     "raw_after_sync": CURRENT_FILES,
     "raw_store_current": CURRENT_FILES,
+    "raw_from_directory": f"""
+        WITH lines AS (SELECT *, l_suppkey % 40 AS g FROM lineitem)
+        SELECT concat('g[', g, ']') AS file_name,
+               CAST(sum(length(concat_ws(',', l_orderkey, l_linenumber)) + 1) AS INTEGER) AS n_bytes,
+               CASE WHEN g % 4 = 3 OR g % 5 = 0 THEN '{R2}' ELSE '{R1}' END AS run_ts
+        FROM lines WHERE g % 4 <> 1 GROUP BY g""",
+    "scheduled_run": f"""{SCD2},{POPULATION}
+        SELECT start_timestamp, end_timestamp, count(*) AS n FROM tracker GROUP BY ALL
+        UNION ALL
+        SELECT r, CAST(NULL AS VARCHAR), count(*) FROM population,
+               (VALUES ('r20240101120000'), ('r20240102120000'), ('r20240103120000')) runs(r) GROUP BY r""",
     "file_bytes": """SELECT concat('lang=', lang) AS folder,
         CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS n_bytes FROM documents GROUP BY lang""",
     "snapshot_round_trip": f"WITH {POPULATION} SELECT * FROM population",
     "stream_scd2": TRACKER_ROWS,
+    "stream_scd2_pages": f"""{TRACKER_ROWS}
+        UNION ALL SELECT NULL, NULL, NULL, '2024-01-01 18:00:00', NULL, 'refused'
+        UNION ALL SELECT NULL, NULL, NULL, '2023-12-31 12:00:00', NULL, 'refused'""",
     "stream_analysis": ANSWERS,
 }

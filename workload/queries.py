@@ -12,7 +12,8 @@ from tidemark.operators import aggregates as agg
 from tidemark.operators import scd2
 from tidemark.operators.history import replay
 from tidemark.plans import analysis
-from tidemark.plans.ingest import ingest_population
+from tidemark.operators.joins import settle
+from tidemark.plans.ingest import ingest, ingest_population
 from tidemark.schemas import POPULATION_DOCUMENT
 from tidemark.session import scratch_path
 from tidemark.sinks import raw_store
@@ -20,7 +21,7 @@ from tidemark.sinks.tables import write_json_table, write_tracker_csv
 from tidemark.sinks.tracker_store import TrackerStore
 from tidemark.sources.delimited import read_tracker_csv
 from tidemark.sources.documents import read_documents, records
-from tidemark.sources.files import read_files
+from tidemark.sources.files import file_sizes, read_files
 from tidemark.sources.pages import LINK_END, LINK_ENTRY, entries, extract_listing
 from tidemark.streaming.listings import listing_stream, track_listings
 from tidemark.streaming.population import analyze_on_arrival, latest_result, population_stream
@@ -83,6 +84,15 @@ def best_year_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.best_years(clean_series(spark, sf_dir))
 
 
+def best_year_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a file with missing values and keys, other white space and ties of rounding."""
+    return analysis.best_years(analysis.prepare_series(spark, D.odd_series(spark, sf_dir)))
+
+
+def clean_series_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analysis.prepare_series(spark, D.odd_series(spark, sf_dir))
+
+
 def best_year_from_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.best_years(analysis.prepare_landed_series(read_files(spark, D.padded_series(spark, sf_dir))))
 
@@ -110,13 +120,9 @@ def _tagged(answers: dict[str, DataFrame]) -> DataFrame:
 
 
 def analysis_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    series = D.padded_series(spark, sf_dir)
-    documents = ingest_population(D.population_payloads(spark, sf_dir), scratch_path(spark, "population"), D.FIRST_RUN)
-    clean = analysis.prepare_series(spark, series)
-    clean_path = scratch_path(spark, "clean")
-    clean.write.parquet(clean_path)
-    population = analysis.prepare_population(spark, documents, POPULATION_DOCUMENT, one_per_file=False)
-    return _tagged(analysis.answer(spark.read.parquet(clean_path), population, D.QUESTIONS))
+    """The whole job from a series file and one indented document of all years."""
+    series, document = D.padded_series(spark, sf_dir), D.population_document(spark, sf_dir)
+    return _tagged(analysis.analyze(spark, series, document, D.QUESTIONS, scratch_path(spark, "clean")))
 
 
 def distinct_years(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,6 +152,10 @@ def listing_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_listing(D.part_pages(spark, sf_dir), D.BASE_URL).drop("file_ts")
 
 
+def listing_extract_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_listing(D.odd_pages(spark, sf_dir), D.BASE_URL).drop("file_ts")
+
+
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = D.table(spark, sf_dir, "pages").select("page_id", "html")
     found = entries(pages, LINK_ENTRY, ["href", "label"], block=None, cut=LINK_END)
@@ -185,7 +195,7 @@ def scd2_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scd2_reactivated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Back to the first listing: what left in the second run comes back."""
-    tracker = scd2_apply(spark, sf_dir)
+    tracker = settle(scd2_apply(spark, sf_dir), "tracker")
     feed = scd2.changes(tracker, D.shipping_listing(spark, sf_dir, "F"), "2024-01-03 12:00:00")
     return scd2.label_reactivated(feed, tracker).select("file_name", "status")
 
@@ -242,13 +252,37 @@ def raw_store_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current.select("file_name", F.octet_length("content").alias("n_bytes"), F.md5("content").alias("md5"))
 
 
+def raw_from_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs whose files are fetched out of a directory.
+
+    The second listing drops some files, and some that it lists are not in the directory.
+    """
+    mirror = D.supplier_files(spark, sf_dir)
+    store, raw = TrackerStore(spark, scratch_path(spark, "tracker")), raw_store.RawStore(spark, scratch_path(spark, "raw"))
+    for listing, run_ts in zip(D.supplier_listings(spark, sf_dir), (D.FIRST_RUN, D.SECOND_RUN), strict=True):
+        store.apply(listing, run_ts, lambda feed, run: raw.land_from_directory(mirror, feed, run))
+    current = raw.current(store.active())
+    return current.select("file_name", F.octet_length("content").alias("n_bytes"), "run_ts")
+
+
+def scheduled_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three scheduled runs, the last without a change, each with its population; what the tracker and the folder then hold."""
+    store, inbox = TrackerStore(spark, scratch_path(spark, "tracker")), scratch_path(spark, "population")
+    for status, run_ts in (("F", D.FIRST_RUN), ("O", D.SECOND_RUN), ("O", "2024-01-03 12:00:00")):
+        pages = D.listing_pages(D.shipping_listing(spark, sf_dir, status), run_ts).select("url", "html")
+        ingest(store, pages, D.BASE_URL, D.population_payloads(spark, sf_dir), inbox, run_ts)
+    versions = store.tracker().groupBy("start_timestamp", "end_timestamp").agg(F.count("*").alias("n"))
+    run = F.regexp_extract("_metadata.file_path", "population-(r[0-9]+)", 1).alias("start_timestamp")
+    snapshots = spark.read.text(f"{inbox}/*").select(run).groupBy("start_timestamp").agg(F.count("*").alias("n"))
+    return versions.unionByName(snapshots, allowMissingColumns=True)
+
+
 def file_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as text files per language and read back as opaque bytes."""
     path = scratch_path(spark, "files")
     D.table(spark, sf_dir, "documents").select("lang", F.col("text").alias("value")).write.partitionBy("lang").text(path)
-    files = read_files(spark, f"{path}/*")
     folder = paths.file_name_of(paths.directory_of(F.col("path")))
-    return files.groupBy(folder.alias("folder")).agg(F.sum(F.octet_length("content")).alias("n_bytes"))
+    return file_sizes(spark, f"{path}/*").groupBy(folder.alias("folder")).agg(F.sum("n_bytes").alias("n_bytes"))
 
 
 def snapshot_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,6 +306,27 @@ def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.tracker()
 
 
+def stream_scd2_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings whose pages land in several files over several starts, an empty and a late one among them."""
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
+    store = TrackerStore(spark, scratch_path(spark, "tracker"))
+    first = settle(D.listing_pages(D.shipping_listing(spark, sf_dir, "F"), D.FIRST_RUN), "pages")
+    second = settle(D.listing_pages(D.shipping_listing(spark, sf_dir, "O"), D.SECOND_RUN), "pages")
+    none = first.withColumns({"run_ts": F.lit("2024-01-01 18:00:00"), "html": F.lit("<pre></pre>")})
+    late = first.withColumn("run_ts", F.lit("2023-12-31 12:00:00"))
+    starts = [
+        first.where("page <= 9"),
+        first.where("page > 5").unionByName(second.where("page % 3 = 0")),
+        none.unionByName(second.where("page % 3 = 1")),
+        late.unionByName(second.where("page % 3 = 2")),
+    ]
+    for i, pages in enumerate(starts):
+        pages.repartition(3).write.json(f"{landing}/{i}")
+        track_listings(listing_stream(spark, f"{landing}/*"), store, D.BASE_URL, checkpoint).awaitTermination()
+    refused = store.refused().select(F.col("run_ts").alias("start_timestamp"), F.lit("refused").alias("is_active"))
+    return store.tracker().unionByName(refused, allowMissingColumns=True)
+
+
 def stream_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A population snapshot lands and starts the analysis."""
     inbox, results = scratch_path(spark, "population"), scratch_path(spark, "results")
@@ -295,6 +350,8 @@ QUERIES: dict[str, Query] = {
         population_band,
         best_year_per_series,
         best_year_from_text,
+        best_year_odd,
+        clean_series_odd,
         best_year_from_landed,
         yearly_sums,
         series_with_population,
@@ -305,6 +362,7 @@ QUERIES: dict[str, Query] = {
         table_profile,
         table_profile_lines,
         listing_extract,
+        listing_extract_odd,
         page_links,
         path_parts,
         scd2_bootstrap,
@@ -319,9 +377,12 @@ QUERIES: dict[str, Query] = {
         scd2_history_parts,
         raw_after_sync,
         raw_store_current,
+        raw_from_directory,
+        scheduled_run,
         file_bytes,
         snapshot_round_trip,
         stream_scd2,
+        stream_scd2_pages,
         stream_analysis,
     )
 }
