@@ -97,15 +97,17 @@ def local(docs, kind, judge, shards=3):
     tables = []
     for b in range(shards):
         own = [d for i, d in enumerate(docs) if i % shards == b]
+        hashes = [hash(d[1] or "") for d in own]
         columns = [pa.array([b] * len(own), pa.int32()), pa.array([d[0] for d in own], pa.int64()), pa.array([d[1] for d in own])]
-        tables.append(pa.table(columns, names=["_block", "_id", "_text"]))
+        tables.append(pa.table([*columns, pa.array(hashes), pa.array(hashes)], names=["_block", "_id", "_text", "_h1", "_h2"]))
 
     def by(parts, key, step):
         whole = pa.concat_tables(parts)
         return [step(whole.filter(pa.compute.equal(whole.column(key), k))) for k in range(shards) if k in whole.column(key).to_pylist()]
 
     of = lambda whole, b: whole.filter(pa.compute.equal(whole.column("_block"), b))
-    alive = pa.concat_tables(by([repeats._send_anchors(kind, shards)(t) for t in tables], "_shard", repeats._answer_anchors))
+    none = repeats._rows(repeats._HEARD_ARROW, [])
+    alive = pa.concat_tables(by([repeats._send_anchors(kind, shards)(t, none) for t in tables], "_shard", repeats._answer_anchors))
     sent = [repeats._send_passages(kind, shards)(t, of(alive, b)) for b, t in enumerate(tables)]
     judged = pa.concat_tables(by(sent, "_shard", repeats._answer_passages(kind, judge)))
     for b, t in enumerate(tables):

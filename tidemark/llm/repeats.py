@@ -11,6 +11,8 @@ begin elsewhere; shards answer it, each for all windows that could be equal to e
    the surroundings of a very common passage.
 3. Each shard indexes its passages (a suffix order or an FM-index) and answers with the runs of windows that are repeated. Blocks mark the units.
 
+Copies of whole texts are found before, by two 64-bit hashes, and need no search: only one of each takes part, in the name of all.
+
 Blocks and shards are as many as there are shuffle partitions. Documents are shuffled once; the same exchange feeds all three steps.
 """
 
@@ -62,18 +64,34 @@ class Kind:
         return words.hash, words.at, words
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(odd: np.uint64, count: int) -> np.ndarray:
+    """The first powers of a number, from 1."""
+    known = _POWERS.get(int(odd))
+    if known is None or len(known) < count:
+        known = _POWERS[int(odd)] = np.cumprod(np.concatenate([[U64(1)], np.full(max(count, 1 << 16) - 1, odd, U64)]))
+    return known[:count]
+
+
 class Sums:
     """Hashes of any stretch of some symbols, from sums of their weighted values up to each place."""
 
     def __init__(self, values: np.ndarray, odd: np.uint64):
         n = len(values)
         self.before = np.zeros(n + 1, U64)
-        np.cumsum(values * np.cumprod(np.full(n, odd, U64)), out=self.before[1:])
-        self.back = np.cumprod(np.full(n + 1, _inverse(odd), U64))
+        np.cumsum(values * _powers(odd, n), out=self.before[1:])
+        self.back = _powers(_inverse(odd), n + 1)
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         return mix((self.before[stop] - self.before[start]) * self.back[start] + (stop - start).astype(U64))
 
+    def all_of(self, size: int) -> np.ndarray:
+        """Of every stretch of one size."""
+        n = len(self.before) - size
+        return mix((self.before[size:] - self.before[:n]) * self.back[:n] + U64(size))
+
 
 def _values(symbols: np.ndarray) -> np.ndarray:
     return byte_table(3)[symbols] if symbols.dtype == np.uint8 else symbols
@@ -85,14 +103,17 @@ def _segments(symbols: np.ndarray, at: np.ndarray, kind: Kind) -> Iterator[tuple
     for first in range(0, max(last, 0), SEGMENT):
         count = min(SEGMENT, last - first)
         values = _values(symbols[first : first + count + kind.size - 1])
-        begin = first + np.arange(count)
-        inside = begin + kind.size <= at[np.searchsorted(at, begin, "right")]
-        sums = Sums(values, SPREAD)
-        place = np.arange(len(values) - kind.gram + 1)
-        hashes = sums.of(place, place + kind.gram)
+        hashes = Sums(values, SPREAD).all_of(kind.gram)
         anchor = leftmost(hashes, kind.size - kind.gram + 1)
-        window = np.flatnonzero(inside)
-        yield first, values, window, anchor[window], (hashes >> (U64(64) - _HASH))[anchor[window]]
+        starts = np.minimum(np.maximum(at - first, 0), count)
+        whole = np.ones(count + 1, np.int64)  # no window goes on into the next text
+        lo, hi = np.maximum(np.minimum(at[1:] - first - kind.size + 1, count), starts[:-1]), starts[1:]
+        np.add.at(whole, lo[lo < hi], -1)
+        np.add.at(whole, hi[lo < hi], 1)
+        whole[1:] -= 1
+        window = np.flatnonzero(np.cumsum(whole)[:count] > 0)
+        anchor = anchor[window]
+        yield first, values, window, anchor, (hashes >> (U64(64) - _HASH))[anchor]
 
 
 @dataclass
@@ -125,17 +146,42 @@ class Passages:
 
 
 class Block:
-    """The texts of a block, as symbols in a row."""
+    """The texts of a block, as symbols in a row.
+
+    `heard` tells which of them are copies: `copied` texts have a copy that counts, those that take `part` stand for all their copies.
+    """
 
-    def __init__(self, texts, kind: Kind):
+    def __init__(self, block: pa.Table, heard: pa.Table, kind: Kind):
         self.kind = kind
         self.parts = []  # (first row, symbols, begins, words, data, offsets)
-        self.start, self.rows = [0], []
-        for lo, _, data, offsets in text_pieces(texts):
+        self.start = [0]
+        self.ids = block.column("_id").combine_chunks().fill_null(NO_ID).to_numpy()
+        self.copied, self.part, self.weight = self._copies(block, heard)
+        for lo, _, data, offsets in text_pieces(block.column("_text")):
             symbols, at, words = kind.units(data, offsets)
             self.parts.append((lo, symbols, at, words, data, offsets))
             self.start.append(self.start[-1] + len(symbols))
 
+    def _copies(self, block: pa.Table, heard: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        told = heard.filter(pa.compute.equal(heard.column("_step"), 2)) if heard.num_rows else heard
+        n = block.num_rows
+        copied, part, weight = np.zeros(n, bool), np.ones(n, bool), np.ones(n, np.int64)
+        classes = {(x, y): (z, s) for x, y, z, s in zip(*(told.column(c).to_pylist() for c in ("x", "y", "z", "_shard")), strict=True)}
+        seen = set()
+        number = block.column("_block")[0].as_py() if n else 0
+        if classes:
+            for row, key in enumerate(zip(block.column("_h1").to_pylist(), block.column("_h2").to_pylist(), strict=True)):
+                if key in classes:
+                    least, owner = classes[key]
+                    if self.kind.across:
+                        copied[row] = least < self.ids[row]
+                        part[row] = not copied[row]
+                    else:
+                        copied[row], weight[row] = True, 2
+                        part[row] = owner == number and key not in seen
+                        seen.add(key)
+        return copied, part, weight
+
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
         """The hashes of the block's anchors and the rows they are in."""
         hashes, rows = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
@@ -143,8 +189,9 @@ class Block:
             for first, _, window, anchor, value in _segments(symbols, at, self.kind):
                 new = np.ones(len(window), bool)
                 new[1:] = anchor[1:] != anchor[:-1]
-                hashes.append(value[new])
-                rows.append(lo + np.searchsorted(at, first + window[new], "right") - 1)
+                row = lo + np.searchsorted(at, first + window[new], "right") - 1
+                hashes.append(value[new][self.part[row]])
+                rows.append(row[self.part[row]])
         return np.concatenate(hashes), np.concatenate(rows)
 
     def passages(self, alive: np.ndarray, hot: np.ndarray, shards: int) -> Passages:
@@ -169,7 +216,7 @@ class Block:
                 row = lo + np.searchsorted(at, first + start, "right") - 1
                 shard = (owner % U64(shards)).astype(np.int64)
                 for to, x in zip(found, (base + first + start, count, shard, one, two, row, single[begin]), strict=True):
-                    to.append(x)
+                    to.append(x[self.part[row]])
         kinds = (np.int64, np.int64, np.int64, U64, U64, np.int64, bool)
         return Passages(*(np.concatenate([np.zeros(0, k), *f]) for f, k in zip(found, kinds, strict=True)))
 
@@ -197,8 +244,10 @@ def _unpack_hashes(raw: bytes) -> np.ndarray:
 
 _SENT = "_shard int, _block int, a binary, b binary, c binary, d binary, e binary"
 _SENT_ARROW = pa.schema([("_shard", pa.int32()), ("_block", pa.int32()), *((c, pa.binary()) for c in "abcde")])
-_HEARD = "_block int, _shard int, _step int, a binary, b binary, c binary, d binary"
-_HEARD_ARROW = pa.schema([("_block", pa.int32()), ("_shard", pa.int32()), ("_step", pa.int32()), *((c, pa.binary()) for c in "abcd")])
+_HEARD = "_block int, _shard int, _step int, a binary, b binary, c binary, d binary, x long, y long, z long"
+_HEARD_ARROW = pa.schema(
+    [*((c, pa.int32()) for c in ("_block", "_shard", "_step")), *((c, pa.binary()) for c in "abcd"), *((c, pa.int64()) for c in "xyz")]
+)
 
 
 def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
@@ -207,8 +256,10 @@ def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
 
 
 def _send_anchors(kind: Kind, shards: int):
-    def run(block: pa.Table) -> pa.Table:
-        hashes, rows = Block(block.column("_text"), kind).anchors()
+    def run(block: pa.Table, heard: pa.Table) -> pa.Table:
+        if not block.num_rows:
+            return _rows(_SENT_ARROW, [])
+        hashes, rows = Block(block, heard, kind).anchors()
         order = np.lexsort((rows, hashes))
         h, r = hashes[order], rows[order]
         new = np.ones(len(h), bool)
@@ -219,7 +270,7 @@ def _send_anchors(kind: Kind, shards: int):
         if kind.across and len(begin):
             two = r[begin] != r[begin + many - 1]
         h, many = h[begin], (many << 1 | two).astype("<u4")
-        number = block.column("_block")[0].as_py() if block.num_rows else 0
+        number = block.column("_block")[0].as_py()
         out = []
         shard = (h % U64(shards)).astype(np.int64)
         for s in np.unique(shard):
@@ -244,7 +295,7 @@ def _answer_anchors(table: pa.Table) -> pa.Table:
         hi = lo + len(own)
         some = alive[lo:hi]
         if some.any():
-            out.append((block, shard, 0, _pack_hashes(own[some]), hot[lo:hi][some].astype(np.uint8).tobytes(), None, None))
+            out.append((block, shard, 0, _pack_hashes(own[some]), hot[lo:hi][some].astype(np.uint8).tobytes(), *[None] * 5))
         lo = hi
     return _rows(_HEARD_ARROW, out)
 
@@ -260,24 +311,22 @@ def _alive(heard: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return hashes[order], hot[order]
 
 
-def _ids(block: pa.Table) -> np.ndarray:
-    return block.column("_id").combine_chunks().fill_null(NO_ID).to_numpy()
-
-
 def _send_passages(kind: Kind, shards: int):
     def run(block: pa.Table, heard: pa.Table) -> pa.Table:
         if not block.num_rows or not heard.num_rows:
             return _rows(_SENT_ARROW, [])
-        texts = Block(block.column("_text"), kind)
+        texts = Block(block, heard, kind)
         found = texts.passages(*_alive(heard), shards)
+        if not len(found.first):
+            return _rows(_SENT_ARROW, [])
         number, order = found.numbered()
-        ids, out = _ids(block)[found.row], []
+        ids, weight, out = texts.ids[found.row], texts.weight[found.row], []
         shard = found.shard[order]
-        edges = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else np.zeros(0, np.int64)
+        edges = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
         for lo, hi in zip(edges, np.append(edges[1:], len(shard)), strict=True):
             some = order[lo:hi]
             first = np.flatnonzero(np.append(True, number[some][1:] != number[some][:-1]))
-            many = np.diff(np.append(first, len(some)))
+            many = np.add.reduceat(weight[some], first)
             pick = some[first]
             least, most = np.minimum.reduceat(ids[some], first), np.maximum.reduceat(ids[some], first)
             size = found.windows[pick]
@@ -334,7 +383,7 @@ def _answer_passages(kind: Kind, judge: Judge):
         shard, rows = table.column("_shard")[0].as_py(), []
         for s, parts in out.items():
             a, b, c, d = np.concatenate(parts, axis=1)
-            rows.append((columns["_block"][s], shard, 1, a.astype("<u4").tobytes(), b.astype("<u4").tobytes(), c.astype("<u4").tobytes(), d.tobytes() if kind.across else None))
+            rows.append((columns["_block"][s], shard, 1, a.astype("<u4").tobytes(), b.astype("<u4").tobytes(), c.astype("<u4").tobytes(), d.tobytes() if kind.across else None, *[None] * 3))
         return _rows(_HEARD_ARROW, rows)
 
     return run
@@ -348,7 +397,7 @@ def _anchors_of(symbols: np.ndarray, begin: np.ndarray, kind: Kind) -> np.ndarra
         place = begin[some, None] + np.arange(kind.size)
         values = _values(symbols[place.ravel()]).reshape(place.shape)
         n = kind.size - kind.gram + 1
-        powers = np.cumprod(np.concatenate([[U64(1)], np.full(kind.gram - 1, SPREAD, U64)]))
+        powers = _powers(SPREAD, kind.gram)
         hashes = np.zeros((len(values), n), U64)
         for j in range(kind.gram):
             hashes += values[:, j : j + n] * powers[j]
@@ -370,7 +419,7 @@ def _groups(symbols: np.ndarray, begin: np.ndarray, length: np.ndarray, single:
     for lo in range(0, len(begin), 1 << 14):
         own = np.flatnonzero(single[lo : lo + (1 << 14)]) + lo
         values = _values(symbols[(begin[own, None] + np.arange(kind.size)).ravel()]).reshape(-1, kind.size)
-        key[own] = (values * np.cumprod(np.full(kind.size, STEP, U64))).sum(axis=1, dtype=U64)
+        key[own] = (values * _powers(STEP, kind.size)).sum(axis=1, dtype=U64)
     key = mix(key)
     order = np.argsort(key, kind="stable")
     sorted_, cost = key[order], np.cumsum(length[order] + 1)
@@ -417,13 +466,17 @@ def _judged(kind, judge, symbols, begin, length, windows, many, least) -> np.nda
 
 def covered(kind: Kind, block: pa.Table, heard: pa.Table, shards: int) -> tuple[Block, np.ndarray]:
     """The texts of a block, and for each of its units whether a repeated window covers it."""
-    texts = Block(block.column("_text"), kind)
+    texts = Block(block, heard, kind)
     edges = np.zeros(texts.start[-1] + 1, np.int32)
+    for (lo, _, at, *_), base in zip(texts.parts, texts.start, strict=False):
+        long = np.flatnonzero(texts.copied[lo : lo + len(at) - 1] & (np.diff(at) >= kind.size))
+        np.add.at(edges, base + at[long], 1)
+        np.add.at(edges, base + at[long + 1], -1)
     if heard.num_rows:
         found = texts.passages(*_alive(heard), shards)
         number, order = found.numbered()
         code = (found.shard << 32) | number
-        code, ids = code[order], _ids(block)[found.row[order]]
+        code, ids = code[order], texts.ids[found.row[order]]
         first = found.first[order]
         for step, shard, a, b, c, d in zip(*(heard.column(x).to_pylist() for x in ("_step", "_shard", *"abcd")), strict=True):
             if step == 1:
@@ -440,6 +493,18 @@ def covered(kind: Kind, block: pa.Table, heard: pa.Table, shards: int) -> tuple[
     return texts, np.cumsum(edges[:-1]) > 0
 
 
+def _copies(base: DataFrame, kind: Kind) -> DataFrame:
+    """For each block the texts of it that occur more than once: hashes (x, y), smallest id (z), smallest block (_shard)."""
+    least = F.min(F.coalesce("_id", F.lit(NO_ID)))
+    held = base.where(F.octet_length("_text") >= kind.size).groupBy("_h1", "_h2", "_block")
+    held = held.agg(F.count("*").alias("n"), least.alias("least"))
+    groups = held.groupBy("_h1", "_h2").agg(F.sum("n").alias("n"), F.min("least").alias("z"), F.min("_block").alias("_shard"))
+    found = held.select("_h1", "_h2", "_block").join(groups.where("n > 1"), ["_h1", "_h2"])
+    nothing = (F.lit(None).cast("binary").alias(c) for c in "abcd")
+    block = (F.col("_block") + 0).alias("_block")  # a column of its own, as the blocks themselves are met with these rows
+    return found.select(block, "_shard", F.lit(2).alias("_step"), *nothing, F.col("_h1").alias("x"), F.col("_h2").alias("y"), "z")
+
+
 def exchange(documents: DataFrame, kind: Kind, judge: Judge, finish, schema: str, keep: list[str]) -> DataFrame:
     """Run the three steps. `finish(block, texts, cover)` makes the rows of a block; `keep` are columns that it may read (as `_k0`, ...)."""
     spark = documents.sparkSession
@@ -447,10 +512,19 @@ def exchange(documents: DataFrame, kind: Kind, judge: Judge, finish, schema: str
     shards = partitions(spark)
     number = F.pmod(F.xxhash64(documents["doc_id"], documents["text"]), F.lit(shards)).cast("int")
     passed = (documents[c].alias(f"_k{i}") for i, c in enumerate(keep))
-    dealt = documents.select(number.alias("_block"), documents["doc_id"].cast("long").alias("_id"), documents["text"].alias("_text"), *passed)
-    dealt = dealt.repartition(shards, "_block")
-    anchors = dealt.groupBy("_block").applyInArrow(_send_anchors(kind, shards), _SENT)
-    alive = anchors.groupBy("_shard").applyInArrow(_answer_anchors, _HEARD)
+    text = F.coalesce(documents["text"], F.lit(""))
+    base = documents.select(
+        number.alias("_block"),
+        documents["doc_id"].cast("long").alias("_id"),
+        documents["text"].alias("_text"),
+        F.xxhash64(text).alias("_h1"),
+        F.xxhash64(F.lit(1), text, F.lit(2)).alias("_h2"),
+        *passed,
+    )
+    dealt = base.repartition(shards, "_block")
+    copies = _copies(base, kind)
+    anchors = dealt.groupBy("_block").cogroup(copies.groupBy("_block")).applyInArrow(_send_anchors(kind, shards), _SENT)
+    alive = anchors.groupBy("_shard").applyInArrow(_answer_anchors, _HEARD).unionByName(copies)
     sent = dealt.groupBy("_block").cogroup(alive.groupBy("_block")).applyInArrow(_send_passages(kind, shards), _SENT)
     judged = sent.groupBy("_shard").applyInArrow(_answer_passages(kind, judge), _HEARD)
 

@@ -38,16 +38,19 @@ def suffix_ranks(text: np.ndarray, depth: int | None = None) -> np.ndarray:
         name = suffix_ranks(name + 1, None if depth is None else -(-depth // 3)) - 1
     rank = np.zeros(n + 4, np.int64)  # of the sample; 0 past the end
     rank[sample] = name + 1
-    key1 = lambda at: (s[at] << BITS) | rank[at + 1]
-    key2 = lambda at: (s[at] << (2 * BITS)) | (s[at + 1] << BITS) | rank[at + 2]
-    by_rank = np.sort(rank[sample])
-    own1, own2 = np.sort(key1(rest)), np.sort(key2(rest))
     less = np.zeros(n + 1, np.int64)
-    less[sample] = np.searchsorted(by_rank, rank[sample])
-    less[one] += np.searchsorted(own1, key1(one))
-    less[two] += np.searchsorted(own2, key2(two))
-    less[rest] = np.searchsorted(own1, key1(rest))
-    less[rest] += np.searchsorted(np.sort(key1(one)), key1(rest)) + np.searchsorted(np.sort(key2(two)), key2(rest))
+    below = np.cumsum(np.bincount(rank[sample]))
+    less[sample] = below[rank[sample] - 1]
+    for part, key in ((one, (s[one] << BITS) | rank[one + 1]), (two, (s[two] << (2 * BITS)) | (s[two + 1] << BITS) | rank[two + 2])):
+        own = (s[rest] << BITS) | rank[rest + 1]
+        if part is two:
+            own = (s[rest] << (2 * BITS)) | (s[rest + 1] << BITS) | rank[rest + 2]
+        by_key, by_own = np.argsort(key), np.argsort(own)
+        key, own = key[by_key], own[by_own]  # in order, so that the searches run through memory once
+        less[part[by_key]] += np.searchsorted(own, key)
+        less[rest[by_own]] += np.searchsorted(key, own)
+        if part is one:
+            less[rest[by_own]] += np.searchsorted(own, own)
     return less[:n] + 1 - extra
 
 
