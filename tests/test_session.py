@@ -24,3 +24,5 @@ def test_scratch_folder():
     assert session.scratch_path(local, "x") != session.scratch_path(local, "x")
     with pytest.raises(ValueError):
         session.shared_dir(Fake(None, "spark://host:7077"))
+    with pytest.raises(ValueError):
+        session.shared_dir(Fake(None, "local-cluster[2,1,1024]"))

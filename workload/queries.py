@@ -235,7 +235,7 @@ def scd2_history_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_after_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = D.document_listings(spark, sf_dir)
     held = D.document_files(spark, sf_dir).join(first, "file_name", "left_semi")
-    feed = scd2.changes(scd2.bootstrap(first, D.FIRST_RUN), second, D.SECOND_RUN)
+    feed = settle(scd2.changes(scd2.bootstrap(first, D.FIRST_RUN), second, D.SECOND_RUN), "feed")
     fetched = raw_store.fetch(D.document_files(spark, sf_dir, suffix=" v2"), feed)
     after = raw_store.after_sync(held, feed, fetched)
     return after.select("file_name", F.octet_length("content").alias("n_bytes"), F.md5("content").alias("md5"))
