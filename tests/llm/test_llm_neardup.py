@@ -86,3 +86,31 @@ def test_components_of_a_long_path(spark):
     random.Random(1).shuffle(path)
     got = {r.node: r.least for r in N.components(spark.createDataFrame(path, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 90: 90, 95: 90, 100: 90}
+
+
+def edited(words, many, rnd):
+    words = list(words)
+    for at in rnd.sample(range(len(words)), many):
+        words[at] = f"e{rnd.randrange(10**9)}"
+    return " ".join(words)
+
+
+def test_edited_copies_of_one_text(spark):
+    """Most copies are like the original, which has neither the smallest id nor the largest, but not like each other; some are like none."""
+    rnd = random.Random(9)
+    original = [f"w{i}" for i in range(150)]
+    texts = [edited(original, n, rnd) for n in (1, 2, 3, 3, 4, 5, 6, 8) for _ in range(12)]
+    docs = list(enumerate([*texts[:50], " ".join(original), *texts[50:]], 1))
+    wanted = brute.near_duplicates(docs)
+    assert len(set(wanted.values())) > 5
+    assert classes(spark, docs) == wanted
+
+
+def test_pairs_that_cannot_be_similar_are_not_made(spark):
+    """Copies with too many edits of their own meet nobody but the pivot; those that share their edits do."""
+    rnd = random.Random(4)
+    original = [f"w{i}" for i in range(200)]
+    twins = [edited(original, 8, rnd) for _ in range(3)]
+    texts = [" ".join(original), *(edited(original, 8, rnd) for _ in range(40)), *twins, *(t.replace("w5 ", "x5 ") for t in twins)]
+    docs = list(enumerate(texts))
+    assert classes(spark, docs) == brute.near_duplicates(docs)

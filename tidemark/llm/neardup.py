@@ -7,9 +7,10 @@ of lowest rank. Two texts keep the same dart with the chance of their weighted J
 as it takes to fill all coordinates, so a text costs about as many darts as there are coordinates, whatever its weights.
 
 `ROWS` coordinates in a row make a band. Texts that share a band are candidates: each is compared, on its whole
-shingles, with the smallest text of the bucket. What is still apart after that is compared across the
-parts of a bucket, without the pairs that the triangle inequality of the Jaccard distance rules out. So no bucket is cut off or spread
-into all its pairs. Links of similarity `SIMILAR` or more join texts to classes.
+shingles, with the pivot of the bucket, the text that shares most bands with others, as the original of many edited copies does. What is still
+apart after that is compared across the parts of a bucket, without the pairs that can't be a link: those too far apart in size or
+in distance to the pivot, and texts with too few shingles that any other such text has. So no bucket is cut off
+or spread into all its pairs. Links of similarity `SIMILAR` or more join texts to classes.
 
 A pair of similarity 0.8 shares none of the bands with a chance of about 5e-8.
 """
@@ -193,8 +194,27 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
-def _across(buckets: DataFrame, compared: DataFrame, labels: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Pairs of a bucket that are not yet connected and whose distances to the bucket's smallest text allow a link."""
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for text, raw in zip(batch.column("text_id").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
+            shingle = np.frombuffer(raw, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(shingle), text, np.int64)), pa.array(shingle)], names=["text_id", "shingle"])
+
+
+def _shared(texts: DataFrame, sets: DataFrame) -> DataFrame:
+    """How many different shingles of each text some other of the texts has."""
+    rows = sets.join(texts, "text_id", "left_semi").select("text_id", "shingles").mapInArrow(_spread, "text_id long, shingle long")
+    rows = settle(rows, "spread")
+    common = rows.groupBy("shingle").agg(F.count("*").alias("many")).where("many > 1").select("shingle")
+    return rows.join(common, "shingle", "left_semi").groupBy("text_id").agg(F.count("*").alias("shared"))
+
+
+def _across(buckets: DataFrame, compared: DataFrame, labels: DataFrame, sizes: DataFrame, sets: DataFrame, counts: bool) -> DataFrame:
+    """Pairs of a bucket that are not yet connected and may be a link.
+
+    Two texts of x and y shingles are similar if they share `SIMILAR` / (1 + `SIMILAR`) of x + y, so neither can have fewer that
+    others share.
+    """
     known = compared.select(F.col("a").alias("text_id"), F.col("b").alias("pivot"), "similar")
     placed = (
         buckets.join(known, ["text_id", "pivot"], "left")
@@ -202,17 +222,28 @@ def _across(buckets: DataFrame, compared: DataFrame, labels: DataFrame, sizes: D
         .withColumn("part", F.coalesce("least", "text_id"))
         .where("text_id <> pivot and similar is not null")
     )
+    mixed = placed.groupBy("h").agg(F.min("part").alias("first"), F.max("part").alias("last")).where("first <> last").select("h")
+    placed = settle(placed.join(mixed, "h", "left_semi").select("h", "part", "text_id", "similar"), "placed")
+    shared = _shared(placed.select("text_id").distinct(), sets)
+    placed = placed.join(sizes.join(shared, "text_id", "left").fillna(0, ["shared"]), "text_id")
+    if not counts:  # no text of the bucket is small enough to be similar to one with so few shared shingles
+        least = placed.groupBy("h").agg(F.min("n").alias("least_n"))
+        enough = F.expr(f"shared + 1e-6 >= {SIMILAR / (1 + SIMILAR)} * (n + least_n)")
+        placed = placed.join(least, "h").where(enough).drop("least_n")
+    placed = settle(placed, "viable")
     parts = placed.groupBy("h", "part").agg(F.count("*").alias("many"))
-    mixed = parts.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1").select("h")
-    parts = parts.join(mixed, "h")
     other = parts.select("h", F.col("part").alias("part2"), F.col("many").alias("many2"))
     # of two parts the smaller one's texts look for partners in the larger one
     seek = F.expr("part <> part2 and (many < many2 or many = many2 and part < part2)")
     wanted = parts.join(other, "h").where(seek).select("h", "part", "part2")
-    small = placed.join(wanted, ["h", "part"]).join(sizes, "text_id")
-    small = small.select("h", "part2", F.col("text_id").alias("x"), F.col("similar").alias("sx"), F.col("n").alias("nx"))
-    large = placed.join(sizes, "text_id").select("h", F.col("part").alias("part2"), F.col("text_id").alias("y"), F.col("similar").alias("sy"), F.col("n").alias("ny"))
+    small = placed.join(wanted, ["h", "part"])
+    small = small.select("h", "part2", F.col("text_id").alias("x"), F.col("similar").alias("sx"), F.col("n").alias("nx"), F.col("shared").alias("ox"))
+    large = placed.select(
+        "h", F.col("part").alias("part2"), F.col("text_id").alias("y"), F.col("similar").alias("sy"), F.col("n").alias("ny"), F.col("shared").alias("oy")
+    )
     near = F.expr(f"abs(sx - sy) <= {1 - SIMILAR} + 1e-9 and least(nx, ny) >= {SIMILAR} * greatest(nx, ny)")
+    if not counts:
+        near = near & F.expr(f"least(ox, oy) + 1e-6 >= {SIMILAR / (1 + SIMILAR)} * (nx + ny)")
     pairs = small.join(large, ["h", "part2"]).where(near)
     return pairs.select(F.least("x", "y").alias("b"), F.greatest("x", "y").alias("a")).distinct()
 
@@ -233,9 +264,13 @@ def near_duplicates(documents: DataFrame, counts: bool = False) -> DataFrame:
     texts = signed.where("n > 0 and doc_id is not null").groupBy("k1", "k2")
     texts = settle(texts.agg(F.min("doc_id").alias("text_id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "texts")
     sizes = texts.groupBy("text_id").agg(F.max("n").alias("n"))
-    banded = texts.select("text_id", "n", F.explode("bands").alias("h"))
-    full = banded.groupBy("h").agg(F.count("*").alias("many"), F.min("text_id").alias("pivot")).where("many > 1").select("h", "pivot")
-    buckets = settle(banded.join(full, "h").select("h", "text_id", "pivot", "n"), "buckets")
+    banded = texts.select("text_id", F.explode("bands").alias("h"))
+    full = banded.groupBy("h").agg(F.count("*").alias("many")).where("many > 1")
+    held = settle(banded.join(full, "h").select("h", "text_id", "many"), "held")
+    weights = settle(held.groupBy("text_id").agg(F.sum("many").alias("weight")), "weights")
+    best = F.max(F.struct("weight", (-F.col("text_id")).alias("least")))
+    pivots = held.join(weights, "text_id").groupBy("h").agg((-best["least"]).alias("pivot"))
+    buckets = settle(held.join(pivots, "h").select("h", "text_id", "pivot"), "buckets")
     needed = buckets.select("text_id").distinct()
     words = rows.join(needed, rows["doc_id"] == needed["text_id"]).select("text_id", "text")
     sets = settle(words.mapInArrow(_setter(counts), "text_id long, shingles binary, weights binary"), "sets")
@@ -244,7 +279,7 @@ def near_duplicates(documents: DataFrame, counts: bool = False) -> DataFrame:
     compared = compare(near, sets)
     links = compared.where(F.col("similar") >= SIMILAR)
     labels = components(links)
-    more = compare(_across(buckets.drop("n"), compared, labels, sizes), sets).where(F.col("similar") >= SIMILAR)
+    more = compare(_across(buckets, compared, labels, sizes, sets, counts), sets).where(F.col("similar") >= SIMILAR)
     if not more.isEmpty():
         labels = components(links.union(more))
     classes = texts.select("k1", "k2", "text_id").join(labels.withColumnRenamed("node", "text_id"), "text_id", "left")
