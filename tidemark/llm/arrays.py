@@ -17,12 +17,16 @@ from tidemark.session import scratch_path
 U64 = np.uint64
 #: Odd multipliers of the hashes.
 SPREAD, STEP = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93)
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Text handled at once inside a task.
 PIECE_BYTES = 1 << 20
 
 
 def reach(spark: SparkSession) -> None:
-    """Let Python workers import this package where they see the driver's folders."""
+    """Let Python workers import this package where they see the driver's folders; hand them rows in smaller batches than usual, as
+    a row holds a whole text or set."""
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(":")
     if root not in paths:
