@@ -26,7 +26,7 @@ SAMPLE = 4000
 FEATURES, ORDERS = 2048, (1, 2, 3)
 UNKNOWN = "und"
 #: A lead of the best codeword over the next, as a share of the probability, below which a text is ambiguous.
-MARGIN = 0.1
+MARGIN = 0.05
 STEPS, RATE, RIDGE = 300, 8.0, 1e-4
 
 _FOLD = np.full(256, 32, np.uint8)
