@@ -43,6 +43,36 @@ def test_odd_pages():
     assert extract("<script>if (a < b) {}</script><p>x y z</p><textarea>no</textarea>", Weights()) == "x y z"
 
 
+def test_raw_text_ends_only_at_its_own_end_tag():
+    article = "<article><p>one two three</p></article>"
+    for raw in (
+        "<script>for(var i=0;i<n;i++){f(i)}</script>",
+        "<script>s = a<b ? \"'\" : 'x</p>'</script >",
+        "<SCRIPT>var c = '<!-- ';</script>",
+        "<script><!-- w('<script src=y></script>') --></script>",
+        "<script><!--> w('<script>')</script>",
+        "<style>a::before{content:'<b'}</style>",
+        "<title>a <!-- b</title>",
+        "<noscript>i<n'</noscript>",
+        "<textarea>i<n' </textarea>",
+        "<svg><style>i<n'</style></svg>",
+        "<datalist><option value=a><option value=b></datalist>",
+    ):
+        for page in (f"<body>{raw}{article}</body>", f"<body>{raw}{article}<script>x</script>"):
+            assert extract(page, Weights()) == "one two three", page
+    found, marks = pages.tokens(f"<script>i<n</script>{article}")
+    assert marks == 1 and [t.text for t in found if t.label and t.text] == ["one two three"]
+
+
+def test_head_may_have_no_end_tag():
+    head = "<html><head><meta charset=x><title>t i</title><!-- c --><style>p{}</style>\n<template><p>no</p></template>"
+    body = "<article><p>one two three</p></article>"
+    for end in ("<body>", "</head><body>", "</head>", "", "<body class=x><div>"):
+        assert extract(head + end + body, Weights()) == "one two three", end
+    assert extract("<head><title>t</title>one two <b>three</b>", Weights()) == "one two three"
+    assert extract("<head><title>t</title><link href=a></p><meta>", Weights()) == ""
+
+
 def test_tables(spark):
     raw = spark.read.parquet(f"{SF}/pages.parquet")
     weights = pages.fit(raw, 100)

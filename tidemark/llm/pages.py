@@ -26,6 +26,10 @@ from tidemark.llm.arrays import reach
 SAMPLE = 2000
 #: Elements whose content is never text of a page; they are left out before scoring.
 SILENT = frozenset("script style noscript template svg iframe object textarea title head select option button".split())
+#: Elements whose content is raw text: only their own end tag means anything there.
+RAW = frozenset("script style noscript iframe textarea title".split())
+#: Elements that can stand in a head; its end tag may be left out, so any other one ends it.
+HEAD = frozenset("base head html link meta noscript script style template title".split())
 #: Elements that are part of no article, and words in a class or id that say so.
 BOILERPLATE = frozenset("nav aside footer form menu dialog".split())
 ASIDE = re.compile(r"(?i)(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|notice|consent|comment\w*|sidebar|menu|nav\w*|breadcrumbs?|footer|related|share|social|newsletter|subscribe|popup|modal)(?:$|[\s_-])")
@@ -43,6 +47,8 @@ _ENDS_OWN = frozenset("li dt dd tr td th option p".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S
 )
+_RAW_END = {name: re.compile(rf"(?i)</{name}(?=[\s/>])") for name in RAW}
+_SCRIPT = re.compile(r"(?i)<!--|-->|<(/?)script(?=[\s/>])")
 _NAMED = re.compile(r"""(?i)\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 
 
@@ -75,26 +81,38 @@ def tokens(page: str) -> tuple[list[Token], int]:
     """A page as runs of text and tags, and how many article (or else main) elements it marks."""
     out: list[Token] = []
     open_: list[tuple[str, bool, bool]] = []  # element, in boilerplate, in an article
-    marks, mains, at, silent = 0, 0, 0, ""
+    marks, mains, at, seek, silent, head = 0, 0, 0, 0, "", False
 
     def text(raw: str) -> None:
         if raw and not silent:
             name, bad, inside = open_[-1] if open_ else ("", False, False)
             out.append(Token(raw, name + "!" * bad, False, inside and not bad))
 
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, seek):
         closing, name = m[1], (m[2] or "").lower()
-        if silent and not (closing and name == silent):
+        opens = bool(name) and not closing and not m[3].rstrip().endswith("/")
+        seek = _raw_end(page, name, m.end()) if opens and name in RAW else m.end()
+        if silent == "option" and name and name != "option" and name not in INLINE:
+            silent, at = "", m.start()  # its end tag may be left out as well
+        if silent:
+            if closing and name == silent:
+                silent, at = "", m.end()
             continue
+        if head:
+            head = not page[at : m.start()].strip() and (name not in ("body", "html", "br") if closing else not name or name in HEAD)
+            if head:
+                at, head = m.end(), not (closing and name == "head")
+                if opens and name in SILENT and name != "head":
+                    silent = name
+                continue
         text(page[at : m.start()])
         at = m.end()
         if not name:
             continue
-        if silent:
-            silent = ""
-            continue
         if name in SILENT:
-            if not closing and not m[3].rstrip().endswith("/"):
+            if opens and name == "head":
+                head = True
+            elif opens:
                 silent = name
             out.append(Token(None, name, name != "button", False))
             continue
@@ -122,6 +140,28 @@ def tokens(page: str) -> tuple[list[Token], int]:
     return out, marks or mains
 
 
+def _raw_end(page: str, name: str, at: int) -> int:
+    """Where the end tag of a raw element is whose content begins at `at`, or the end of the page. In a script, one that stands in a
+    comment after a start tag of a script is not it."""
+    if name != "script":
+        end = _RAW_END[name].search(page, at)
+        return end.start() if end else len(page)
+    comment = inner = False
+    while m := _SCRIPT.search(page, at):
+        at = m.end()
+        if m[0] == "<!--":
+            comment, at = True, m.start() + 2  # <!--> is over at once
+        elif m[0] == "-->":
+            comment = inner = False
+        elif not m[1]:
+            inner = comment
+        elif not inner:
+            return m.start()
+        else:
+            inner = False
+    return len(page)
+
+
 def _close(open_: list[tuple[str, bool, bool]], name: str) -> None:
     """End the innermost open element of a name, unless another block stands between."""
     for i in range(len(open_) - 1, -1, -1):
