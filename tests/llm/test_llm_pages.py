@@ -73,6 +73,34 @@ def test_head_may_have_no_end_tag():
     assert extract("<head><title>t</title><link href=a></p><meta>", Weights()) == ""
 
 
+def test_classes_of_layout_are_no_boilerplate():
+    text = "<p>one two three</p><div class='ad-slot'><p>buy</p></div>"
+    for page in (
+        f"<body class='has-sidebar'><article>{text}</article></body>",
+        f"<body class='sidebar'><main id=comments>{text}</main></body>",
+        f"<html class='cookie-banner'><body><article class='post comments-open'>{text}</article></body></html>",
+        f"<body><article class='related'>{text}</article></body>",
+        f"<div id='main' class='no-banner'><article>{text}</article></div>",
+        f"<div class='banner'><div role='menu'><article>{text}</article></div></div>",
+        f"<main><div class='promo'><article>{text}</article></div></main>",
+        f"<div data-class='ad'><article>{text}</article></div>",
+    ):
+        found, marks = pages.tokens(page)
+        assert marks and not extract(page, Weights()).startswith("buy") and extract(page, Weights()).startswith("one two three"), page
+        assert [t.text for t in found if t.text and t.label] == ["one two three"], page
+        assert [t.text for t in found if t.text and t.kind == "p!"] == ["buy"], page
+    assert extract("<div id='main' class='no-banner'><p>one two</p></div>", Weights()) == "one two"
+    assert extract("<div class='comments-open'><p>one two</p></div>", Weights()) == "one two"
+
+
+def test_comments_and_teasers_in_articles_are_boilerplate():
+    story = "<p>one two three four five</p>"
+    for rest in ("<div id='comments'><article><p>I think</p></article></div>", "<div class='related-posts'><article><p>more</p></article></div>"):
+        for page in (f"<main>{story}{rest}</main>", f"<article>{story}</article>{rest}", f"<div class='promo'><article>{story}</article></div>{rest}"):
+            words = {t.text: t.kind for t in pages.tokens(page)[0] if t.text}
+            assert sorted(words.values()) == ["p", "p!"] and words["one two three four five"] == "p", page
+
+
 def test_tables(spark):
     raw = spark.read.parquet(f"{SF}/pages.parquet")
     weights = pages.fit(raw, 100)

@@ -4,7 +4,7 @@ A page is a row of words and tags. Every word scores above zero, by how often wo
 element belong to the article; every tag scores below zero, the more so the rarer it is inside articles. One scan
 finds the maximum-scoring subsequence, whose words are the text. The weights come from labelled pages:
 those that mark up exactly one article or main element, whose words are content unless they stand in
-an element that never is (`BOILERPLATE`, or a class of `ASIDE`). Pages without such markup are judged by the weights alone.
+an element that never is (`BOILERPLATE`, or a class of `ASIDE`; but see `_spared`). Pages without such markup are judged by the weights alone.
 
 About `SAMPLE` labelled pages are used, chosen by a hash.
 """
@@ -30,9 +30,13 @@ SILENT = frozenset("script style noscript template svg iframe object textarea ti
 RAW = frozenset("script style noscript iframe textarea title".split())
 #: Elements that can stand in a head; its end tag may be left out, so any other one ends it.
 HEAD = frozenset("base head html link meta noscript script style template title".split())
-#: Elements that are part of no article, and words in a class or id that say so.
+#: Elements that are part of no article, and words that say so as a class, id or role or as the first part of one, unless a state follows.
 BOILERPLATE = frozenset("nav aside footer form menu dialog".split())
-ASIDE = re.compile(r"(?i)(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|notice|consent|comment\w*|sidebar|menu|nav\w*|breadcrumbs?|footer|related|share|social|newsletter|subscribe|popup|modal)(?:$|[\s_-])")
+ASIDE = re.compile(
+    r"(?i)(?:^|\s)(?:ad|ads|advert[a-z]*|sponsor[a-z]*|promo[a-z]*|banner|cookie[a-z]*|notice|consent|comment[a-z]*|sidebar|menu|nav[a-z]*|breadcrumbs?|footer"
+    r"|related|share|social|newsletter|subscribe|popup|modal)"
+    r"(?![_-]+(?:open(?:ed)?|closed?|on|off|active|inactive|enabled|disabled|allowed|visible|hidden|shown|expanded|collapsed|free|less)(?:$|\s))(?:$|[\s_-])"
+)
 #: Elements that begin and end no block of text.
 INLINE = frozenset(
     "a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr img br".split()
@@ -49,7 +53,7 @@ _TOKEN = re.compile(
 )
 _RAW_END = {name: re.compile(rf"(?i)</{name}(?=[\s/>])") for name in RAW}
 _SCRIPT = re.compile(r"(?i)<!--|-->|<(/?)script(?=[\s/>])")
-_NAMED = re.compile(r"""(?i)\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+_NAMED = re.compile(r"""(?i)(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 
 
 @dataclass
@@ -77,16 +81,30 @@ class Token:
     label: bool
 
 
+@dataclass(slots=True)
+class Element:
+    """An element, by the place of its parent; `aside` if its class, id or role says boilerplate, `size` of its own text."""
+
+    name: str
+    parent: int
+    aside: bool
+    size: int = 0
+    bad: bool = False
+    inside: bool = False
+
+
 def tokens(page: str) -> tuple[list[Token], int]:
     """A page as runs of text and tags, and how many article (or else main) elements it marks."""
-    out: list[Token] = []
-    open_: list[tuple[str, bool, bool]] = []  # element, in boilerplate, in an article
+    found: list[tuple[str | None, str, bool, int]] = []  # text, kind, breaks, element
+    elements = [Element("", 0, False)]  # the first stands for the page
+    open_: list[tuple[str, int]] = []
     marks, mains, at, seek, silent, head = 0, 0, 0, 0, "", False
 
     def text(raw: str) -> None:
         if raw and not silent:
-            name, bad, inside = open_[-1] if open_ else ("", False, False)
-            out.append(Token(raw, name + "!" * bad, False, inside and not bad))
+            name, own = open_[-1] if open_ else ("", 0)
+            elements[own].size += len(raw)
+            found.append((raw, name, False, own))
 
     while m := _TOKEN.search(page, seek):
         closing, name = m[1], (m[2] or "").lower()
@@ -114,14 +132,14 @@ def tokens(page: str) -> tuple[list[Token], int]:
                 head = True
             elif opens:
                 silent = name
-            out.append(Token(None, name, name != "button", False))
+            found.append((None, name, name != "button", 0))
             continue
         if closing:
             place = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name), None)
             if place is None:
-                state = open_[-1] if open_ else (name, False, False)
+                own = open_[-1][1] if open_ else 0
             else:
-                state = open_[place]
+                own = open_[place][1]
                 del open_[place:]
         else:
             if name in _ENDS_P:
@@ -130,16 +148,54 @@ def tokens(page: str) -> tuple[list[Token], int]:
                 _close(open_, name)
             marks += name == "article"
             mains += name == "main"
-            _, bad, inside = open_[-1] if open_ else ("", False, False)
             said = " ".join("".join(x) for x in _NAMED.findall(m[3]))
-            state = (name, bad or name in BOILERPLATE or bool(said and ASIDE.search(said)), inside or name in ("article", "main"))
-            if name not in VOID and not m[3].rstrip().endswith("/"):
-                open_.append(state)
-        out.append(Token(None, name + "!" * state[1], name not in INLINE, state[2] and not state[1] and name not in ("article", "main")))
+            elements.append(Element(name, open_[-1][1] if open_ else 0, bool(said and ASIDE.search(said))))
+            own = len(elements) - 1
+            if name not in VOID and opens:
+                open_.append((name, own))
+        found.append((None, name, name not in INLINE, own))
     text(page[at:])
+    _judge(elements)
+    out = []
+    for raw, name, breaks, own in found:
+        bad, inside = elements[own].bad, elements[own].inside
+        label = inside and not bad and (raw is not None or name not in ("article", "main"))
+        out.append(Token(raw, name + "!" * bad, breaks, label))
     return out, marks or mains
 
 
+def _judge(elements: list[Element]) -> None:
+    """Say of each element whether it is in boilerplate and whether in an article; parents come before their children."""
+    spared = _spared(elements) if any(e.aside for e in elements) else set()
+    for i, e in enumerate(elements[1:], 1):
+        up = elements[e.parent]
+        e.bad = up.bad or e.name in BOILERPLATE or e.aside and i not in spared
+        e.inside = up.inside or e.name in ("article", "main")
+
+
+def _spared(elements: list[Element]) -> set[int]:
+    """Elements that are no boilerplate whatever their class says: html, body, main, articles that stand in no other one, and what holds
+    the page's longest main, or its longest article if that has half as much text (shorter ones can be comments or teasers)."""
+    size, within, out = [e.size for e in elements], [False] * len(elements), set()
+    for i in range(len(elements) - 1, 0, -1):
+        size[elements[i].parent] += size[i]
+    longest: dict[str, int] = {}
+    for i, e in enumerate(elements[1:], 1):
+        within[i] = within[e.parent] or elements[e.parent].name == "article"
+        outer = e.name == "main" or e.name == "article" and not within[i]
+        if outer and (e.name not in longest or size[i] > size[longest[e.name]]):
+            longest[e.name] = i
+        if outer or e.name in ("html", "body"):
+            out.add(i)
+    if len(longest) == 2 and 2 * size[longest["article"]] < size[longest["main"]]:
+        del longest["article"]
+    for i in longest.values():
+        while i:
+            out.add(i)
+            i = elements[i].parent
+    return out
+
+
 def _raw_end(page: str, name: str, at: int) -> int:
     """Where the end tag of a raw element is whose content begins at `at`, or the end of the page. In a script, one that stands in a
     comment after a start tag of a script is not it."""
