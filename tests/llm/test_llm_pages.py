@@ -101,6 +101,16 @@ def test_comments_and_teasers_in_articles_are_boilerplate():
             assert sorted(words.values()) == ["p", "p!"] and words["one two three four five"] == "p", page
 
 
+def test_boilerplate_inside_the_region_is_left_out():
+    long = " ".join(["word"] * 60)
+    for own in ('<div class="ad">buy <b>this</b></div>', "<aside>see also</aside>", '<form>mail <p>now</p></form>', '<section class="comments"><p>I think</p></section>'):
+        page = f"<article><p>{long}</p>{own}<p>{long}</p></article>"
+        for weights in (Weights(), pages.learn(pages.count_labels(page))):
+            assert extract(page, weights) == f"{long}\n{long}", own
+    assert extract(f"<p>{long}<span class=ad>buy</span>{long}</p>", Weights()) == f"{long} {long}"
+    assert extract(f"<p>{long}</p>in<div class=share>it</div>between<p>{long}</p>", Weights()) == f"{long}\nin\nbetween\n{long}"
+
+
 def test_tables(spark):
     raw = spark.read.parquet(f"{SF}/pages.parquet")
     weights = pages.fit(raw, 100)

@@ -254,7 +254,7 @@ def learn(counts: Counter) -> Weights:
 
 
 def extract(page: str | None, weights: Weights) -> str:
-    """The text of the best region: blocks joined by line feeds, white space inside them made one space."""
+    """The text of the best region without boilerplate in it: blocks joined by line feeds, white space inside them made one space."""
     found, _ = tokens(page or "")
     texts = [html.unescape(t.text) if t.text is not None else None for t in found]
     best, best_range, total, begin = 0.0, (0, 0), 0.0, 0
@@ -267,7 +267,7 @@ def extract(page: str | None, weights: Weights) -> str:
     blocks, line = [], []
     for t, own in zip(found[slice(*best_range)], texts[slice(*best_range)], strict=True):
         if own is not None:
-            line.append(own)
+            line.append(" " if t.kind.endswith("!") else own)
         elif t.breaks:
             blocks.append(line)
             line = []
