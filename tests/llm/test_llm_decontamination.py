@@ -71,3 +71,17 @@ def test_long_texts_are_cut_without_losing_windows(spark, monkeypatch):
 def test_clean_documents_stay(spark):
     docs, items = frames(spark, [(1, "one two three"), (2, "four five six"), (None, None)], [(1, "two three")])
     assert rows(D.without_contaminated(docs, items).select("doc_id")) == [(2,), (None,)]
+
+
+@pytest.mark.parametrize("block", [16 << 20, 12])
+def test_rows_are_judged_one_by_one(spark, monkeypatch, block):
+    monkeypatch.setattr(D, "BLOCK_BYTES", block)
+    docs = [(None, "one two three"), (None, "clean text"), (None, "clean text"), (4, "x one two"), (4, "also clean"), (4, "six five x"), (5, "five six"), (5, "five six")]
+    items = [(1, "two three"), (2, "five six"), (3, "one two")]
+    documents, benchmark = frames(spark, docs, items)
+    wide = documents.selectExpr("*", "named_struct('a', array(doc_id)) as _row", "timestamp'2020-01-01' as _text", "1 as spans")
+    clean = D.without_contaminated(wide, benchmark)
+    assert clean.dtypes == wide.dtypes
+    assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=repr) == [(4, "also clean"), (4, "six five x"), (None, "clean text"), (None, "clean text")]
+    assert rows(clean) == rows(wide.where("text like '%clean%' or text = 'six five x'"))
+    check(spark, docs, items)

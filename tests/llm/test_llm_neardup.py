@@ -75,6 +75,16 @@ def test_odd_rows(spark):
     assert sorted((r.doc_id for r in left.collect()), key=repr) == sorted([1, 2, 3, 4, None, None, 6, 8], key=repr)
 
 
+def test_texts_that_share_an_id_are_judged_one_by_one(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    docs = [(3, a), (5, a + " y"), (5, b), (5, b), (6, b + " z"), (7, c), (7, a + " w"), (None, a), (None, "u v w"), (8, c + " c"), (2, c + " d")]
+    got = [tuple(r) for r in N.near_duplicates(frame(spark, docs)).collect()]
+    wanted = [(3, 3, 3), (5, 3, 5), (5, 5, 5), (5, 5, 5), (6, 5, 6), (7, 2, 7), (7, 3, 7), (None,) * 3, (None,) * 3, (8, 2, 8), (2, 2, 2)]
+    assert sorted(got, key=repr) == sorted(wanted, key=repr)
+    left = sorted((tuple(r) for r in N.one_of_each(frame(spark, docs)).collect()), key=repr)
+    assert left == sorted([(3, a), (5, b), (5, b), (None, a), (None, "u v w"), (2, c + " d")], key=repr)
+
+
 def test_weights_count_repeats(spark):
     a, b = "u v w x y " * 3, "u v w x y " * 30
     assert classes(spark, [(1, a), (2, b)]) == {1: 1, 2: 1}

@@ -8,19 +8,21 @@ around it, word by word, so chance hits of a hash are no matches. Items shorter
 fingerprints of their own, with the grams and widths that fit their length.
 
 Items are held by every task, in blocks of at most `BLOCK_BYTES`; more of them mean more passes over the
-documents, whose results are merged for each document.
+documents, whose results are merged for each row by a key of its own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidemark.llm.arrays import Words, as_binary, buffers, grams, leftmost, reach, text_pieces
+from tidemark.llm.arrays import Words, as_binary, buffers, grams, leftmost, reach, settle, text_pieces
 
 WINDOW, GRAM = 10, 5
 #: UTF-8 bytes of items that tasks hold at once.
@@ -107,9 +109,11 @@ class Items:
 
 
 def _finder(items: Items):
+    """Adds n_words, spans and items to rows whose first column is the text, which is dropped."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in text_pieces(batch.column(1)):
+            for lo, hi, data, offsets in text_pieces(batch.column(0)):
                 words = Words(data, offsets)
                 begin, size, item = items.find(words, bytes(data).lower())
                 text = np.searchsorted(words.at, begin, "right") - 1
@@ -122,18 +126,35 @@ def _finder(items: Items):
                     names.append(sorted({items.ids[k] for k in item[own]} - {None}))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0)[lo:hi],
+                        *(batch.column(i)[lo:hi] for i in range(1, batch.num_columns)),
                         pa.array(np.diff(words.at), pa.int64()),
                         pa.array([[{"first": a, "last": b} for a, b in s] for s in spans], pa.list_(_SPAN)),
                         pa.array(names, pa.list_(pa.string())),
                     ],
-                    names=["doc_id", "n_words", "spans", "items"],
+                    names=[*batch.schema.names[1:], "n_words", "spans", "items"],
                 )
 
     return run
 
 
+def _cleaner(items: Items):
+    """Keeps the rows whose text, their first column, holds no window; the text is dropped."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in text_pieces(batch.column(0)):
+                words = Words(data, offsets)
+                begin, _, _ = items.find(words, bytes(data).lower())
+                clean = np.ones(hi - lo, bool)
+                clean[np.searchsorted(words.at, begin, "right") - 1] = False
+                rows = [batch.column(i)[lo:hi].filter(pa.array(clean)) for i in range(1, batch.num_columns)]
+                yield pa.RecordBatch.from_arrays(rows, names=batch.schema.names[1:])
+
+    return run
+
+
 _SPAN = pa.struct([("first", pa.int64()), ("last", pa.int64())])
+SPAN = "struct<first: bigint, last: bigint>"
 
 
 def _union(begin: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
@@ -165,26 +186,24 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row for each document: doc_id, n_words, spans (runs of hit words: first, last + 1) and items (ids found, as strings).
 
     A missing text has no words, a missing item text no windows. A missing item id still makes hits but is not listed.
-    doc_id is only passed on; rows that repeat one are merged if there are several blocks of items, and must then have the
-    same text. Other columns are ignored.
+    doc_id is only passed on, so missing and repeated ones are kept. Other columns are ignored.
     """
     reach(documents.sparkSession)
-    docs, kind = documents.select("doc_id", "text"), dict(documents.dtypes)["doc_id"]
-    span = "struct<first: bigint, last: bigint>"
-    schema = f"doc_id {kind}, n_words long, spans array<{span}>, items array<string>"
-    passes = [docs.mapInArrow(_finder(Items(*block)), schema) for block in _blocks(benchmark)]
-    if len(passes) == 1:
-        return passes[0]
-    merged = passes[0]
-    for p in passes[1:]:
-        merged = merged.unionByName(p)
-    merged = merged.groupBy("doc_id", "n_words").agg(
+    docs, kind, found = documents.select("text", "doc_id"), dict(documents.dtypes)["doc_id"], f"n_words long, spans array<{SPAN}>, items array<string>"
+    blocks = list(_blocks(benchmark))
+    if len(blocks) == 1:
+        return docs.mapInArrow(_finder(Items(*blocks[0])), f"doc_id {kind}, {found}")
+    docs = settle(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    merged = _passes(docs, blocks, f"doc_id {kind}, _row long, {found}")
+    merged = merged.groupBy("_row").agg(
+        F.first("doc_id").alias("doc_id"),
+        F.first("n_words").alias("n_words"),
         F.flatten(F.collect_list("spans")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
     joined = F.aggregate(
         F.array_sort("spans"),
-        F.array().cast(f"array<{span}>"),
+        F.array().cast(f"array<{SPAN}>"),
         lambda done, s: F.when(
             (F.size(done) > 0) & (s["first"] <= F.element_at(done, -1)["last"]),
             F.concat(
@@ -198,7 +217,12 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
             ),
         ).otherwise(F.concat(done, F.array(s))),
     )
-    return merged.withColumn("spans", joined)
+    return merged.drop("_row").withColumn("spans", joined)
+
+
+def _passes(docs: DataFrame, blocks: list[tuple[list[str | None], list[str | None]]], schema: str) -> DataFrame:
+    """What each block of items finds in each of the rows."""
+    return reduce(DataFrame.unionByName, (docs.mapInArrow(_finder(Items(*b)), schema) for b in blocks))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -217,7 +241,15 @@ def digest(found: DataFrame) -> DataFrame:
 def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no window of the benchmark, with all their columns.
 
-    A row whose doc_id is missing is judged like any other: rows with no id share their verdict.
+    Every row is judged by its own text, whatever its doc_id.
     """
-    bad = contamination(documents, benchmark).where(F.size("spans") > 0).select(F.col("doc_id").alias("_bad")).distinct()
-    return documents.join(bad, documents["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    reach(documents.sparkSession)
+    names, blocks = documents.columns, list(_blocks(benchmark))
+    rows = documents.select(documents["text"].alias("_text"), *(documents[c].alias(f"_c{i}") for i, c in enumerate(names)))
+    if len(blocks) == 1:
+        clean = rows.mapInArrow(_cleaner(Items(*blocks[0])), StructType(rows.schema.fields[1:]))
+    else:
+        rows = settle(rows.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+        found = _passes(rows.select("_text", "_row"), blocks, f"_row long, n_words long, spans array<{SPAN}>, items array<string>")
+        clean = rows.join(found.where(F.size("spans") > 0).select("_row").distinct(), "_row", "left_anti")
+    return clean.select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(names)))

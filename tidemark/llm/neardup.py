@@ -121,11 +121,12 @@ def _signer(counts: bool):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[lo:hi],
+                        batch.column(2)[lo:hi],
                         *(pa.array(k.view(np.int64)) for k in keys),
                         pa.array(np.bincount(text, weight, minlength=hi - lo).astype(np.int64)),
                         pa.array(list(bands.view(np.int64)), pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "k1", "k2", "n", "bands"],
+                    names=["doc_id", "print", "k1", "k2", "n", "bands"],
                 )
 
     return run
@@ -253,16 +254,24 @@ def near_duplicates(documents: DataFrame, counts: bool = False) -> DataFrame:
 
     Classes are connected by links of similarity `SIMILAR` or more on different shingles (with `counts`, each weighted by how often it
     occurs). A text without words is like no other, and a row without doc_id has no class. Rows that repeat a doc_id are all kept; if
-    their texts differ, each has the class of its own text, and its words are those that the id stands for. Other
-    columns are ignored.
+    their texts differ, each has the class of its own text. Other columns are ignored.
     """
+    return _classified(documents, counts).drop("print")
+
+
+def _classified(documents: DataFrame, counts: bool = False) -> DataFrame:
+    """The rows of `near_duplicates` with `print`, a hash that tells the texts of one doc_id apart."""
     spark = documents.sparkSession
     reach(spark)
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, k1 long, k2 long, n long, bands array<long>"
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("print"))
+    schema = "doc_id long, print long, k1 long, k2 long, n long, bands array<long>"
     signed = settle(rows.mapInArrow(_signer(counts), schema), "signed")
     texts = signed.where("n > 0 and doc_id is not null").groupBy("k1", "k2")
-    texts = settle(texts.agg(F.min("doc_id").alias("text_id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "texts")
+    texts = texts.agg(F.min(F.struct("doc_id", "print")).alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    texts = settle(texts.select("k1", "k2", "least.*", "n", "bands", F.monotonically_increasing_id().alias("nth")), "texts")
+    # texts go by their smallest doc_id; only if one stands for several texts, they are numbered
+    numbered = not texts.groupBy("doc_id").count().where("count > 1").isEmpty()
+    texts = texts.withColumn("text_id", F.col("nth" if numbered else "doc_id"))
     sizes = texts.groupBy("text_id").agg(F.max("n").alias("n"))
     banded = texts.select("text_id", F.explode("bands").alias("h"))
     full = banded.groupBy("h").agg(F.count("*").alias("many")).where("many > 1")
@@ -271,8 +280,8 @@ def near_duplicates(documents: DataFrame, counts: bool = False) -> DataFrame:
     best = F.max(F.struct("weight", (-F.col("text_id")).alias("least")))
     pivots = held.join(weights, "text_id").groupBy("h").agg((-best["least"]).alias("pivot"))
     buckets = settle(held.join(pivots, "h").select("h", "text_id", "pivot"), "buckets")
-    needed = buckets.select("text_id").distinct()
-    words = rows.join(needed, rows["doc_id"] == needed["text_id"]).select("text_id", "text")
+    needed = texts.select("text_id", "doc_id", "print").join(buckets.select("text_id").distinct(), "text_id")
+    words = rows.join(needed, ["doc_id", "print"]).select("text_id", "text")
     sets = settle(words.mapInArrow(_setter(counts), "text_id long, shingles binary, weights binary"), "sets")
     sets = sets.dropDuplicates(["text_id"])
     near = buckets.where("text_id <> pivot").select(F.col("text_id").alias("a"), F.col("pivot").alias("b")).distinct()
@@ -282,15 +291,22 @@ def near_duplicates(documents: DataFrame, counts: bool = False) -> DataFrame:
     more = compare(_across(buckets, compared, labels, sizes, sets, counts), sets).where(F.col("similar") >= SIMILAR)
     if not more.isEmpty():
         labels = components(links.union(more))
-    classes = texts.select("k1", "k2", "text_id").join(labels.withColumnRenamed("node", "text_id"), "text_id", "left")
-    classes = classes.select("k1", "k2", "text_id", F.coalesce("least", "text_id").alias("class_id"))
-    found = signed.select("doc_id", "k1", "k2", (F.col("n") > 0).alias("filled")).join(classes, ["k1", "k2"], "left")
+    classes = texts.select("k1", "k2", "doc_id", "text_id").join(labels.withColumnRenamed("node", "text_id"), "text_id", "left")
+    classes = classes.select("k1", "k2", F.col("doc_id").alias("text_id"), F.coalesce("least", "text_id").alias("class_id"))
+    if numbered:
+        least = classes.groupBy("class_id").agg(F.min("text_id").alias("least"))
+        classes = classes.join(least, "class_id").select("k1", "k2", "text_id", F.col("least").alias("class_id"))
+    found = signed.select("doc_id", "print", "k1", "k2", (F.col("n") > 0).alias("filled")).join(classes, ["k1", "k2"], "left")
     alone = F.col("doc_id").isNull() | ~F.col("filled")
     own = lambda c: F.when(alone, F.col("doc_id")).otherwise(F.col(c)).alias(c)
-    return found.select("doc_id", own("class_id"), own("text_id"))
+    return found.select("doc_id", own("class_id"), own("text_id"), "print")
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
-    """The documents, with all their columns, whose doc_id is the smallest of its near-duplicates (or missing)."""
-    gone = near_duplicates(documents).where("class_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, documents["doc_id"] == gone["_gone"], "left_anti")
+    """The documents, with all their columns, whose doc_id is the smallest of its near-duplicates (or missing).
+
+    Rows that share a doc_id but not a text are judged one by one.
+    """
+    gone = _classified(documents).where("class_id <> doc_id").select(F.col("doc_id").alias("_gone"), F.col("print").alias("_print")).distinct()
+    same = (documents["doc_id"] == gone["_gone"]) & (F.xxhash64(documents["text"]) == gone["_print"])
+    return documents.join(gone, same, "left_anti")
