@@ -121,3 +121,19 @@ def test_odd_texts_have_scores(spark):
     scored = quality.scores(docs.selectExpr("*", "1 as score", "2 as label"), quality.fit(docs, labels)).collect()
     assert len(scored) == 6 and all(0 <= r.score <= 1 for r in scored)
     assert quality.scores(frame(spark, []), None).collect() == []
+
+
+def test_copies_neither_fill_nor_empty_the_sample(spark):
+    """Whatever the hash of a text with many copies, it is at most one example, and its language still gets its part."""
+    sizes = {}
+    train = language.train
+    for copied in ("abc", "abd", "xyz xyz", "hello"):
+        rows = [("x", copied)] * 3000 + [("x", f"{copied} {i}") for i in range(30)] + [("y", f"mno {i}") for i in range(300)]
+        seen = []
+        language.train = lambda r, names: seen.append(names) or train(r[:50], names[:50])  # noqa: B023
+        try:
+            language.fit(spark.createDataFrame(rows, "lang string, text string"), sample=100)
+        finally:
+            language.train = train
+        sizes[copied] = seen[0].count("x"), seen[0].count("y")
+    assert all(20 < x <= 31 and 20 < y <= 80 and x + y <= 100 for x, y in sizes.values()), sizes

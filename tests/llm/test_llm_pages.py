@@ -125,3 +125,12 @@ def test_tables(spark):
     assert sorted((r.text, r.n_chars) for r in rows) == [("", 0), ("", 0), ("x", 1)]
     none = raw.limit(0)
     assert pages.fit(none) == Weights() and pages.extracted(none, Weights()).collect() == []
+
+
+def test_rare_kinds_lose_both_sides_together(spark, monkeypatch):
+    monkeypatch.setattr(pages, "KINDS", 3)
+    html = "<p>out</p><article>" + "<p>in in in</p>" * 5 + "<em>rare</em></article><em>more</em>"
+    weights = pages.fit(spark.createDataFrame([(html,)], "html string"))
+    whole = pages.learn(pages.count_labels(html))
+    assert weights.word == {"p": whole.word["p"]} and weights.word["p"] < 1
+    assert all(whole.tag[k] == v for k, v in weights.tag.items())

@@ -5,7 +5,7 @@ decoding sums, for each codeword, the logistic losses of its bits, each weighted
 its training rows, and takes the codeword of least loss. A text whose two best codewords are about as near is
 flagged as ambiguous.
 
-Training takes about `SAMPLE` rows in all, in equal parts for the languages, chosen by a hash of the text.
+Training takes at most `SAMPLE` different texts in all, in about equal parts for the languages, chosen by a hash of the text.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import SPREAD, U64, arrow_schema, as_binary, buffers, byte_table, mix, pieces, reach
 
-#: Rows that training takes in all, about.
+#: Different texts that training takes in all, at most.
 SAMPLE = 4000
 #: Hashed n-grams of 1 to 3 bytes of letters.
 FEATURES, ORDERS = 2048, (1, 2, 3)
@@ -124,21 +124,26 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi in pieces(at):
             rows = features(data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]).astype(np.float16)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0)[lo:hi], pa.array([r.tobytes() for r in rows], pa.binary())], names=["lang", "row"]
+                [batch.column(0)[lo:hi], pa.array([r.tobytes() for r in rows], pa.binary()), batch.column(2)[lo:hi]], names=["lang", "row", "place"]
             )
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """Learn from rows (lang, text); rows without a lang or a text are no examples. None if nothing is left."""
+    """Learn from rows (lang, text), copies of a row counting once; rows without a lang or a text are no examples. None if nothing
+    is left."""
     reach(labelled.sparkSession)
-    known = labelled.select("lang", "text").where("lang is not null and text is not null and text != ''")
-    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    known = labelled.select("lang", "text", F.xxhash64("text").alias("print")).where("lang is not null and text is not null and text != ''")
+    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.countDistinct("print").alias("n")).collect()}
     if not counts:
         return None
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, sample / len(counts) / n)])
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = known.where(place < share[F.col("lang")]) if sum(counts.values()) > sample else known
-    got = chosen.mapInArrow(_sampled, "lang string, row binary").collect()
+    # of a uniform hash, so places below 1 are the wanted number of each language
+    place = F.pmod("print", F.lit(1 << 30)) / F.lit(float(1 << 30)) / share[F.col("lang")]
+    chosen = known.select("lang", "text", place.alias("place"))
+    if sum(counts.values()) > sample:
+        chosen = chosen.where("place < 1")
+    rows = chosen.distinct().mapInArrow(_sampled, "lang string, row binary, place double")
+    got = rows.orderBy("place", "lang", "row").limit(sample).collect()
     if not got:
         return None
     return train(np.stack([np.frombuffer(r.row, np.float16) for r in got]).astype(float), [r.lang for r in got])

@@ -302,8 +302,9 @@ def fit(pages: DataFrame, sample: int = SAMPLE) -> Weights:
     if n > sample:
         marked = marked.where(F.pmod(F.xxhash64("html"), F.lit(1 << 30)) < F.lit(int((1 << 30) * sample / n)))
     counted = marked.mapInArrow(_counter, "what string, kind string, inside long, n long")
-    rows = counted.groupBy("what", "kind", "inside").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "what", "kind", "inside").limit(KINDS)
-    return learn(Counter({(r.what, r.kind, r.inside): r.n for r in rows.collect()}))
+    sides = [F.sum(F.when(F.col("inside") == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in (0, 1)]
+    rows = counted.groupBy("what", "kind").agg(*sides).orderBy(F.desc(F.expr("n0 + n1")), "what", "kind").limit(KINDS)
+    return learn(Counter({(r.what, r.kind, i): n for r in rows.collect() for i, n in enumerate((r.n0, r.n1)) if n}))
 
 
 def _extractor(weights: Weights):
