@@ -16,6 +16,7 @@ from tidemark.llm import (
     neardup,
     packing,
     pages,
+    prefixtree,
     quality,
     worddedup,
 )
@@ -98,6 +99,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return worddedup.digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtree.prefix_tree(table(spark, sf_dir, "conversations")).drop("nx", "ny")
+
+
+def crc32_sql(text: str) -> str:
+    """The CRC-32 of an ASCII text, bit by bit, as DuckDB has no function for it."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    bit = "CASE WHEN b >= 0 THEN xor(a, b) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {steps}), lambda a, b: {bit}), 4294967295)"
+
+
 ORACLES["op9_exact_top_k"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
@@ -112,3 +125,31 @@ WITH v AS (
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY rank <= 5
 """
+
+ORACLES["op11_prefix_trie"] = f"""
+WITH own AS (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (
+  SELECT conv_id, turns, {crc32_sql("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM own
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns[:c.h], []), c.turns[c.h + 1:]) AS turns
+  FROM h c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100
+), members AS (
+  SELECT conv_id, turns[:d] AS path, d, len(turns) AS n FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT path, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+  FROM members GROUP BY path
+), counted AS (
+  SELECT n.*, (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.path[:n.depth] = n.path) AS n_children,
+    CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(path[depth].text) END AS saved
+  FROM nodes n
+), above AS (
+  SELECT path[:d] AS path, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM counted) GROUP BY 1
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, a.n_leaves,
+  CAST(a.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM counted n JOIN above a USING (path) LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.path = n.path[:n.depth - 1]
+"""
