@@ -1,0 +1,155 @@
+import hashlib
+import random
+import re
+import zlib
+from functools import cache
+
+import duckdb
+import pytest
+from conftest import rows
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidemark.llm import repair
+from tidemark.llm.queries import ORACLES
+from tidemark.llm.repair import repaired
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+FINAL = re.compile(r"(s?(ua)+)?")
+
+
+def lightest(symbols):
+    """The least (cost, audit) by trying every edit of every row, and up to three inserted turns before each, from the back."""
+
+    @cache
+    def rest(i, made):
+        # what was made so far matters by its last turn only
+        found = []
+        for inserted in ("", "u", "a", "ua", "au", "uau", "aua"):
+            now = made + inserted
+            if not viable(now):
+                continue
+            cost, audit = 2 * len(inserted), "I" * len(inserted)
+            if i == len(symbols):
+                if FINAL.fullmatch(now):
+                    found.append((cost, audit))
+                continue
+            role, fault = symbols[i]
+            options = [(3, "D", now)]
+            if fault not in ("blank", "duplicate"):
+                late = fault == "truncated"
+                options += [(late, "K", now + role), *[(2 + late, "R", now + r) for r in "ua"]]
+            for more, edit, then in options:
+                if viable(then) and (tail := rest(i + 1, short(then))) is not None:
+                    found.append((cost + more + tail[0], audit + edit + tail[1]))
+        return min(found, default=None)
+
+    def viable(made):
+        return re.fullmatch(r"(s?(ua)*u?)", made) is not None
+
+    def short(made):
+        return made if len(made) < 3 else made[:1].replace("u", "") + ("u" if made.endswith("u") else "ua")
+
+    return rest(0, "")
+
+
+def apply(rows_, audit):
+    """The text that the edits of an audit make."""
+    out, at = [], 0
+    for edit in audit:
+        need = "assistant" if out and out[-1][0][:1] == "u" else "user"
+        if edit == "I":
+            out.append((need, ""))
+        else:
+            role, text = rows_[at]
+            at += 1
+            out += {"K": [(role, text)], "R": [(need, text)], "D": []}[edit]
+    assert at == len(rows_) and FINAL.fullmatch("".join(r[:1] for r, _ in out))
+    return "\n".join(f"{r}:{t}" for r, t in out)
+
+
+def plain(turns):
+    convs = {c: [] for c, *_ in turns}
+    for c, turn, role, text in turns:
+        role, text = (" " if x is None else x for x in (role, text))
+        fate = zlib.crc32(f"{' ' if c is None else c}:{' ' if turn is None else turn}".encode()) % 20
+        text = "" if fate == 1 else re.sub("[.!?]", "", text) if fate == 2 else text
+        key = hashlib.md5(f"{len(role)}:{role}{text}".encode()).digest()
+        if fate == 4:
+            role = "user"
+            key = hashlib.md5(f"{len(role)}:{role}{text}".encode()).digest()
+        convs[c] += [(turn is not None, turn or 0, key, role, text)] * {0: 0, 3: 2}.get(fate, 1)
+    out = []
+    for c, held in convs.items():
+        held.sort()
+        known = {t for ok, t, *_ in held if ok}
+        gaps = max(known) - min(known) + 1 - len(known) if known else 0
+        own = [(role, text) for *_, role, text in held]
+        symbols = []
+        for i, (role, text) in enumerate(own):
+            bare = text.strip(" \t\n\v\f\r")
+            fault = "blank" if not bare else "duplicate" if (role, text) in own[:i] else "" if bare[-1] in ".!?" else "truncated"
+            symbols.append((role[:1] if role[:1] in ("s", "u", "a") else "?", fault))
+        pairs = [a[0][:1] + b[0][:1] for a, b in zip(own, own[1:], strict=False)]
+        faults = [sum(f == name for _, f in symbols) for name in ("blank", "duplicate", "truncated")]
+        cost, audit = lightest(tuple(symbols))
+        digest = hashlib.sha256(apply(own, audit).encode()).hexdigest()
+        out.append((c, gaps, *faults, sum(p not in ("su", "ua", "au") for p in pairs), int(cost), audit, digest))
+    return sorted(out, key=repr)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("sua?"), st.sampled_from(repair.FAULTS)), max_size=9))
+def test_agenda_finds_the_lightest_repair(symbols):
+    coded = bytes(4 * repair.FAULTS.index(f) + repair.ROLES.index(r) for r, f in symbols)
+    assert repair.repair(coded) == lightest(tuple(symbols))
+
+
+@pytest.mark.parametrize("span", [1, 3, 7])
+def test_spans_change_nothing(span, monkeypatch):
+    monkeypatch.setattr(repair, "SPAN", span)
+    for seed in range(200):
+        some = random.Random(seed)
+        symbols = [(some.choice("suaa?uu"), some.choice(repair.FAULTS)) for _ in range(some.randrange(25))]
+        coded = bytes(4 * repair.FAULTS.index(f) + repair.ROLES.index(r) for r, f in symbols)
+        assert repair.repair(coded) == lightest(tuple(symbols))
+
+
+def test_long_conversations_take_time_in_proportion():
+    coded = bytes(random.Random(1).choices(range(16), k=100_000))
+    cost, audit = repair.repair(coded)
+    assert len(audit) - audit.count("I") == len(coded) and cost > 0
+
+
+def test_odd_rows(spark):
+    some = random.Random(5)
+    roles, texts = ["system", "user", "assistant", "tool", "", None, "ü", "userish"], ["Yes.", "no", " \n", "", None, "Why?  ", "é👍!", ".\t x"]
+    turns = [(c, some.choice([None, *range(-2, 9)]), some.choice(roles), some.choice(texts)) for c in [None, *range(60)] for _ in range(c or 9) if _ < 9]
+    turns += [(100, t, "user" if t % 2 else "assistant", f"t{t}.") for t in range(300)]
+    turns += [(101, 4, "user", "x" * 300_000 + "."), (102, 2**62, "user", "a."), (102, -(2**62), "user", "b."), *[(103, 1, "user", "same.")] * 40]
+    turns += [(c, 0, "user", "gone?") for c in range(1000, 1060)]  # some lose their only row
+    got = rows(repaired(spark.createDataFrame(turns, SCHEMA)))
+    assert got == plain(turns)
+    assert any(r[7] == "" and r[8] == hashlib.sha256().hexdigest() for r in got)
+
+
+def test_a_conversation_spread_over_tasks(spark):
+    turns = [(7, t // 2, "user" if t % 2 else "assistant", f"t{t}." if t % 5 else "same") for t in range(600)] + [(8, 0, "user", "a.")]
+    whole = rows(repaired(spark.createDataFrame(turns, SCHEMA)))
+    assert whole == plain(turns)
+
+
+def test_empty_table_and_other_columns(spark):
+    assert rows(repaired(spark.createDataFrame([], SCHEMA))) == []
+    extra = spark.createDataFrame([(1, 0, "user", "a.", 7, b"x", 9)], SCHEMA + ", id long, copies binary, rows long")
+    assert rows(repaired(extra)) == plain([(1, 0, "user", "a.")])
+
+
+def test_given_conversations_and_sql(spark):
+    path = "/root/testdata/sf0.01/conversations.parquet"
+    df = spark.read.parquet(path).select("conv_id", "turn", "role", "text")
+    got = rows(repaired(df))
+    assert got == plain([tuple(r) for r in df.collect()])
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{path}'")
+    assert sorted(con.execute(ORACLES["op12_structure_repair"]).fetchall(), key=repr) == got

@@ -18,6 +18,7 @@ from tidemark.llm import (
     pages,
     prefixtree,
     quality,
+    repair,
     worddedup,
 )
 
@@ -104,6 +105,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixtree.prefix_tree(table(spark, sf_dir, "conversations")).drop("nx", "ny")
 
 
+@query
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired(table(spark, sf_dir, "conversations"))
+
+
 def crc32_sql(text: str) -> str:
     """The CRC-32 of an ASCII text, bit by bit, as DuckDB has no function for it."""
     steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
@@ -153,3 +159,71 @@ SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id,
   CAST(a.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
 FROM counted n JOIN above a USING (path) LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.path = n.path[:n.depth - 1]
 """
+
+
+def _step(item: str, cost: int, edit: str, role: str = "", text: str = "''") -> str:
+    """An item of the repair after an edit; `role` is the SQL of the role that comes out, if a turn does."""
+    out = f" || chr(10) || {role} || ':' || {text}" if role else ""
+    return f"CASE WHEN {item} IS NOT NULL THEN {{'c': {item}.c + {cost}, 'a': {item}.a || '{edit}', 't': {item}.t{out}}} END"
+
+
+def _least(*items: str) -> str:
+    return f"list_sort(list_filter([{', '.join(items)}], lambda z: z IS NOT NULL))[1]"
+
+
+def _edited(item: str, edit: str, role: str, when: str) -> str:
+    """A row kept or given another role, where its fault allows it."""
+    cost = 0 if edit == "K" else 2
+    plain, cut = (_step(item, cost + more, edit, role, "text") for more in (0, 1))
+    return f"CASE WHEN {when} AND fault = 0 THEN {plain} WHEN {when} AND fault = 3 THEN {cut} END"
+
+
+def _repair_sql() -> str:
+    """Items n, s, u, x: none, a system, a user's, an assistant's turn came last; after each row turns may be inserted."""
+    into_user = [_edited(q, "K", "role", "ini = 'u'") for q in "nsx"] + [_edited(q, "R", "'user'", "true") for q in "nsx"]
+    into_last = [_edited("u", "K", "role", "ini = 'a'"), _edited("u", "R", "'assistant'", "true")]
+    to_user = _least("u", *[_step(q, 2, "I", "'user'") for q in "nsx"])
+    return f"""
+WITH RECURSIVE fated AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc32_sql("concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS fate
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM fated WHERE fate <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text), copy) AS i FROM damaged
+), faulty AS (
+  SELECT *, substr(role, 1, 1) AS ini,
+    CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 1
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+      WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 3 ELSE 0 END AS fault,
+    concat(lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i), substr(role, 1, 1)) AS pair
+  FROM placed
+), convs AS (
+  SELECT conv_id, count(i) AS m, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+    count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN faulty USING (conv_id) GROUP BY conv_id
+), items AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'c': 0, 'a': '', 't': ''}} AS n, CAST(NULL AS STRUCT(c INTEGER, a VARCHAR, t VARCHAR)) AS s,
+    {{'c': 2, 'a': 'I', 't': chr(10) || 'user:'}} AS u, {{'c': 4, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS x
+  FROM convs
+  UNION ALL
+  SELECT conv_id, i, n, s, u, {_least("x", _step("u", 2, "I", "'assistant'"))} AS x FROM (
+    SELECT conv_id, i, n, s, {to_user} AS u, x FROM (
+      SELECT conv_id, i, {_step("n", 3, "D")} AS n, {_least(_step("s", 3, "D"), _edited("n", "K", "role", "ini = 's'"))} AS s,
+        {_least(_step("u", 3, "D"), *into_user)} AS u, {_least(_step("x", 3, "D"), *into_last)} AS x
+      FROM (SELECT f.conv_id, f.i, f.role, f.text, f.ini, f.fault, q.n, q.s, q.u, q.x FROM items q JOIN faulty f ON f.conv_id = q.conv_id AND f.i = q.i + 1)
+    )
+  )
+)
+SELECT c.conv_id, c.gaps, c.blank, c.duplicate, c.truncated, c.illegal, CAST(best.c AS BIGINT) AS cost, best.a AS audit,
+  sha256(substr(best.t, 2)) AS repaired_sha256
+FROM (SELECT conv_id, i, {_least("n", "x")} AS best FROM items) q JOIN convs c ON c.conv_id = q.conv_id AND c.m = q.i
+"""
+
+
+ORACLES["op12_structure_repair"] = _repair_sql()
