@@ -11,6 +11,7 @@ from tidemark.llm import (
     bytededup,
     decontamination,
     idfiles,
+    jaccard,
     language,
     nearest,
     neardup,
@@ -110,6 +111,11 @@ def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repaired(table(spark, sf_dir, "conversations"))
 
 
+@query
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def crc32_sql(text: str) -> str:
     """The CRC-32 of an ASCII text, bit by bit, as DuckDB has no function for it."""
     steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
@@ -227,3 +233,24 @@ FROM (SELECT conv_id, i, {_least("n", "x")} AS best FROM items) q JOIN convs c O
 
 
 ORACLES["op12_structure_repair"] = _repair_sql()
+
+ORACLES["op13_ngram_jaccard_join"] = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM worded
+), grams AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))
+), reached AS (
+  SELECT doc_id AS node, doc_id AS other FROM sets
+  UNION SELECT r.node, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.component_id
+FROM sets s JOIN (SELECT node, min(other) AS component_id FROM reached GROUP BY node) r ON r.node = s.doc_id
+"""
