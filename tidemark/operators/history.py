@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import or_fail
 from tidemark.operators.joins import settle
 from tidemark.operators.scd2 import ACTIVE, CLOSED, EmptyListingError
-from tidemark.schemas import TRACKER_COLUMNS
+from tidemark.schemas import CHANGES, TRACKER_COLUMNS
 from tidemark.sinks.tables import checked_run_time
 
 # Runs per window. A file's listed runs are cut into chunks of this length.
 CHUNK_RUNS = 4096
+# Statuses of rows that spoil a listing.
+UNFIT = ("a file has no name", "file listed more than once")
 
 
 def run_calendar(runs: DataFrame) -> DataFrame:
@@ -73,6 +75,51 @@ def replay(
     )
 
 
+def backlog_changes(active: DataFrame, listings: DataFrame, runs: list[str]) -> DataFrame:
+    """The change feeds that applying some listings in turn would give, on top of a tracker's active versions.
+
+    `listings` has the listing columns and `run_ts`; `runs` names them in order, also those without rows, and rows of other runs are
+    left out. Each version that is active beforehand is a spell that is open before the first run. One shuffle by file; a file has at most a row
+    for each run, and one more. A listing that names a file twice, or a file without a name, gives rows of the statuses in `UNFIT`; then
+    the feeds are of use only without that run.
+    """
+    ordinals = F.array(*[F.lit(r) for r in runs])
+    known = listings.where(F.col("run_ts").isin(runs)).select(
+        "file_name", "file_timestamp", "full_url", "run_ts", (F.array_position(ordinals, F.col("run_ts")) - 1).alias("ord")
+    )
+    before = active.select("file_name", "file_timestamp", "full_url", F.col("start_timestamp").alias("run_ts"), F.lit(-1).cast("long").alias("ord"))
+    in_order = Window.partitionBy("file_name").orderBy("ord")
+    joined = F.coalesce(F.lag("ord").over(in_order) == F.col("ord") - 1, F.lit(False))
+    rows = known.unionByName(before).withColumns(
+        {"joined": joined, "same": _same_version(F.lag, in_order, -1), "until": F.lead("ord").over(in_order)}
+    )
+    opens = ~F.col("same") | (F.col("ord") < 0)
+    rows = rows.withColumn("start", F.last(F.when(opens, F.col("run_ts")), ignorenulls=True).over(in_order))
+    old = {f"old_{c}": F.when(F.col("joined"), F.lag(c).over(in_order)) for c in ("file_timestamp", "full_url", "start")}
+    rows = rows.withColumns(old)
+    again = F.coalesce(F.lag("ord").over(in_order) == F.col("ord"), F.lit(False))
+    rows = rows.withColumn("unfit", F.when(F.col("file_name").isNull(), UNFIT[0]).when(again, UNFIT[1]))
+    opened = F.when(
+        F.col("unfit").isNotNull() | ~F.col("same") & (F.col("ord") >= 0),
+        _change(
+            F.coalesce("unfit", F.when(F.col("joined"), "changed").otherwise("new")),
+            *[F.col(c) for c in ("file_timestamp", "full_url", "old_file_timestamp", "old_full_url", "old_start", "run_ts")],
+        ),
+    )
+    # a file that the next run does not list leaves in it
+    next_run = F.get(ordinals, (F.col("ord") + 1).cast("int"))
+    leaves = (F.coalesce("until", F.lit(len(runs))) > F.col("ord") + 1) & next_run.isNotNull()
+    missing = F.lit(None).cast("string")
+    left = F.when(
+        leaves, _change(F.lit("removed"), missing, missing, *[F.col(c) for c in ("file_timestamp", "full_url", "start")], next_run)
+    )
+    return rows.select("file_name", F.inline(F.array_compact(F.array(opened, left)))).select(CHANGES.names)
+
+
+def _change(*values: Column) -> Column:
+    return F.struct(*[v.alias(n) for v, n in zip(values, CHANGES.names[1:], strict=True)])
+
+
 def _refuse_empty_runs(history: DataFrame, calendar: DataFrame) -> None:
     listed = history.select("run_ts").distinct().withColumn("_listed", F.lit(True))
     seen = calendar.join(listed, "run_ts", "left")

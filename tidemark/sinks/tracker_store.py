@@ -6,6 +6,7 @@ Layout under one folder, all parquet:
   history is only ever appended.
 - `active/<id>`: the active versions after a run that changed something.
 - `refused`: one row per listing that was not applied, with the reason.
+- `unreadable/batch=<n>`: pages and entries that a stream could not read.
 - `log`: one row per finished run. A run counts once its row is there; what a failed run
   left behind is not read, and running it again overwrites it.
 """
@@ -13,11 +14,13 @@ Layout under one folder, all parquet:
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.history import UNFIT, backlog_changes
 from tidemark.operators.joins import settle
 from tidemark.operators.scd2 import (
     CLOSED,
@@ -35,6 +38,10 @@ from tidemark.schemas import CHANGES, TRACKER
 from tidemark.sinks.tables import checked_run_time, empty_folder, read_if_exists, run_id
 
 REFUSED = T.StructType([T.StructField(n, T.StringType()) for n in ("run_ts", "reason")])
+UNREADABLE = T.StructType(
+    [T.StructField("run_ts", T.StringType()), *[T.StructField(n, T.LongType()) for n in ("page", "pages")]]
+    + [T.StructField(n, T.StringType()) for n in ("page_url", "problem")]
+)
 LOG = T.StructType([T.StructField(n, T.StringType()) for n in ("run_ts", "run", "active_run")])
 CHANGES_BY_RUN = T.StructType([*CHANGES.fields, T.StructField("run", T.StringType())])
 
@@ -58,7 +65,19 @@ class TrackerStore:
     def refuse(self, run_ts: str, reason: str) -> None:
         """Put on record that a listing was not applied."""
         row = self.spark.range(0, 1, 1, 1).select(F.lit(run_ts).alias("run_ts"), F.lit(reason).alias("reason"))
-        row.write.mode("append").parquet(f"{self.path}/refused")
+        self.refuse_all(row)
+
+    def refuse_all(self, listings: DataFrame) -> None:
+        """The same for rows of (run_ts, reason), in one write."""
+        listings.select(REFUSED.names).write.mode("append").parquet(f"{self.path}/refused")
+
+    def unreadable(self) -> DataFrame:
+        """Landed pages, or entries of them, that could not be read: where they are and why."""
+        return read_if_exists(self.spark, f"{self.path}/unreadable", UNREADABLE).select(UNREADABLE.names).distinct()
+
+    def keep_unreadable(self, pages: DataFrame, batch: int) -> None:
+        """Put what could not be read aside; a batch that comes again replaces its own rows."""
+        pages.select(UNREADABLE.names).write.mode("overwrite").parquet(f"{self.path}/unreadable/batch={batch}")
 
     def last_run(self) -> Row | None:
         return self.log().orderBy(F.desc("run_ts")).first()
@@ -132,16 +151,92 @@ class TrackerStore:
         feed = self.feed(run_ts)
         if not per_status:
             if last is not None:
-                self._finish(run_ts, last.active_run)
+                self._finish([run_ts], last.active_run)
             return feed
 
         if land is not None:
             land(feed, run_ts)
         stayed = active.join(feed.select("file_name"), "file_name", "left_anti")
         self._write_active(stayed.unionByName(opened_versions(feed)), run_ts)
-        self._finish(run_ts, run)
+        self._finish([run_ts], run)
         return feed
 
+    def apply_backlog(
+        self, listings: DataFrame, runs: list[str], land: Callable[[DataFrame, str], None] | None = None
+    ) -> dict[str, str]:
+        """Apply several full listings in one pass; equals applying them one after another.
+
+        `listings` has the listing columns and `run_ts`, and `runs` names all runs, also those whose listing is empty. A listing that can't be applied is
+        left out, and the result says why for each of these. The change feeds of all runs are found together, then the active
+        versions after the last run are written, once. `land` stores the files of each run's feed before any of the runs counts as
+        finished. Runs that are already finished are skipped.
+        """
+        runs = sorted(runs, key=run_id)
+        done = {r.run_ts for r in self.log().where(F.col("run_ts").isin(runs)).collect()}
+        last = self.last_run()
+        active = empty_tracker(self.spark) if last is None else self._active(last.active_run)
+        counts = listings.where(F.col("run_ts").isin(runs)).groupBy("run_ts").count().collect()  # one row per run
+        listed, unfit = {r.run_ts for r in counts}, {}
+        while True:
+            accepted, refused = self._admitted([r for r in runs if r not in done], listed, unfit, last, active)
+            if not accepted:
+                return refused
+            written = self._write_feeds(backlog_changes(active, listings, accepted), accepted)
+            tally = written.groupBy("run_ts", "status").agg(F.min("file_name").alias("name")).collect()  # a few rows per run
+            spoiled = {r.run_ts: r.status if r.name is None else f"{r.status}: {r.name}" for r in tally if r.status in UNFIT}
+            if not spoiled:
+                break
+            unfit |= spoiled  # once more without them
+        changed = {r.run_ts for r in tally}
+        for run in accepted:
+            if run not in changed:  # what an attempt that failed may have left
+                empty_folder(self.spark, self._feed_path(run), CHANGES)
+            elif land is not None:
+                land(self.feed(run), run)
+        if changed:
+            final = written
+            if len(accepted) > 1:
+                event = F.struct("status", "file_timestamp", "full_url", "run_ts")
+                # a run has at most one row for a file
+                final = written.groupBy("file_name").agg(F.max_by(event, "run_ts").alias("c")).select("file_name", "c.*")
+            stayed = active.join(written.select("file_name"), "file_name", "left_anti")
+            self._write_active(stayed.unionByName(opened_versions(final)), accepted[-1])
+            self._finish(accepted, run_id(accepted[-1]))
+        elif last is not None:
+            self._finish(accepted, last.active_run)
+        return refused
+
+    def _write_feeds(self, feeds: DataFrame, runs: list[str]) -> DataFrame:
+        """Write the feeds of some runs, each to its folder; returns what this attempt has written."""
+        attempt = uuid4().hex
+        by_run = feeds.withColumn("run", F.concat(F.lit("r"), F.regexp_replace("run_ts", "[^0-9]", ""))).withColumn("attempt", F.lit(attempt))
+        writer = by_run.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("run").parquet(f"{self.path}/changes")
+        schema = T.StructType([*CHANGES.fields, T.StructField("attempt", T.StringType()), CHANGES_BY_RUN["run"]])
+        held = read_if_exists(self.spark, f"{self.path}/changes", schema).where(F.col("run").isin([run_id(r) for r in runs]))
+        return held.where(F.col("attempt") == attempt).select(CHANGES.names)
+
+    def _admitted(
+        self, runs: list[str], listed: set[str], unfit: dict[str, str], last: Row | None, active: DataFrame
+    ) -> tuple[list[str], dict[str, str]]:
+        """The runs that can be applied, and why the others can't."""
+        filled, accepted, refused = None, [], {}
+        for run in runs:
+            if last is not None and run < last.run_ts:
+                refused[run] = f"listing of {run} is older than the last run, {last.run_ts}"
+            elif run in unfit:
+                refused[run] = unfit[run]
+            elif run in listed:
+                filled = True
+                accepted.append(run)
+            else:
+                filled = not active.isEmpty() if filled is None else filled
+                if filled:
+                    refused[run] = "the listing is empty but the tracker has active files"
+                else:
+                    accepted.append(run)
+        return accepted, refused
+
     def seed(self, tracker: DataFrame) -> None:
         """Start an empty store from an existing tracker, such as one read from CSV."""
         if self.last_run() is not None:
@@ -165,7 +260,7 @@ class TrackerStore:
         )
         closed.write.mode("overwrite").parquet(self._feed_path(latest))
         self._write_active(active_versions(tracker), latest)
-        self._finish(latest, run_id(latest))
+        self._finish([latest], run_id(latest))
 
     def prune(self) -> None:
         """Empty the active versions of earlier runs; history stays in the change feeds."""
@@ -180,7 +275,8 @@ class TrackerStore:
     def _write_active(self, versions: DataFrame, run_ts: str) -> None:
         versions.select(TRACKER.names).write.mode("overwrite").parquet(f"{self.path}/active/{run_id(run_ts)}")
 
-    def _finish(self, run_ts: str, active_run: str) -> None:
-        values = zip(LOG.names, (run_ts, run_id(run_ts), active_run), strict=True)
-        row = self.spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(name) for name, v in values])
-        row.write.mode("append").parquet(f"{self.path}/log")
+    def _finish(self, runs: list[str], active_run: str) -> None:
+        """Put finished runs on record, all at once."""
+        rows = [tuple(zip(LOG.names, (run, run_id(run), active_run), strict=True)) for run in runs]
+        lines = F.array(*[F.struct(*[F.lit(v).alias(name) for name, v in row]) for row in rows])
+        self.spark.range(0, 1, 1, 1).select(F.inline(lines)).write.mode("append").parquet(f"{self.path}/log")

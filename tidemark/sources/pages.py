@@ -7,8 +7,6 @@ from html.entities import name2codepoint
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import or_fail
-
 # The form of one entry of a listing, as the published pages have it: month, day, year, hour, minute, AM/PM, size, link
 # target, link text. Tag names may have either case, the target either quote or none; `(?U)` lets `\s` match
 # no-break spaces, `(?d)` keeps `.` off line feeds only.
@@ -45,8 +43,8 @@ def entries(
 
     `groups` names the capture groups, of which only the last may match a line feed. All columns but
     the page text are kept. With `keep_pages` each page also gives a row whose groups are NULL, so that
-    pages without a match can be seen. A piece that is `like` an entry but is none fails the job. The pattern runs
-    once per piece and once per match.
+    pages without a match can be seen. Given `like`, a piece that is like an entry but is none gives a row with only the piece, as column
+    `_lost`; then a match must begin with a word character. The pattern runs once per piece and once per match.
     """
     keep = [F.col(f"`{c}`") for c in pages.columns if c != text]
     body = F.regexp_extract(text, block, 1) if block else F.col(text)
@@ -55,20 +53,29 @@ def entries(
         found = F.regexp_extract(piece, pattern, 0)
         if like is None:
             return found
-        lost = F.raise_error(F.concat(F.lit("not read as an entry: "), F.substring(piece, 1, 200)))
-        return F.when((found == "") & piece.rlike(like), lost).otherwise(found)
+        return F.when((found == "") & piece.rlike(like), F.concat(F.lit(_LOST), F.substring(piece, 1, 200))).otherwise(found)
 
     found = F.filter(F.transform(F.split(body, cut), match), lambda m: m != "")
-    if keep_pages:
-        found = F.concat(F.array(F.lit(None).cast("string")), found)
+    if keep_pages:  # also of a page without text
+        found = F.concat(F.array(F.lit(None).cast("string")), F.coalesce(found, F.array().cast("array<string>")))
     matches = pages.select(*keep, F.explode(found).alias("_match"))
     one_per_line = "\n".join(f"${i}" for i in range(1, len(groups) + 1))
-    cells = F.split(F.regexp_replace("_match", pattern, one_per_line), "\n", len(groups))
+    if like is None:
+        cells = F.split(F.regexp_replace("_match", pattern, one_per_line), "\n", len(groups))
+        lost = []
+    else:
+        is_lost = F.startswith("_match", F.lit(_LOST))
+        cells = F.when(~is_lost, F.split(F.regexp_replace("_match", pattern, one_per_line), "\n", len(groups)))
+        lost = [F.when(is_lost, F.expr(f"substring(_match, {len(_LOST) + 1})")).alias("_lost")]
     return matches.withColumn("_cells", cells).select(
-        *keep, *[F.col("_cells")[i].alias(name) for i, name in enumerate(groups)]
+        *keep, *[F.col("_cells")[i].alias(name) for i, name in enumerate(groups)], *lost
     )
 
 
+# Marks a piece that was not read.
+_LOST = "!"
+
+
 def decode_references(c: Column) -> Column:
     """Text with its character references as characters; an unknown one stays as it is."""
     known = F.create_map(*[F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))])
@@ -105,17 +112,32 @@ def extract_listing(
 
     Sub-directories and the parent link carry no size, do not match and drop out; so does
     a page without a `<pre>` block. Any other piece with a date, a size and a link must match; one that does not
-    fails the job, and so does an impossible date or time. Character references in names and targets are decoded. The timestamp
+    fails the job, and so does an impossible date, time or size. Character references in names and targets are decoded. The timestamp
     text is padded piece by piece, so no time zone can shift it; columns of `pages` such as `run_ts` are kept. With
     `keep_pages` each page gives one more row without a file name.
 
     A pattern of one's own has the groups of `FILE_ENTRY_GROUPS`, or those named in `groups`, such as `DATED_GROUPS`. A page is
     one row, so it is read by one task.
     """
+    found = parse_listing(pages, base_url, pattern, keep_pages, groups)
+    readable = F.when(F.col("problem").isNotNull(), F.raise_error(F.col("problem"))).otherwise(F.lit(True))
+    return found.where(readable).drop("problem")
+
+
+def parse_listing(
+    pages: DataFrame,
+    base_url: str,
+    pattern: str = FILE_ENTRY,
+    keep_pages: bool = False,
+    groups: list[str] | None = None,
+) -> DataFrame:
+    """The same without failing: `problem` says what could not be read, and is NULL for a good entry."""
     keep = [F.col(f"`{c}`") for c in pages.columns if c not in ("html", "url")]
     own = pattern != FILE_ENTRY
     groups = groups or FILE_ENTRY_GROUPS
     raw = entries(pages.drop("url"), pattern, groups, keep_pages=keep_pages, like=None if own else LIKE_AN_ENTRY)
+    if own:
+        raw = raw.withColumn("_lost", F.lit(None).cast("string"))
     if "_date" in groups:
         raw = _clock(raw)
     month, day, year, hour, minute, half = (F.col(g) for g in FILE_ENTRY_GROUPS[:6])
@@ -134,12 +156,18 @@ def extract_listing(
         minute.try_cast("int"),
         F.lit(0),
     )
-    valid = or_fail(F.when(parsed.isNotNull(), padded), F.concat(F.lit("no such time: "), written))
+    size = F.col("_size").try_cast("bigint")
+    problem = (
+        F.when(F.col("_lost").isNotNull(), F.concat(F.lit("not read as an entry: "), F.col("_lost")))
+        .when(F.col("file_name").isNotNull() & parsed.isNull(), F.concat(F.lit("no such time: "), written))
+        .when(F.col("file_name").isNotNull() & size.isNull(), F.concat(F.lit("no such size: "), F.col("_size")))
+    )
     return raw.select(
         *keep,
         decode_references(F.col("file_name")).alias("file_name"),
-        F.when(F.col("file_name").isNotNull(), valid).alias("file_timestamp"),
+        F.when(parsed.isNotNull(), padded).alias("file_timestamp"),
         F.concat(F.lit(base_url), decode_references(F.col("_href"))).alias("full_url"),
         parsed.alias("file_ts"),
-        F.col("_size").cast("bigint").alias("file_size"),
+        size.alias("file_size"),
+        problem.alias("problem"),
     )

@@ -1,41 +1,43 @@
-"""Listing pages as they land: each complete listing is applied to the tracker once, in order."""
+"""Listing pages as they land: the complete listings of a batch are applied to the tracker in one pass, in order."""
 
 from __future__ import annotations
 
-from pyspark.errors import SparkRuntimeException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.scd2 import EmptyListingError, StaleListingError
-from tidemark.plans.ingest import apply_and_land
-from tidemark.schemas import LISTING_COLUMNS, PAGE
+from tidemark.schemas import LISTING_COLUMNS, PAGE, empty_table
 from tidemark.sinks.raw_store import RawStore
-from tidemark.sinks.tables import checked_run_time, read_if_exists
-from tidemark.sinks.tracker_store import TrackerStore
-from tidemark.sources.pages import extract_listing
-
-ENTRIES = T.StructType(
-    [
-        T.StructField("run_ts", T.StringType()),
-        T.StructField("page", T.LongType()),
-        T.StructField("pages", T.LongType()),
-        *[T.StructField(n, T.StringType()) for n in LISTING_COLUMNS],
-    ]
-)
-# What became of a listing, in which batch.
+from tidemark.sinks.tables import RUN_TIME, read_if_exists
+from tidemark.sinks.tracker_store import UNREADABLE, TrackerStore
+from tidemark.sources.pages import parse_listing
+
+ARRIVAL = ["run_ts", "page", "pages"]
+ENTRIES = T.StructType([*UNREADABLE.fields, *[T.StructField(n, T.StringType()) for n in LISTING_COLUMNS]])
+ENTRIES_IN_FOLDERS = T.StructType([*ENTRIES.fields, T.StructField("batch", T.LongType()), T.StructField("run", T.StringType())])
+WAITING = T.StructType([f for f in UNREADABLE.fields if f.name in ARRIVAL] + [T.StructField("batch", T.LongType())])
+# What became of a listing, in which batch; or which batch has noted what waits.
 DECISIONS = T.StructType(
     [T.StructField("run_ts", T.StringType()), T.StructField("batch", T.LongType()), T.StructField("waiting", T.LongType())]
 )
+# The folder of rows that belong to no readable page.
+NO_RUN = "none"
+# Holds the text of a landed record that is not a page at all.
+CORRUPT = "_corrupt"
 
 
 def listing_stream(spark: SparkSession, landing: str, fmt: str = "json") -> DataFrame:
     """Pages `(run_ts, page, pages, url, html)` landed as files in a folder.
 
-    `pages` says how many pages the listing has and `page` which one this is, from 1.
+    `pages` says how many pages the listing has and `page` which one this is, from 1. A JSON record that can't be read as such a row
+    comes with its text.
     """
-    return spark.readStream.format(fmt).schema(PAGE).load(landing)
+    schema, reader = PAGE, spark.readStream.format(fmt)
+    if fmt == "json":
+        schema = T.StructType([*PAGE.fields, T.StructField(CORRUPT, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.schema(schema).load(landing)
 
 
 def track_listings(
@@ -49,50 +51,58 @@ def track_listings(
 ) -> StreamingQuery:
     """Process everything that has landed, then stop; start it again on a schedule.
 
-    Pages wait, over any number of files and starts, until all pages of their listing are there; complete
-    listings are applied in order of their run time. A listing that is empty, older than the last run applied, names a
-    file twice, or brings more pages after it was decided is refused: it goes on record in `store.refused()`, and later
-    listings are applied all the same, unless `fail_on_refusal` asks to stop. A batch delivered twice changes nothing.
+    Pages wait, over any number of files and starts, until all pages of their listing are there; the complete
+    listings of a batch are applied in order of their run time, all in one pass however many they are. A batch delivered twice changes nothing.
 
-    One listing is applied after another, a few jobs each; a long backlog is better given to `replay`.
+    Nothing that lands stops the stream. A page that can't be read (a record that is no page, no run time, no page number, an entry
+    without a possible time or size) is put aside in `store.unreadable()`, and its listing is refused. So is a listing that is
+    empty, older than the last run applied, names a file twice, or brings more pages after it was decided. Refused listings go on record in
+    `store.refused()`, and later ones are applied all the same, unless `fail_on_refusal` asks to stop at the first.
     """
 
+    def land(feed: DataFrame, run_ts: str) -> None:
+        raw.land_from_directory(mirror, feed, run_ts)
+
     def apply_batch(batch: DataFrame, number: int) -> None:
         inbox = _Inbox(store)
-        decided = inbox.decided()
-        told = {"run_ts": checked_run_time(F.col("run_ts")), "page": _known("page"), "pages": _known("pages")}
-        once = batch.withColumns(told).dropDuplicates(["run_ts", "page", "pages", "html"])
+        once = batch.withColumn("told", _unknown(batch)).dropDuplicates([*ARRIVAL, "html", "told"])
         # Pages are parsed once. A page row without a file keeps a page that names no file visible.
-        found = extract_listing(once, base_url, keep_pages=True).select(ENTRIES.names)
-        staged = inbox.stage(found, number)
-        late = staged.join(decided.where(F.col("batch") != number), "run_ts", "left_semi").select("run_ts").distinct()
-        for run in late.toLocalIterator():
-            _refuse(run.run_ts, "more pages after the listing was decided")
-        waiting = staged.join(decided.where(F.col("batch") != number), "run_ts", "left_anti")
-        arrived = waiting.groupBy("run_ts").agg(
+        found = parse_listing(once.withColumn("page_url", F.col("url")).drop(CORRUPT), base_url, keep_pages=True)
+        found = found.withColumn("problem", F.coalesce("told", "problem"))
+        landed = inbox.stage(found, number)
+        bad = landed.where("problem is not null").select(UNREADABLE.names)
+        store.keep_unreadable(bad.distinct(), number)
+        reasons = bad.groupBy(F.coalesce("run_ts", F.lit("(missing)")).alias("run_ts")).agg(F.min("problem").alias("reason"))
+
+        decided = inbox.decided().where(F.col("batch") != number)
+        arrived = landed.where("problem is null and run_ts is not null").select(ARRIVAL).distinct()
+        late = arrived.join(decided, "run_ts", "left_semi").select("run_ts").distinct()
+        late = late.withColumn("reason", F.lit("more pages after the listing was decided"))
+        reasons = {r.run_ts: r.reason for r in reasons.unionByName(late).collect()}  # one row per listing that is refused
+
+        spoiled = bad.select("run_ts").where("run_ts is not null")
+        waiting = inbox.waiting(arrived, number).join(decided, "run_ts", "left_anti").join(spoiled, "run_ts", "left_anti")
+        waiting = waiting.persist()
+        pages_of = waiting.groupBy("run_ts").agg(
             F.count_distinct("page").alias("here"), F.min("pages").alias("least"), F.max("pages").alias("most")
         )
-        complete = arrived.where("here >= least or least <> most").orderBy("run_ts")
-        for run in complete.collect():  # one row per listing that waits
-            if run.least != run.most or run.here != run.most:
-                _refuse(run.run_ts, "its pages disagree on how many there are")
-            else:
-                rows = waiting.where((F.col("run_ts") == run.run_ts) & F.col("file_name").isNotNull())
-                try:
-                    apply_and_land(store, rows.select(LISTING_COLUMNS), run.run_ts, raw, mirror)
-                except (EmptyListingError, StaleListingError) as reason:
-                    _refuse(run.run_ts, str(reason))
-                except SparkRuntimeException as error:
-                    if error.getCondition() != "USER_RAISED_EXCEPTION":
-                        raise
-                    _refuse(run.run_ts, str(error).splitlines()[0])
-            inbox.decide(run.run_ts, number)
-        inbox.keep(waiting.join(inbox.decided(), "run_ts", "left_anti"), number)
-
-    def _refuse(run_ts: str, reason: str) -> None:
-        store.refuse(run_ts, reason)
-        if fail_on_refusal:
-            raise ValueError(f"listing of {run_ts} refused: {reason}")
+        complete = pages_of.where("here >= least or least <> most").collect()  # one row per listing that waits
+        whole = sorted(r.run_ts for r in complete if r.least == r.most == r.here)
+        reasons |= {r.run_ts: "its pages disagree on how many there are" for r in complete if r.run_ts not in whole}
+        over = {r.run_ts for r in complete}
+        if fail_on_refusal and reasons:
+            whole = [r for r in whole if r < min(reasons)]
+        if whole:
+            rows = inbox.entries(waiting.where(F.col("run_ts").isin(whole))).select("run_ts", *LISTING_COLUMNS)
+            landing = land if raw is not None and mirror is not None else None
+            reasons |= store.apply_backlog(rows, whole, landing)
+        if reasons:
+            store.refuse_all(_lines(store.spark, reasons.items(), "run_ts string, reason string"))
+            if fail_on_refusal:
+                first = min(reasons)
+                raise ValueError(f"listing of {first} refused: {reasons[first]}")
+        inbox.decide(over | {r for r in reasons if r != "(missing)"}, waiting.where(~F.col("run_ts").isin(sorted(over))), number)
+        waiting.unpersist()
 
     return (
         pages.writeStream.foreachBatch(apply_batch)
@@ -102,37 +112,65 @@ def track_listings(
     )
 
 
-def _known(name: str) -> Column:
-    return F.coalesce(F.col(name), F.raise_error(F.lit(f"a page does not say '{name}'")))
+def _unknown(pages: DataFrame) -> Column:
+    """Why a landed row can't be a page of a listing, if so."""
+    shown = F.coalesce("run_ts", F.lit("(missing)"))
+    told = F.when(~F.coalesce(F.col("run_ts").rlike(f"^{RUN_TIME}$"), F.lit(False)), F.concat(F.lit("not a run time: "), shown))
+    for name in ("page", "pages", "html"):
+        told = told.when(F.col(name).isNull(), f"a page does not say '{name}'")
+    told = told.when((F.col("page") < 1) | (F.col("page") > F.col("pages")), "a page is not among those of its listing")
+    if CORRUPT not in pages.columns:
+        return told
+    return F.when(F.col(CORRUPT).isNotNull(), F.concat(F.lit("not a page: "), F.substring(CORRUPT, 1, 200))).otherwise(told)
+
+
+def _lines(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A few rows, one for each listing."""
+    return spark.createDataFrame(sorted(rows), schema).coalesce(1)
 
 
 class _Inbox:
-    """Entries of listings that are not complete, kept beside the tracker from one batch to the next."""
+    """What has landed and which listings wait for more pages, kept beside the tracker from one batch to the next.
+
+    `entries/batch=<n>/run=<id>` holds what a batch brought and is never written again; of listings that wait only their page
+    numbers are noted anew in each batch.
+    """
 
     def __init__(self, store: TrackerStore):
         self.spark, self.path = store.spark, f"{store.path}/inbox"
 
     def decided(self) -> DataFrame:
-        return read_if_exists(self.spark, f"{self.path}/decided", DECISIONS).where("run_ts is not null")
+        return read_if_exists(self.spark, f"{self.path}/decided", DECISIONS).where("run_ts is not null").select("run_ts", "batch")
 
-    def decide(self, run_ts: str, number: int) -> None:
-        self._note(run_ts, number, None)
+    def decide(self, runs: set[str], waiting: DataFrame, number: int) -> None:
+        """Note what a batch decided and what waits after it, in this order; the last write ends the batch."""
+        waiting.write.mode("overwrite").parquet(f"{self.path}/waiting/batch={number}")
+        rows = [(r, number, None) for r in sorted(runs)] + [(None, number, number)]
+        self.spark.createDataFrame(rows, DECISIONS).coalesce(1).write.mode("append").parquet(f"{self.path}/decided")
 
     def stage(self, found: DataFrame, number: int) -> DataFrame:
-        """What waited before this batch and what it brings, written together."""
-        notes = read_if_exists(self.spark, f"{self.path}/decided", DECISIONS)
-        last = notes.where(F.col("waiting") < number).agg(F.max("waiting").alias("n")).first().n
-        if last is not None:
-            kept = self.spark.read.schema(ENTRIES).parquet(f"{self.path}/kept/batch={last}")
-            found = kept.unionByName(found.join(kept.select("run_ts", "page"), ["run_ts", "page"], "left_anti"))
-        found.write.mode("overwrite").parquet(f"{self.path}/staged/batch={number}")
-        return self.spark.read.schema(ENTRIES).parquet(f"{self.path}/staged/batch={number}")
-
-    def keep(self, waiting: DataFrame, number: int) -> None:
-        waiting.write.mode("overwrite").parquet(f"{self.path}/kept/batch={number}")
-        self._note(None, number, number)
-
-    def _note(self, run_ts: str | None, number: int, waiting: int | None) -> None:
-        values = zip(DECISIONS.fields, (run_ts, number, waiting), strict=True)
-        row = self.spark.range(0, 1, 1, 1).select(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in values])
-        row.write.mode("append").parquet(f"{self.path}/decided")
+        """What a batch brings, by run."""
+        run = F.when(F.col("problem").isNull(), F.concat(F.lit("r"), F.regexp_replace("run_ts", "[^0-9]", ""))).otherwise(NO_RUN)
+        path = f"{self.path}/entries/batch={number}"
+        found.select(*ENTRIES.names, run.alias("run")).write.mode("overwrite").partitionBy("run").parquet(path)
+        return read_if_exists(self.spark, path, ENTRIES)
+
+    def waiting(self, arrived: DataFrame, number: int) -> DataFrame:
+        """Pages of listings that are not decided: those noted before, and those that have arrived now unless they were there."""
+        last = read_if_exists(self.spark, f"{self.path}/decided", DECISIONS).where(F.col("waiting") < number)
+        last = last.agg(F.max("waiting").alias("n")).first().n
+        now = arrived.withColumn("batch", F.lit(number).cast("long"))
+        if last is None:
+            return now
+        noted = self.spark.read.schema(WAITING).parquet(f"{self.path}/waiting/batch={last}")
+        return noted.unionByName(now.join(noted, ["run_ts", "page"], "left_anti"))
+
+    def entries(self, pages: DataFrame) -> DataFrame:
+        """The entries of some pages; reads only the folders of their runs and batches."""
+        places = pages.select("run_ts", "batch").distinct().collect()  # one row per listing and batch it came in
+        if not places:
+            return empty_table(self.spark, ENTRIES)
+        runs = sorted({"r" + "".join(filter(str.isdigit, p.run_ts)) for p in places})
+        held = self.spark.read.schema(ENTRIES_IN_FOLDERS).parquet(f"{self.path}/entries")
+        held = held.where(F.col("run").isin(runs) & F.col("batch").isin(sorted({p.batch for p in places})))
+        return held.where("file_name is not null and problem is null").join(pages.select("run_ts", "page", "batch"), ["run_ts", "page", "batch"], "left_semi")

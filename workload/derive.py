@@ -76,9 +76,26 @@ def odd_series(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def quoted_series(spark: SparkSession, sf_dir: str) -> str:
+    """The series as a published file with notes that hold line feeds, tabs and quotes in quoted cells. Returns its path."""
+    path, n = scratch_path(spark, "quoted-tsv"), F.col("o_orderkey")
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    note = F.concat(F.lit('order "'), n, F.lit('"\n\nof\t'), F.col("o_orderpriority"))
+    text = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
+        F.concat(F.lit("S"), F.col("c_nationkey").cast("string")).alias("series_id"),
+        F.year("o_orderdate").cast("string").alias("year"),
+        F.when(n % 3 == 0, note).when(n % 3 == 1, F.lit('5" pipe')).otherwise("").alias("footnote_codes"),
+        F.concat(F.lit("Q0"), F.quarter("o_orderdate")).alias("period"),
+        (F.col("o_totalprice") / 16).cast("string").alias("value"),
+    )
+    _write_tsv(text, path)
+    return path
+
+
 def _write_tsv(text: DataFrame, path: str) -> None:
     (
         text.write.option("sep", "\t")
+        .option("escape", '"')
         .option("header", True)
         .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)

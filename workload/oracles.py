@@ -24,6 +24,13 @@ series AS (
   FROM orders JOIN customer ON o_custkey = c_custkey
 )"""
 
+QUOTED_SERIES = """
+SELECT concat('S', c_nationkey) AS series_id, CAST(year(o_orderdate) AS INTEGER) AS year,
+       CASE o_orderkey % 3 WHEN 0 THEN concat('order "', o_orderkey, '"', chr(10), chr(10), 'of', chr(9), o_orderpriority)
+            WHEN 1 THEN '5" pipe' END AS footnote_codes,
+       concat('Q0', quarter(o_orderdate)) AS period, round_even(o_totalprice / 16 * 1000, 0) / 1000 AS value
+FROM orders JOIN customer ON o_custkey = c_custkey"""
+
 # A series without any value sums to 0; rows without a key drop out.
 ODD_YEARLY = """
 yearly AS (
@@ -208,6 +215,8 @@ ORACLES: dict[str, str] = {
     "best_year_from_text": f"WITH {SERIES},{YEARLY},{BEST} SELECT * FROM best",
     "best_year_odd": f"WITH {ODD_SERIES},{ODD_YEARLY},{BEST} SELECT * FROM best",
     "clean_series_odd": f"WITH {ODD_SERIES} SELECT * FROM series",
+    "clean_series_quoted": QUOTED_SERIES,
+    "clean_landed_quoted": QUOTED_SERIES,
     "best_year_from_landed": f"WITH {SERIES},{YEARLY},{BEST} SELECT * FROM best",
     "yearly_sums": f"WITH {SERIES},{YEARLY} SELECT series_id, year, CAST(total AS DOUBLE) AS value FROM yearly",
     "series_with_population": f"WITH {SERIES},{POPULATION},{JOINED} SELECT * FROM joined",
@@ -283,6 +292,14 @@ ORACLES: dict[str, str] = {
             FROM lineitem GROUP BY l_partkey, strftime(l_shipdate, '%Y-%m')""",
         "SELECT DISTINCT concat(strftime(l_shipdate, '%Y-%m'), '-01 12:00:00') AS run_ts FROM lineitem",
     ),
+    "scd2_backlog": _spells(
+        f"""SELECT concat('part-', l_partkey) AS file_name,
+                   concat('01/0', max(l_linenumber), '/2024 08:30 AM') AS file_timestamp,
+                   concat('{BASE}/part-', l_partkey) AS full_url,
+                   concat(strftime(l_shipdate, '%Y-%m'), '-01 12:00:00') AS run_ts
+            FROM lineitem GROUP BY l_partkey, strftime(l_shipdate, '%Y-%m')""",
+        "SELECT DISTINCT concat(strftime(l_shipdate, '%Y-%m'), '-01 12:00:00') AS run_ts FROM lineitem",
+    ),
     "raw_after_sync": CURRENT_FILES,
     "raw_store_current": CURRENT_FILES,
     "raw_from_directory": f"""
@@ -303,5 +320,12 @@ ORACLES: dict[str, str] = {
     "stream_scd2_pages": f"""{TRACKER_ROWS}
         UNION ALL SELECT NULL, NULL, NULL, '2024-01-01 18:00:00', NULL, 'refused'
         UNION ALL SELECT NULL, NULL, NULL, '2023-12-31 12:00:00', NULL, 'refused'""",
+    "stream_scd2_unreadable": f"""{TRACKER_ROWS}
+        UNION ALL SELECT NULL, NULL, 'no such time: 13/45/2025 08:30 AM', '2024-01-01 15:00:00', NULL, 'refused'
+        UNION ALL SELECT NULL, NULL, 'a page does not say ''page''', '2024-01-01 16:00:00', NULL, 'refused'
+        UNION ALL SELECT NULL, NULL, 'not a run time: (missing)', '(missing)', NULL, 'refused'
+        UNION ALL SELECT '7', NULL, 'no such time: 13/45/2025 08:30 AM', NULL, NULL, 'unreadable'
+        UNION ALL SELECT NULL, NULL, 'a page does not say ''page''', NULL, NULL, 'unreadable'
+        UNION ALL SELECT CAST(p AS VARCHAR), NULL, 'not a run time: (missing)', NULL, NULL, 'unreadable' FROM range(1, 4) pages(p)""",
     "stream_analysis": ANSWERS,
 }

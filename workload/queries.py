@@ -93,6 +93,16 @@ def clean_series_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.prepare_series(spark, D.odd_series(spark, sf_dir))
 
 
+def clean_series_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a file whose quoted cells hold line feeds, read by many tasks."""
+    return analysis.prepare_series(spark, D.quoted_series(spark, sf_dir))
+
+
+def clean_landed_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same file as landed bytes."""
+    return analysis.prepare_landed_series(read_files(spark, D.quoted_series(spark, sf_dir)))
+
+
 def best_year_from_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.best_years(analysis.prepare_landed_series(read_files(spark, D.padded_series(spark, sf_dir))))
 
@@ -327,6 +337,40 @@ def stream_scd2_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.tracker().unionByName(refused, allowMissingColumns=True)
 
 
+def stream_scd2_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Between two good listings land one with an impossible date and pages that don't say what they belong to; all wait for one start."""
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
+    store = TrackerStore(spark, scratch_path(spark, "tracker"))
+    first = settle(D.listing_pages(D.shipping_listing(spark, sf_dir, "F"), D.FIRST_RUN), "pages")
+    dated = F.when(F.col("page") == 7, F.lit('<pre>13/45/2025 08:30 AM 1 <a href="/x">x</a><br></pre>')).otherwise(F.col("html"))
+    landed = [
+        first,
+        first.withColumns({"run_ts": F.lit("2024-01-01 15:00:00"), "html": dated}),
+        first.where("page < 4").withColumn("run_ts", F.lit(None).cast("string")),
+        first.where("page < 3").withColumns({"run_ts": F.lit("2024-01-01 16:00:00"), "page": F.lit(None).cast("long")}),
+        D.listing_pages(D.shipping_listing(spark, sf_dir, "O"), D.SECOND_RUN),
+    ]
+    for i, pages in enumerate(landed):
+        pages.write.json(f"{landing}/{i}")
+    track_listings(listing_stream(spark, f"{landing}/*"), store, D.BASE_URL, checkpoint).awaitTermination()
+    refused = store.refused().select(F.col("run_ts").alias("start_timestamp"), F.col("reason").alias("full_url"), F.lit("refused").alias("is_active"))
+    apart = store.unreadable().select(F.col("page").cast("string").alias("file_name"), F.col("problem").alias("full_url"), F.lit("unreadable").alias("is_active"))
+    return store.tracker().unionByName(refused, allowMissingColumns=True).unionByName(apart, allowMissingColumns=True)
+
+
+def scd2_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly listings of parts: the first two months one after another, the others in two passes on top, in which some come again."""
+    history, runs = D.part_history(spark, sf_dir)
+    history = settle(history, "history")
+    store = TrackerStore(spark, scratch_path(spark, "tracker"))
+    names = sorted(r.run_ts for r in runs.collect())  # one row per month
+    for run in names[:2]:
+        store.apply(history.where(F.col("run_ts") == run).drop("run_ts"), run)
+    for part in (names[:7], names[5:]):
+        store.apply_backlog(history, part)
+    return store.tracker()
+
+
 def stream_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A population snapshot lands and starts the analysis."""
     inbox, results = scratch_path(spark, "population"), scratch_path(spark, "results")
@@ -352,6 +396,8 @@ QUERIES: dict[str, Query] = {
         best_year_from_text,
         best_year_odd,
         clean_series_odd,
+        clean_series_quoted,
+        clean_landed_quoted,
         best_year_from_landed,
         yearly_sums,
         series_with_population,
@@ -375,6 +421,7 @@ QUERIES: dict[str, Query] = {
         tracker_store,
         scd2_history,
         scd2_history_parts,
+        scd2_backlog,
         raw_after_sync,
         raw_store_current,
         raw_from_directory,
@@ -383,6 +430,7 @@ QUERIES: dict[str, Query] = {
         snapshot_round_trip,
         stream_scd2,
         stream_scd2_pages,
+        stream_scd2_unreadable,
         stream_analysis,
     )
 }
