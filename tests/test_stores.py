@@ -210,10 +210,10 @@ def mirror(tmp_path):
 ODD_NAMES = ["odd name [1]", "a*", "b?{c,d}", "back\\slash", "x,y", "caf\u00e9 %41"]
 
 
-@pytest.mark.parametrize("batch", [1, 2, 1000])
-def test_reading_wanted_files(spark, mirror, monkeypatch, batch):
+@pytest.mark.parametrize("size", [1, 7, 256 << 20])
+def test_reading_wanted_files(spark, mirror, monkeypatch, size):
     """Exactly the wanted files are opened, whatever their names; the others couldn't be read."""
-    monkeypatch.setattr("tidemark.sources.files.BATCH", batch)
+    monkeypatch.setattr("tidemark.sources.files.TASK_BYTES", size)
     for name in ODD_NAMES:
         (mirror / name).write_bytes(name.encode() + b"\x00\xff")
     assert read_files(spark, str(mirror)).count() == 4 + len(ODD_NAMES)
@@ -221,13 +221,61 @@ def test_reading_wanted_files(spark, mirror, monkeypatch, batch):
         (mirror / name).chmod(0)
     for names in (["a", "c", "absent", None], ODD_NAMES, ["absent"], []):
         wish = spark.createDataFrame([(n,) for n in names], "file_name string")
-        found = [r for df in read_wanted(spark, str(mirror), wish) for r in df.collect()]
+        found = read_wanted(spark, str(mirror), wish).collect()
         got = sorted((r.file_name, bytes(r.content)) for r in found)
+        assert all(r.path == f"file:{mirror}/{r.file_name}" for r in found)
         assert got == sorted((n, n.encode() + b"\x00\xff") for n in names if n not in ("absent", None))
         missing = [r.file_name for r in missing_files(spark, str(mirror), wish).collect()]
         assert missing == [n for n in names if n == "absent"]
 
 
+def test_names_that_lead_out_of_the_directory_have_no_file(spark, mirror):
+    (mirror / "sub").mkdir()
+    (mirror / "sub" / "e").write_bytes(b"inside")
+    (mirror.parent / "secret").write_bytes(b"outside")
+    wish = spark.createDataFrame([(n,) for n in ("../secret", "sub/../../secret", "sub", "", "sub/e")], "file_name string")
+    assert [(r.file_name, bytes(r.content)) for r in read_wanted(spark, str(mirror), wish).collect()] == [("sub/e", b"inside")]
+    assert missing_files(spark, str(mirror), wish).count() == 4
+
+
+def test_a_file_system_that_only_spark_opens(spark, mirror, monkeypatch):
+    monkeypatch.setattr("tidemark.sources.files.SCHEMES", ())
+    wish = spark.createDataFrame([("a",), ("absent",), ("odd name [1]",), (None,)], "file_name string")
+    assert sorted(r.file_name for r in read_wanted(spark, str(mirror), wish).collect()) == ["a", "odd name [1]"]
+    assert [r.file_name for r in missing_files(spark, str(mirror), wish).collect()] == ["absent"]
+
+
+def test_fetching_brings_no_name_to_the_driver(spark, mirror):
+    """Names go from their table to the tasks that open the files: one plan, whatever their number."""
+    wish = spark.range(500).select(F.concat(F.lit("n"), "id").alias("file_name"))
+    read = read_wanted(spark, str(mirror), wish.unionByName(spark.createDataFrame([("a",)], "file_name string")))
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "n499" not in plan and "LocalTableScan" not in plan and "FileScan binaryFile" not in plan
+    assert [r.file_name for r in read.collect()] == ["a"]
+
+
+def test_a_range_of_names_reads_its_row_groups_only(spark, store, tmp_path, monkeypatch):
+    """Copies are read once in all, by pushed-down ranges of the hash, and never shuffled."""
+    folder = tmp_path / "many"
+    folder.mkdir()
+    names = [f"f{i}" for i in range(60)]
+    for n in names:
+        (folder / n).write_bytes(n.encode() * 100)
+    monkeypatch.setattr("tidemark.sources.files.TASK_BYTES", 3000)
+    raw = RawStore(spark, str(tmp_path / "raw"))
+    store.apply(listing(spark, {n: ("t1", "u") for n in names}), "2024-01-01 12:00:00", lambda f, r: raw.land_from_directory(str(folder), f, r))
+    stored = spark.read.parquet(f"{raw.path}/copies").select("h", F.col("_metadata.file_path").alias("file"))
+    ranges = sorted(tuple(r)[1:] for r in stored.groupBy("file").agg(F.min("h"), F.max("h")).collect())
+    assert len(ranges) > 3 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:], strict=False))
+    monkeypatch.setattr("tidemark.sinks.raw_store.KEY_BYTES", 1000)
+    current = raw.current(store.active())
+    assert sorted(r.file_name for r in current.collect()) == sorted(names)
+    plan = current._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    scans = [x for x in plan.splitlines() if "FileScan parquet" in x and "content" in x]
+    assert len(scans) >= 4 and all("GreaterThanOrEqual(h," in x and "LessThanOrEqual(h," in x for x in scans)
+    assert not [x for x in plan.splitlines() if "Exchange" in x and "Broadcast" not in x]
+
+
 def test_sizes_of_files(spark, mirror):
     assert {r.file_name: r.n_bytes for r in file_sizes(spark, str(mirror)).collect()}["a"] == 3
 

@@ -3,24 +3,29 @@
 A run appends the bytes of the files it fetched under `run=<id>`. What is current follows from
 the tracker: the copy landed by the run that opened the active version. So replacing or
 deleting a copy rewrites nothing; `compact` frees the space when it is worth it.
+
+Copies are stored in the order of a hash of their name, `h`: files are opened in that order when they land, so a stored file holds a narrow
+range of it. Reading many versions goes range by range: names of a range are broadcast, and of the copies only the row groups of
+that range are read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.joins import settle
 from tidemark.operators.scd2 import sync_plan
 from tidemark.sinks.tables import empty_folder, read_if_exists, run_id
-from tidemark.sources.files import read_wanted
+from tidemark.sources.files import name_hash, read_wanted
 
 COPIES = T.StructType(
     [
         T.StructField("file_name", T.StringType()),
         T.StructField("content", T.BinaryType()),
         T.StructField("run_ts", T.StringType()),
+        T.StructField("h", T.LongType()),
     ]
 )
 COPIES_BY_RUN = T.StructType([*COPIES.fields, T.StructField("run", T.StringType())])
@@ -78,15 +83,13 @@ class RawStore:
     def land_from_directory(self, directory: str, feed: DataFrame, run_ts: str) -> None:
         """Store the files a change feed asks for, out of a directory that mirrors the source.
 
-        Only the wanted files are opened, some at a time; the directory is not listed.
+        Only the wanted files are opened, by as many tasks as their bytes ask for, in one job; the directory is not listed.
         """
-        empty_folder(self.spark, self._folder(run_id(run_ts)), COPIES)
-        for some in read_wanted(self.spark, directory, wanted(feed)):
-            self._write(some, run_ts, "append")
+        self._write(read_wanted(self.spark, directory, wanted(feed)), run_ts, "overwrite")
         self._carry(feed, run_ts)
 
     def _write(self, files: DataFrame, run_ts: str, mode: str) -> None:
-        rows = files.select("file_name", "content", F.lit(run_ts).alias("run_ts"))
+        rows = files.select("file_name", "content", F.lit(run_ts).alias("run_ts"), name_hash().alias("h"))
         rows.write.mode(mode).parquet(self._folder(run_id(run_ts)))
 
     def _carry(self, feed: DataFrame, run_ts: str) -> None:
@@ -96,28 +99,37 @@ class RawStore:
         lost = feed.where(F.col("status") == "changed").join(fetched, "file_name", "left_anti")
         previous = settle(lost.select("file_name", F.col("old_start_timestamp").alias("run_ts")), "lost")
         if not previous.isEmpty():
-            before = self._of_runs(previous).where(F.col("run") != run)
-            carried = before.join(previous, ["file_name", "run_ts"], "left_semi").select("file_name", "content")
-            self._write(carried, run_ts, "append")
+            self._write(self._copies(previous, F.col("run") != run), run_ts, "append")
 
     def landed(self) -> DataFrame:
         """Every copy held: `(file_name, content, run_ts)`."""
-        return self._landed().drop("run")
+        return self._landed().drop("run", "h")
 
     def current(self, active: DataFrame) -> DataFrame:
-        """The copies that belong to active versions.
+        """The copies that belong to active versions. Runs jobs.
+
+        Folders of runs without an active version are not read, and the bytes of files are never shuffled, however many names there are.
+        """
+        return self._copies(settle(active.select("file_name", F.col("start_timestamp").alias("run_ts")), "versions"))
+
+    def _copies(self, versions: DataFrame, of: Column | None = None) -> DataFrame:
+        """`(file_name, content, run_ts)` of some versions, a settled table of `(file_name, run_ts)`.
 
-        Folders of runs without an active version are not read. The names are dealt into parts of at most about `KEY_BYTES`, each of which is
-        broadcast, so the bytes of files are never shuffled; the folders are scanned once for each part. Runs jobs.
+        The names are dealt into ranges of `h` of at most about `KEY_BYTES`, each of which is broadcast. A range reads the row groups of the
+        copies that reach into it, so the copies are read once in all.
         """
-        versions = settle(active.select("file_name", F.col("start_timestamp").alias("run_ts")), "versions")
-        size = versions.agg(F.sum(F.octet_length("file_name") + 64).alias("n")).first().n
+        size = versions.agg(F.sum(F.octet_length("file_name") + 64)).first()[0]
         if size is None:
             return self.landed().where(F.lit(False))
         held, parts, found = self._of_runs(versions), -(-size // KEY_BYTES), None
+        if of is not None:
+            held = held.where(of)
         for part in range(parts):
-            own = versions.where(F.pmod(F.xxhash64("file_name"), F.lit(parts)) == part) if parts > 1 else versions
-            copies = held.join(F.broadcast(own), ["file_name", "run_ts"], "left_semi").drop("run")
+            low, high = (-(2**63) + i * 2**64 // parts for i in (part, part + 1))
+            inside = F.col("h").between(low, high - 1)
+            own = versions.withColumn("h", name_hash())
+            copies = held.where(inside).join(F.broadcast(own.where(inside)), ["file_name", "run_ts", "h"], "left_semi")
+            copies = copies.select("file_name", "content", "run_ts")
             found = copies if found is None else found.unionByName(copies)
         return found
 
@@ -138,7 +150,7 @@ class RawStore:
         """
         base = run_id(run_ts) + "c"
         older = self._landed().where(F.col("run") < base).select("run").distinct()
-        self.current(active).write.mode("overwrite").parquet(self._folder(base))
+        self.current(active).withColumn("h", name_hash()).write.mode("overwrite").parquet(self._folder(base))
         row = self.spark.range(0, 1, 1, 1).select(F.lit(base).alias("base"))
         # One row per run that landed something.
         superseded = [r.run for r in older.collect()]
