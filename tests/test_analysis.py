@@ -3,8 +3,9 @@ import math
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
-from tidemark.operators.aggregates import deviation_band, distinct_values, first_row, profile, sum_by
+from tidemark.operators.aggregates import deviation_band, distinct_values, first_row, mean_and_deviation, profile, sum_by
 from tidemark.plans import analysis as A
 from tidemark.plans.ingest import run_time
 from tidemark.sinks.tables import run_id
@@ -266,3 +267,29 @@ def test_a_document_without_a_source_fails(spark, tmp_path):
 
 def test_run_time_is_a_run_time():
     assert run_id(run_time()).startswith("r20")
+
+
+@pytest.mark.parametrize("big", [0, 10**9, 2**62])
+def test_moments_of_whole_numbers_do_not_depend_on_the_order(spark, big):
+    """As exact sums give them, however the rows lie; beyond 38 digits the usual moments."""
+    from fractions import Fraction
+    from math import sqrt
+
+    values = [big + 7 * i % 1001 for i in range(1000)] + [None]
+    n, total, squares = 1000, sum(values[:-1]), sum(v * v for v in values[:-1])
+    got = {
+        tuple(mean_and_deviation(spark.createDataFrame([(v,) for v in order], "x long").repartition(parts), "x").first())
+        for order in (values, values[::-1], sorted(values[:-1]))
+        for parts in (1, 3)
+    }
+    exact = sqrt(Fraction(n * squares - total * total, n * (n - 1)))
+    if big < 2**62:
+        assert got == {(float(total) / n, exact)}
+    assert all(abs(mean - total / n) <= 1e-12 * total / n for mean, _ in got)
+
+
+def test_moments_of_few_values(spark):
+    table = spark.createDataFrame([(5,), (None,)], "x int")
+    assert rows(mean_and_deviation(table, "x")) == [(5.0, None)]
+    assert rows(mean_and_deviation(table.where("x is null"), "x")) == [(None, None)]
+    assert rows(mean_and_deviation(table.select(F.lit(0.5).alias("x")), "x")) == [(0.5, 0.0)]

@@ -269,3 +269,43 @@ def test_a_backlog_equals_one_listing_after_another(spark, tmp_path):
     assert rows(several.all_changes()) == rows(single.all_changes())
     assert [rows(several.feed(r)) for r in runs if r != runs[4]] == [rows(single.feed(r)) for r in runs if r != runs[4]]
     assert sorted(r.run_ts for r in several.log().collect()) == [r for r in runs if r != runs[4]]
+
+
+SERIES = "series_id string, year int, period string, value double"
+
+
+def test_an_arrival_reads_kept_sums_only(spark, tmp_path):
+    """The text of the series is gone when population arrives; what is kept of it answers, and no plan adds rows up again."""
+    from tidemark.plans import analysis as A
+    from tidemark.sinks.series_store import SeriesStore
+
+    text = tmp_path / "series.tsv"
+    text.write_text("series_id\tyear\tperiod\tvalue\n" + "".join(f"S{i % 3}\t{2013 + i % 4}\tQ0{i % 2 + 1}\t{i / 8}\n" for i in range(200)))
+    store = SeriesStore(spark, str(tmp_path / "kept"))
+    with pytest.raises(ValueError, match="no series is kept"):
+        store.sums()
+    cleaned = A.prepare_series(spark, str(text))
+    expected = {q: rows(t) for q, t in A.answer(cleaned, spark.createDataFrame([(2013, 5), (2014, 7)], "`ID Year` long, Population long"), Questions(series_id="S1")).items()}
+    store.keep(cleaned.where("year < 2015"), "v1", "old")
+    store.keep(cleaned, "v1", "new")  # replaced by the next
+    store.keep(cleaned.where("year >= 2015"), "v2", "new")
+    store.keep(cleaned.where("year >= 2015"), "v2", "new")
+    text.unlink()
+    inbox, results = tmp_path / "inbox", str(tmp_path / "results")
+    inbox.mkdir()
+    for years in ((2013,), (2013, 2014)):
+        (inbox / f"population-r{len(years)}.json").write_text(json.dumps({"data": [{"ID Year": y, "Population": 2 * y - 4021} for y in years], "source": []}))
+        stream = population_stream(spark, str(inbox))
+        analyze_on_arrival(stream, store, results, str(tmp_path / "checkpoint"), Questions(series_id="S1")).awaitTermination()
+    assert {q: rows(latest_result(spark, results, q)) for q in expected} == expected
+    plan = A.best_of_sums(store.sums())._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation [series_id#" in plan and ",value#" not in plan and "csv" not in plan
+    best = A.answer(store.series(), spark.createDataFrame([(2013, 5)], "`ID Year` long, Population long"), Questions(series_id="S1"))["series_with_population"]
+    assert "PushedFilters: [IsNotNull(series_id), IsNotNull(period), EqualTo(series_id,S1)" in best._jdf.queryExecution().executedPlan().toString()
+
+
+def test_names_of_kept_parts(spark, tmp_path):
+    from tidemark.sinks.series_store import SeriesStore
+
+    with pytest.raises(ValueError, match="not a name"):
+        SeriesStore(spark, str(tmp_path)).keep(spark.createDataFrame([], SERIES), "../v")

@@ -67,7 +67,16 @@ def population_metrics(
 
 def best_years(series: DataFrame, ordered: bool = True) -> DataFrame:
     """Per series the year with the largest sum of values; the earliest one on a tie."""
-    yearly = sum_by(series, ["series_id", "year"], "value")
+    return best_of_sums(yearly_sums(series), ordered)
+
+
+def yearly_sums(series: DataFrame) -> DataFrame:
+    """`(series_id, year, total)`: exact sums, which may be kept and added up."""
+    return sum_by(series, ["series_id", "year"], "value")
+
+
+def best_of_sums(yearly: DataFrame, ordered: bool = True) -> DataFrame:
+    """The same from kept sums."""
     best = arg_max(yearly, "series_id", by="total", what="year").select(
         "series_id", "year", F.col("total").cast("double").alias("summed_value")
     )
@@ -107,13 +116,15 @@ class Questions:
     period: str = PERIOD
 
 
-def answer(series: DataFrame, population: DataFrame, questions: Questions | None = None) -> dict[str, DataFrame]:
-    """All three questions over prepared tables."""
+def answer(
+    series: DataFrame, population: DataFrame, questions: Questions | None = None, sums: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """All three questions over prepared tables. Given the yearly `sums` of the series, they are not added up again."""
     q = questions or Questions()
     _, stats = population_metrics(population, q.first_year, q.last_year)
     return {
         "population_stats": stats,
-        "best_years": best_years(series),
+        "best_years": best_of_sums(yearly_sums(series) if sums is None else sums),
         "series_with_population": series_with_population(series, population, q.series_id, q.period),
     }
 

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.analysis import Questions, answer
 from tidemark.schemas import POPULATION_DOCUMENT
+from tidemark.sinks.series_store import SeriesStore
 from tidemark.sources.documents import records
 
 SNAPSHOT_NAME = r".*/population-([^/]+?)(?:\.json)?(?:/[^/]*)?$"
@@ -35,7 +36,7 @@ def population_stream(
 
 def analyze_on_arrival(
     documents: DataFrame,
-    series: DataFrame,
+    series: DataFrame | SeriesStore,
     results: str,
     checkpoint: str,
     questions: Questions | None = None,
@@ -43,7 +44,8 @@ def analyze_on_arrival(
     """Answer the questions for the newest snapshot that has arrived, then stop.
 
     Each answer goes to `results/<question>/snapshot=<run>`, so a batch delivered twice
-    replaces its own output.
+    replaces its own output. Of a series that is kept in a store, an arrival reads the sums and, for one series and period, its
+    rows; nothing is parsed or added up again.
     """
 
     def answer_batch(batch: DataFrame, _: int) -> None:
@@ -51,7 +53,9 @@ def analyze_on_arrival(
         if newest is None:
             return
         population = records(batch.where(F.col("snapshot") == newest), "data")
-        for name, table in answer(series, population, questions).items():
+        kept = isinstance(series, SeriesStore)
+        rows, sums = (series.series(), series.sums()) if kept else (series, None)
+        for name, table in answer(rows, population, questions, sums).items():
             table.write.mode("overwrite").parquet(f"{results}/{name}/snapshot={newest}")
 
     return (
