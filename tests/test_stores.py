@@ -34,6 +34,46 @@ def test_runs_over_a_store(spark, store, tmp_path):
     assert store.feed("2024-01-04 12:00:00").isEmpty()
 
 
+def test_buckets_without_a_change_are_neither_read_nor_written(spark, tmp_path):
+    store = TrackerStore(spark, str(tmp_path / "tracker"), buckets=5)
+    entries = {f"f{i}": ("t1", "u") for i in range(100)}
+    store.apply(listing(spark, entries), "2024-01-01 12:00:00")
+    changed = entries | {"f7": ("t2", "u")}
+    bucket = spark.createDataFrame([("f7",)], "file_name string").select(F.pmod(F.xxhash64("file_name"), F.lit(5))).first()[0]
+    first = tmp_path / "tracker" / "active" / "r20240101120000"
+    for other in range(5):
+        if other != bucket:  # these could not be read
+            for file in (first / f"bucket={other}").glob("part-*"):
+                file.rename(file.with_name("kept-" + file.name[5:]).with_suffix(".hidden"))
+                file.write_bytes(b"no table")
+    assert statuses(store.apply(listing(spark, changed), "2024-01-02 12:00:00")) == [("f7", "changed")]
+    backlog = spark.createDataFrame([(r, n, *v) for r in "34" for n, v in (changed | {"f7": (f"t{r}", "u")}).items()], "r string, file_name string, file_timestamp string, full_url string")
+    backlog = backlog.select(F.concat(F.lit("2024-01-0"), "r", F.lit(" 12:00:00")).alias("run_ts"), "file_name", "file_timestamp", "full_url")
+    assert store.apply_backlog(backlog, ["2024-01-03 12:00:00", "2024-01-04 12:00:00"]) == {}
+    for run in ("r20240102120000", "r20240104120000"):
+        assert [f.name for f in (tmp_path / "tracker" / "active" / run).glob("bucket=*")] == [f"bucket={bucket}"]
+    for file in first.glob("*/kept-*"):
+        file.rename(file.with_name("part-" + file.name[5:]).with_suffix(".parquet"))
+        file.with_name("." + file.with_suffix("").name).unlink(missing_ok=True)
+    for crc in first.glob("*/.part-*.crc"):
+        crc.unlink()
+    assert store.active().count() == 100
+    assert sorted((r.file_timestamp, r.start_timestamp) for r in store.tracker().where("file_name = 'f7'").collect()) == [
+        (f"t{i}", f"2024-01-0{i} 12:00:00") for i in range(1, 5)
+    ]
+
+
+def test_missing_values_are_always_compared(spark, tmp_path):
+    """A file without a time or url has changed in every run, so its bucket is never passed over."""
+    store = TrackerStore(spark, str(tmp_path / "tracker"), buckets=2)
+    for i in (1, 2, 3):
+        feed = store.apply(listing(spark, {"a": ("t1", None), "b": ("t1", "u")}), f"2024-01-0{i} 12:00:00")
+    assert statuses(feed) == [("a", "changed")]
+    with pytest.raises(Exception, match="more than once"):
+        twice = listing(spark, {"b": ("t1", "u")})
+        store.apply(twice.unionByName(twice).unionByName(twice), "2024-01-04 12:00:00")
+
+
 def test_a_run_is_applied_once(spark, store):
     first = rows(store.apply(listing(spark, RUNS["2024-01-01 12:00:00"]), "2024-01-01 12:00:00"))
     assert rows(store.apply(listing(spark, RUNS["2024-01-02 12:00:00"]), "2024-01-01 12:00:00")) == first
@@ -106,7 +146,8 @@ def test_pruning_keeps_the_tracker(spark, store):
         store.apply(listing(spark, entries), run)
     store.prune()
     assert rows(store.tracker()) == EXPECTED
-    assert spark.read.parquet(f"{store.path}/active/r20240101120000").isEmpty()
+    # Only buckets that are still current hold rows.
+    assert spark.read.option("recursiveFileLookup", True).parquet(f"{store.path}/active").count() == store.active().count()
 
 
 def test_long_json_documents(spark, tmp_path):

@@ -4,7 +4,8 @@ Layout under one folder, all parquet:
 
 - `changes/run=<id>`: the change feed of a run. Closed versions are a projection of it, so
   history is only ever appended.
-- `active/<id>`: the active versions after a run that changed something.
+- `active/<id>/bucket=<n>`: active versions, by a hash of the file name. A run writes the buckets that it changed.
+- `manifest/<id>`: for each bucket after a run that changed something, the run that wrote it last, and a checksum of its versions.
 - `refused`: one row per listing that was not applied, with the reason.
 - `unreadable/batch=<n>`: pages and entries that a stream could not read.
 - `log`: one row per finished run. A run counts once its row is there; what a failed run
@@ -16,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +35,8 @@ from tidemark.operators.scd2 import (
     opened_versions,
     without_failed,
 )
-from tidemark.schemas import CHANGES, TRACKER
+from tidemark.schemas import CHANGES, LISTING_COLUMNS, TRACKER, empty_table
+from tidemark.session import scratch_path
 from tidemark.sinks.tables import checked_run_time, empty_folder, read_if_exists, run_id
 
 REFUSED = T.StructType([T.StructField(n, T.StringType()) for n in ("run_ts", "reason")])
@@ -43,17 +45,38 @@ UNREADABLE = T.StructType(
     + [T.StructField(n, T.StringType()) for n in ("page_url", "problem")]
 )
 LOG = T.StructType([T.StructField(n, T.StringType()) for n in ("run_ts", "run", "active_run")])
+# Buckets of a new store.
+BUCKETS = 16
+MANIFEST = T.StructType(
+    [T.StructField("bucket", T.IntegerType()), T.StructField("run", T.StringType())]
+    + [T.StructField(n, T.LongType()) for n in ("n", "inexact", "x", "y")]
+)
 CHANGES_BY_RUN = T.StructType([*CHANGES.fields, T.StructField("run", T.StringType())])
 
 
+def checksums() -> list[Column]:
+    """Of a set of listed files: how many, how many of them can't be compared as a value is missing, and two 64-bit hashes of the rest.
+
+    They do not depend on order, and sums of parts can be joined; a file listed twice shows in the number.
+    """
+    of = [F.col(c) for c in LISTING_COLUMNS]
+    missing = of[0].isNull() | of[1].isNull() | of[2].isNull()
+    x, y = F.xxhash64(*of), F.xxhash64(F.lit("y"), *reversed(of))
+    return [F.count("*").alias("n"), F.count_if(missing).alias("inexact"), F.bit_xor(x).alias("x"), F.bit_xor(y).alias("y")]
+
+
 def _count_statuses(feed: DataFrame) -> dict[str, int]:
     return {row["status"]: row["count"] for row in feed.groupBy("status").count().collect()}
 
 
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("file_name"), F.lit(buckets)).cast("int")
+
+
 class TrackerStore:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+        """`buckets` counts for a new store; an old one keeps its own."""
+        self.spark, self.path, self._new_buckets = spark, path.rstrip("/"), buckets
 
     def log(self) -> DataFrame:
         return read_if_exists(self.spark, f"{self.path}/log", LOG)
@@ -90,7 +113,35 @@ class TrackerStore:
         return self._active(last.active_run)
 
     def _active(self, run: str) -> DataFrame:
-        return self.spark.read.schema(TRACKER).parquet(f"{self.path}/active/{run}")
+        return self._versions(self._manifest(run))
+
+    def _manifest(self, run: str | None) -> dict[int, Row]:
+        """Bucket to its line after a run; a store has a bounded number of buckets."""
+        if run is None:
+            return {b: Row(bucket=b, run=None, n=0, inexact=0, x=0, y=0) for b in range(self._new_buckets)}
+        lines = self.spark.read.schema(MANIFEST).parquet(f"{self.path}/manifest/{run}").collect()
+        return {r.bucket: r for r in lines}
+
+    def _versions(self, lines: dict[int, Row], buckets: set[int] | None = None) -> DataFrame:
+        """The active versions of some buckets, or of all; no other bucket is opened."""
+        chosen = [r for b, r in sorted(lines.items()) if r.n and (buckets is None or b in buckets)]
+        if not chosen:
+            return empty_tracker(self.spark)
+        return self.spark.read.schema(TRACKER).parquet(*[f"{self.path}/active/{r.run}/bucket={r.bucket}" for r in chosen])
+
+    def _differing(self, lines: dict[int, Row], listed: list[Row]) -> set[int]:
+        """Buckets in which a listing may differ from the active versions, given its checksums by bucket."""
+        seen = {r.bucket: r for r in listed}
+        found = set()
+        for b, held in lines.items():
+            new = seen.get(b)
+            if new is None:
+                same = held.n == 0
+            else:
+                same = not (held.inexact or new.inexact) and (held.n, held.x, held.y) == (new.n, new.x, new.y)
+            if not same:
+                found.add(b)
+        return found
 
     def all_changes(self) -> DataFrame:
         """The change feeds of all finished runs."""
@@ -116,10 +167,10 @@ class TrackerStore:
     ) -> DataFrame:
         """Apply one full listing and return its change feed.
 
-        The feed is written first and read back for everything else, so the listing is
-        evaluated once. `land` stores the files of the feed before the run counts as finished. A run
-        that is already finished is not applied again; without changes no new active version is written. Another
-        form than a run time is refused before anything is read.
+        The listing is evaluated once, and written by bucket. Where the checksum of a bucket is that of its active versions, nothing has
+        changed, and the bucket is neither compared nor written. The feed of the others is written first and read back for everything
+        else. `land` stores the files of the feed before the run counts as finished. A run that is already finished is not applied
+        again; without changes no new active version is written. Another form than a run time is refused before anything is read.
         """
         run = run_id(run_ts)
         before = self.log().agg(
@@ -132,19 +183,20 @@ class TrackerStore:
         if last is not None and run_ts < last.run_ts:
             raise StaleListingError(f"listing of {run_ts} is older than the last run, {last.run_ts}")
 
-        active = empty_tracker(self.spark) if last is None else self._active(last.active_run)
-        found = changes(active, listing, run_ts, one_active=True)
+        lines = self._manifest(None if last is None else last.active_run)
+        listing = self._by_bucket(listing, len(lines))
+        listed = listing.groupBy("bucket").agg(*checksums()).collect()  # one row per bucket
+        differing = self._differing(lines, listed)
+        if not listed and any(r.n for r in lines.values()):
+            raise EmptyListingError("the listing is empty but the tracker has active files")
+        active = self._versions(lines, differing)
+        found = changes(active, listing.where(F.col("bucket").isin(sorted(differing))), run_ts, one_active=True)
         if failed is not None:
             found = settle(found, "found")
         else:
             found.write.mode("overwrite").parquet(self._feed_path(run_ts))
             found = self.feed(run_ts)
         per_status = _count_statuses(found)
-        removed = per_status.get("removed", 0)
-        # Every listed file is new, changed or still active: when all that happened is that every
-        # active file left, the listing had no row. Files that couldn't be fetched were listed all the same.
-        if removed and len(per_status) == 1 and removed == active.count():
-            raise EmptyListingError("the listing is empty but the tracker has active files")
         if failed is not None:
             without_failed(found, failed).write.mode("overwrite").parquet(self._feed_path(run_ts))
             per_status = _count_statuses(self.feed(run_ts))
@@ -156,8 +208,7 @@ class TrackerStore:
 
         if land is not None:
             land(feed, run_ts)
-        stayed = active.join(feed.select("file_name"), "file_name", "left_anti")
-        self._write_active(stayed.unionByName(opened_versions(feed)), run_ts)
+        self._write_active(active, feed, opened_versions(feed), run_ts, lines)
         self._finish([run_ts], run)
         return feed
 
@@ -174,11 +225,16 @@ class TrackerStore:
         runs = sorted(runs, key=run_id)
         done = {r.run_ts for r in self.log().where(F.col("run_ts").isin(runs)).collect()}
         last = self.last_run()
-        active = empty_tracker(self.spark) if last is None else self._active(last.active_run)
-        counts = listings.where(F.col("run_ts").isin(runs)).groupBy("run_ts").count().collect()  # one row per run
-        listed, unfit = {r.run_ts for r in counts}, {}
+        lines = self._manifest(None if last is None else last.active_run)
+        bucket = _bucket(len(lines))
+        known = listings.where(F.col("run_ts").isin(runs)).withColumn("bucket", bucket)
+        sums = known.groupBy("run_ts", "bucket").agg(*checksums()).collect()  # one row per run and bucket
+        listed, unfit = {r.run_ts for r in sums}, {}
+        differing = set().union(*[self._differing(lines, [r for r in sums if r.run_ts == run]) for run in runs if run not in done])
+        active, listings = self._versions(lines, differing), known.where(F.col("bucket").isin(sorted(differing)))
+        filled = any(r.n for r in lines.values())
         while True:
-            accepted, refused = self._admitted([r for r in runs if r not in done], listed, unfit, last, active)
+            accepted, refused = self._admitted([r for r in runs if r not in done], listed, unfit, last, filled)
             if not accepted:
                 return refused
             written = self._write_feeds(backlog_changes(active, listings, accepted), accepted)
@@ -199,8 +255,7 @@ class TrackerStore:
                 event = F.struct("status", "file_timestamp", "full_url", "run_ts")
                 # a run has at most one row for a file
                 final = written.groupBy("file_name").agg(F.max_by(event, "run_ts").alias("c")).select("file_name", "c.*")
-            stayed = active.join(written.select("file_name"), "file_name", "left_anti")
-            self._write_active(stayed.unionByName(opened_versions(final)), accepted[-1])
+            self._write_active(active, written, opened_versions(final), accepted[-1], lines)
             self._finish(accepted, run_id(accepted[-1]))
         elif last is not None:
             self._finish(accepted, last.active_run)
@@ -217,24 +272,22 @@ class TrackerStore:
         return held.where(F.col("attempt") == attempt).select(CHANGES.names)
 
     def _admitted(
-        self, runs: list[str], listed: set[str], unfit: dict[str, str], last: Row | None, active: DataFrame
+        self, runs: list[str], listed: set[str], unfit: dict[str, str], last: Row | None, filled: bool
     ) -> tuple[list[str], dict[str, str]]:
         """The runs that can be applied, and why the others can't."""
-        filled, accepted, refused = None, [], {}
+        accepted, refused = [], {}
         for run in runs:
             if last is not None and run < last.run_ts:
                 refused[run] = f"listing of {run} is older than the last run, {last.run_ts}"
             elif run in unfit:
                 refused[run] = unfit[run]
             elif run in listed:
-                filled = True
+                filled = True  # from here on
                 accepted.append(run)
+            elif filled:
+                refused[run] = "the listing is empty but the tracker has active files"
             else:
-                filled = not active.isEmpty() if filled is None else filled
-                if filled:
-                    refused[run] = "the listing is empty but the tracker has active files"
-                else:
-                    accepted.append(run)
+                accepted.append(run)
         return accepted, refused
 
     def seed(self, tracker: DataFrame) -> None:
@@ -259,7 +312,8 @@ class TrackerStore:
             F.col("end_timestamp").alias("run_ts"),
         )
         closed.write.mode("overwrite").parquet(self._feed_path(latest))
-        self._write_active(active_versions(tracker), latest)
+        nothing = empty_table(self.spark, CHANGES)
+        self._write_active(empty_tracker(self.spark), nothing, active_versions(tracker), latest, self._manifest(None))
         self._finish([latest], run_id(latest))
 
     def prune(self) -> None:
@@ -267,13 +321,38 @@ class TrackerStore:
         last = self.last_run()
         if last is None:
             return
-        # One row per finished run.
+        held = {(r.run, r.bucket) for r in self._manifest(last.active_run).values()}
+        # One row per finished run, and a few per bucket.
         earlier = self.log().select("active_run").where(F.col("active_run") != last.active_run).distinct()
         for row in earlier.collect():
-            empty_folder(self.spark, f"{self.path}/active/{row.active_run}", TRACKER)
-
-    def _write_active(self, versions: DataFrame, run_ts: str) -> None:
-        versions.select(TRACKER.names).write.mode("overwrite").parquet(f"{self.path}/active/{run_id(run_ts)}")
+            for line in self._manifest(row.active_run).values():
+                if line.run == row.active_run and line.n and (line.run, line.bucket) not in held:
+                    empty_folder(self.spark, f"{self.path}/active/{line.run}/bucket={line.bucket}", TRACKER)
+
+    def _by_bucket(self, listing: DataFrame, buckets: int) -> DataFrame:
+        """A listing, written once by bucket."""
+        path = scratch_path(self.spark, "listing")
+        rows = listing.select(LISTING_COLUMNS)
+        rows.withColumn("bucket", _bucket(buckets)).write.partitionBy("bucket").parquet(path)
+        schema = T.StructType([*rows.schema.fields, T.StructField("bucket", T.IntegerType())])
+        return read_if_exists(self.spark, path, schema)
+
+    def _write_active(self, active: DataFrame, feed: DataFrame, opened: DataFrame, run_ts: str, lines: dict[int, Row]) -> None:
+        """Write the buckets in which a feed says that something changed: what stays of the active versions, and what was opened."""
+        run, bucket = run_id(run_ts), _bucket(len(lines))
+        touched = {r.bucket for r in feed.select(bucket.alias("bucket")).unionByName(opened.select(bucket.alias("bucket"))).distinct().collect()}
+        stayed = self._versions(lines, touched).join(feed.select("file_name"), "file_name", "left_anti")
+        versions = stayed.unionByName(opened).select(*TRACKER.names, bucket.alias("bucket"))
+        path = f"{self.path}/active/{run}"
+        versions.write.mode("overwrite").partitionBy("bucket").parquet(path)
+        written = read_if_exists(self.spark, path, T.StructType([*TRACKER.fields, T.StructField("bucket", T.IntegerType())]))
+        sums = {r.bucket: r for r in written.groupBy("bucket").agg(*checksums()).collect()}  # one row per bucket
+        rows = []
+        for b, line in lines.items():
+            if b in touched:
+                line = Row(run=run, **(sums[b].asDict() if b in sums else dict(bucket=b, n=0, inexact=0, x=0, y=0)))
+            rows.append(tuple(line[c] for c in MANIFEST.names))
+        self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/{run}")
 
     def _finish(self, runs: list[str], active_run: str) -> None:
         """Put finished runs on record, all at once."""
