@@ -125,3 +125,27 @@ def test_empty_table_and_clashing_columns(spark):
     assert kept[2]["_block"] == 7 and kept[2]["_k0"] == "x" and len(kept[4]["gone"]) == 1
     words = {r["doc_id"]: r for r in worddedup.without_repeats(wide).collect()}
     assert words[1]["text"] == "" and words[3]["text"] == "" and words[1]["intervals"][0]["last"] == 60
+
+
+@pytest.mark.parametrize("kind", [bytededup.BYTES, worddedup.WORDS])
+def test_passages_do_not_depend_on_the_order_of_a_block(kind, monkeypatch):
+    """A block is read again for the last step, and its texts may arrive in another order; numbers of passages must be the same."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(repeats, "SEGMENT", 400)
+    docs = [(i, t or "") for i, (_, t) in enumerate(mixture(3) + [(0, "long text " * 400 + str(i)) for i in range(3)])]
+    heard = repeats._rows(repeats._HEARD_ARROW, [])
+
+    def block(rows_):
+        columns = {"_block": pa.array([0] * len(rows_), pa.int32()), "_id": pa.array([i for i, _ in rows_], pa.int64()), "_text": pa.array([t for _, t in rows_])}
+        return repeats.Block(pa.table(columns), heard, kind)
+
+    found = []
+    for seed in range(4):
+        random.Random(seed).shuffle(docs)
+        texts = block(docs)
+        alive = np.unique(texts.anchors()[0])
+        passages = texts.passages(alive, np.arange(len(alive)) % 3 == 0, 5)
+        number, _ = passages.numbered()
+        found.append(sorted(zip(passages.shard.tolist(), number.tolist(), passages.one.tolist(), passages.windows.tolist(), texts.ids[passages.row].tolist(), strict=True)))
+    assert found[0] == found[1] == found[2] == found[3] and len(found[0]) > 100
