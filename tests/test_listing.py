@@ -3,7 +3,7 @@ import datetime
 import pytest
 from conftest import rows
 
-from tidemark.sources.pages import DATED_GROUPS, LINK_END, LINK_ENTRY, entries, extract_listing
+from tidemark.sources.pages import DATED_GROUPS, LINK_END, LINK_ENTRY, entries, extract_listing, page_parts
 
 PAGE = """<html><body><pre><A HREF="/pub/">[To Parent Directory]</A><br><br>
  3/6/2025  8:30 AM         1234 <A HREF="/pub/x/pr.class">pr.class</A><br>
@@ -114,3 +114,36 @@ def test_a_pattern_of_five_groups(spark):
     bad = page.replace("3/6/2025", "2/30/2025")
     with pytest.raises(Exception, match="no such time"):
         extract_listing(pages(spark, bad), BASE, pattern, groups=DATED_GROUPS).collect()
+
+
+ENTRY = '1/{d}/2024 08:30 AM {d} <A HREF="/x/{n}">{n}</A>'
+BLOCKS = [
+    "<html><pre>{e}</pre></html>",
+    "<html><PRE class='x'>{e}</PRE><br>1/1/2024 08:30 AM 5 <a href=/no>no</a><br><pre>1/1/2024 08:30 AM 5 <a href=/no>no</a></pre>",
+    "1/1/2024 08:30 AM 5 <a href=/no>no</a><br><br><pre>{e}",
+    "<p>{e}</p></pre>",
+    "<pre></pre><br><pre>{e}</pre>",
+    "<pre>{e}\n</pre ><br></pre><br>1/1/2024 08:30 AM 5 <a href=/no>no</a>",
+]
+
+
+@pytest.mark.parametrize("size", [150, 10**6])
+def test_a_page_read_by_many_tasks(spark, tmp_path, size):
+    """Each page in a file of its own, cut into splits of any size, gives the entries that it gives as one row."""
+    texts = []
+    for i, block in enumerate(BLOCKS):
+        for j, (cut, many) in enumerate([("<br>", 60), ("<BR>", 7), ("<br/>\n", 7), ("<br>\n", 0), ("<br>", 1)]):
+            lines = cut.join(ENTRY.format(d=k % 28 + 1, n=f"f{i}-{j}-{k}") for k in range(many)) + cut
+            texts.append(block.format(e=lines))
+            (tmp_path / f"p{i}-{j}.html").write_text(texts[-1])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        parts = page_parts(spark, str(tmp_path))
+        assert size == 10**6 or spark.read.text(str(tmp_path)).rdd.getNumPartitions() > len(texts)
+        found = rows(extract_listing(parts, BASE, block=None).drop("page_file"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found == rows(extract_listing(pages(spark, *texts), BASE).drop("run_ts"))
+    assert len(found) > 250 and not [r for r in found if r[0] == "no" and r[4] != 5]

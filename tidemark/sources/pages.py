@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from html.entities import name2codepoint
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The form of one entry of a listing, as the published pages have it: month, day, year, hour, minute, AM/PM, size, link
@@ -92,6 +92,29 @@ def decode_references(c: Column) -> Column:
     return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(parts, decode), "")).otherwise(c)
 
 
+def page_parts(spark: SparkSession, path: str | list[str], line_break: str = "<br>") -> DataFrame:
+    """`(page_file, html)`: what stands in the first `<pre>` block of each page, one page to a file, in parts that end at line breaks.
+
+    Files are read with `line_break` between records, so a page of any size splits, and no entry is cut. Where the block begins and ends
+    in a file is found first, by an aggregate over places; then each part knows by its own place whether it is inside. Pages that write the break
+    otherwise give the same entries, but in larger parts. A page without the block gives no part. The files are read twice.
+    """
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nth"))
+    parts = spark.read.option("lineSep", line_break).text(path)
+    parts = parts.select(F.col("_metadata.file_path").alias("page_file"), place.alias("at"), F.col("value").alias("html"))
+    opening, closing = r"(?i)<pre\b[^>]*>", r"(?i)</pre\s*>"
+    opened = parts.where(F.col("html").rlike(opening)).groupBy("page_file")
+    shut = F.col("html").rlike(r"(?is)\A.*?<pre\b[^>]*>.*?</pre\s*>")
+    opened = opened.agg(F.min(F.struct("at", shut.alias("shut"))).alias("open")).select("page_file", "open.*").withColumnRenamed("at", "opens")
+    closes = parts.where(F.col("html").rlike(closing)).join(opened, "page_file").where("at > opens and not shut")
+    closes = closes.groupBy("page_file").agg(F.min("at").alias("closes"))
+    inside = parts.join(opened.join(closes, "page_file", "left"), "page_file")
+    inside = inside.where("at = opens or at > opens and not shut and (closes is null or at <= closes)")
+    body = F.when(F.col("at") == F.col("opens"), F.regexp_extract("html", PRE_BLOCK, 1))
+    body = body.when(F.col("at") == F.col("closes"), F.regexp_extract("html", r"(?is)\A(.*?)</pre\s*>", 1)).otherwise(F.col("html"))
+    return inside.select("page_file", body.alias("html"))
+
+
 def _clock(raw: DataFrame) -> DataFrame:
     """Date and time cells of `DATED_GROUPS` as the pieces of `FILE_ENTRY_GROUPS`."""
     date = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s*$"
@@ -107,6 +130,7 @@ def extract_listing(
     pattern: str = FILE_ENTRY,
     keep_pages: bool = False,
     groups: list[str] | None = None,
+    block: str | None = PRE_BLOCK,
 ) -> DataFrame:
     """The files named on listing pages.
 
@@ -117,9 +141,9 @@ def extract_listing(
     `keep_pages` each page gives one more row without a file name.
 
     A pattern of one's own has the groups of `FILE_ENTRY_GROUPS`, or those named in `groups`, such as `DATED_GROUPS`. A page is
-    one row, so it is read by one task.
+    one row, so it is read by one task; pages of any size are read by many from files (`page_parts`, with no `block`).
     """
-    found = parse_listing(pages, base_url, pattern, keep_pages, groups)
+    found = parse_listing(pages, base_url, pattern, keep_pages, groups, block)
     readable = F.when(F.col("problem").isNotNull(), F.raise_error(F.col("problem"))).otherwise(F.lit(True))
     return found.where(readable).drop("problem")
 
@@ -130,12 +154,14 @@ def parse_listing(
     pattern: str = FILE_ENTRY,
     keep_pages: bool = False,
     groups: list[str] | None = None,
+    block: str | None = PRE_BLOCK,
 ) -> DataFrame:
     """The same without failing: `problem` says what could not be read, and is NULL for a good entry."""
     keep = [F.col(f"`{c}`") for c in pages.columns if c not in ("html", "url")]
     own = pattern != FILE_ENTRY
     groups = groups or FILE_ENTRY_GROUPS
-    raw = entries(pages.drop("url"), pattern, groups, keep_pages=keep_pages, like=None if own else LIKE_AN_ENTRY)
+    like = None if own else LIKE_AN_ENTRY
+    raw = entries(pages.drop("url"), pattern, groups, block=block, keep_pages=keep_pages, like=like)
     if own:
         raw = raw.withColumn("_lost", F.lit(None).cast("string"))
     if "_date" in groups:

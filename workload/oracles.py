@@ -257,6 +257,7 @@ ORACLES: dict[str, str] = {
                       p_partkey) AS full_url,
                CAST(p_size AS BIGINT) AS file_size
         FROM part""",
+    "listing_from_files": f"WITH {LISTINGS} SELECT * FROM first",
     "page_links": f"""
         WITH links AS (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<a href=".*?">.*?</a>')) AS link FROM pages)
         SELECT page_id, concat('{BASE}', regexp_extract(link, '(?s)<a href="(.*?)">(.*?)</a>', 1)) AS full_url,

@@ -23,7 +23,7 @@ from tidemark.sinks.tracker_store import TrackerStore
 from tidemark.sources.delimited import read_tracker_csv
 from tidemark.sources.documents import read_documents, records
 from tidemark.sources.files import file_sizes, read_files
-from tidemark.sources.pages import LINK_END, LINK_ENTRY, entries, extract_listing
+from tidemark.sources.pages import LINK_END, LINK_ENTRY, entries, extract_listing, page_parts
 from tidemark.streaming.listings import listing_stream, track_listings
 from tidemark.streaming.population import analyze_on_arrival, latest_result, population_stream
 from workload import derive as D
@@ -159,6 +159,14 @@ def listing_extract_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_listing(D.odd_pages(spark, sf_dir), D.BASE_URL).drop("file_ts")
 
 
+def listing_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing whose pages are files, each read by as many tasks as it has splits."""
+    path = scratch_path(spark, "pages")
+    pages = D.listing_pages(D.shipping_listing(spark, sf_dir, "F"), D.FIRST_RUN).select("page", "html")
+    pages.repartition("page").write.partitionBy("page").text(path)
+    return extract_listing(page_parts(spark, path), D.BASE_URL, block=None).select("file_name", "file_timestamp", "full_url")
+
+
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = D.table(spark, sf_dir, "pages").select("page_id", "html")
     found = entries(pages, LINK_ENTRY, ["href", "label"], block=None, cut=LINK_END)
@@ -417,6 +425,7 @@ QUERIES: dict[str, Query] = {
         table_profile_lines,
         listing_extract,
         listing_extract_odd,
+        listing_from_files,
         page_links,
         path_parts,
         scd2_bootstrap,
