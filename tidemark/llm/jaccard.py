@@ -24,11 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import LOWER, SPACED_WORDS, SPREAD, STEP, U64, Words, as_binary, buffers, grams, mix, reach, settle
 from tidemark.llm.neardup import components
+from tidemark.llm.prefixjoin import across, arranged, enough, may_miss, pairs, postings
 
 #: Words of an n-gram; similarity of a link is at least `SIMILAR` / 100.
 WORDS, SIMILAR = 3, 90
@@ -159,47 +160,15 @@ def _alive(sets: DataFrame, rows: DataFrame) -> DataFrame:
     """The sets (node, n, ...) with at most a tenth of n-grams that no other set has, counted in `rows` (node, gram); adds their number `own`."""
     alone = rows.groupBy("gram").agg(F.count("*").alias("many"), F.min("node").alias("node")).where("many = 1")
     alone = alone.groupBy("node").agg(F.count("*").alias("own"))
-    return sets.join(alone, "node", "left").withColumn("own", F.coalesce("own", F.lit(0))).where(_may_miss("own", "n"))
-
-
-def _may_miss(missing: str, size: str) -> Column:
-    return F.expr(f"100L * {missing} <= {100 - SIMILAR}L * {size}")
-
-
-def _enough(common: str, a: str, b: str) -> Column:
-    """Whether sets of sizes `a` and `b` are similar with so many common n-grams."""
-    return F.expr(f"100L * ({common}) >= {SIMILAR}L * ({a} + {b} - ({common}))")
+    return sets.join(alone, "node", "left").withColumn("own", F.coalesce("own", F.lit(0))).where(may_miss("own", "n", SIMILAR))
 
 
 def _ordered(sets: DataFrame) -> DataFrame:
     """(node, n, own, grams): the n-grams that other sets have too, as (many, gram) from rare to frequent."""
     rows = sets.select("node", F.explode("grams").alias("gram"))
     alive = settle(_alive(sets, rows).select("node", "n", "own", "grams"), "alive")
-    rows = alive.select("node", F.explode("grams").alias("gram"))
-    many = rows.groupBy("gram").agg(F.count("*").cast("int").alias("many")).where("many > 1")
-    found = rows.join(many, "gram").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("many", "gram"))).alias("grams"))
     # sets that left take the partners of some n-grams with them, so more of the others' are their own now
-    kept = alive.select("node", "n").join(found, "node").withColumn("own", F.col("n") - F.size("grams"))
-    return settle(kept.where(_may_miss("own", "n")).select("node", "n", "own", "grams"), "ordered")
-
-
-def _postings(ordered: DataFrame) -> DataFrame:
-    """(gram, node, n, own, at): where the n-grams stand of which two similar sets share one; own ones come first."""
-    first = F.expr(f"slice(grams, 1, cast(({100 - SIMILAR} * n) div 100 + 1 - own as int))")
-    return ordered.select("node", "n", "own", F.posexplode(first).alias("at", "g")).select(
-        F.col("g.gram").alias("gram"), "node", "n", "own", (F.col("own") + F.col("at")).alias("at")
-    )
-
-
-def _linkable() -> Column:
-    """Whether sets x and y that share an n-gram at these places, and none before, may be similar."""
-    common = "least(x.n - x.at, y.n - y.at, x.n - x.own, y.n - y.own)"
-    return _enough(common, "x.n", "y.n")
-
-
-def _pairs(x: DataFrame, y: DataFrame, other: Column) -> DataFrame:
-    met = x.alias("x").join(y.alias("y"), (F.col("x.gram") == F.col("y.gram")) & other & _linkable())
-    return met.select(F.least("x.node", "y.node").alias("b"), F.greatest("x.node", "y.node").alias("a")).distinct()
+    return arranged(alive, alive.select("node", F.explode("grams").alias("gram")), SIMILAR)
 
 
 def segments(ordered: DataFrame) -> DataFrame:
@@ -210,34 +179,29 @@ def segments(ordered: DataFrame) -> DataFrame:
     return rows.groupBy("node", fragment).agg(F.collect_list("g.gram").alias("grams"))
 
 
-def _links(pairs: DataFrame, cut: DataFrame, sizes: DataFrame) -> DataFrame:
+def _links(found: DataFrame, cut: DataFrame, sizes: DataFrame) -> DataFrame:
     """The similar ones of some pairs: overlaps are counted in each fragment, then summed."""
-    pairs = settle(pairs, "pairs")
+    found = settle(found, "pairs")
     left = cut.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("ga"))
     right = cut.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("gb"))
-    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", F.size(F.array_intersect("ga", "gb")).alias("common"))
+    partial = found.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", F.size(F.array_intersect("ga", "gb")).alias("common"))
     common = partial.groupBy("a", "b").agg(F.sum("common").alias("common"))
     common = common.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
     common = common.join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-    return settle(common.where(_enough("common", "na", "nb")).select("a", "b"), "links")
+    return settle(common.where(enough("common", "na", "nb", SIMILAR)).select("a", "b"), "links")
 
 
 def _connected(ordered: DataFrame) -> DataFrame:
     """(node, least): sets connected by links with others, and the smallest node they are connected with."""
-    postings = settle(_postings(ordered), "postings")
+    posted = settle(postings(ordered, SIMILAR), "postings")
     cut, sizes = settle(segments(ordered), "segments"), ordered.select("node", "n")
     best = F.min(F.struct("own", "node", "n", "at"))
-    pivots = postings.groupBy("gram").agg(best.alias("p"), F.count("*").alias("many")).where("many > 1").select("gram", "p.*")
-    links = _links(_pairs(postings, pivots, F.col("x.node") != F.col("y.node")), cut, sizes)
+    pivots = posted.groupBy("gram").agg(best.alias("p"), F.count("*").alias("many")).where("many > 1").select("gram", "p.*")
+    links = _links(pairs(posted, pivots, F.col("x.node") != F.col("y.node"), SIMILAR), cut, sizes)
     labels = components(links)
     # what is not connected yet: every set outside the largest part of an n-gram meets those of all other parts
-    placed = postings.join(labels.withColumnRenamed("least", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
-    placed = settle(placed, "placed")
-    parts = placed.groupBy("gram", "part").agg(F.count("*").alias("many")).groupBy("gram")
-    parts = parts.agg(F.count("*").alias("parts"), F.max(F.struct("many", "part"))["part"].alias("largest")).where("parts > 1").select("gram", "largest")
-    mixed = settle(placed.join(parts, "gram"), "mixed")
-    rest = _pairs(mixed.where("part <> largest"), mixed, F.col("x.part") != F.col("y.part"))
-    more = _links(rest, cut, sizes)
+    placed = posted.join(labels.withColumnRenamed("least", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    more = _links(across(settle(placed, "placed"), SIMILAR), cut, sizes)
     return labels if more.isEmpty() else components(links.unionByName(more))
 
 

@@ -8,9 +8,8 @@ as it takes to fill all coordinates, so a text costs about as many darts as ther
 
 `ROWS` coordinates in a row make a band. Texts that share a band are candidates: each is compared, on its whole
 shingles, with the pivot of the bucket, the text that shares most bands with others, as the original of many edited copies does. What is still
-apart after that is compared across the parts of a bucket, without the pairs that can't be a link: those too far apart in size or
-in distance to the pivot, and texts with too few shingles that any other such text has. So no bucket is cut off
-or spread into all its pairs. Links of similarity `SIMILAR` or more join texts to classes.
+apart after that meets the texts of other parts by an exact prefix filter over the shingles of all texts in such buckets, so edits of one's own
+lead to no pairs. So no bucket is cut off or spread into all its pairs. Links of similarity `SIMILAR` or more join texts to classes.
 
 A pair of similarity 0.8 shares none of the bands with a chance of about 5e-8.
 """
@@ -25,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import SPREAD, STEP, U64, Words, as_binary, buffers, grams, mix, pieces, reach, settle
+from tidemark.llm.prefixjoin import across, arranged, postings
 
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 32, 4
@@ -196,26 +196,22 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle; with weights, one for each time it occurs."""
     for batch in batches:
-        for text, raw in zip(batch.column("text_id").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
-            shingle = np.frombuffer(raw, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(shingle), text, np.int64)), pa.array(shingle)], names=["text_id", "shingle"])
-
-
-def _shared(texts: DataFrame, sets: DataFrame) -> DataFrame:
-    """How many different shingles of each text some other of the texts has."""
-    rows = sets.join(texts, "text_id", "left_semi").select("text_id", "shingles").mapInArrow(_spread, "text_id long, shingle long")
-    rows = settle(rows, "spread")
-    common = rows.groupBy("shingle").agg(F.count("*").alias("many")).where("many > 1").select("shingle")
-    return rows.join(common, "shingle", "left_semi").groupBy("text_id").agg(F.count("*").alias("shared"))
-
-
-def _across(buckets: DataFrame, compared: DataFrame, labels: DataFrame, sizes: DataFrame, sets: DataFrame, counts: bool) -> DataFrame:
-    """Pairs of a bucket that are not yet connected and may be a link.
-
-    Two texts of x and y shingles are similar if they share `SIMILAR` / (1 + `SIMILAR`) of x + y, so neither can have fewer that
-    others share.
-    """
+        sets, at = buffers(as_binary(batch.column("shingles")))
+        shingle = np.frombuffer(sets.tobytes(), U64)
+        text = np.repeat(batch.column("text_id").to_numpy(), np.diff(at) // 8)
+        if batch.column("weights").null_count == 0:
+            times = np.frombuffer(buffers(as_binary(batch.column("weights")))[0].tobytes(), "<u4").astype(np.int64)
+            nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            text, shingle = np.repeat(text, times), mix(np.repeat(shingle, times) + nth.astype(U64) * SPREAD)
+        for lo in range(0, len(text), 1 << 16):
+            some = slice(lo, lo + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(text[some]), pa.array(shingle[some].view(np.int64))], names=["node", "gram"])
+
+
+def _across(buckets: DataFrame, compared: DataFrame, labels: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of texts that are not yet connected, lie in buckets that hold several parts, and may be a link (see `prefixjoin`)."""
     known = compared.select(F.col("a").alias("text_id"), F.col("b").alias("pivot"), "similar")
     placed = (
         buckets.join(known, ["text_id", "pivot"], "left")
@@ -224,29 +220,12 @@ def _across(buckets: DataFrame, compared: DataFrame, labels: DataFrame, sizes: D
         .where("text_id <> pivot and similar is not null")
     )
     mixed = placed.groupBy("h").agg(F.min("part").alias("first"), F.max("part").alias("last")).where("first <> last").select("h")
-    placed = settle(placed.join(mixed, "h", "left_semi").select("h", "part", "text_id", "similar"), "placed")
-    shared = _shared(placed.select("text_id").distinct(), sets)
-    placed = placed.join(sizes.join(shared, "text_id", "left").fillna(0, ["shared"]), "text_id")
-    if not counts:  # no text of the bucket is small enough to be similar to one with so few shared shingles
-        least = placed.groupBy("h").agg(F.min("n").alias("least_n"))
-        enough = F.expr(f"shared + 1e-6 >= {SIMILAR / (1 + SIMILAR)} * (n + least_n)")
-        placed = placed.join(least, "h").where(enough).drop("least_n")
-    placed = settle(placed, "viable")
-    parts = placed.groupBy("h", "part").agg(F.count("*").alias("many"))
-    other = parts.select("h", F.col("part").alias("part2"), F.col("many").alias("many2"))
-    # of two parts the smaller one's texts look for partners in the larger one
-    seek = F.expr("part <> part2 and (many < many2 or many = many2 and part < part2)")
-    wanted = parts.join(other, "h").where(seek).select("h", "part", "part2")
-    small = placed.join(wanted, ["h", "part"])
-    small = small.select("h", "part2", F.col("text_id").alias("x"), F.col("similar").alias("sx"), F.col("n").alias("nx"), F.col("shared").alias("ox"))
-    large = placed.select(
-        "h", F.col("part").alias("part2"), F.col("text_id").alias("y"), F.col("similar").alias("sy"), F.col("n").alias("ny"), F.col("shared").alias("oy")
-    )
-    near = F.expr(f"abs(sx - sy) <= {1 - SIMILAR} + 1e-9 and least(nx, ny) >= {SIMILAR} * greatest(nx, ny)")
-    if not counts:
-        near = near & F.expr(f"least(ox, oy) + 1e-6 >= {SIMILAR / (1 + SIMILAR)} * (nx + ny)")
-    pairs = small.join(large, ["h", "part2"]).where(near)
-    return pairs.select(F.least("x", "y").alias("b"), F.greatest("x", "y").alias("a")).distinct()
+    texts = settle(placed.join(mixed, "h", "left_semi").select(F.col("text_id").alias("node"), "part").distinct(), "placed")
+    some = sets.withColumnRenamed("text_id", "node").join(texts.select("node"), "node", "left_semi")
+    rows = settle(some.select(F.col("node").alias("text_id"), "shingles", "weights").mapInArrow(_spread, "node long, gram long"), "spread")
+    similar = round(100 * SIMILAR)
+    posted = postings(arranged(sizes.withColumnRenamed("text_id", "node"), rows, similar), similar)
+    return across(settle(posted.join(texts, "node"), "postings"), similar)
 
 
 def near_duplicates(documents: DataFrame, counts: bool = False) -> DataFrame:
@@ -288,7 +267,7 @@ def _classified(documents: DataFrame, counts: bool = False) -> DataFrame:
     compared = compare(near, sets)
     links = compared.where(F.col("similar") >= SIMILAR)
     labels = components(links)
-    more = compare(_across(buckets, compared, labels, sizes, sets, counts), sets).where(F.col("similar") >= SIMILAR)
+    more = compare(_across(buckets, compared, labels, sizes, sets), sets).where(F.col("similar") >= SIMILAR)
     if not more.isEmpty():
         labels = components(links.union(more))
     classes = texts.select("k1", "k2", "doc_id", "text_id").join(labels.withColumnRenamed("node", "text_id"), "text_id", "left")
