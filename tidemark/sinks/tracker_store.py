@@ -45,8 +45,8 @@ UNREADABLE = T.StructType(
     + [T.StructField(n, T.StringType()) for n in ("page_url", "problem")]
 )
 LOG = T.StructType([T.StructField(n, T.StringType()) for n in ("run_ts", "run", "active_run")])
-# Buckets of a new store.
-BUCKETS = 16
+# Files in a bucket of a new store, about, and the most buckets.
+BUCKET_FILES, MOST_BUCKETS = 500_000, 4096
 MANIFEST = T.StructType(
     [T.StructField("bucket", T.IntegerType()), T.StructField("run", T.StringType())]
     + [T.StructField(n, T.LongType()) for n in ("n", "inexact", "x", "y")]
@@ -74,9 +74,9 @@ def _bucket(buckets: int) -> Column:
 
 
 class TrackerStore:
-    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
-        """`buckets` counts for a new store; an old one keeps its own."""
-        self.spark, self.path, self._new_buckets = spark, path.rstrip("/"), buckets
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
+        """`buckets` counts for a new store, which has as many as its first listing asks for if none is given; an old store keeps its own."""
+        self.spark, self.path, self._buckets = spark, path.rstrip("/"), buckets
 
     def log(self) -> DataFrame:
         return read_if_exists(self.spark, f"{self.path}/log", LOG)
@@ -115,10 +115,13 @@ class TrackerStore:
     def _active(self, run: str) -> DataFrame:
         return self._versions(self._manifest(run))
 
-    def _manifest(self, run: str | None) -> dict[int, Row]:
-        """Bucket to its line after a run; a store has a bounded number of buckets."""
-        if run is None:
-            return {b: Row(bucket=b, run=None, n=0, inexact=0, x=0, y=0) for b in range(self._new_buckets)}
+    def _new_manifest(self, files: int) -> dict[int, Row]:
+        """The buckets of a store that begins with so many files."""
+        buckets = self._buckets or min(1 + files // BUCKET_FILES, MOST_BUCKETS)
+        return {b: Row(bucket=b, run=None, n=0, inexact=0, x=0, y=0) for b in range(buckets)}
+
+    def _manifest(self, run: str) -> dict[int, Row]:
+        """Bucket to its line after a run."""
         lines = self.spark.read.schema(MANIFEST).parquet(f"{self.path}/manifest/{run}").collect()
         return {r.bucket: r for r in lines}
 
@@ -183,10 +186,15 @@ class TrackerStore:
         if last is not None and run_ts < last.run_ts:
             raise StaleListingError(f"listing of {run_ts} is older than the last run, {last.run_ts}")
 
-        lines = self._manifest(None if last is None else last.active_run)
-        listing = self._by_bucket(listing, len(lines))
-        listed = listing.groupBy("bucket").agg(*checksums()).collect()  # one row per bucket
-        differing = self._differing(lines, listed)
+        lines = {} if last is None else self._manifest(last.active_run)
+        listing = self._by_bucket(listing, len(lines) or self._buckets or 1)
+        if lines:
+            listed = listing.groupBy("bucket").agg(*checksums()).collect()  # one row per bucket
+            differing = self._differing(lines, listed)
+        else:  # all is new
+            lines = self._new_manifest(listing.count())
+            listing, listed = listing.withColumn("bucket", _bucket(len(lines))), []
+            differing = set(lines)
         if not listed and any(r.n for r in lines.values()):
             raise EmptyListingError("the listing is empty but the tracker has active files")
         active = self._versions(lines, differing)
@@ -225,9 +233,13 @@ class TrackerStore:
         runs = sorted(runs, key=run_id)
         done = {r.run_ts for r in self.log().where(F.col("run_ts").isin(runs)).collect()}
         last = self.last_run()
-        lines = self._manifest(None if last is None else last.active_run)
-        bucket = _bucket(len(lines))
-        known = listings.where(F.col("run_ts").isin(runs)).withColumn("bucket", bucket)
+        known = listings.where(F.col("run_ts").isin(runs))
+        if last is None:
+            most = known.groupBy("run_ts").count().agg(F.max("count")).first()[0]
+            lines = self._new_manifest(most or 0)
+        else:
+            lines = self._manifest(last.active_run)
+        known = known.withColumn("bucket", _bucket(len(lines)))
         sums = known.groupBy("run_ts", "bucket").agg(*checksums()).collect()  # one row per run and bucket
         listed, unfit = {r.run_ts for r in sums}, {}
         differing = set().union(*[self._differing(lines, [r for r in sums if r.run_ts == run]) for run in runs if run not in done])
@@ -313,7 +325,7 @@ class TrackerStore:
         )
         closed.write.mode("overwrite").parquet(self._feed_path(latest))
         nothing = empty_table(self.spark, CHANGES)
-        self._write_active(empty_tracker(self.spark), nothing, active_versions(tracker), latest, self._manifest(None))
+        self._write_active(empty_tracker(self.spark), nothing, active_versions(tracker), latest, self._new_manifest(active_versions(tracker).count()))
         self._finish([latest], run_id(latest))
 
     def prune(self) -> None:
@@ -331,8 +343,10 @@ class TrackerStore:
 
     def _by_bucket(self, listing: DataFrame, buckets: int) -> DataFrame:
         """A listing, written once by bucket."""
-        path = scratch_path(self.spark, "listing")
         rows = listing.select(LISTING_COLUMNS)
+        if buckets == 1:
+            return settle(rows, "listing").withColumn("bucket", _bucket(1))
+        path = scratch_path(self.spark, "listing")
         rows.withColumn("bucket", _bucket(buckets)).write.partitionBy("bucket").parquet(path)
         schema = T.StructType([*rows.schema.fields, T.StructField("bucket", T.IntegerType())])
         return read_if_exists(self.spark, path, schema)
