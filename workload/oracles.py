@@ -274,6 +274,7 @@ ORACLES: dict[str, str] = {
         FROM urls""",
     "scd2_bootstrap": f"""WITH {LISTINGS}
         SELECT *, '{R1}' AS start_timestamp, CAST(NULL AS VARCHAR) AS end_timestamp, 'Y' AS is_active FROM first""",
+    "scd2_bootstrap_now": f"WITH {LISTINGS} SELECT true AS stamped, count(*) AS n_files, true AS well_formed, true AS of_today FROM first",
     "scd2_apply": TRACKER_ROWS,
     "scd2_changes": f"WITH {LISTINGS},{FEED} SELECT * FROM feed WHERE status <> 'unchanged'",
     "scd2_reactivated": f"""WITH {LISTINGS},{FEED}

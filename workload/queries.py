@@ -13,12 +13,12 @@ from tidemark.operators import scd2
 from tidemark.operators.history import replay
 from tidemark.plans import analysis
 from tidemark.operators.joins import settle
-from tidemark.plans.ingest import ingest, ingest_population
+from tidemark.plans.ingest import ingest, ingest_population, run_time
 from tidemark.schemas import POPULATION_DOCUMENT
 from tidemark.session import scratch_path
 from tidemark.sinks import raw_store
 from tidemark.sinks.series_store import SeriesStore
-from tidemark.sinks.tables import write_json_table, write_tracker_csv
+from tidemark.sinks.tables import RUN_TIME, write_json_table, write_tracker_csv
 from tidemark.sinks.tracker_store import TrackerStore
 from tidemark.sources.delimited import read_tracker_csv
 from tidemark.sources.documents import read_documents, records
@@ -194,6 +194,16 @@ def scd2_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.bootstrap(D.shipping_listing(spark, sf_dir, "F"), D.FIRST_RUN)
 
 
+def scd2_bootstrap_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first run at the time of the clock: how many files there are, and whether all bear that one time, in the one form and of this day."""
+    stamp = run_time()
+    tracker = scd2.bootstrap(D.shipping_listing(spark, sf_dir, "F"), stamp)
+    age = F.abs(F.unix_timestamp("start_timestamp", "yyyy-MM-dd HH:mm:ss") - F.unix_timestamp())
+    return tracker.groupBy((F.col("start_timestamp") == stamp).alias("stamped")).agg(
+        F.count("*").alias("n_files"), F.every(F.col("start_timestamp").rlike(f"^{RUN_TIME}$")).alias("well_formed"), (F.max(age) < 86_400).alias("of_today")
+    )
+
+
 def scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     listing = D.shipping_listing(spark, sf_dir, "O")
     return scd2.apply_listing(scd2_bootstrap(spark, sf_dir), listing, D.SECOND_RUN)
@@ -429,6 +439,7 @@ QUERIES: dict[str, Query] = {
         page_links,
         path_parts,
         scd2_bootstrap,
+        scd2_bootstrap_now,
         scd2_apply,
         scd2_changes,
         scd2_reactivated,
