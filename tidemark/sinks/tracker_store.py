@@ -170,10 +170,11 @@ class TrackerStore:
     ) -> DataFrame:
         """Apply one full listing and return its change feed.
 
-        The listing is evaluated once, and written by bucket. Where the checksum of a bucket is that of its active versions, nothing has
-        changed, and the bucket is neither compared nor written. The feed of the others is written first and read back for everything
-        else. `land` stores the files of the feed before the run counts as finished. A run that is already finished is not applied
-        again; without changes no new active version is written. Another form than a run time is refused before anything is read.
+        The listing is evaluated once. In a store of several buckets it is written by bucket; where the checksum of a bucket is that of its
+        active versions, nothing has changed, and the bucket is neither compared nor written. The feed of the others is written first and
+        read back for everything else. `land` stores the files of the feed before the run counts as finished. A run that is already
+        finished is not applied again; without changes no new active version is written. Another form than a run time is refused before
+        anything is read.
         """
         run = run_id(run_ts)
         before = self.log().agg(
@@ -186,25 +187,24 @@ class TrackerStore:
         if last is not None and run_ts < last.run_ts:
             raise StaleListingError(f"listing of {run_ts} is older than the last run, {last.run_ts}")
 
-        lines = {} if last is None else self._manifest(last.active_run)
-        listing = self._by_bucket(listing, len(lines) or self._buckets or 1)
-        if lines:
-            listed = listing.groupBy("bucket").agg(*checksums()).collect()  # one row per bucket
-            differing = self._differing(lines, listed)
-        else:  # all is new
-            lines = self._new_manifest(listing.count())
-            listing, listed = listing.withColumn("bucket", _bucket(len(lines))), []
-            differing = set(lines)
-        if not listed and any(r.n for r in lines.values()):
-            raise EmptyListingError("the listing is empty but the tracker has active files")
+        lines, differing = {} if last is None else self._manifest(last.active_run), None
+        if len(lines) > 1:
+            listing = self._by_bucket(listing, len(lines))
+            differing = self._differing(lines, listing.groupBy("bucket").agg(*checksums()).collect())  # one row per bucket
+            listing = listing.where(F.col("bucket").isin(sorted(differing)))
         active = self._versions(lines, differing)
-        found = changes(active, listing.where(F.col("bucket").isin(sorted(differing))), run_ts, one_active=True)
+        found = changes(active, listing, run_ts, one_active=True)
         if failed is not None:
             found = settle(found, "found")
         else:
             found.write.mode("overwrite").parquet(self._feed_path(run_ts))
             found = self.feed(run_ts)
         per_status = _count_statuses(found)
+        # Every listed file is new, changed or still active: when all that happened is that every
+        # active file left, the listing had no row. Files that couldn't be fetched were listed all the same.
+        if set(per_status) == {"removed"} and per_status["removed"] == sum(r.n for r in lines.values()):
+            raise EmptyListingError("the listing is empty but the tracker has active files")
+        lines = lines or self._new_manifest(per_status.get("new", 0))
         if failed is not None:
             without_failed(found, failed).write.mode("overwrite").parquet(self._feed_path(run_ts))
             per_status = _count_statuses(self.feed(run_ts))
@@ -234,16 +234,17 @@ class TrackerStore:
         done = {r.run_ts for r in self.log().where(F.col("run_ts").isin(runs)).collect()}
         last = self.last_run()
         known = listings.where(F.col("run_ts").isin(runs))
-        if last is None:
-            most = known.groupBy("run_ts").count().agg(F.max("count")).first()[0]
-            lines = self._new_manifest(most or 0)
+        if last is None:  # all is new
+            counts = known.groupBy("run_ts").agg(F.count("*").alias("n")).collect()  # one row per run
+            lines, listed, differing = self._new_manifest(max((r.n for r in counts), default=0)), {r.run_ts for r in counts}, None
         else:
             lines = self._manifest(last.active_run)
-        known = known.withColumn("bucket", _bucket(len(lines)))
-        sums = known.groupBy("run_ts", "bucket").agg(*checksums()).collect()  # one row per run and bucket
-        listed, unfit = {r.run_ts for r in sums}, {}
-        differing = set().union(*[self._differing(lines, [r for r in sums if r.run_ts == run]) for run in runs if run not in done])
-        active, listings = self._versions(lines, differing), known.where(F.col("bucket").isin(sorted(differing)))
+            known = known.withColumn("bucket", _bucket(len(lines)))
+            sums = known.groupBy("run_ts", "bucket").agg(*checksums()).collect()  # one row per run and bucket
+            listed = {r.run_ts for r in sums}
+            differing = set().union(*[self._differing(lines, [r for r in sums if r.run_ts == run]) for run in runs if run not in done])
+            known = known.where(F.col("bucket").isin(sorted(differing)))
+        active, listings, unfit = self._versions(lines, differing), known, {}
         filled = any(r.n for r in lines.values())
         while True:
             accepted, refused = self._admitted([r for r in runs if r not in done], listed, unfit, last, filled)
@@ -344,8 +345,6 @@ class TrackerStore:
     def _by_bucket(self, listing: DataFrame, buckets: int) -> DataFrame:
         """A listing, written once by bucket."""
         rows = listing.select(LISTING_COLUMNS)
-        if buckets == 1:
-            return settle(rows, "listing").withColumn("bucket", _bucket(1))
         path = scratch_path(self.spark, "listing")
         rows.withColumn("bucket", _bucket(buckets)).write.partitionBy("bucket").parquet(path)
         schema = T.StructType([*rows.schema.fields, T.StructField("bucket", T.IntegerType())])
@@ -353,8 +352,9 @@ class TrackerStore:
 
     def _write_active(self, active: DataFrame, feed: DataFrame, opened: DataFrame, run_ts: str, lines: dict[int, Row]) -> None:
         """Write the buckets in which a feed says that something changed: what stays of the active versions, and what was opened."""
-        run, bucket = run_id(run_ts), _bucket(len(lines))
-        touched = {r.bucket for r in feed.select(bucket.alias("bucket")).unionByName(opened.select(bucket.alias("bucket"))).distinct().collect()}
+        run, bucket, touched = run_id(run_ts), _bucket(len(lines)), set(lines)
+        if len(lines) > 1:
+            touched = {r.bucket for r in feed.select(bucket.alias("bucket")).unionByName(opened.select(bucket.alias("bucket"))).distinct().collect()}
         stayed = self._versions(lines, touched).join(feed.select("file_name"), "file_name", "left_anti")
         versions = stayed.unionByName(opened).select(*TRACKER.names, bucket.alias("bucket"))
         path = f"{self.path}/active/{run}"
