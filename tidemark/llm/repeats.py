@@ -13,11 +13,13 @@ begin elsewhere; shards answer it, each for all windows that could be equal to e
 
 Copies of whole texts are found before, by two 64-bit hashes, and need no search: only one of each takes part, in the name of all.
 
-Blocks and shards are as many as there are shuffle partitions. Documents are shuffled once; the same exchange feeds all three steps.
+Blocks and shards are as many as the bytes of all texts ask for, so that each fits in a task; a task works on one after another. Documents are
+shuffled once; the same exchange feeds all three steps.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -30,12 +32,17 @@ from tidemark.llm.arrays import SPACED_WORDS, SPREAD, STEP, U64, Words, as_binar
 
 #: Occurrences of an anchor from which its windows travel one by one.
 HOT = 2048
-#: Units of a text whose windows are looked at at once.
-SEGMENT = 1 << 20
+#: Units whose windows are looked at at once. Only a text of more is cut, at multiples of it from its own begin, so passages do not depend on the order
+#: in which a block's texts arrive, which may be another one each time.
+SEGMENT = 1 << 17
 #: Symbols that a shard indexes at once; passages of one anchor, or single windows of one hash, stay together.
-SHARD_SYMBOLS = 700_000
+SHARD_SYMBOLS = 1 << 18
+#: Bytes of text in a block, and the least that blocks send to a shard on average.
+BLOCK_BYTES, SENT_BYTES = 8 << 20, 64
 #: Bits of an anchor's hash that travel. Equal hashes of different anchors cost time, not results.
 _HASH = U64(40)
+#: Bits of the number of a row in its block.
+_ROW = U64(64) - _HASH
 #: Stands for a missing doc_id, which is smaller than none.
 NO_ID = 2**63 - 1
 
@@ -157,7 +164,7 @@ class Block:
         self.start = [0]
         self.ids = block.column("_id").combine_chunks().fill_null(NO_ID).to_numpy()
         self.copied, self.part, self.weight = self._copies(block, heard)
-        for lo, _, data, offsets in text_pieces(block.column("_text")):
+        for lo, _, data, offsets in text_pieces(block.column("_text"), SEGMENT):
             symbols, at, words = kind.units(data, offsets)
             self.parts.append((lo, symbols, at, words, data, offsets))
             self.start.append(self.start[-1] + len(symbols))
@@ -199,11 +206,17 @@ class Block:
         found: list[list[np.ndarray]] = [[] for _ in range(7)]
         for (lo, symbols, at, *_), base in zip(self.parts, self.start, strict=False):
             for first, values, window, anchor, value in _segments(symbols, at, self.kind):
-                place = np.minimum(np.searchsorted(alive, value), max(len(alive) - 1, 0))
-                kept = alive[place] == value if len(alive) else np.zeros(len(value), bool)
-                window, anchor, value, single = window[kept], anchor[kept], value[kept], hot[place[kept]]
-                if not len(window):
+                if not len(window) or not len(alive):
                     continue
+                run = np.append(True, anchor[1:] != anchor[:-1])  # windows in a row with one anchor
+                of_run = value[run]
+                place = np.minimum(np.searchsorted(alive, of_run), len(alive) - 1)
+                held, many = alive[place] == of_run, np.diff(np.append(np.flatnonzero(run), len(run)))
+                kept = np.repeat(held, many)
+                if not held.any():
+                    continue
+                window, anchor, value = window[kept], anchor[kept], value[kept]
+                single = np.repeat(hot[place[held]], many[held])
                 new = single.copy()
                 new[0] = True
                 new[1:] |= (anchor[1:] != anchor[:-1]) | (window[1:] != window[:-1] + 1)
@@ -260,8 +273,9 @@ def _send_anchors(kind: Kind, shards: int):
         if not block.num_rows:
             return _rows(_SENT_ARROW, [])
         hashes, rows = Block(block, heard, kind).anchors()
-        order = np.lexsort((rows, hashes))
-        h, r = hashes[order], rows[order]
+        # hash and row in one value, which sorts faster than two
+        both = np.sort((hashes << _ROW) | rows.astype(U64))
+        h, r = both >> _ROW, both & ((U64(1) << _ROW) - U64(1))
         new = np.ones(len(h), bool)
         new[1:] = h[1:] != h[:-1]
         begin = np.flatnonzero(new)
@@ -505,11 +519,17 @@ def _copies(base: DataFrame, kind: Kind) -> DataFrame:
     return found.select(block, "_shard", F.lit(2).alias("_step"), *nothing, F.col("_h1").alias("x"), F.col("_h2").alias("y"), "z")
 
 
+def _shards(documents: DataFrame) -> int:
+    """How many blocks, and shards: about `BLOCK_BYTES` each, but not so many that what a block sends to a shard is less than `SENT_BYTES`."""
+    total = documents.agg(F.sum(F.octet_length(documents["text"]))).first()[0] or 0
+    return max(partitions(documents.sparkSession), min(-(-total // BLOCK_BYTES), math.isqrt(total // SENT_BYTES)))
+
+
 def exchange(documents: DataFrame, kind: Kind, judge: Judge, finish, schema: str, keep: list[str]) -> DataFrame:
     """Run the three steps. `finish(block, texts, cover)` makes the rows of a block; `keep` are columns that it may read (as `_k0`, ...)."""
     spark = documents.sparkSession
     reach(spark)
-    shards = partitions(spark)
+    shards = _shards(documents)
     number = F.pmod(F.xxhash64(documents["doc_id"], documents["text"]), F.lit(shards)).cast("int")
     passed = (documents[c].alias(f"_k{i}") for i, c in enumerate(keep))
     text = F.coalesce(documents["text"], F.lit(""))
@@ -521,7 +541,7 @@ def exchange(documents: DataFrame, kind: Kind, judge: Judge, finish, schema: str
         F.xxhash64(F.lit(1), text, F.lit(2)).alias("_h2"),
         *passed,
     )
-    dealt = base.repartition(shards, "_block")
+    dealt = base.repartition(min(shards, partitions(spark)), "_block")
     copies = _copies(base, kind)
     anchors = dealt.groupBy("_block").cogroup(copies.groupBy("_block")).applyInArrow(_send_anchors(kind, shards), _SENT)
     alive = anchors.groupBy("_shard").applyInArrow(_answer_anchors, _HEARD).unionByName(copies)
