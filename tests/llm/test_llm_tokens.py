@@ -74,6 +74,30 @@ def _first_fit_decreasing(lengths, capacity):
     return free
 
 
+@pytest.mark.parametrize("times", [1, 10, 1000])
+def test_the_program_finds_what_best_fit_misses(times):
+    """Best fit puts the longest together and needs 11 sequences where 9 do."""
+    histogram = {51: 6 * times, 27: 6 * times, 26: 6 * times, 23: 12 * times}
+    lengths, counts = np.array(sorted(histogram)), np.array([histogram[n] for n in sorted(histogram)])
+    nothing = np.zeros((0, 4), np.int64), np.zeros(0)
+    assert packing._place_all(lengths, counts, 100, np.arange(4), *nothing)[1] == 11 * times
+    assert packing.plan_packing(histogram, 100).sequences == 9 * times
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_solutions_cover_every_length_and_lie_between_the_bounds(seed):
+    random_ = np.random.default_rng(seed)
+    lengths = np.unique(random_.integers(1, 128, 10 + 40 * seed))
+    counts = random_.integers(1, 300, len(lengths)).astype(float)
+    solved = packing.fractional_patterns(lengths, counts, 128)
+    assert (solved.patterns @ lengths <= 128).all() and (solved.uses >= 0).all()
+    assert (solved.uses @ solved.patterns >= counts * (1 - 1e-9)).all()
+    assert lengths @ counts / 128 <= solved.least * (1 + 1e-9) <= solved.value * (1 + 1e-9)
+    plan = packing.plan_packing({int(n): int(c) for n, c in zip(lengths, counts, strict=True)}, 128)
+    assert abs(solved.value - solved.uses.sum()) < 1e-6 * solved.value and solved.least <= plan.sequences + 1e-6
+    assert solved.value <= 1.2 * solved.least
+
+
 def test_linear_program_reaches_the_bound():
     """Lengths that only fill sequences in pairs: the fractional solution finds the pairs."""
     histogram = {40: 90, 24: 90, 33: 50, 31: 50}

@@ -3,9 +3,10 @@
 The lengths of all pieces make a histogram of at most `capacity` bars, however many documents there are.
 On it a configuration linear program (fewest sequences, each filled by one pattern of lengths, that cover
 the histogram) is solved by multiplicative weights: lengths covered little weigh much, and the pattern
-of greatest weight that fits comes from an unbounded-knapsack dynamic program. The uses of each pattern
-are rounded down; what remains of the histogram is placed by best fit, largest first, whole
-groups of equal sequences at a time. The plan says, for each length, which ranks go where, so every piece finds its
+of greatest weight that fits comes from an unbounded-knapsack dynamic program over steps of `GRID` ids; lengths that need as many steps are one
+class. Rounds go on, with ever smaller changes of weight, until the solution is within `GAP` of what its dual or the ids alone
+demand. Classes that the rounds cover too little keep patterns of their own, so every length is covered. The uses of each pattern are rounded down; what remains of the histogram is placed by best fit, largest first, whole
+groups of equal sequences at a time, also into the room that patterns leave. The plan says, for each length, which ranks go where, so every piece finds its
 sequence by its rank among the pieces of its length.
 """
 
@@ -27,8 +28,10 @@ from tidemark.llm.tokens import WORD_BPE, encoder, vocabulary_path
 CAPACITY = 2048
 #: Id that ends each document.
 END = 0
-ROUNDS = 300
-RATE = 0.7
+#: Ids in a step of the program's lengths.
+GRID = 8
+#: How near to the least number of sequences the program is solved, and the rounds after which it is rounded in any case.
+GAP, ROUNDS = 0.03, 7500
 #: Bytes of text tokenised at once.
 TEXT_BYTES = 2 << 20
 
@@ -115,8 +118,8 @@ class Plan:
         return self.sequence[at] + past // self.each[at], self.offset[at] + past % self.each[at] * length
 
 
-def _best_pattern(lengths: np.ndarray, values: np.ndarray, capacity: int) -> np.ndarray:
-    """How often each length is in the pattern of greatest value that fits (unbounded knapsack)."""
+def _best_pattern(lengths: np.ndarray, values: np.ndarray, capacity: int) -> tuple[np.ndarray, float]:
+    """How often each length is in the pattern of greatest value that fits (unbounded knapsack), and that value."""
     best, used = np.zeros(capacity + 1), np.full(capacity + 1, -1)
     fits = np.searchsorted(lengths, np.arange(capacity + 1), "right")
     for c in range(int(lengths[0]), capacity + 1):
@@ -133,34 +136,57 @@ def _best_pattern(lengths: np.ndarray, values: np.ndarray, capacity: int) -> np.
         else:
             pattern[used[c]] += 1
             c -= int(lengths[used[c]])
-    return pattern
+    return pattern, float(best[capacity])
 
 
-def fractional_patterns(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Solutions of the configuration program, as (patterns, uses of each): the average of all rounds, and of their second half.
+@dataclass
+class Solution:
+    """Patterns of lengths and how often each is used, so that every length is covered; `value` sequences, of `least` that any solution needs."""
+
+    patterns: np.ndarray
+    uses: np.ndarray
+    value: float
+    least: float
+
+
+def fractional_patterns(lengths: np.ndarray, counts: np.ndarray, capacity: int, gap: float = GAP, rounds: int = ROUNDS) -> Solution:
+    """Solve the configuration program to within `gap`, or as far as some rounds go.
 
-    Uses are scaled so that the least covered length is covered once.
+    Rounds are averaged, all of a phase or the later ones; a phase is twice as long as the one before and changes weights half as much. What
+    the average covers less than the rest is covered by patterns of one length alone.
     """
-    weights, patterns, uses = np.ones(len(lengths)), [], []
-    for _ in range(rounds):
-        pattern = _best_pattern(lengths, weights / counts, capacity)
-        inside = pattern > 0
-        share = (pattern[inside] / counts[inside]).max()
-        patterns.append(pattern)
-        uses.append(1 / share)
-        weights *= np.exp(-RATE * pattern / counts / share)
-        weights /= weights.sum()
-    out = []
-    for first in (0, rounds // 2):
-        different, back = np.unique(np.array(patterns[first:]), axis=0, return_inverse=True)
-        many = np.bincount(back.ravel(), uses[first:], len(different))
-        coverage = (many @ different / counts).min()
-        out.append((different, many / max(coverage, 1e-9)))
-    return out
-
-
-def _place_all(lengths: np.ndarray, counts: np.ndarray, capacity: int, patterns: np.ndarray, uses: np.ndarray) -> tuple[list, int]:
-    """Use each pattern as often as said and as pieces last, then place the rest by best fit, largest first, for whole
+    weights, rate, phase, done = np.ones(len(lengths)), 0.5, 500, 0
+    least = float(lengths @ counts) / capacity
+    alone = np.diag(capacity // lengths)
+    best = Solution(alone, counts / np.diag(alone), float((counts / np.diag(alone)).sum()), least)
+    while best.value > (1 + gap) * best.least and done < rounds:
+        patterns, uses = np.zeros((phase, len(lengths)), np.int64), np.zeros(phase)
+        for t in range(phase):
+            patterns[t], value = _best_pattern(lengths, weights / counts, capacity)
+            best.least = max(best.least, weights.sum() / value)
+            pattern = patterns[t]
+            inside = pattern > 0
+            share = (pattern[inside] / counts[inside]).max()
+            uses[t] = 1 / share
+            weights *= np.exp(-rate * pattern / counts / share)
+            weights /= weights.sum()
+        for first in (0, phase // 4, phase // 2):
+            cover = uses[first:] @ patterns[first:] / counts
+            for level in np.unique(np.quantile(cover, [0, 0.01, 0.03, 0.1, 0.3])):
+                short = np.flatnonzero(cover < level)
+                extra = counts[short] * (1 - cover[short] / max(level, 1e-300)) / (capacity // lengths[short])
+                if level > 0 and (value := float(uses[first:].sum() / level + extra.sum())) < best.value:
+                    different, back = np.unique(patterns[first:], axis=0, return_inverse=True)
+                    many = np.bincount(back.ravel(), uses[first:], len(different)) / level
+                    best = Solution(np.concatenate([different, alone[short]]), np.concatenate([many, extra]), value, best.least)
+        rate, phase, done = rate / 2, 2 * phase, done + phase
+    return best
+
+
+def _place_all(
+    lengths: np.ndarray, counts: np.ndarray, capacity: int, of_class: np.ndarray, patterns: np.ndarray, uses: np.ndarray
+) -> tuple[list, int]:
+    """Use each pattern of classes as often as said and as pieces last, then place the rest by best fit, largest first, for whole
     runs of equal sequences."""
     left, used, entries, sequences = counts.copy(), np.zeros(len(lengths), np.int64), [], 0
 
@@ -170,17 +196,31 @@ def _place_all(lengths: np.ndarray, counts: np.ndarray, capacity: int, patterns:
         left[i] -= each * many
 
     free: dict[int, list[tuple[int, int]]] = {}  # room: runs of (first sequence, sequences)
+    members = [np.flatnonzero(of_class == c) for c in range(int(of_class.max(initial=-1)) + 1)]
     for p in np.argsort(-uses, kind="stable"):
         inside = np.flatnonzero(patterns[p])
-        many = min(int(uses[p] + 1e-9), int((left[inside] // patterns[p][inside]).min()))
-        if many > 0:
-            offset = 0
-            for i in inside:
-                put(i, int(patterns[p][i]), many, sequences, offset)
-                offset += int(patterns[p][i] * lengths[i])
+        if not len(inside):
+            continue
+        held = np.array([left[members[c]].sum() for c in inside])
+        many = min(int(uses[p] + 1e-9), int((held // patterns[p][inside]).min()))
+        if many <= 0:
+            continue
+        runs = [(sequences, many, 0)]  # sequences filled alike so far: first, how many, up to where
+        for c in inside:
+            for _ in range(int(patterns[p][c])):
+                after = []
+                for first, n, offset in runs:
+                    while n:  # the longest of the class that are left
+                        i = int(members[c][np.flatnonzero(left[members[c]])[-1]])
+                        take = min(n, int(left[i]))
+                        put(i, 1, take, first, offset)
+                        after.append((first, take, offset + int(lengths[i])))
+                        first, n = first + take, n - take
+                runs = after
+        for first, n, offset in runs:
             if offset < capacity:
-                free.setdefault(capacity - offset, []).append((sequences, many))
-            sequences += many
+                free.setdefault(capacity - offset, []).append((first, n))
+        sequences += many
     for i in range(len(lengths) - 1, -1, -1):
         n = int(lengths[i])
         while left[i]:
@@ -206,17 +246,27 @@ def _place_all(lengths: np.ndarray, counts: np.ndarray, capacity: int, patterns:
 def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> Plan:
     """Place a histogram of lengths below `capacity`: the rounded solution that needs the fewest sequences.
 
-    The program's solutions are rounded whole and shrunk to what the tokens fill, and best fit alone is tried as well.
+    The program's solution is rounded down as it is, shrunk, and without its short lengths, so that more is left to best fit. Best fit alone
+    counts only if it needs fewer sequences than all of these.
     """
     lengths = np.array(sorted(n for n, c in histogram.items() if c > 0), np.int64)
     counts = np.array([histogram[int(n)] for n in lengths], np.int64)
     if not len(lengths):
         return Plan(*np.zeros((5, 0), np.int64), 0)
+    steps = -(-lengths // GRID) if capacity % GRID == 0 and capacity > 64 * GRID else lengths
+    grid = GRID if steps is not lengths else 1
+    sizes, of_class = np.unique(steps, return_inverse=True)
+    solved = fractional_patterns(sizes, np.bincount(of_class, counts), capacity // grid, rounds=rounds)
     bound = float(lengths @ counts) / capacity
-    tried = [(np.zeros((0, len(lengths)), np.int64), np.zeros(0))]
-    for patterns, uses in fractional_patterns(lengths, counts.astype(float), capacity, rounds):
-        tried += [(patterns, uses), (patterns, uses * min(1.0, bound / uses.sum())), (patterns, uses * 0.97)]
-    entries, sequences = min((_place_all(lengths, counts, capacity, *t) for t in tried), key=lambda found: found[1])
+    # classes are as long as their longest, so the ids alone may need fewer sequences than the program, never more
+    if not bound <= solved.value * (1 + 1e-9):
+        raise AssertionError(f"{solved.value} sequences cannot hold what fills {bound}")
+    tried = []
+    for short in (0, 16, 8, 4):  # lengths below such a part of a sequence are left to best fit, to fill what is open
+        patterns = np.where(sizes * grid * short < capacity, 0, solved.patterns) if short else solved.patterns
+        tried += [(patterns, solved.uses * x) for x in (1.0, bound / solved.value, 0.8, 0.5, 0.25)]
+    tried.append((solved.patterns[:0], solved.uses[:0]))
+    entries, sequences = min((_place_all(lengths, counts, capacity, of_class, *t) for t in tried), key=lambda found: found[1])
     return Plan(*np.array(sorted(entries), np.int64).T, sequences)
 
 
