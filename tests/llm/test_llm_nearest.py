@@ -83,3 +83,11 @@ def test_blocks_give_the_same(spark, monkeypatch):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     exact = [(r.vec_id, r.embedding) for r in frame.collect()]
     assert sorted(tuple(r) for r in N.nearest(frame, "vec_id % 4 = 0", 3).collect()) == brute(exact, 3, 4)
+
+
+def test_every_tree_has_leaves(monkeypatch):
+    """Also of vectors without structure; then little is cut off, but what is answers the same (see above)."""
+    vectors = np.random.default_rng(7).normal(size=(3000, 32))
+    tree = N.CoverTree(vectors)
+    leaves = [hi - lo for (lo, hi), c in zip(tree.range, tree.children, strict=True) if not c]
+    assert len(leaves) > 20 and max(leaves) <= N.LEAF and sum(leaves) == 3000

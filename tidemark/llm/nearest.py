@@ -24,11 +24,12 @@ TOP = 5
 SCALE = 256
 #: Queries and candidates of a block, about.
 QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 16384
-LEAF = 64
+#: Vectors of a leaf, and children of a node, at most.
+LEAF, CHILDREN = 64, 16
 
 
 class CoverTree:
-    """Nodes over some vectors: centre, covering radius, range in `order`, children. Each level halves the radius."""
+    """Nodes over some vectors: centre, covering radius, range in `order`, children. Radii shrink from level to level."""
 
     def __init__(self, vectors: np.ndarray):
         self.vectors, self.order = vectors, np.arange(len(vectors))
@@ -52,22 +53,27 @@ class CoverTree:
                 self.children[parent].append(node)
             if hi - lo > LEAF and self.radius[node] > 0:
                 groups = self._cover(own, self.radius[node] / 2)
-                if groups:
-                    self.order[lo:hi] = self.order[lo:hi][np.concatenate(groups)]
-                    for g in groups:
-                        waiting.append((lo, lo + len(g), node))
-                        lo += len(g)
+                self.order[lo:hi] = self.order[lo:hi][np.concatenate(groups)]
+                for g in groups:
+                    waiting.append((lo, lo + len(g), node))
+                    lo += len(g)
 
     def _cover(self, own: np.ndarray, radius: float) -> list[np.ndarray]:
-        """Groups within `radius` of centres of their own; none if the vectors lie too far apart to gain by it."""
-        left, groups = np.arange(len(own)), []
-        while len(left):
-            if len(groups) > len(own) // 6:
-                return []
-            near = ((own[left] - own[left[0]]) ** 2).sum(axis=1) <= radius**2
-            groups.append(left[near])
-            left = left[~near]
-        return groups if len(groups) > 1 else []
+        """Groups of the vectors nearest to centres of their own, each centre the vector farthest from those before.
+
+        There are as many as it takes to cover all within `radius`, at most `CHILDREN`: vectors that lie far apart in many
+        directions shrink less from level to level, but every node is split down to leaves.
+        """
+        away, nearest = np.full(len(own), np.inf), np.zeros(len(own), np.int64)
+        centre = 0
+        for k in range(CHILDREN):
+            now = ((own - own[centre]) ** 2).sum(axis=1)
+            closer = now < away
+            away[closer], nearest[closer] = now[closer], k
+            centre = int(away.argmax())
+            if away[centre] <= radius**2 and k:
+                break
+        return [g for g in (np.flatnonzero(nearest == i) for i in range(k + 1)) if len(g)]
 
 
 def top_k(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
