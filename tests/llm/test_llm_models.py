@@ -137,3 +137,15 @@ def test_copies_neither_fill_nor_empty_the_sample(spark):
             language.train = train
         sizes[copied] = seen[0].count("x"), seen[0].count("y")
     assert all(20 < x <= 31 and 20 < y <= 80 and x + y <= 100 for x, y in sizes.values()), sizes
+
+
+def test_copies_of_labelled_rows_do_not_fill_the_quality_sample(spark, monkeypatch):
+    """A third of all rows has one id, one label and one text; a label may be repeated too."""
+    rows = [(1, "again and again")] * 3000 + [(i, f"text {i} " * (i % 7 + 1)) for i in range(2, 400)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 400) for _ in range(3)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda rows, labels: seen.append((len(rows), labels.mean())))
+    quality.fit(documents, labels, sample=100)
+    quality.fit(documents, labels)
+    assert 50 < seen[0][0] <= 100 and seen[1][0] == 399 and abs(seen[1][1] - 0.5) < 0.01

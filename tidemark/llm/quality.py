@@ -173,23 +173,28 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi in pieces(at):
             rows = statistics(data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0)[lo:hi], pa.array(list(rows), pa.list_(pa.float32()))], names=["label", "row"]
+                [batch.column(0)[lo:hi], batch.column(2)[lo:hi], pa.array(list(rows), pa.list_(pa.float32()))], names=["label", "place", "row"]
             )
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Learn from `labels` (doc_id, quality): rows without a doc_id or a quality are no examples. None if none has a text row.
 
-    A document labelled several times counts once for each label; texts are joined to a bounded sample, which is broadcast.
+    Equal rows (id, label and text) count once, so copies of one row neither fill the sample nor come to the driver; at most `sample` rows
+    do, the first by a hash. Labels are thinned by a hash of their id before texts are joined.
     """
     spark = documents.sparkSession
     reach(spark)
-    known = labels.select("doc_id", F.col("quality").cast("double").alias("label")).where("doc_id is not null and label is not null")
+    known = labels.select("doc_id", F.col("quality").cast("double").alias("label")).where("doc_id is not null and label is not null").distinct()
     n = known.count()
     if n > sample:
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int((1 << 30) * sample / n)))
-    rows = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("label", "text")
-    got = rows.mapInArrow(_counted, "label double, row array<float>").collect()
+        # ids with several labels may leave more than that
+        known = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(2 * sample)
+    place = F.xxhash64("doc_id", "label", "text")
+    rows = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("label", "text", place.alias("place"))
+    rows = rows.mapInArrow(_counted, "label double, place long, row array<float>")
+    got = rows.groupBy("place", "label").agg(F.first("row").alias("row")).orderBy("place").limit(sample).collect()
     if not got:
         return None
     return train(np.array([r.row for r in got], np.float32), np.array([r.label for r in got]))
