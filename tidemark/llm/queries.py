@@ -254,3 +254,88 @@ WITH RECURSIVE worded AS (
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.component_id
 FROM sets s JOIN (SELECT node, min(other) AS component_id FROM reached GROUP BY node) r ON r.node = s.doc_id
 """
+
+
+def _islands(starts: str, size: int) -> str:
+    """Runs of units that windows of one size cover, from their starts (doc_id, p): doc_id, a (first), b (last + 1)."""
+    return f"""
+  SELECT doc_id, min(p) AS a, max(p) + {size} AS b FROM (
+    SELECT *, sum(CASE WHEN p <= before + {size} THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS run
+    FROM (SELECT *, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM ({starts}))
+  ) GROUP BY doc_id, run"""
+
+
+def _plain_words(table_: str, key: str) -> str:
+    return rf"""SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {table_}"""
+
+
+ORACLES["op1_benchmark_decontamination"] = f"""
+WITH docs AS ({_plain_words("documents", "doc_id")}), items AS ({_plain_words("benchmark", "item_id")}), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)
+), grams AS (
+  SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS gram
+  FROM (SELECT d.doc_id, d.w, s.size, unnest(range(1, len(d.w) - s.size + 2)) AS i FROM docs d, (SELECT DISTINCT size FROM windows) s WHERE len(d.w) >= s.size)
+), hits AS (
+  SELECT DISTINCT doc_id, i, g.size, item_id FROM grams g JOIN windows USING (size, gram)
+), words AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS word FROM hits) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+ORACLES["op4_minhash_near_dedup"] = f"""
+WITH RECURSIVE docs AS ({_plain_words("documents", "doc_id")}), sets AS (
+  SELECT doc_id, w, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM docs
+), grams AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 10 * count(*) >= 8 * (any_value(a.n) + any_value(b.n) - count(*))
+), reached AS (
+  SELECT doc_id AS node, doc_id AS other FROM sets UNION SELECT r.node, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT s.doc_id, r.class_id, CASE WHEN len(s.w) = 0 THEN s.doc_id ELSE min(s.doc_id) OVER (PARTITION BY s.w) END AS text_id
+FROM sets s JOIN (SELECT node, min(other) AS class_id FROM reached GROUP BY node) r ON r.node = s.doc_id
+"""
+ORACLES["op6_suffix_array_dedup"] = f"""
+WITH docs AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS (
+  SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS win FROM (SELECT *, unnest(range(len(h) // 2 - 49)) AS p FROM docs WHERE len(h) >= 100)
+), later AS (
+  SELECT doc_id, p FROM (SELECT *, min(doc_id) OVER (PARTITION BY win) AS least FROM windows) WHERE least < doc_id
+), spans AS ({_islands("SELECT * FROM later", 50)}
+), kept AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM spans
+  UNION ALL SELECT d.doc_id, coalesce(max(s.b), 0), any_value(len(d.h) // 2) FROM docs d LEFT JOIN spans s USING (doc_id) GROUP BY d.doc_id
+)
+SELECT d.doc_id, CAST(any_value(len(d.h)) // 2 AS BIGINT) AS n_bytes, CAST(any_value(coalesce(n.removed, 0)) AS BIGINT) AS n_removed,
+  any_value(coalesce(n.spans, 0)) AS n_spans, sha256(unhex(string_agg(substr(d.h, 2 * k.a + 1, 2 * (k.b - k.a)), '' ORDER BY k.a))) AS kept_sha256
+FROM docs d JOIN kept k USING (doc_id) LEFT JOIN (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans FROM spans GROUP BY doc_id) n USING (doc_id)
+GROUP BY d.doc_id
+"""
+ORACLES["op10_substring_dedup"] = rf"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, p, array_to_string(w[p + 1:p + 35], ' ') AS win FROM (SELECT *, unnest(range(len(w) - 34)) AS p FROM docs WHERE len(w) >= 35)
+), again AS (
+  SELECT doc_id, p FROM (SELECT *, count(*) OVER (PARTITION BY win) AS many FROM windows) WHERE many > 1
+), spans AS ({_islands("SELECT * FROM again", 35)}
+), kept AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM spans
+  UNION ALL SELECT d.doc_id, coalesce(max(s.b), 0), any_value(len(d.w)) FROM docs d LEFT JOIN spans s USING (doc_id) GROUP BY d.doc_id
+)
+SELECT d.doc_id, CAST(any_value(len(d.w)) AS BIGINT) AS n_words, CAST(any_value(coalesce(n.removed, 0)) AS BIGINT) AS n_removed,
+  sha256(coalesce(string_agg(array_to_string(d.w[k.a + 1:k.b], ' '), ' ' ORDER BY k.a) FILTER (k.b > k.a), '')) AS kept_sha256
+FROM docs d JOIN kept k USING (doc_id) LEFT JOIN (SELECT doc_id, sum(b - a) AS removed FROM spans GROUP BY doc_id) n USING (doc_id)
+GROUP BY d.doc_id
+"""
