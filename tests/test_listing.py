@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 
 from tidemark.sources.pages import DATED_GROUPS, LINK_END, LINK_ENTRY, entries, extract_listing, page_parts
+from workload.derive import part_pages
 
 PAGE = """<html><body><pre><A HREF="/pub/">[To Parent Directory]</A><br><br>
  3/6/2025  8:30 AM         1234 <A HREF="/pub/x/pr.class">pr.class</A><br>
@@ -147,3 +148,16 @@ def test_a_page_read_by_many_tasks(spark, tmp_path, size):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert found == rows(extract_listing(pages(spark, *texts), BASE).drop("run_ts"))
     assert len(found) > 250 and not [r for r in found if r[0] == "no" and r[4] != 5]
+
+
+@pytest.mark.parametrize("groups", [None, DATED_GROUPS])
+def test_patterns_run_once_a_piece(spark, groups):
+    """However many cells a check or a result reads, the plan holds the pattern's cells once."""
+    pattern = {"pattern": r'(\d+/\d+/\d+)\s+(\d+:\d+\s[AP]M)\s+(\d+)\s<A HREF="(.*?)">(.*?)</A>', "groups": groups} if groups else {}
+    plan = extract_listing(pages(spark, PAGE), BASE, **pattern).where("file_size > 0")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1
+
+
+def test_pages_of_few_bytes_are_read_by_many_tasks(spark):
+    found = extract_listing(part_pages(spark, "/root/testdata/sf0.001"), BASE)
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -49,27 +49,31 @@ def entries(
     keep = [F.col(f"`{c}`") for c in pages.columns if c != text]
     body = F.regexp_extract(text, block, 1) if block else F.col(text)
 
+    one_per_line = "\n".join(f"${i}" for i in range(1, len(groups) + 1))
+    nothing = F.lit(None)
+
+    def read(found: Column) -> Column:
+        cells = F.split(F.regexp_replace(found, pattern, one_per_line), "\n", len(groups))
+        if like is None:
+            return F.struct(cells.alias("cells"), nothing.cast("string").alias("lost"))
+        is_lost = F.startswith(found, F.lit(_LOST))
+        lost = F.when(is_lost, F.substring(found, len(_LOST) + 1, 200))
+        return F.struct(F.when(~is_lost, cells).alias("cells"), lost.alias("lost"))
+
     def match(piece: Column) -> Column:
         found = F.regexp_extract(piece, pattern, 0)
         if like is None:
             return found
         return F.when((found == "") & piece.rlike(like), F.concat(F.lit(_LOST), F.substring(piece, 1, 200))).otherwise(found)
 
-    found = F.filter(F.transform(F.split(body, cut), match), lambda m: m != "")
+    pieces = F.split(body, cut)
     if keep_pages:  # also of a page without text
-        found = F.concat(F.array(F.lit(None).cast("string")), F.coalesce(found, F.array().cast("array<string>")))
-    matches = pages.select(*keep, F.explode(found).alias("_match"))
-    one_per_line = "\n".join(f"${i}" for i in range(1, len(groups) + 1))
-    if like is None:
-        cells = F.split(F.regexp_replace("_match", pattern, one_per_line), "\n", len(groups))
-        lost = []
-    else:
-        is_lost = F.startswith("_match", F.lit(_LOST))
-        cells = F.when(~is_lost, F.split(F.regexp_replace("_match", pattern, one_per_line), "\n", len(groups)))
-        lost = [F.when(is_lost, F.expr(f"substring(_match, {len(_LOST) + 1})")).alias("_lost")]
-    return matches.withColumn("_cells", cells).select(
-        *keep, *[F.col("_cells")[i].alias(name) for i, name in enumerate(groups)], *lost
-    )
+        pieces = F.concat(F.array(nothing.cast("string")), F.coalesce(pieces, F.array().cast("array<string>")))
+    # Pieces and their cells are made by generators: no filter that is pushed down repeats the patterns, and a page holds no more than its pieces.
+    found = F.filter(F.transform(F.array("_piece"), match), lambda m: m.isNull() | (m != ""))
+    matches = pages.select(*keep, F.explode(pieces).alias("_piece")).select(*keep, F.explode(F.transform(found, read)).alias("_match"))
+    lost = [] if like is None else [F.col("_match.lost").alias("_lost")]
+    return matches.select(*keep, *[F.col("_match.cells")[i].alias(name) for i, name in enumerate(groups)], *lost)
 
 
 # Marks a piece that was not read.
@@ -80,16 +84,21 @@ def decode_references(c: Column) -> Column:
     """Text with its character references as characters; an unknown one stays as it is."""
     known = F.create_map(*[F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))])
 
-    def decode(part: Column) -> Column:
+    def with_code(part: Column) -> Column:
         name = F.regexp_extract(part, r"^&#?[xX]?(\w+);$", 1)
         code = F.when(part.rlike(r"^&#[0-9]{1,7};$"), name.try_cast("int"))
         code = F.when(part.rlike(r"^&#[xX][0-9a-fA-F]{1,6};$"), F.conv(name, 16, 10).try_cast("int")).otherwise(code)
+        return F.struct(part.alias("part"), name.alias("name"), code.alias("code"))
+
+    def decode(read: Column) -> Column:
+        part, code = read["part"], read["code"]
         legal = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
         character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        return F.when(legal, character).when(part.rlike(r"^&\w+;$"), F.coalesce(known[name], part)).otherwise(part)
+        return F.when(legal, character).when(part.rlike(r"^&\w+;$"), F.coalesce(known[read["name"]], part)).otherwise(part)
 
     parts = F.regexp_extract_all(c, F.lit(r"&#?\w+;|[^&]+|&"), F.lit(0))
-    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(parts, decode), "")).otherwise(c)
+    decoded = F.transform(F.transform(parts, with_code), decode)
+    return F.when(F.contains(c, F.lit("&")), F.array_join(decoded, "")).otherwise(c)
 
 
 def page_parts(spark: SparkSession, path: str | list[str], line_break: str = "<br>") -> DataFrame:
