@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 
 from tidemark.sources.pages import DATED_GROUPS, LINK_END, LINK_ENTRY, entries, extract_listing, page_parts
-from workload.derive import part_pages
+from workload.derive import PAGES, listing_page_files, part_pages
 
 PAGE = """<html><body><pre><A HREF="/pub/">[To Parent Directory]</A><br><br>
  3/6/2025  8:30 AM         1234 <A HREF="/pub/x/pr.class">pr.class</A><br>
@@ -161,3 +161,24 @@ def test_patterns_run_once_a_piece(spark, groups):
 def test_pages_of_few_bytes_are_read_by_many_tasks(spark):
     found = extract_listing(part_pages(spark, "/root/testdata/sf0.001"), BASE)
     assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_parts_of_a_page_are_not_gathered(spark, tmp_path):
+    """Wherever broadcasts are not chosen by size, the parts still stay with the tasks that read them."""
+    (tmp_path / "p.html").write_text(PAGE)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = page_parts(spark, str(tmp_path))._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.split("\n")[1].lstrip("+- ").startswith("BroadcastHashJoin")
+
+
+def test_page_files_hold_the_pages(spark):
+    """Each page is one file, also one without entries, and gives what the page as a row gives."""
+    for many in (3000, 5):
+        listing = spark.range(many).selectExpr("concat('f', id) as file_name", "'01/02/2024 08:30 AM' as file_timestamp", f"concat('{BASE}/x/f', id) as full_url")
+        path = listing_page_files(listing, "pages")
+        assert spark.read.format("binaryFile").load(f"{path}/*/*.txt").count() == PAGES
+        found = extract_listing(page_parts(spark, path), BASE, block=None).select("file_name", "file_timestamp", "full_url")
+        assert rows(found) == rows(listing)

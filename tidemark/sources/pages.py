@@ -117,7 +117,8 @@ def page_parts(spark: SparkSession, path: str | list[str], line_break: str = "<b
     opened = opened.agg(F.min(F.struct("at", shut.alias("shut"))).alias("open")).select("page_file", "open.*").withColumnRenamed("at", "opens")
     closes = parts.where(F.col("html").rlike(closing)).join(opened, "page_file").where("at > opens and not shut")
     closes = closes.groupBy("page_file").agg(F.min("at").alias("closes"))
-    inside = parts.join(opened.join(closes, "page_file", "left"), "page_file")
+    # One row per page, whose parts stay with the task that reads them: a shuffle by page would leave few pages to few tasks.
+    inside = parts.join(F.broadcast(opened.join(closes, "page_file", "left")), "page_file")
     inside = inside.where("at = opens or at > opens and not shut and (closes is null or at <= closes)")
     body = F.when(F.col("at") == F.col("opens"), F.regexp_extract("html", PRE_BLOCK, 1))
     body = body.when(F.col("at") == F.col("closes"), F.regexp_extract("html", r"(?is)\A(.*?)</pre\s*>", 1)).otherwise(F.col("html"))

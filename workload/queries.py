@@ -161,9 +161,7 @@ def listing_extract_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def listing_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A listing whose pages are files, each read by as many tasks as it has splits."""
-    path = scratch_path(spark, "pages")
-    pages = D.listing_pages(D.shipping_listing(spark, sf_dir, "F"), D.FIRST_RUN).select("page", "html")
-    pages.repartition("page").write.partitionBy("page").text(path)
+    path = D.listing_page_files(D.shipping_listing(spark, sf_dir, "F"), "pages")
     return extract_listing(page_parts(spark, path), D.BASE_URL, block=None).select("file_name", "file_timestamp", "full_url")
 
 
