@@ -16,6 +16,7 @@ from tidemark.sinks.tracker_store import TrackerStore
 from tidemark.sources.delimited import read_tracker_csv
 from tidemark.sources.documents import read_documents, records
 from tidemark.sources.files import file_sizes, missing_files, read_files, read_wanted
+from tidemark.sources.pages import page_parts
 
 
 @pytest.fixture
@@ -390,3 +391,12 @@ def test_scheduled_run(spark, store, tmp_path, mirror):
         ingest(store, pages.withColumn("html", F.lit("")), BASE, payloads, str(target), "2025-03-07 09:00:00")
     assert not (target / f"population-{run_id('2025-03-07 09:00:00')}").exists()
     assert ingest_population(payloads, str(target), "2024-01-09 12:00:00").endswith("population-r20240109120000")
+
+
+def test_scheduled_run_from_page_files(spark, store, tmp_path):
+    """Pages read in parts are a listing like pages in rows."""
+    (tmp_path / "page.html").write_text(PAGE)
+    payloads = spark.createDataFrame([('{"data":[],"source":[]}',)], "payload string")
+    parts = page_parts(spark, str(tmp_path / "page.html"))
+    ingest(store, parts, BASE, payloads, str(tmp_path / "population"), "2025-03-06 09:00:00", block=None)
+    assert [r.file_name for r in store.active().collect()] == ["a"]

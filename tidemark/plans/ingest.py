@@ -11,7 +11,7 @@ from tidemark.sinks.raw_store import RawStore
 from tidemark.sinks.tables import run_id, write_json_documents
 from tidemark.sinks.tracker_store import TrackerStore
 from tidemark.sources.files import missing_files
-from tidemark.sources.pages import extract_listing
+from tidemark.sources.pages import PRE_BLOCK, extract_listing
 
 
 def run_time() -> str:
@@ -27,13 +27,16 @@ def ingest_listing(
     raw: RawStore | None = None,
     mirror: str | None = None,
     retry_missing: bool = False,
+    block: str | None = PRE_BLOCK,
 ) -> DataFrame:
     """Pages of one listing to tracker and landed files; returns the change feed.
 
+    Pages of any size are given as `page_parts`, with no `block`.
+
     `mirror` is the directory in which the files named on the pages can be read. A file that is
     listed but absent there counts as done, unless `retry_missing` leaves it for the next run.
     """
-    listing = extract_listing(pages, base_url).select(LISTING_COLUMNS)
+    listing = extract_listing(pages, base_url, block=block).select(LISTING_COLUMNS)
     return apply_and_land(store, listing, run_ts, raw, mirror, retry_missing)
 
 
@@ -73,8 +76,9 @@ def ingest(
     run_ts: str,
     raw: RawStore | None = None,
     mirror: str | None = None,
+    block: str | None = PRE_BLOCK,
 ) -> DataFrame:
     """One scheduled run."""
-    feed = ingest_listing(store, pages, base_url, run_ts, raw, mirror)
+    feed = ingest_listing(store, pages, base_url, run_ts, raw, mirror, block=block)
     ingest_population(payloads, population_dir, run_ts)
     return feed

@@ -285,11 +285,11 @@ def raw_from_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scheduled_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three scheduled runs, the last without a change, each with its population; what the tracker and the folder then hold."""
+    """Three scheduled runs, the last without a change, each with its pages from files and its population; what the tracker and the folder then hold."""
     store, inbox = TrackerStore(spark, scratch_path(spark, "tracker")), scratch_path(spark, "population")
     for status, run_ts in (("F", D.FIRST_RUN), ("O", D.SECOND_RUN), ("O", "2024-01-03 12:00:00")):
-        pages = D.listing_pages(D.shipping_listing(spark, sf_dir, status), run_ts).select("url", "html")
-        ingest(store, pages, D.BASE_URL, D.population_payloads(spark, sf_dir), inbox, run_ts)
+        pages = page_parts(spark, D.listing_page_files(D.shipping_listing(spark, sf_dir, status), "pages"))
+        ingest(store, pages, D.BASE_URL, D.population_payloads(spark, sf_dir), inbox, run_ts, block=None)
     versions = store.tracker().groupBy("start_timestamp", "end_timestamp").agg(F.count("*").alias("n"))
     run = F.regexp_extract("_metadata.file_path", "population-(r[0-9]+)", 1).alias("start_timestamp")
     snapshots = spark.read.text(f"{inbox}/*").select(run).groupBy("start_timestamp").agg(F.count("*").alias("n"))
