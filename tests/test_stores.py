@@ -8,6 +8,7 @@ from test_listing import BASE
 from test_scd2 import EXPECTED, RUNS, listing, statuses
 
 from tidemark.operators import scd2
+from tidemark.operators.history import backlog_changes
 from tidemark.plans.ingest import apply_and_land, ingest, ingest_population
 from tidemark.schemas import LISTING, POPULATION_DOCUMENT, TRACKER
 from tidemark.sinks.raw_store import RawStore, after_sync, fetch, wanted
@@ -35,6 +36,43 @@ def test_runs_over_a_store(spark, store, tmp_path):
     assert store.feed("2024-01-04 12:00:00").isEmpty()
 
 
+def test_a_backlog_is_written_by_run_and_equals_its_runs_one_by_one(spark, tmp_path):
+    wide = "r string, file_name string, file_timestamp string, full_url string"
+    listed = [(f"2024-01-{r:02d} 12:00:00", f"f{i}", f"t{(r * i) // 9 % 3}", "u") for r in range(1, 6) for i in range(60) if (i * 7 + r * r) % 5]
+    history = spark.createDataFrame(listed, wide).withColumnRenamed("r", "run_ts").repartition(4)
+    runs = sorted({r[0] for r in listed})
+    single, several = (TrackerStore(spark, str(tmp_path / name), buckets=3) for name in ("single", "several"))
+    for run in runs:
+        single.apply(history.where(F.col("run_ts") == run).drop("run_ts"), run)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several tasks find the feeds
+    try:
+        for part in (runs[:1], runs[1:3], runs[2:]):
+            assert several.apply_backlog(history, part) == {}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert rows(several.active()) == rows(single.active())
+    assert rows(several.tracker()) == rows(single.tracker())
+    for run in runs:
+        assert rows(several.feed(run)) == rows(single.feed(run))
+        assert len(list((tmp_path / "several" / "changes" / f"run={run_id(run)}").glob("part-*"))) == 1
+
+
+def test_changes_of_a_backlog_say_which_versions_stay(spark):
+    history = [("1", "a", "t"), ("2", "a", "t"), ("3", "a", "t"), ("1", "b", "t"), ("2", "b", "s"), ("1", "c", "t"), ("3", "c", "t")]
+    listings = spark.createDataFrame([(*h, "u") for h in history], "run_ts string, file_name string, file_timestamp string, full_url string")
+    held = spark.createDataFrame([("a", "t", "u", "0", None, "Y"), ("d", "t", "u", "0", None, "Y")], TRACKER)
+    found = backlog_changes(held, listings, ["1", "2", "3"]).select("file_name", "status", "run_ts", "old_start_timestamp", "stays")
+    assert rows(found) == [
+        ("b", "changed", "2", "1", False),
+        ("b", "new", "1", None, False),
+        ("b", "removed", "3", "2", False),
+        ("c", "new", "1", None, False),
+        ("c", "new", "3", None, True),
+        ("c", "removed", "2", "1", False),
+        ("d", "removed", "1", "0", False),
+    ]
+
+
 def test_buckets_without_a_change_are_neither_read_nor_written(spark, tmp_path):
     store = TrackerStore(spark, str(tmp_path / "tracker"), buckets=5)
     entries = {f"f{i}": ("t1", "u") for i in range(100)}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.text import or_fail
 from tidemark.operators.joins import settle
@@ -15,6 +16,8 @@ from tidemark.sinks.tables import checked_run_time
 CHUNK_RUNS = 4096
 # Statuses of rows that spoil a listing.
 UNFIT = ("a file has no name", "file listed more than once")
+# A change, and whether it opened a version that is still active after the last run.
+MARKED_CHANGES = T.StructType([*CHANGES.fields, T.StructField("stays", T.BooleanType())])
 
 
 def run_calendar(runs: DataFrame) -> DataFrame:
@@ -81,14 +84,14 @@ def backlog_changes(active: DataFrame, listings: DataFrame, runs: list[str]) ->
     `listings` has the listing columns and `run_ts`; `runs` names them in order, also those without rows, and rows of other runs are
     left out. Each version that is active beforehand is a spell that is open before the first run. One shuffle by file; a file has at most a row
     for each run, and one more. A listing that names a file twice, or a file without a name, gives rows of the statuses in `UNFIT`; then
-    the feeds are of use only without that run.
+    the feeds are of use only without that run. `stays` marks the changes that opened a version which is active after the last run.
     """
     ordinals = F.array(*[F.lit(r) for r in runs])
     known = listings.where(F.col("run_ts").isin(runs)).select(
         "file_name", "file_timestamp", "full_url", "run_ts", (F.array_position(ordinals, F.col("run_ts")) - 1).alias("ord")
     )
     before = active.select("file_name", "file_timestamp", "full_url", F.col("start_timestamp").alias("run_ts"), F.lit(-1).cast("long").alias("ord"))
-    in_order = Window.partitionBy("file_name").orderBy("ord")
+    in_order, whole = Window.partitionBy("file_name").orderBy("ord"), Window.partitionBy("file_name")
     joined = F.coalesce(F.lag("ord").over(in_order) == F.col("ord") - 1, F.lit(False))
     rows = known.unionByName(before).withColumns(
         {"joined": joined, "same": _same_version(F.lag, in_order, -1), "until": F.lead("ord").over(in_order)}
@@ -99,11 +102,13 @@ def backlog_changes(active: DataFrame, listings: DataFrame, runs: list[str]) ->
     rows = rows.withColumns(old)
     again = F.coalesce(F.lag("ord").over(in_order) == F.col("ord"), F.lit(False))
     rows = rows.withColumn("unfit", F.when(F.col("file_name").isNull(), UNFIT[0]).when(again, UNFIT[1]))
+    last_opened = F.max(F.when(opens, F.col("ord"))).over(whole) == F.col("ord")
+    rows = rows.withColumn("stays", last_opened & (F.max("ord").over(whole) == len(runs) - 1))
     opened = F.when(
         F.col("unfit").isNotNull() | ~F.col("same") & (F.col("ord") >= 0),
         _change(
             F.coalesce("unfit", F.when(F.col("joined"), "changed").otherwise("new")),
-            *[F.col(c) for c in ("file_timestamp", "full_url", "old_file_timestamp", "old_full_url", "old_start", "run_ts")],
+            *[F.col(c) for c in ("file_timestamp", "full_url", "old_file_timestamp", "old_full_url", "old_start", "run_ts", "stays")],
         ),
     )
     # a file that the next run does not list leaves in it
@@ -111,13 +116,14 @@ def backlog_changes(active: DataFrame, listings: DataFrame, runs: list[str]) ->
     leaves = (F.coalesce("until", F.lit(len(runs))) > F.col("ord") + 1) & next_run.isNotNull()
     missing = F.lit(None).cast("string")
     left = F.when(
-        leaves, _change(F.lit("removed"), missing, missing, *[F.col(c) for c in ("file_timestamp", "full_url", "start")], next_run)
+        leaves, _change(F.lit("removed"), missing, missing, *[F.col(c) for c in ("file_timestamp", "full_url", "start")], next_run, F.lit(False))
     )
-    return rows.select("file_name", F.inline(F.array_compact(F.array(opened, left)))).select(CHANGES.names)
+    # nulls are left out afterwards, as a filter of arrays is not compiled
+    return rows.select("file_name", F.inline(F.array(opened, left))).where(F.col("status").isNotNull()).select(MARKED_CHANGES.names)
 
 
 def _change(*values: Column) -> Column:
-    return F.struct(*[v.alias(n) for v, n in zip(values, CHANGES.names[1:], strict=True)])
+    return F.struct(*[v.alias(n) for v, n in zip(values, MARKED_CHANGES.names[1:], strict=True)])
 
 
 def _refuse_empty_runs(history: DataFrame, calendar: DataFrame) -> None:

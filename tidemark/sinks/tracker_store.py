@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.history import UNFIT, backlog_changes
+from tidemark.operators.history import MARKED_CHANGES, UNFIT, backlog_changes
 from tidemark.operators.joins import settle
 from tidemark.operators.scd2 import (
     CLOSED,
@@ -216,7 +216,7 @@ class TrackerStore:
 
         if land is not None:
             land(feed, run_ts)
-        self._write_active(active, feed, opened_versions(feed), run_ts, lines)
+        self._write_active(feed, opened_versions(feed), run_ts, lines)
         self._finish([run_ts], run)
         return feed
 
@@ -251,11 +251,12 @@ class TrackerStore:
             if not accepted:
                 return refused
             written = self._write_feeds(backlog_changes(active, listings, accepted), accepted)
-            tally = written.groupBy("run_ts", "status").agg(F.min("file_name").alias("name")).collect()  # a few rows per run
-            spoiled = {r.run_ts: r.status if r.name is None else f"{r.status}: {r.name}" for r in tally if r.status in UNFIT}
-            if not spoiled:
+            tally = written.groupBy("run_ts", "status").count().collect()  # a few rows per run
+            if not any(r.status in UNFIT for r in tally):
                 break
-            unfit |= spoiled  # once more without them
+            named = written.where(F.col("status").isin(*UNFIT)).groupBy("run_ts", "status").agg(F.min("file_name").alias("name"))
+            # once more without them
+            unfit |= {r.run_ts: r.status if r.name is None else f"{r.status}: {r.name}" for r in named.collect()}
         changed = {r.run_ts for r in tally}
         for run in accepted:
             if run not in changed:  # what an attempt that failed may have left
@@ -263,26 +264,26 @@ class TrackerStore:
             elif land is not None:
                 land(self.feed(run), run)
         if changed:
-            final = written
-            if len(accepted) > 1:
-                event = F.struct("status", "file_timestamp", "full_url", "run_ts")
-                # a run has at most one row for a file
-                final = written.groupBy("file_name").agg(F.max_by(event, "run_ts").alias("c")).select("file_name", "c.*")
-            self._write_active(active, written, opened_versions(final), accepted[-1], lines)
+            # versions that were active before have started earlier than all these runs, and each is closed once
+            ended = written.where(F.col("old_start_timestamp") < accepted[0])
+            self._write_active(ended, opened_versions(written.where("stays")), accepted[-1], lines)
             self._finish(accepted, run_id(accepted[-1]))
         elif last is not None:
             self._finish(accepted, last.active_run)
         return refused
 
     def _write_feeds(self, feeds: DataFrame, runs: list[str]) -> DataFrame:
-        """Write the feeds of some runs, each to its folder; returns what this attempt has written."""
+        """Write the feeds of some runs, each to its folder; returns what this attempt has written.
+
+        The rows are dealt out by run first: otherwise each task would sort all its rows by run and write a file for each. A large run is split.
+        """
         attempt = uuid4().hex
-        by_run = feeds.withColumn("run", F.concat(F.lit("r"), F.regexp_replace("run_ts", "[^0-9]", ""))).withColumn("attempt", F.lit(attempt))
-        writer = by_run.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        by_run = feeds.hint("rebalance", "run_ts").withColumn("run", F.concat(F.lit("r"), F.regexp_replace("run_ts", "[^0-9]", "")))
+        writer = by_run.withColumn("attempt", F.lit(attempt)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("run").parquet(f"{self.path}/changes")
-        schema = T.StructType([*CHANGES.fields, T.StructField("attempt", T.StringType()), CHANGES_BY_RUN["run"]])
+        schema = T.StructType([*MARKED_CHANGES.fields, T.StructField("attempt", T.StringType()), CHANGES_BY_RUN["run"]])
         held = read_if_exists(self.spark, f"{self.path}/changes", schema).where(F.col("run").isin([run_id(r) for r in runs]))
-        return held.where(F.col("attempt") == attempt).select(CHANGES.names)
+        return held.where(F.col("attempt") == attempt).select(MARKED_CHANGES.names)
 
     def _admitted(
         self, runs: list[str], listed: set[str], unfit: dict[str, str], last: Row | None, filled: bool
@@ -326,7 +327,7 @@ class TrackerStore:
         )
         closed.write.mode("overwrite").parquet(self._feed_path(latest))
         nothing = empty_table(self.spark, CHANGES)
-        self._write_active(empty_tracker(self.spark), nothing, active_versions(tracker), latest, self._new_manifest(active_versions(tracker).count()))
+        self._write_active(nothing, active_versions(tracker), latest, self._new_manifest(active_versions(tracker).count()))
         self._finish([latest], run_id(latest))
 
     def prune(self) -> None:
@@ -350,8 +351,8 @@ class TrackerStore:
         schema = T.StructType([*rows.schema.fields, T.StructField("bucket", T.IntegerType())])
         return read_if_exists(self.spark, path, schema)
 
-    def _write_active(self, active: DataFrame, feed: DataFrame, opened: DataFrame, run_ts: str, lines: dict[int, Row]) -> None:
-        """Write the buckets in which a feed says that something changed: what stays of the active versions, and what was opened."""
+    def _write_active(self, feed: DataFrame, opened: DataFrame, run_ts: str, lines: dict[int, Row]) -> None:
+        """Write the buckets in which something changed: the active versions without those of the files of a feed, and what was opened."""
         run, bucket, touched = run_id(run_ts), _bucket(len(lines)), set(lines)
         if len(lines) > 1:
             touched = {r.bucket for r in feed.select(bucket.alias("bucket")).unionByName(opened.select(bucket.alias("bucket"))).distinct().collect()}
