@@ -149,3 +149,56 @@ def test_passages_do_not_depend_on_the_order_of_a_block(kind, monkeypatch):
         number, _ = passages.numbered()
         found.append(sorted(zip(passages.shard.tolist(), number.tolist(), passages.one.tolist(), passages.windows.tolist(), texts.ids[passages.row].tolist(), strict=True)))
     assert found[0] == found[1] == found[2] == found[3] and len(found[0]) > 100
+
+
+def test_passages_of_many_shards_are_cut_from_one_array(monkeypatch):
+    """A block's work must not grow with the number of shards: symbols of all its passages are read once."""
+    docs = mixture(11, 40)
+    calls = []
+    once = repeats.Block.symbols
+    monkeypatch.setattr(repeats.Block, "symbols", lambda self, *a: (calls.append(len(a[0])), once(self, *a))[1])
+    for kind, judge, plain in ((bytededup.BYTES, bytededup.smallest_ids, brute.remove_bytes), (worddedup.WORDS, worddedup.repeated, brute.remove_words)):
+        calls.clear()
+        finish = bytededup._digest if kind.across else worddedup._digest
+        got = [tuple(r.values()) for _, texts, cover, table in local(docs, kind, judge, 13) for r in finish(table, texts, cover).to_pylist()]
+        assert sorted(got, key=repr) == sorted(plain(docs), key=repr)
+        assert 1 < len(calls) <= 13 and sum(calls) > 13
+
+
+def _letters(rnd, many):
+    return "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(many))
+
+
+def test_what_is_equal_by_chance_is_not_sent():
+    """Texts that share stretches of 20 to 30 bytes only: no window of 50 can be repeated, and no shard hears of any, however common the stretches are."""
+    rnd = random.Random(4)
+    common = [_letters(rnd, n) for n in range(20, 31)]
+    docs = [(i, "".join(_letters(rnd, 40) + c for c in rnd.sample(common, 9))) for i in range(40)]
+    docs += [(90, docs[3][1][5:75]), (91, docs[7][1][:49]), (92, "x" + docs[7][1][:50])]
+    import pyarrow as pa
+
+    columns = {"_block": pa.array([0] * len(docs), pa.int32()), "_id": pa.array([i for i, _ in docs], pa.int64()), "_text": pa.array([t for _, t in docs])}
+    none, kind = repeats._rows(repeats._HEARD_ARROW, []), bytededup.BYTES
+    of = lambda lo, hi: pa.table({c: x[lo:hi] for c, x in columns.items()})
+    heard = lambda t: repeats._answer_anchors(repeats._send_anchors(kind, 1)(t, none))
+    assert heard(of(0, 40)).num_rows == 0
+    sent = repeats._send_passages(kind, 1)(of(0, 43), heard(of(0, 43)))
+    assert sum(np.frombuffer(x, "<u4").sum() for x in sent.column("a").to_pylist()) < 60  # windows of the last three texts and about them
+    got = [tuple(r.values()) for _, texts, cover, table in local(docs, kind, bytededup.smallest_ids) for r in bytededup._digest(table, texts, cover).to_pylist()]
+    assert sorted(got) == sorted(brute.remove_bytes(docs)) and sum(r[2] for r in got) == 70 + 50
+
+
+def test_only_passages_that_share_a_key_are_indexed():
+    """Copies of one passage are one; a passage whose keys no other has needs no order."""
+    rnd = random.Random(5)
+    whole = _letters(rnd, 400)
+    same = [(i, _letters(rnd, 60) + whole + _letters(rnd, 60)) for i in range(6)]
+    indexed = []
+
+    def judge(text, begin, windows, many, ids):
+        indexed.append(int(windows.sum()))
+        return bytededup.smallest_ids(text, begin, windows, many, ids)
+
+    got = [tuple(r.values()) for _, texts, cover, table in local(same, bytededup.BYTES, judge) for r in bytededup._digest(table, texts, cover).to_pylist()]
+    assert sorted(got) == sorted(brute.remove_bytes(same))
+    assert 0 < sum(indexed) < 351  # the passages at the ends of the copies, where texts go on in other ways
