@@ -174,3 +174,49 @@ def test_several_files_and_a_leftover(spark, tmp_path):
     assert listing.count() >= 4
     (tmp_path / "ids" / "left.ids").write_bytes(b"broken")
     assert idfiles.read_back(spark, str(tmp_path / "ids"), listing).count() == 200
+
+
+class Counted:
+    """A tokenizer that notes how many texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("name", [WORD_BPE, BYTE_BPE])
+def test_new_words_go_to_the_library_together(name, monkeypatch):
+    """Words of a vocabulary that marks their ends are encoded many at once; odd ones give the same ids, in whatever company they come."""
+    import random
+
+    import numpy as np
+
+    from tidemark.llm import tokens
+
+    monkeypatch.setattr(tokens, "TOGETHER", 50)
+    rnd = random.Random(8)
+    odd = ["İstanbul", "a×b", "é", "ÉÈ", "Ÿ", "ﬁn", "naïve", "ét", "ß", "Ǆ", "ŉ", "a÷", "ſt", "x y", "ĳs", "Ω", "ʰa", "ɥ", "don't", "a1b", "1", "<|endoftext|>"]
+    words = ["".join(rnd.choice("abcdefghijéèçlmnoÉst") for _ in range(rnd.randrange(1, 12))) for _ in range(1500)]
+    texts = [" ".join(rnd.sample(words, 200) + rnd.sample(odd, 12)) for _ in range(8)] + [" " + w for w in odd] + ["", " ", "a  b", " a\n b"]
+    raw = [t.encode() for t in texts]
+    ours = tokens.Encoder(tokens.vocabulary_path(name))
+    plain = ours.tokenizer
+    ours.tokenizer = Counted(plain)
+    for _ in range(2):  # once new, once known
+        ids, edges = ours.encode(np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(r) for r in raw])))
+        for i, t in enumerate(texts):
+            assert ids[edges[i] : edges[i + 1]].tolist() == plain.encode(t, add_special_tokens=False).ids, t
+    if name == WORD_BPE:
+        assert ours.tokenizer.texts < 400
+
+
+def test_pieces_with_ids_are_neither_sorted_nor_sent_to_python(spark):
+    """Only lengths and ranks are needed to place a piece."""
+    docs = spark.createDataFrame([(i, "word " * (i * 40)) for i in range(40)], "doc_id long, text string")
+    packed = packing.pack(docs)
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "MapInArrow" not in plan
+    assert sum(r.length for r in packed.collect()) == sum(len(r.ids) for r in packed.collect())

@@ -271,16 +271,14 @@ def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY, rounds: in
 
 
 def _placer(plan: Plan, capacity: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length, rank = batch.column("length").to_numpy(), batch.column("_rank").to_numpy(zero_copy_only=False)
-            sequence, offset = -1 - rank, np.zeros(len(rank), np.int64)  # a full piece is a sequence of its own
-            some = length < capacity
-            sequence[some], offset[some] = plan.place(length[some], rank[some])
-            out = batch.drop_columns(["_rank"]).append_column("sequence_id", pa.array(sequence, pa.int64()))
-            yield out.append_column("offset", pa.array(offset, pa.int64()))
+    def run(length: pa.Array, rank: pa.Array) -> pa.Array:
+        length, rank = length.to_numpy(zero_copy_only=False), rank.to_numpy(zero_copy_only=False)
+        sequence, offset = -1 - rank, np.zeros(len(rank), np.int64)  # a full piece is a sequence of its own
+        some = length < capacity
+        sequence[some], offset[some] = plan.place(length[some], rank[some])
+        return pa.StructArray.from_arrays([pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())], ["sequence_id", "offset"])
 
-    return run
+    return F.arrow_udf(run, "sequence_id long, offset long")
 
 
 def pack(
@@ -297,8 +295,8 @@ def pack(
     plan = plan_packing({n: c for n, c in histogram.items() if n < capacity}, capacity)
     before = Window.partitionBy("length").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_block", "length", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    ranked = pieces_.join(offsets, ["_block", "length"]).withColumn("_rank", F.col("_before") + F.col("_nth"))
+    # rows with their ids are long: they are not sorted to meet the few offsets, and only lengths and ranks go to Python
+    ranked = pieces_.join(offsets.hint("shuffle_hash"), ["_block", "length"])
+    placed = _placer(plan, capacity)("length", F.col("_before") + F.col("_nth"))
     names = [c for c in pieces_.columns if not c.startswith("_")]
-    kinds = dict(pieces_.dtypes)
-    schema = ", ".join(f"{c} {kinds[c]}" for c in names) + ", sequence_id long, offset long"
-    return ranked.select(*names, "_rank").mapInArrow(_placer(plan, capacity), schema)
+    return ranked.select(*names, placed.alias("_placed")).select(*names, "_placed.sequence_id", "_placed.offset")

@@ -4,7 +4,8 @@ Both vocabularies cut a text into pre-tokens before they merge: always before a
 two other characters, and between an ASCII letter and a mark other than an apostrophe. Their special
 tokens hold no space, and marks only as ``<|`` and ``|>``. So the text is cut at such places, every
 different piece is encoded by the tokenizers library, and the ids of a text are the ids of its pieces in
-a row. Tests compare them with the library's ids of the whole text.
+a row. Tests compare them with the library's ids of the whole text. Most pieces that are new are a space and a word; many of them in a
+row make a text that is cut at each of them in the same way, so the library gets them together if ids tell where a word ends.
 """
 
 from __future__ import annotations
@@ -13,11 +14,13 @@ import os
 
 import numpy as np
 
-from tidemark.llm.arrays import LOWER, SPREAD, U64, buffers, byte_table, mix
+from tidemark.llm.arrays import LOWER, SPREAD, U64, byte_table, mix
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 #: Different pieces whose ids a worker keeps.
 KEPT_PIECES = 1_000_000
+#: New words that are encoded in a row.
+TOGETHER = 1024
 #: White space of ASCII, which no cut may touch on either side.
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
@@ -46,6 +49,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.lowers = "Lowercase" in str(self.tokenizer.normalizer)
+        suffix, names = getattr(self.tokenizer.model, "end_of_word_suffix", None), self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(names.values()) + 1, bool)  # ids that end a word, if the vocabulary marks them
+        if suffix:
+            self.ends[[i for name, i in names.items() if name.endswith(suffix)]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -98,22 +105,56 @@ class Encoder:
             raise ValueError("two pieces of text share a hash")
         fresh = np.flatnonzero(~known)
         if len(fresh):
-            raw = data.tobytes()
-            texts = [raw[start[p] : end[p]].decode() for p in place[fresh]]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            counts = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for x in found for i in x), np.uint32, int(counts.sum()))
-            new = len(self.begin) - 1 + np.arange(len(fresh))
+            counts, flat = self._encoded(data, start[place[fresh]], end[place[fresh]])
+            slots = len(self.begin) - 1 + np.arange(len(fresh))
             self.begin = np.append(self.begin, self.begin[-1] + np.cumsum(counts))
             self.ids = np.append(self.ids, flat)
-            keys = np.append(self.keys, some[fresh])
-            order = np.argsort(keys, kind="stable")
-            self.keys = keys[order]
-            self.checks = np.append(self.checks, check[place[fresh]])[order]
-            self.slots = np.append(self.slots, new)[order]
-            at = np.searchsorted(self.keys, some)
+            # both are sorted, so the new ones are put between the others
+            new = at[fresh] + np.arange(len(fresh))
+            old = np.ones(len(self.keys) + len(fresh), bool)
+            old[new] = False
+            for name, values in (("keys", some[fresh]), ("checks", check[place[fresh]]), ("slots", slots)):
+                both = np.empty(len(old), values.dtype)
+                both[old], both[new] = getattr(self, name), values
+                setattr(self, name, both)
+            at = at + np.cumsum(~known) - ~known
         return self.slots[at][back]
 
+    def _encoded(self, data, start, end) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each piece has, and all ids in a row."""
+        size = end - start
+        edges = np.append(0, np.cumsum(size))
+        text = data[np.arange(edges[-1]) + np.repeat(start - edges[:-1], size)]
+        lead = (text >= 0xC3) & (text <= 0xC9)
+        word = _LETTER[text] | lead
+        word[1:] |= lead[:-1]
+        word[edges[:-1]] = text[edges[:-1]] == 32
+        plain = np.logical_and.reduceat(word, edges[:-1]) & (size > 1) & self.ends.any()
+        counts, some = np.zeros(len(size), np.int64), np.flatnonzero(plain)
+        words, ids = text[np.repeat(plain, size)], []
+        at = np.append(0, np.cumsum(size[some]))
+        alone = [np.flatnonzero(~plain)]
+        for lo in range(0, len(some), TOGETHER):
+            group = some[lo : lo + TOGETHER]
+            row = words[at[lo] : at[lo + len(group)]].tobytes().decode()
+            found = np.array(self.tokenizer.encode_batch_fast([row], add_special_tokens=False)[0].ids, np.uint32)
+            last = np.flatnonzero(self.ends[found])
+            if len(last) == len(group):  # each piece has a word at least, so none has two
+                counts[group] = np.diff(last, prepend=-1)
+                ids.append(found)
+            else:
+                plain[group] = False
+                alone.append(group)
+        rest = np.sort(np.concatenate(alone))
+        raw = text.tobytes()
+        found = self.tokenizer.encode_batch_fast([raw[edges[p] : edges[p + 1]].decode() for p in rest], add_special_tokens=False)
+        found = [e.ids for e in found]
+        counts[rest] = np.fromiter(map(len, found), np.int64, len(found))
+        flat, together = np.empty(int(counts.sum()), np.uint32), np.repeat(plain, counts)
+        flat[together] = np.concatenate([np.zeros(0, np.uint32), *ids])
+        flat[~together] = np.fromiter((i for x in found for i in x), np.uint32, int(counts[rest].sum()))
+        return counts, flat
+
 
 def _letters(data: np.ndarray) -> np.ndarray:
     """For each inner byte, whether both neighbours are ASCII or part of a letter of Latin-1 or Latin Extended."""
